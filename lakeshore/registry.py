@@ -454,3 +454,144 @@ QUERIES = {
     "label_lookup_left": label_lookup_left,
     "payload_explode": payload_explode,
 }
+
+
+# ---------------------------------------------------------------- storage, export, streams
+
+def _export_dir(spark, sf, dim=None):
+    from lakeshore.plans.export import export_latest
+    from lakeshore.session import scratch_dir
+    d = scratch_dir(spark, "export")
+    export_latest(_raw_weather(spark, sf), dim if dim is not None else SI.locations(spark, sf), d)
+    return d
+
+
+def export_roundtrip(spark, sf):
+    from lakeshore.sources.landed_csv import read_landed_csv
+    return read_landed_csv(spark, _export_dir(spark, sf)).drop("file")
+
+
+def _loaded(spark, sf):
+    from lakeshore.session import scratch_dir
+    from lakeshore.streaming.file_load import load_new_files
+    src = _export_dir(spark, sf)
+    # a file that is not CSV lands beside the data and must be skipped
+    spark.createDataFrame([("not a data file",)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{src}/_notes")
+    dst, ck = scratch_dir(spark, "cloud"), scratch_dir(spark, "ckpt")
+    load_new_files(spark, src, dst, ck)
+    load_new_files(spark, src, dst, ck)     # rerun: no new files, nothing loaded twice
+    return spark.read.parquet(dst)
+
+
+def load_new_files_once(spark, sf):
+    return _loaded(spark, sf).drop("file")
+
+
+def load_report(spark, sf):
+    from lakeshore.streaming.file_load import load_report as report
+    return report(_loaded(spark, sf)).select("dt", "city", "rows_loaded")
+
+
+def export_with_empty_location(spark, sf):
+    from lakeshore.plans.export import export_report, export_rows
+    dim = _all_locations(spark, sf)
+    return export_report(export_rows(_raw_weather(spark, sf), dim), dim)
+
+
+def full_refresh_with_defaults(spark, sf):
+    from lakeshore.plans import storage
+    from lakeshore.schemas import STG_PEOPLE
+    from lakeshore.session import scratch_dir
+    d = scratch_dir(spark, "stg_people")
+    raw = _raw_people(spark, sf)
+    defaults = {"load_ts": S.ntz(RUN_TS)}
+    early = clean.clean_people(raw.where(F.col("created_at") <= S.ntz(PEOPLE_TARGET_UNTIL)), RUN_TS)
+    storage.replace_table(storage.with_defaults(early.drop("load_ts"), STG_PEOPLE, defaults), d)
+    full = clean.clean_people(raw, RUN_TS)
+    storage.replace_table(storage.with_defaults(full.drop("load_ts"), STG_PEOPLE, defaults), d)
+    return storage.read_current(spark, d)
+
+
+def publish_rollback(spark, sf):
+    from lakeshore.plans import storage
+    from lakeshore.session import scratch_dir
+    d = scratch_dir(spark, "raw_weather")
+    target, src = _split(spark, sf)
+
+    def checks(df):
+        return quality.unique_report(df, ["location_id", "ts"], "raw_weather_hourly")
+
+    storage.publish(target, d, checks)
+    again = src.withColumn("source", F.lit(DEFAULT_WEATHER_SOURCE)) \
+        .withColumn("ingested_at", S.ntz(RUN_TS2)).select(*target.columns)
+    try:
+        storage.publish(target.unionByName(again), d, checks)     # duplicate keys: must fail
+    except quality.QualityError:
+        pass
+    else:
+        raise AssertionError("publish of duplicate keys was not rejected")
+    return storage.read_current(spark, d)
+
+
+def stream_upsert(spark, sf):
+    from lakeshore.schemas import RAW_WEATHER_HOURLY, RAW_WEATHER_STORED
+    from lakeshore.session import scratch_dir
+    from lakeshore.streaming.upsert_stream import stream_upsert as run
+    landing, table, ck = (scratch_dir(spark, n) for n in ("landing", "raw_weather", "ckpt"))
+    target, src = _split(spark, sf)
+    args = dict(source_schema=RAW_WEATHER_HOURLY, table_schema=RAW_WEATHER_STORED,
+                keys=["location_id", "ts"], partition_col="date", partition_expr=S.ts_date("ts"),
+                defaults={"source": DEFAULT_WEATHER_SOURCE},
+                update_cols=["temperature_2m", "precipitation", "windspeed_10m", "run_id", "ingested_at"],
+                on_duplicate="error")
+    target.write.mode("append").json(landing)                     # first drop
+    run(spark, landing, table, ck, **args)
+    src.withColumn("ingested_at", S.ntz(RUN_TS2)).write.mode("append").json(landing)   # second drop
+    run(spark, landing, table, ck, **args)
+    run(spark, landing, table, ck, **args)                        # nothing new: no change
+    return spark.read.schema(RAW_WEATHER_STORED).parquet(table).drop("date")
+
+
+def multi_location_load(spark, sf):
+    from lakeshore.sources import payloads
+    from lakeshore.session import scratch_dir
+    landing = scratch_dir(spark, "payloads")
+    dim = SI.locations(spark, sf)
+    payloads.fold_payloads(_raw_weather(spark, sf), dim).write.mode("overwrite").json(landing)
+    rows = payloads.explode_with_ids(payloads.read_payloads(spark, landing, multiline=False), dim)
+    rows = rows.withColumn("day", S.ts_date("ts"))
+    guard = quality.load_guard(rows, ["location_id", "day"], min_rows=1)
+    runs = audit.allocate_run_ids(guard.select("location_id", "day"), SI.runs(spark, sf),
+                                  ["location_id", "day"])
+    out = runs.join(guard, ["location_id", "day"])
+    return out.select("location_id", "day", "run_id",
+                      F.when(F.col("passed"), "SUCCESS").otherwise("FAILED").alias("status"),
+                      F.when(F.col("passed"), F.col("row_count")).otherwise(F.lit(0)).cast("bigint")
+                      .alias("row_count"))
+
+
+def daily_flow(spark, sf):
+    from lakeshore.plans.flow import FlowConfig, run_daily_flow
+    from lakeshore.sources import payloads
+    from lakeshore.session import scratch_dir
+    root = scratch_dir(spark, "warehouse")
+    landing = f"{root}/landing"
+    payloads.fold_payloads(_raw_weather(spark, sf), SI.locations(spark, sf)) \
+        .write.mode("overwrite").json(landing)
+    cfg = FlowConfig(root=root, landing=landing, run_ts="2024-01-01 05:00:00", as_of="2024-01-01",
+                     raise_on_qc_failure=False)
+    return run_daily_flow(spark, cfg)
+
+
+QUERIES.update({
+    "export_roundtrip": export_roundtrip,
+    "load_new_files": load_new_files_once,
+    "load_report": load_report,
+    "export_with_empty_location": export_with_empty_location,
+    "full_refresh_with_defaults": full_refresh_with_defaults,
+    "publish_rollback": publish_rollback,
+    "stream_upsert": stream_upsert,
+    "multi_location_load": multi_location_load,
+    "daily_flow": daily_flow,
+})

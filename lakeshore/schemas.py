@@ -63,6 +63,9 @@ RAW_WEATHER_HOURLY = _s(("location_id", T.LongType(), False), ("ts", NTZ, False)
                         ("windspeed_10m", MEASURE, True), ("source", T.StringType(), True),
                         ("ingested_at", NTZ, True), ("run_id", T.LongType(), False))
 
+# raw_weather_hourly as stored: partitioned by day.
+RAW_WEATHER_STORED = T.StructType(RAW_WEATHER_HOURLY.fields + [T.StructField("date", T.DateType(), True)])
+
 DIM_DATE = _s(("date_key", T.IntegerType(), False), ("date", T.DateType(), False))
 
 FACT_WEATHER_HOURLY = _s(("location_id", T.LongType(), False), ("ts", NTZ, False),
