@@ -1,4 +1,5 @@
-"""End queries over the marts (M1-M10).
+"""End queries over the marts (M1-M10), sorted as the reference sorts them
+(with a unique tail so the order is stable).
 
 Where a mart joins a large fact to a dimension and then groups, the fact is
 aggregated to the join key first: the join and the final grouping then see
@@ -22,7 +23,8 @@ def revenue_by_country(fact: DataFrame, dim_people: DataFrame) -> DataFrame:
     per_email = fact.where(F.col("event_type") == PURCHASE).groupBy("email").agg(
         F.sum("amount").alias("_rev"))
     j = per_email.join(dim_people.select("email", "country"), "email")
-    return j.groupBy("country").agg(F.sum("_rev").cast("decimal(20,2)").alias("total_revenue"))
+    out = j.groupBy("country").agg(F.sum("_rev").cast("decimal(20,2)").alias("total_revenue"))
+    return out.orderBy(F.col("total_revenue").desc_nulls_first(), "country")
 
 
 def purchases_per_person(dim_people: DataFrame, fact: DataFrame) -> DataFrame:
@@ -31,9 +33,10 @@ def purchases_per_person(dim_people: DataFrame, fact: DataFrame) -> DataFrame:
     per_email = fact.groupBy("email").agg(
         F.count_if(is_p).alias("_cnt"), F.sum(F.when(is_p, F.col("amount"))).alias("_rev"))
     j = dim_people.select("email", "full_name").join(per_email, "email", "left")
-    return j.select("email", "full_name",
-                    F.coalesce("_cnt", F.lit(0)).cast("bigint").alias("purchase_count"),
-                    F.coalesce("_rev", F.lit(0)).cast("decimal(20,2)").alias("purchase_revenue"))
+    out = j.select("email", "full_name",
+                   F.coalesce("_cnt", F.lit(0)).cast("bigint").alias("purchase_count"),
+                   F.coalesce("_rev", F.lit(0)).cast("decimal(20,2)").alias("purchase_revenue"))
+    return out.orderBy(F.col("purchase_revenue").desc(), "email")
 
 
 def activity_per_person(dim_people: DataFrame, fact: DataFrame) -> DataFrame:
@@ -68,14 +71,16 @@ def daily_avg_temperature(fact: DataFrame, dim_location: DataFrame) -> DataFrame
     divided by the count, so partial sums combine without rounding."""
     j = _daily(fact, dim_location, "temperature_2m")
     g = j.groupBy("location_name", "date").agg(F.sum("_sum").alias("_s"), F.sum("_cnt").alias("_c"))
-    return g.select("location_name", "date",
-                    (F.col("_s").cast("double") / F.col("_c")).alias("average_temperature_city"))
+    out = g.select("location_name", "date",
+                   (F.col("_s").cast("double") / F.col("_c")).alias("average_temperature_city"))
+    return out.orderBy(F.col("date").desc(), "location_name")
 
 
 def daily_total_precipitation(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     j = _daily(fact, dim_location, "precipitation")
-    return j.groupBy("location_name", "date").agg(
+    out = j.groupBy("location_name", "date").agg(
         F.sum("_sum").cast("decimal(28,6)").alias("total_precipitation_city"))
+    return out.orderBy(F.col("date").desc(), "location_name")
 
 
 def windiest_hours(fact: DataFrame, dim_location: DataFrame, n: int = 5) -> DataFrame:
@@ -90,7 +95,8 @@ def windiest_hours(fact: DataFrame, dim_location: DataFrame, n: int = 5) -> Data
     labelled = lookup_join(per_id, dim_location.select("location_id", "location_name"),
                            "location_id", "left")
     ranked = top_n_per_group(labelled, ["location_name"], order, n)
-    return ranked.select("location_name", "ts", "windspeed_10m", "rn")
+    return ranked.select("location_name", "ts", "windspeed_10m", "rn") \
+        .orderBy("location_name", F.col("windspeed_10m").desc_nulls_first(), "rn")
 
 
 def recent_runs(runs: DataFrame, pipeline_name: str | None = None, k: int = 10) -> DataFrame:

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from lakeshore.functions.scalar import date_key, ntz, ts_date
 from lakeshore.operators.keys import desc, latest_per_key
-from lakeshore.plans.joins import lookup_join
+from lakeshore.plans.joins import lookup_join, sized_broadcast
+
+# Key-only sides are narrow; this many keys still broadcast comfortably.
+KEY_BROADCAST_ROWS = 1_000_000
 
 
 def build_dim_people(stg: DataFrame, raw: DataFrame, run_ts) -> DataFrame:
@@ -33,9 +36,11 @@ def lookup_flag(fact: DataFrame, dim: DataFrame, key: str, flag: str) -> DataFra
     The dimension key must be unique (checked by ``unique_report``) or the
     join would multiply facts. NULL keys match nothing -> false. A hot key on
     the fact side is split by AQE's skew-join handling (left outer join,
-    fact on the left)."""
+    fact on the left). A key set of checked size is broadcast instead, so
+    the fact is not shuffled at all."""
     keys = dim.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()) \
         .withColumn(flag, F.lit(True))
+    keys = sized_broadcast(keys, max_rows=KEY_BROADCAST_ROWS)
     j = fact.join(keys, fact[key] == keys["_k"], "left").drop("_k")
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 

@@ -595,3 +595,23 @@ QUERIES.update({
     "multi_location_load": multi_location_load,
     "daily_flow": daily_flow,
 })
+
+
+def stg_view_sql(spark, sf):
+    """The staged view created with SQL over temporary views."""
+    from lakeshore.plans.views import STG_WEATHER_HOURLY, register_views
+    register_views(spark, {"raw_weather_hourly": _raw_weather(spark, sf),
+                           "dim_location": SI.locations(spark, sf)})
+    spark.sql(STG_WEATHER_HOURLY)
+    return spark.table("stg_weather_hourly")
+
+
+def mart_daily_avg_sql(spark, sf):
+    """M4 written as Spark SQL over views of the fact and the dimension."""
+    from lakeshore.plans.views import DAILY_AVG_SQL, register_views
+    register_views(spark, {"fact_weather_hourly": _fact_hourly(spark, sf),
+                           "dim_location": SI.locations(spark, sf)})
+    return spark.sql(DAILY_AVG_SQL)
+
+
+QUERIES.update({"stg_view_sql": stg_view_sql, "mart_daily_avg_sql": mart_daily_avg_sql})
