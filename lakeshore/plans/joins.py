@@ -19,7 +19,12 @@ def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     skew and may still convert it at run time)."""
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
-    return F.broadcast(kept) if n <= max_rows else kept
+    if n <= max_rows:
+        return F.broadcast(kept)
+    # Too large to broadcast - and too large to keep cached: drop the cache
+    # and let the join shuffle (AQE splits skewed partitions).
+    kept.unpersist()
+    return small
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",

@@ -96,3 +96,30 @@ def test_resolve_locations_keeps_ids(spark):
                 F.col("longitude").cast("decimal(9,6)").alias("longitude"), "location_name")
     out = {r.location_name: r.location_id for r in upsert.resolve_locations(dim, inc).collect()}
     assert out == {"Chicago": 1, "New York, NY": 2}
+
+
+def test_sized_broadcast_falls_back_to_shuffle(spark):
+    from lakeshore.plans.joins import sized_broadcast
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).select((F.col("id") % 10).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ok = big.join(sized_broadcast(small, max_rows=100), "k")._jdf.queryExecution().executedPlan().toString()
+        over = big.join(sized_broadcast(small, max_rows=5), "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in ok
+    assert "SortMergeJoin" in over
+
+
+def test_hot_key_is_combined_before_shuffle(spark):
+    # one key holds a third of all rows: the partial aggregate must reduce it
+    # to one row per task before the exchange
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("t")).repartition(6)
+    out = keys.latest_per_key(df, ["k"], [keys.desc("t")])
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in p
+    assert out.where("k = 0").first().t == 2997
