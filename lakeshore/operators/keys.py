@@ -57,12 +57,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence,
         df = df.where(_all_not_null(keys))
     payload = [c for c in df.columns if c not in keys]
     directions = {o.descending for o in orders}
-    if len(directions) != 1:
-        return _latest_by_window(df, keys, orders)
     use_max = orders[0].descending
+    if len(directions) != 1:
+        # Mixed ASC/DESC: numeric and date terms against the majority
+        # direction are negated; anything else needs the window form.
+        types = dict(df.dtypes)
+        if not all(o.descending == use_max or _negatable(types[o.column]) for o in orders):
+            return _latest_by_window(df, keys, orders)
     rank_fields = []
     for i, o in enumerate(orders):
         c = F.col(o.column)
+        if o.descending != use_max:
+            c = _negate(c, dict(df.dtypes)[o.column])
         # For max(): the null flag must be larger for the row that wins.
         # For min(): the null flag must be smaller for the row that wins.
         null_wins = o.nulls_first
@@ -74,6 +80,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence,
         .select(*df.columns)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def _negatable(dtype: str) -> bool:
+    return dtype.startswith(_NUMERIC) or dtype == "date"
+
+
+def _negate(c: Column, dtype: str) -> Column:
+    """An order-reversing image of a numeric or date column."""
+    if dtype == "date":
+        return -F.datediff(c, F.lit("1970-01-01").cast("date"))
+    if dtype.startswith("decimal"):
+        return F.lit(0) - c
+    return -c
+
+
 def _all_not_null(cols) -> Column:
     out = None
     for c in cols:

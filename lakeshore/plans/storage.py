@@ -149,10 +149,13 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
                     keys, **upsert_args)
     if checks is not None:
         stage = scratch_dir(spark, "stage")
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+        merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
         merged = spark.read.schema(schema).parquet(stage)
         gate(checks(merged), what=f"upsert into {path}")
-    merged.select(*schema.fieldNames()).write.mode("overwrite") \
+    # rebalance: AQE packs each day into a few right-sized files and splits a
+    # hot day over several tasks, instead of every join task writing a small
+    # file into every touched day.
+    merged.select(*schema.fieldNames()).hint("rebalance", partition_col).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
     return touched
 

@@ -123,3 +123,32 @@ def test_hot_key_is_combined_before_shuffle(spark):
     p = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in p
     assert out.where("k = 0").first().t == 2997
+
+
+def test_latest_per_key_mixed_directions(spark):
+    import datetime as dt
+    rnd = random.Random(11)
+    rows = [(rnd.randrange(15), rnd.choice([None, rnd.randrange(4)]),
+             rnd.choice([None, dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randrange(5))]),
+             rnd.choice(["a", "b", None]), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, t int, d date, s string, id int")
+    cases = [
+        [keys.desc("t"), keys.asc("d"), keys.asc("id")],
+        [keys.asc("t", nulls_first=True), keys.desc("d"), keys.desc("id")],
+        [keys.desc("s"), keys.asc("id")],              # string against the majority -> window form
+    ]
+    for order in cases:
+        got = keys.latest_per_key(df, ["k"], order)
+        w = Window.partitionBy("k").orderBy(*[o.sort_col() for o in order])
+        want = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+        assert sorted(got.collect()) == sorted(want.collect()), order
+
+
+def test_load_report_by_file(spark):
+    from lakeshore.streaming.file_load import load_report
+    loaded = spark.createDataFrame([("s3://b/raw/dt=2026-02-24/city=Chicago_IL/part-0.csv",)] * 3 +
+                                   [("s3://b/raw/dt=2026-02-24/city=New_York_NY/part-1.csv",)], "file string")
+    per_file = {r.file.split("/")[-2]: (r.status, r.rows_loaded) for r in load_report(loaded, by_file=True).collect()}
+    assert per_file == {"city=Chicago_IL": ("LOADED", 3), "city=New_York_NY": ("LOADED", 1)}
+    per_part = {(r.dt, r.city): (r.files, r.rows_loaded) for r in load_report(loaded).collect()}
+    assert per_part == {("2026-02-24", "Chicago_IL"): (1, 3), ("2026-02-24", "New_York_NY"): (1, 1)}
