@@ -154,3 +154,23 @@ def test_daily_flow_exports_and_loads(spark, scratch):
     again = {r.location_id: r.status for r in run_daily_flow(spark, cfg2).collect()}
     assert again == {1: "FAILED", 2: "FAILED"}        # rows_touched = 0 -> guard fails, data kept
     assert spark.read.parquet(cfg.path("raw_weather_hourly")).count() == 336
+
+
+def test_stream_upsert_full_replay_is_harmless(spark, scratch):
+    from lakeshore.functions.scalar import ts_date
+    from lakeshore.schemas import RAW_WEATHER_HOURLY, RAW_WEATHER_STORED
+    from lakeshore.streaming.upsert_stream import stream_upsert
+    landing, table = f"{scratch}/landing", f"{scratch}/table"
+    df = _weather(spark)
+    df.where("location_id = 1").write.mode("append").json(landing)
+    args = dict(source_schema=RAW_WEATHER_HOURLY, table_schema=RAW_WEATHER_STORED,
+                keys=["location_id", "ts"], partition_col="date", partition_expr=ts_date("ts"),
+                defaults={"source": "open-meteo"},
+                update_cols=["temperature_2m", "precipitation", "windspeed_10m", "run_id", "ingested_at"])
+    stream_upsert(spark, landing, table, f"{scratch}/ck1", **args)
+    df.where("location_id = 2").withColumn("run_id", F.lit(99).cast("long")).write.mode("append").json(landing)
+    stream_upsert(spark, landing, table, f"{scratch}/ck1", **args)
+    first = sorted(spark.read.parquet(table).collect())
+    assert len(first) == 72
+    stream_upsert(spark, landing, table, f"{scratch}/ck2", **args)     # replay everything
+    assert sorted(spark.read.parquet(table).collect()) == first
