@@ -15,7 +15,7 @@ def col(c) -> Column:
 
 
 def blank_to_null(c) -> Column:
-    """NULLIF(TRIM(x), '') - TRIM removes spaces only, like Postgres."""
+    """NULLIF(TRIM(x), '') - TRIM removes spaces only, as in SQL."""
     return F.nullif(F.trim(col(c)), F.lit(""))
 
 

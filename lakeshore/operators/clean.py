@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshore.functions.scalar import blank_to_null, default_if_blank, ntz, null_outside
-from lakeshore.schemas import UNKNOWN_COUNTRY
+from lakeshore.fixed import AGE_MAX, AGE_MIN, UNKNOWN_COUNTRY
 
-AGE_RANGE = (0, 120)
+AGE_RANGE = (AGE_MIN, AGE_MAX)
 
 
 def clean_people(raw: DataFrame, run_ts) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 
 class Order:
-    """One ORDER BY term. ``nulls_first`` defaults to Postgres behaviour:
-    NULLs sort as the largest value (first when descending)."""
+    """One ORDER BY term. ``nulls_first`` defaults to the reference
+    database's behaviour: NULLs sort as the largest value (first when
+    descending)."""
 
     def __init__(self, column: str, descending: bool = False, nulls_first: bool | None = None):
         self.column = column

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeshore.fixed import PURCHASE
 from lakeshore.functions.scalar import ts_date
 from lakeshore.operators.keys import asc, desc, top_n_per_group
 from lakeshore.plans.joins import lookup_join
 
-PURCHASE = "purchase"
 
 
 def revenue_by_country(fact: DataFrame, dim_people: DataFrame) -> DataFrame:
@@ -84,8 +84,8 @@ def daily_total_precipitation(fact: DataFrame, dim_location: DataFrame) -> DataF
 
 
 def windiest_hours(fact: DataFrame, dim_location: DataFrame, n: int = 5) -> DataFrame:
-    """Top-n hours by wind speed per location_name (NULL speed first, as
-    Postgres sorts DESC; ties by ts, location_id).
+    """Top-n hours by wind speed per location_name (NULL speed first, as the
+    reference's database sorts DESC; ties by ts, location_id).
 
     Names can merge several ids, so the top n per id is taken first (a
     WindowGroupLimit before any shuffle), labelled, then ranked per name."""

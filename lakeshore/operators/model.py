@@ -17,7 +17,8 @@ KEY_BROADCAST_ROWS = 1_000_000
 
 def build_dim_people(stg: DataFrame, raw: DataFrame, run_ts) -> DataFrame:
     """Latest staged row per email (created_at DESC, person_id DESC, NULLs
-    first like Postgres), rows without email dropped."""
+    first as the reference's database sorts DESC), rows without email
+    dropped."""
     j = stg.where(F.col("email").isNotNull()).join(
         raw.select("person_id", "created_at"), "person_id")
     latest = latest_per_key(j.select("email", "full_name", "age", "country", "person_id", "created_at"),

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeshore import fixed as fx
 from lakeshore.functions.scalar import any_null, ntz, plus_hours
 from lakeshore.operators.keys import desc, latest_per_key
 
@@ -43,12 +44,12 @@ def quarantine(df: DataFrame, rules: Sequence[tuple[str, Column]],
 
 
 def event_rules() -> list[tuple[str, Column]]:
-    """Event reject rules, first match wins (fixed reasons of the reference)."""
+    """Event reject rules, first match wins."""
     amount, etype = F.col("amount"), F.col("event_type")
     return [
-        ("missing_email", F.col("email").isNull()),
-        ("purchase_missing_amount", (etype == "purchase") & amount.isNull()),
-        ("negative_amount", amount < 0),
+        (fx.REJECT_MISSING_EMAIL, F.col("email").isNull()),
+        (fx.REJECT_PURCHASE_MISSING_AMOUNT, (etype == fx.PURCHASE) & amount.isNull()),
+        (fx.REJECT_NEGATIVE_AMOUNT, amount < 0),
     ]
 
 
@@ -65,9 +66,9 @@ def event_checks() -> dict[str, Column]:
     expression is FALSE (NULL passes, as in SQL)."""
     amount, etype = F.col("amount"), F.col("event_type")
     return {
-        "chk_event_type_not_blank": F.trim(etype) != "",
-        "chk_purchase_amount": (etype != "purchase") | amount.isNotNull(),
-        "chk_amount_non_negative": amount.isNull() | (amount >= 0),
+        fx.CHK_EVENT_TYPE_NOT_BLANK: F.trim(etype) != "",
+        fx.CHK_PURCHASE_AMOUNT: (etype != fx.PURCHASE) | amount.isNotNull(),
+        fx.CHK_AMOUNT_NON_NEGATIVE: amount.isNull() | (amount >= 0),
     }
 
 
@@ -164,9 +165,9 @@ QC_CHECKS = ["run_exists", "status_ok", "finished_at_set", "row_count_positive",
              "no_null_values", "no_duplicate_keys"]
 
 
-def qc_runs(runs: DataFrame, raw: DataFrame, window_start, window_hours: int = 2,
+def qc_runs(runs: DataFrame, raw: DataFrame, window_start, window_hours: int = fx.QC_WINDOW_HOURS,
             pipeline_name: str | None = None, latest_only: bool = False,
-            measures: Sequence[str] = ("temperature_2m", "precipitation", "windspeed_10m")) -> DataFrame:
+            measures: Sequence[str] = tuple(fx.HOURLY_VARS)) -> DataFrame:
     """Check every run started in [t, t + window] (closed both ends).
 
     Output: (run_id, status, check_name, passed, observed). SKIPPED runs skip

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from lakeshore.fixed import (DEFAULT_EVENT_SOURCE, DEFAULT_WEATHER_SOURCE, EXPORT_COLUMNS,  # noqa: F401
+                             HOURLY_VARS, RUN_STATUSES, UNKNOWN_COUNTRY)
+
 MONEY = T.DecimalType(10, 2)          # NUMERIC(10,2)
 COORD = T.DecimalType(9, 6)           # NUMERIC(9,6)
 MEASURE = T.DecimalType(18, 6)        # unbounded NUMERIC, scale declared
@@ -73,18 +76,12 @@ FACT_WEATHER_HOURLY = _s(("location_id", T.LongType(), False), ("ts", NTZ, False
                          ("windspeed_10m", MEASURE, True), ("date_key", T.IntegerType(), False),
                          ("run_id", T.LongType(), False))
 
-# Columns of the exported CSV and of the cloud-side table loaded from it.
-EXPORT_COLUMNS = ["location_name", "location_id", "ts", "temperature_2m", "precipitation",
-                  "windspeed_10m", "source", "ingested_at", "run_id"]
-
 CLOUD_WEATHER_HOURLY = _s(("location_name", T.StringType(), True), ("location_id", T.LongType(), True),
                           ("ts", NTZ, True), ("temperature_2m", T.DoubleType(), True),
                           ("precipitation", T.DoubleType(), True), ("windspeed_10m", T.DoubleType(), True),
                           ("source", T.StringType(), True), ("ingested_at", NTZ, True),
                           ("run_id", T.LongType(), True))
 
-HOURLY_VARS = ["temperature_2m", "precipitation", "windspeed_10m"]
-
 PAYLOAD = T.StructType([
     T.StructField("latitude", T.DoubleType(), True),
     T.StructField("longitude", T.DoubleType(), True),
@@ -93,9 +90,3 @@ PAYLOAD = T.StructType([
         [T.StructField("time", T.ArrayType(T.StringType()), True)]
         + [T.StructField(v, T.ArrayType(T.DoubleType()), True) for v in HOURLY_VARS]), True),
 ])
-
-# Fixed values that must equal the reference's for equal results.
-RUN_STATUSES = ["RUNNING", "SUCCESS", "FAILED", "SKIPPED"]
-DEFAULT_WEATHER_SOURCE = "open-meteo"
-DEFAULT_EVENT_SOURCE = "web"
-UNKNOWN_COUNTRY = "UNKNOWN"
