@@ -154,6 +154,9 @@ def test_daily_flow_exports_and_loads(spark, scratch):
     again = {r.location_id: r.status for r in run_daily_flow(spark, cfg2).collect()}
     assert again == {1: "FAILED", 2: "FAILED"}        # rows_touched = 0 -> guard fails, data kept
     assert spark.read.parquet(cfg.path("raw_weather_hourly")).count() == 336
+    from lakeshore.__main__ import main
+    assert main(["qc", "--root", f"{scratch}/wh", "--run-ts", "2026-03-01 05:00:00"]) == 0
+    assert main(["qc", "--root", f"{scratch}/wh", "--run-ts", "2026-03-02 05:00:00"]) == 1
 
 
 def test_stream_upsert_full_replay_is_harmless(spark, scratch):
