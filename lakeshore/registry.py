@@ -7,7 +7,6 @@ which is constant within a run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.functions import scalar as S

@@ -152,3 +152,23 @@ def test_load_report_by_file(spark):
     assert per_file == {"city=Chicago_IL": ("LOADED", 3), "city=New_York_NY": ("LOADED", 1)}
     per_part = {(r.dt, r.city): (r.files, r.rows_loaded) for r in load_report(loaded).collect()}
     assert per_part == {("2026-02-24", "Chicago_IL"): (1, 3), ("2026-02-24", "New_York_NY"): (1, 1)}
+
+
+@settings(max_examples=6, deadline=None)
+@given(batches=st.lists(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 48)), max_size=10),
+                        min_size=1, max_size=3))
+def test_watermark_never_goes_back(spark, batches):
+    import datetime as dt
+    t0 = dt.datetime(2026, 3, 1)
+    table = spark.createDataFrame([], "location_id int, ts timestamp_ntz, v int")
+    marks = {}
+    for i, batch in enumerate(batches):
+        rows = {(loc, t0 + dt.timedelta(hours=h)): i for loc, h in batch}
+        src = spark.createDataFrame([(k[0], k[1], v) for k, v in rows.items()] or [],
+                                    "location_id int, ts timestamp_ntz, v int")
+        table = spark.createDataFrame(
+            upsert.upsert(table, src, ["location_id", "ts"], update_cols=["v"]).collect(), table.schema)
+        now = {r.location_id: r.max_ts for r in keys.watermarks(table).collect()}
+        for loc, m in marks.items():
+            assert now[loc] >= m
+        marks = now
