@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,24 +141,30 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
     mid-swap is repaired by replaying the same batch: the upsert is
     idempotent by key."""
     table = ensure_table(spark, path, schema, [partition_col])
-    src = source.withColumn(partition_col, partition_expr)
-    touched = [r[0] for r in src.select(partition_col).distinct().collect()]
-    if not touched:
-        return []
-    target = table.where(F.col(partition_col).isin(touched))
-    merged = upsert(target, src.select(*[c for c in src.columns if c in schema.fieldNames()]),
-                    keys, **upsert_args)
-    if checks is not None:
-        stage = scratch_dir(spark, "stage")
-        merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-        merged = spark.read.schema(schema).parquet(stage)
-        gate(checks(merged), what=f"upsert into {path}")
-    # rebalance: AQE packs each day into a few right-sized files and splits a
-    # hot day over several tasks, instead of every join task writing a small
-    # file into every touched day.
-    merged.select(*schema.fieldNames()).hint("rebalance", partition_col).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    return touched
+    # The batch is read for the touched days, the duplicate check and the
+    # merge: keep it (spillable) for the duration of this call.
+    src = source.withColumn(partition_col, partition_expr).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = [r[0] for r in src.select(partition_col).distinct().collect()]
+        if not touched:
+            return []
+        target = table.where(F.col(partition_col).isin(touched))
+        merged = upsert(target, src.select(*[c for c in src.columns if c in schema.fieldNames()]),
+                        keys, **upsert_args)
+        if checks is not None:
+            stage = scratch_dir(spark, "stage")
+            merged.hint("rebalance", partition_col).write.mode("overwrite") \
+                .partitionBy(partition_col).parquet(stage)
+            merged = spark.read.schema(schema).parquet(stage)
+            gate(checks(merged), what=f"upsert into {path}")
+        # rebalance: AQE packs each day into a few right-sized files and
+        # splits a hot day over several tasks, instead of every join task
+        # writing a small file into every touched day.
+        merged.select(*schema.fieldNames()).hint("rebalance", partition_col).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+        return touched
+    finally:
+        src.unpersist()
 
 
 __all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "replace_table",
