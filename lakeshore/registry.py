@@ -583,7 +583,21 @@ def daily_flow(spark, sf):
     return run_daily_flow(spark, cfg)
 
 
+def reexport_load_by_key(spark, sf):
+    from lakeshore.plans.export import export_latest
+    from lakeshore.schemas import CLOUD_WEATHER_HOURLY
+    from lakeshore.session import scratch_dir
+    from lakeshore.streaming.file_load import load_new_files_by_key
+    src = _export_dir(spark, sf)
+    dst, ck = scratch_dir(spark, "cloud"), scratch_dir(spark, "ckpt")
+    load_new_files_by_key(spark, src, dst, ck)
+    export_latest(_raw_weather(spark, sf), SI.locations(spark, sf), src)   # same rows, new file names
+    load_new_files_by_key(spark, src, dst, ck)
+    return spark.read.parquet(dst).select(*CLOUD_WEATHER_HOURLY.fieldNames())
+
+
 QUERIES.update({
+    "reexport_load_by_key": reexport_load_by_key,
     "export_roundtrip": export_roundtrip,
     "load_new_files": load_new_files_once,
     "load_report": load_report,
