@@ -15,6 +15,10 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class NullKeyError(ValueError):
+    pass
+
+
 def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
@@ -23,7 +27,11 @@ def dedup_source(source: DataFrame, keys: Sequence[str], on_duplicate: str = "er
                  order_by: Sequence | None = None) -> DataFrame:
     """Duplicate keys inside one batch: ``error`` (one INSERT ... SELECT),
     ``last`` (row-by-row statements: the last under ``order_by`` wins) or
-    ``trust`` (caller guarantees unique keys)."""
+    ``trust`` (caller guarantees unique keys).
+
+    ``error`` also rejects NULL keys (primary keys are NOT NULL): a NULL key
+    never matches, so it would be inserted again on every replay. Both
+    checks run as one aggregation over the keys."""
     if on_duplicate == "trust":
         return source
     if on_duplicate == "last":
@@ -31,9 +39,15 @@ def dedup_source(source: DataFrame, keys: Sequence[str], on_duplicate: str = "er
             raise ValueError("on_duplicate='last' needs order_by")
         return latest_per_key(source, keys, order_by)
     if on_duplicate == "error":
-        dup = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
-        if dup:
-            raise DuplicateKeyError(f"source has duplicate key {dup[0].asDict()}")
+        null_key = F.lit(False)
+        for k in keys:
+            null_key = null_key | F.col(k).isNull()
+        bad = source.groupBy(*keys).count().where((F.col("count") > 1) | null_key).limit(1).collect()
+        if bad:
+            row = bad[0].asDict()
+            if any(row[k] is None for k in keys):
+                raise NullKeyError(f"source has a NULL key {row}")
+            raise DuplicateKeyError(f"source has duplicate key {row}")
         return source
     raise ValueError(on_duplicate)
 
@@ -147,5 +161,5 @@ def _one_name_per_key(incoming: DataFrame, natural_key, name_col) -> DataFrame:
     return incoming.where(cond).groupBy(*natural_key).agg(F.max(name_col).alias(name_col))
 
 
-__all__ = ["DuplicateKeyError", "dedup_source", "upsert", "upsert_counts", "insert_missing",
+__all__ = ["DuplicateKeyError", "NullKeyError", "dedup_source", "upsert", "upsert_counts", "insert_missing",
            "resolve_locations"]

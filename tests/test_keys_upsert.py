@@ -172,3 +172,11 @@ def test_watermark_never_goes_back(spark, batches):
         for loc, m in marks.items():
             assert now[loc] >= m
         marks = now
+
+
+def test_upsert_rejects_null_keys(spark):
+    import pytest
+    t = spark.createDataFrame([(1, 1)], "k int, v int")
+    s = spark.createDataFrame([(None, 5)], "k int, v int")
+    with pytest.raises(upsert.NullKeyError):
+        upsert.upsert(t, s, ["k"])
