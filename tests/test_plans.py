@@ -65,3 +65,17 @@ def test_marts_aggregate_before_join(spark, name):
     p = plan(E.queries()[name](spark, SF))
     # partial aggregation of the fact happens below the join
     assert p.count("HashAggregate") >= 2
+
+
+def test_day_filter_is_a_pushed_range(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from lakeshore.functions.scalar import date_lit, ts_date
+    spark.range(48).select(F.col("id").alias("location_id"),
+                           (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                            + F.make_dt_interval(F.lit(0), F.col("id").cast("int"), F.lit(0), F.lit(0)))
+                           .alias("ts")).write.parquet(scratch)
+    df = spark.read.parquet(scratch).where(ts_date("ts") == date_lit("2024-01-02"))
+    p = plan(df)
+    assert "GreaterThanOrEqual(ts,2024-01-02T00:00)" in p and "LessThan(ts,2024-01-03T00:00)" in p
+    assert df.count() == 24
