@@ -2,6 +2,7 @@
 
   python -m lakeshore flow --root R --landing L [--run-ts TS] [--as-of D]
   python -m lakeshore qc   --root R --run-ts TS [--window-hours 2] [--latest-only]
+  python -m lakeshore people --root R --people P --events E [--run-ts TS]
 """
 
 from __future__ import annotations
@@ -27,11 +28,27 @@ def main(argv=None) -> int:
     q.add_argument("--run-ts", required=True)
     q.add_argument("--window-hours", type=int, default=QC_WINDOW_HOURS)
     q.add_argument("--latest-only", action="store_true")
+    pe = sub.add_parser("people", help="people / events build: staging, dimension, quarantine, fact, marts")
+    pe.add_argument("--root", required=True)
+    pe.add_argument("--people", required=True, help="parquet of raw_people")
+    pe.add_argument("--events", required=True, help="parquet of raw_events")
+    pe.add_argument("--run-ts", default=None)
     args = p.parse_args(argv)
 
     from lakeshore.session import get_session
     spark = get_session()
     now = dt.datetime.now().replace(microsecond=0)
+    if args.cmd == "people":
+        from lakeshore.plans.people import build_people_mart
+        from lakeshore.schemas import RAW_EVENTS, RAW_PEOPLE
+        from lakeshore.sources.tables import read_table
+        out = build_people_mart(spark, args.root, read_table(spark, args.people, RAW_PEOPLE),
+                                read_table(spark, args.events, RAW_EVENTS).drop("created_at"),
+                                args.run_ts or now.strftime("%Y-%m-%d %H:%M:%S"))
+        for name, df in out.items():
+            print(f"== {name}")
+            df.show(20, truncate=False)
+        return 0
     if args.cmd == "flow":
         from lakeshore.plans.flow import FlowConfig, run_daily_flow
         cfg = FlowConfig(root=args.root, landing=args.landing,

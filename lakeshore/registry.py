@@ -596,7 +596,17 @@ def reexport_load_by_key(spark, sf):
     return spark.read.parquet(dst).select(*CLOUD_WEATHER_HOURLY.fieldNames())
 
 
+def people_mart_build(spark, sf):
+    """The people / events build on stored tables; revenue read back."""
+    from lakeshore.plans.people import build_people_mart
+    from lakeshore.session import scratch_dir
+    out = build_people_mart(spark, scratch_dir(spark, "people"), _raw_people(spark, sf),
+                            SI.events(spark, sf), RUN_TS)
+    return out["revenue_by_country"]
+
+
 QUERIES.update({
+    "people_mart_build": people_mart_build,
     "reexport_load_by_key": reexport_load_by_key,
     "export_roundtrip": export_roundtrip,
     "load_new_files": load_new_files_once,

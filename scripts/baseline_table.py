@@ -17,7 +17,8 @@ GROUPS = {
         "stg_people_clean", "dim_people_latest", "dim_people_upsert", "fact_events_lookup",
         "fact_events_good", "events_quarantine", "quarantine_summary", "split_reconciliation",
         "check_constraints_report", "unknown_person_counts", "mart_revenue_by_country",
-        "mart_purchases_per_person", "zero_activity_left", "events_by_type", "global_counts"],
+        "mart_purchases_per_person", "zero_activity_left", "events_by_type", "global_counts",
+        "people_mart_build"],
     "Hourly model, upsert, checks (S9, J5, K3, K4, A14, Q5-Q10)": [
         "stg_hourly_labelled", "dim_date_build", "dim_date_insert_missing", "location_keys",
         "fact_hourly_load", "fact_hourly_upsert", "insert_update_counts", "upsert_replay",

@@ -86,3 +86,20 @@ def test_check_constraints_blank_type(spark, raw_events):
     assert rep["chk_event_type_not_blank"] == 1
     assert rep["chk_purchase_amount"] == 0
     assert rep["chk_amount_non_negative"] == 0
+
+
+def test_build_people_mart_on_storage(spark, raw_people, raw_events, scratch):
+    from lakeshore.plans.people import build_people_mart
+    out = build_people_mart(spark, scratch, raw_people, raw_events.drop("created_at"), RUN_TS)
+    rev = {r.country: r.total_revenue for r in out["revenue_by_country"].collect()}
+    assert rev == {"UK": Decimal("199.00"), "USA": Decimal("29.99")}
+    assert out["split_reconciliation"].first().reconciled
+    assert {tuple(r) for r in out["quarantine_summary"].collect()} == {("missing_email", 1)}
+    # second run with a changed person: the kept dimension is upserted, not rebuilt
+    changed = raw_people.withColumn("country", F.when(F.col("person_id") == 5, "India").otherwise(F.col("country")))
+    out2 = build_people_mart(spark, scratch, changed, raw_events.drop("created_at"), "2026-02-07 12:00:00")
+    rev2 = {r.country: r.total_revenue for r in out2["revenue_by_country"].collect()}
+    assert rev2 == {"India": Decimal("199.00"), "USA": Decimal("29.99")}
+    from lakeshore.plans import storage
+    assert storage.current_version(spark, f"{scratch}/dim_people") == 2
+    assert storage.read_current(spark, f"{scratch}/dim_people").count() == 4
