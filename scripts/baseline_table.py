@@ -24,7 +24,7 @@ GROUPS = {
         "fact_hourly_load", "fact_hourly_upsert", "insert_update_counts", "upsert_replay",
         "layer_reconciliation", "orphan_dates", "orphan_locations", "duplicate_grain",
         "composite_distinct_gap", "unique_keys_report", "load_guard_full", "load_guard_incremental",
-        "stg_view_sql"],
+        "stg_view_sql", "model_refresh_build"],
     "Marts and run log (M4-M10, K9, Q9, I1-I4)": [
         "mart_daily_avg", "mart_daily_sum", "mart_top5_per_location", "mart_daily_avg_sql",
         "watermark_per_location", "fetch_windows", "windowed_rows", "run_state_latest", "recent_runs",

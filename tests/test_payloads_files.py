@@ -194,3 +194,21 @@ def test_keyed_load_absorbs_reexport(spark, scratch):
     after = spark.read.parquet(dst)
     assert after.count() == 48                                    # replaced, not duplicated
     assert after.where("location_id = 1 and ts = '2026-02-24 05:00:00'").first().temperature_2m == 7.0
+
+
+def test_refresh_model_checks_and_rerun(spark, scratch):
+    from lakeshore.plans.model_refresh import refresh_model
+    raw, dim = _weather(spark), _dim(spark)
+    out = refresh_model(spark, scratch, raw, dim)
+    assert out["reconciliation"].first().reconciled
+    assert out["missing_dates"].first().missing_dates == 0
+    assert out["missing_location"].first().missing_location == 0
+    assert out["duplicate_grain"].count() == 0
+    assert out["daily_avg"].count() == 3                     # (Chicago, 23rd/24th), (New York, 24th)
+    changed = raw.withColumn("run_id", F.lit(50).cast("long"))
+    out2 = refresh_model(spark, scratch, changed, dim)
+    fact = spark.read.parquet(f"{scratch}/fact_weather_hourly")
+    assert fact.count() == 72 and fact.where("run_id = 50").count() == 72
+    assert out2["reconciliation"].first().reconciled
+    from lakeshore.plans import storage
+    assert storage.read_current(spark, f"{scratch}/dim_date").count() == 2
