@@ -103,3 +103,13 @@ def test_build_people_mart_on_storage(spark, raw_people, raw_events, scratch):
     from lakeshore.plans import storage
     assert storage.current_version(spark, f"{scratch}/dim_people") == 2
     assert storage.read_current(spark, f"{scratch}/dim_people").count() == 4
+
+
+def test_people_command_line(spark, raw_people, raw_events, scratch):
+    from lakeshore.__main__ import main
+    raw_people.write.parquet(f"{scratch}/people")
+    raw_events.write.parquet(f"{scratch}/events")
+    assert main(["people", "--root", f"{scratch}/wh", "--people", f"{scratch}/people",
+                 "--events", f"{scratch}/events", "--run-ts", RUN_TS]) == 0
+    from lakeshore.plans import storage
+    assert storage.read_current(spark, f"{scratch}/wh/fact_events").count() == 4
