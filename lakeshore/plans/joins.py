@@ -13,13 +13,20 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_KEPT: list[DataFrame] = []
+
+
 def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``small`` only after counting it; above the bound return it
     unchanged so the planner falls back to a shuffle join (AQE then handles
-    skew and may still convert it at run time)."""
+    skew and may still convert it at run time).
+
+    The counted side stays cached for the join that follows; long-running
+    processes call :func:`release_checked` once the results are written."""
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
     if n <= max_rows:
+        _KEPT.append(kept)
         return F.broadcast(kept)
     # Too large to broadcast - and too large to keep cached: drop the cache
     # and let the join shuffle (AQE splits skewed partitions).
@@ -38,4 +45,13 @@ def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     return big.join(sized_broadcast(small, max_rows), on, how)
 
 
-__all__ = ["sized_broadcast", "lookup_join", "DEFAULT_BROADCAST_ROWS"]
+def release_checked() -> int:
+    """Drop the caches kept by :func:`sized_broadcast` (after the results that
+    use them are written). Returns how many were released."""
+    n = len(_KEPT)
+    while _KEPT:
+        _KEPT.pop().unpersist()
+    return n
+
+
+__all__ = ["sized_broadcast", "lookup_join", "release_checked", "DEFAULT_BROADCAST_ROWS"]
