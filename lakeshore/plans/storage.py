@@ -145,12 +145,19 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
     # merge: keep it (spillable) for the duration of this call.
     src = source.withColumn(partition_col, partition_expr).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = [r[0] for r in src.select(partition_col).distinct().collect()]
+        args = dict(upsert_args)
+        if args.get("on_duplicate", "error") == "error":
+            # One aggregation gives the touched days and the key check
+            # (the partition value is a function of the keys, e.g. ts -> day).
+            touched = _touched_and_checked(src, list(keys), partition_col)
+            args["on_duplicate"] = "trust"
+        else:
+            touched = [r[0] for r in src.select(partition_col).distinct().collect()]
         if not touched:
             return []
         target = table.where(F.col(partition_col).isin(touched))
         merged = upsert(target, src.select(*[c for c in src.columns if c in schema.fieldNames()]),
-                        keys, **upsert_args)
+                        keys, **args)
         if checks is not None:
             stage = scratch_dir(spark, "stage")
             merged.hint("rebalance", partition_col).write.mode("overwrite") \
@@ -167,5 +174,23 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
         src.unpersist()
 
 
+def _touched_and_checked(src: DataFrame, keys: list, partition_col: str) -> list:
+    """Touched partition values of a batch, raising on duplicate or NULL keys
+    (one row per touched partition reaches the driver)."""
+    from lakeshore.operators.upsert import DuplicateKeyError, NullKeyError
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    per_key = src.groupBy(*keys, partition_col).agg(F.count(F.lit(1)).alias("_n"),
+                                                     F.max(null_key).alias("_null"))
+    per_part = per_key.groupBy(partition_col).agg(F.max("_n").alias("_maxn"), F.max("_null").alias("_null"))
+    rows = per_part.collect()
+    if any(r["_null"] for r in rows):
+        raise NullKeyError(f"batch has a NULL key in {keys}")
+    if any(r["_maxn"] > 1 for r in rows):
+        raise DuplicateKeyError(f"batch has duplicate keys in {keys}")
+    return [r[partition_col] for r in rows]
+
+
 __all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "replace_table",
            "publish", "ensure_table", "upsert_partitions"]

@@ -212,3 +212,13 @@ def test_refresh_model_checks_and_rerun(spark, scratch):
     assert out2["reconciliation"].first().reconciled
     from lakeshore.plans import storage
     assert storage.read_current(spark, f"{scratch}/dim_date").count() == 2
+
+
+def test_partition_upsert_rejects_duplicate_batch(spark, scratch):
+    from lakeshore.functions.scalar import ts_date
+    from lakeshore.operators.upsert import DuplicateKeyError
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    df = _weather(spark)
+    with pytest.raises(DuplicateKeyError):
+        storage.upsert_partitions(spark, scratch, RAW_WEATHER_STORED, df.unionByName(df.limit(1)),
+                                  ["location_id", "ts"], "date", ts_date("ts"))
