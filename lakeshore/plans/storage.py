@@ -166,9 +166,13 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
             gate(checks(merged), what=f"upsert into {path}")
         # rebalance: AQE packs each day into a few right-sized files and
         # splits a hot day over several tasks, instead of every join task
-        # writing a small file into every touched day.
-        merged.select(*schema.fieldNames()).hint("rebalance", partition_col).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+        # writing a small file into every touched day. Files are sorted by
+        # the keys, so parquet min/max statistics skip row groups for key
+        # filters (the role indexes play in the reference's database).
+        (merged.select(*schema.fieldNames()).hint("rebalance", partition_col)
+               .sortWithinPartitions(partition_col, *keys)
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(partition_col).parquet(path))
         return touched
     finally:
         src.unpersist()

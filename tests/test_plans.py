@@ -79,3 +79,18 @@ def test_day_filter_is_a_pushed_range(spark, scratch):
     p = plan(df)
     assert "GreaterThanOrEqual(ts,2024-01-02T00:00)" in p and "LessThan(ts,2024-01-03T00:00)" in p
     assert df.count() == 24
+
+
+def test_stored_fact_files_are_sorted_by_key(spark, scratch):
+    import pyarrow.parquet as pq
+    import glob as g
+    from lakeshore.functions.scalar import ts_date
+    from lakeshore.plans import storage
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    from lakeshore.session import local_path
+    raw = E.queries()["fact_hourly_upsert"](spark, SF)
+    storage.upsert_partitions(spark, scratch, RAW_WEATHER_STORED, raw, ["location_id", "ts"], "date",
+                              ts_date("ts"), update_cols=["temperature_2m"])
+    for f in g.glob(local_path(scratch) + "/date=*/*.parquet"):
+        ids = pq.read_table(f, columns=["location_id"]).column(0).to_pylist()
+        assert ids == sorted(ids)
