@@ -144,7 +144,7 @@ def test_daily_flow_exports_and_loads(spark, scratch):
                                        "hourly": {"time": times, "temperature_2m": [1.0] * 168,
                                                   "precipitation": [0.0] * 168, "windspeed_10m": [3.0] * 168}})
     cfg = FlowConfig(root=f"{scratch}/wh", landing=landing, run_ts="2026-03-01 05:00:00", as_of="2026-03-01",
-                     multiline_payloads=True)
+                     multiline_payloads=True, expected_rows=168)
     summary = {r.location_id: r for r in run_daily_flow(spark, cfg).collect()}
     assert {k: (r.status, r.row_count, r.rows_exported, r.rows_loaded) for k, r in summary.items()} == {
         1: ("SUCCESS", 168, 24, 24), 2: ("SUCCESS", 168, 24, 24)}
