@@ -56,7 +56,7 @@ def main() -> None:
     head = open(path).read().split("## Own measurements")[0]
     own = f"""## Own measurements
 
-`bench.py` at sf{d['sf']} (`/root/testdata/sf{d['sf']}`) on `local[{d['cpus']}]`, PySpark 4.1.2, AQE on,
+`bench.py` at sf{d['sf']} (`$BENCH_SF_DIR`) on `local[{d['cpus']}]`, PySpark 4.1.2, AQE on,
 {d['cpus'] * 2} shuffle partitions. Each query runs in full through the no-op sink after one
 untimed warm-up query; file and stream queries include their writes and stream triggers. The
 reference publishes no timings to compare against (see above).
