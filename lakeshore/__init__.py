@@ -6,8 +6,13 @@ Sub-packages:
   operators  - dedup, upsert, quality gates, star-schema model, audit,
                incremental windows, marts
   plans      - storage (snapshots, publish), export, size-checked joins,
-               the end-to-end daily flow
+               views, the people/events build, the model refresh and the
+               end-to-end daily flow
   streaming  - exactly-once file loads and streaming upserts
+
+Top-level modules: session (settings, scratch folders), schemas (declared
+table schemas), fixed (values that must equal the reference's), registry
+and oracle (the registered queries and their DuckDB SQL).
 """
 
-__all__ = ["session"]
+__all__ = ["fixed", "schemas", "session"]
