@@ -39,4 +39,21 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-__all__ = ["STG_WEATHER_HOURLY", "DAILY_AVG_SQL", "register_views", "plan_text"]
+def explain_analyze(df: DataFrame, name: str = "analyze") -> dict:
+    """EXPLAIN ANALYZE counterpart: run the query in full (no-op sink, no
+    collect) with an ``Observation`` counting its output rows, and return the
+    executed plan, the row count and the elapsed seconds."""
+    import time
+
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    obs = Observation(name)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    t0 = time.perf_counter()
+    observed.write.format("noop").mode("overwrite").save()
+    elapsed = time.perf_counter() - t0
+    return {"rows": obs.get["rows"], "seconds": round(elapsed, 3),
+            "plan": plan_text(observed, "formatted")}
+
+
+__all__ = ["STG_WEATHER_HOURLY", "DAILY_AVG_SQL", "register_views", "plan_text", "explain_analyze"]

@@ -94,3 +94,11 @@ def test_stored_fact_files_are_sorted_by_key(spark, scratch):
     for f in g.glob(local_path(scratch) + "/date=*/*.parquet"):
         ids = pq.read_table(f, columns=["location_id"]).column(0).to_pylist()
         assert ids == sorted(ids)
+
+
+def test_explain_analyze_counts_rows(spark):
+    from lakeshore.plans.views import explain_analyze
+    res = explain_analyze(E.queries()["duplicate_grain"](spark, SF))
+    want = E.queries()["duplicate_grain"](spark, SF).count()
+    assert res["rows"] == want and res["seconds"] >= 0
+    assert "HashAggregate" in res["plan"]
