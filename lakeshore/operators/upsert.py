@@ -39,19 +39,30 @@ def dedup_source(source: DataFrame, keys: Sequence[str], on_duplicate: str = "er
             raise ValueError("on_duplicate='last' needs order_by")
         return latest_per_key(source, keys, order_by)
     if on_duplicate == "error":
-        null_key = F.lit(False)
-        for k in keys:
-            null_key = null_key | F.col(k).isNull()
-        bad = source.groupBy(*keys).count().where((F.col("count") > 1) | null_key).limit(1).collect()
-        if bad:
-            row = bad[0].asDict()
-            if any(row[k] is None for k in keys):
-                raise NullKeyError(f"source has a NULL key {row}")
-            raise DuplicateKeyError(f"source has duplicate key {row}")
+        check_keys(source, keys)
         return source
     raise ValueError(on_duplicate)
 
 
+def check_keys(source: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> list:
+    """Raise on NULL or repeated keys; one aggregation over the keys (partial
+    per task, so a hot key costs one row per task). Returns one row per
+    ``by`` group (e.g. the touched days of a batch) with ``_rows`` and
+    ``_max_per_key``."""
+    keys, by = list(keys), [c for c in by if c not in keys]
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    per_key = source.groupBy(*keys, *by).agg(F.count(F.lit(1)).alias("_n"), F.max(null_key).alias("_null"))
+    rows = per_key.groupBy(*by).agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_max_per_key"),
+                                    F.max("_null").alias("_null")).collect()
+    if any(r["_null"] for r in rows):
+        raise NullKeyError(f"source has a NULL key in {keys}")
+    if any(r["_max_per_key"] is not None and r["_max_per_key"] > 1 for r in rows):
+        raise DuplicateKeyError(f"source has duplicate keys in {keys}")
+    return rows
+
+
 def _tagged_join(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_t"))
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s"))
@@ -161,5 +172,5 @@ def _one_name_per_key(incoming: DataFrame, natural_key, name_col) -> DataFrame:
     return incoming.where(cond).groupBy(*natural_key).agg(F.max(name_col).alias(name_col))
 
 
-__all__ = ["DuplicateKeyError", "NullKeyError", "dedup_source", "upsert", "upsert_counts", "insert_missing",
+__all__ = ["DuplicateKeyError", "NullKeyError", "dedup_source", "check_keys", "upsert", "upsert_counts", "insert_missing",
            "resolve_locations"]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshore.operators.quality import gate
-from lakeshore.operators.upsert import upsert
+from lakeshore.operators.upsert import check_keys, upsert
 from lakeshore.session import scratch_dir
 
 COMMITS = "_commits"
@@ -181,19 +181,7 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
 def _touched_and_checked(src: DataFrame, keys: list, partition_col: str) -> list:
     """Touched partition values of a batch, raising on duplicate or NULL keys
     (one row per touched partition reaches the driver)."""
-    from lakeshore.operators.upsert import DuplicateKeyError, NullKeyError
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    per_key = src.groupBy(*keys, partition_col).agg(F.count(F.lit(1)).alias("_n"),
-                                                     F.max(null_key).alias("_null"))
-    per_part = per_key.groupBy(partition_col).agg(F.max("_n").alias("_maxn"), F.max("_null").alias("_null"))
-    rows = per_part.collect()
-    if any(r["_null"] for r in rows):
-        raise NullKeyError(f"batch has a NULL key in {keys}")
-    if any(r["_maxn"] > 1 for r in rows):
-        raise DuplicateKeyError(f"batch has duplicate keys in {keys}")
-    return [r[partition_col] for r in rows]
+    return [r[partition_col] for r in check_keys(src, keys, by=[partition_col])]
 
 
 __all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "replace_table",
