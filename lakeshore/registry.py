@@ -619,7 +619,26 @@ def model_refresh_build(spark, sf):
     return out["daily_avg"]
 
 
+def stream_payload_upsert(spark, sf):
+    """Two drops of landed payload documents (early days, then later days
+    with changed measures) streamed into the raw table; run id = batch."""
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    from lakeshore.session import scratch_dir
+    from lakeshore.sources import payloads
+    from lakeshore.streaming.upsert_stream import stream_payload_upsert as run
+    landing, table, ck = (scratch_dir(spark, n) for n in ("landing", "raw_weather", "ckpt"))
+    dim = SI.locations(spark, sf)
+    target, src = _split(spark, sf)
+    payloads.fold_payloads(target, dim).write.mode("append").json(landing)
+    run(spark, landing, table, ck, dim, RUN_TS)
+    payloads.fold_payloads(src, dim).write.mode("append").json(landing)
+    run(spark, landing, table, ck, dim, RUN_TS2)
+    return spark.read.schema(RAW_WEATHER_STORED).parquet(table) \
+        .select("location_id", "ts", "temperature_2m", "precipitation", "windspeed_10m", "run_id")
+
+
 QUERIES.update({
+    "stream_payload_upsert": stream_payload_upsert,
     "model_refresh_build": model_refresh_build,
     "people_mart_build": people_mart_build,
     "reexport_load_by_key": reexport_load_by_key,

@@ -19,7 +19,8 @@ from lakeshore.plans.storage import upsert_partitions
 def stream_upsert(spark: SparkSession, src: str, table_path: str, checkpoint: str,
                   source_schema: T.StructType, table_schema: T.StructType, keys: Sequence[str],
                   partition_col: str, partition_expr: Column, fmt: str = "json",
-                  defaults: dict | None = None, **upsert_args) -> int:
+                  defaults: dict | None = None, max_files_per_trigger: int | None = None,
+                  **upsert_args) -> int:
     """Run ``availableNow`` over the landed files in ``src``; returns batches."""
     defaults = defaults or {}
 
@@ -30,7 +31,10 @@ def stream_upsert(spark: SparkSession, src: str, table_path: str, checkpoint: st
         upsert_partitions(spark, table_path, table_schema, batch, keys, partition_col,
                           partition_expr, **upsert_args)
 
-    stream = spark.readStream.schema(source_schema).format(fmt).load(src)
+    reader = spark.readStream.schema(source_schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.load(src)
     q = (stream.writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
@@ -39,4 +43,36 @@ def stream_upsert(spark: SparkSession, src: str, table_path: str, checkpoint: st
     return len(q.recentProgress)
 
 
-__all__ = ["stream_upsert"]
+def stream_payload_upsert(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                          dim_location: DataFrame, run_ts, run_id_base: int = 0,
+                          multiline: bool = False, max_files_per_trigger: int | None = None) -> int:
+    """The incremental loader as a stream over landed payload documents:
+    explode the parallel arrays, map coordinates to location ids, tag the
+    batch's run id (``run_id_base + batch_id + 1``) and upsert by
+    (location_id, ts) into the day-partitioned raw table. Replaying a batch
+    rewrites the same rows with the same run id."""
+    from lakeshore.fixed import DEFAULT_WEATHER_SOURCE, HOURLY_VARS
+    from lakeshore.functions.scalar import ntz, ts_date
+    from lakeshore.schemas import PAYLOAD, RAW_WEATHER_STORED
+    from lakeshore.sources.payloads import explode_with_ids
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = explode_with_ids(batch, dim_location).select(
+            "location_id", "ts", *HOURLY_VARS, F.lit(run_id_base + batch_id + 1).cast("bigint").alias("run_id"))
+        upsert_partitions(spark, table_path, RAW_WEATHER_STORED, rows, ["location_id", "ts"], "date",
+                          ts_date("ts"), update_cols=[*HOURLY_VARS, "run_id"],
+                          insert_defaults={"source": DEFAULT_WEATHER_SOURCE, "ingested_at": ntz(run_ts)},
+                          touch={"ingested_at": ntz(run_ts)})
+
+    reader = spark.readStream.schema(PAYLOAD).option("multiLine", multiline)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (reader.json(landing).writeStream.foreachBatch(apply)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    return len(q.recentProgress)
+
+
+__all__ = ["stream_upsert", "stream_payload_upsert"]

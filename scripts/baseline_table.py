@@ -33,6 +33,7 @@ GROUPS = {
     "Files and streams (K1, K5-K8, S5-S7, I5-I9)": [
         "export_roundtrip", "load_new_files", "load_report", "reexport_load_by_key",
         "export_with_empty_location", "full_refresh_with_defaults", "publish_rollback", "stream_upsert",
+        "stream_payload_upsert",
         "multi_location_load", "daily_flow"],
 }
 
