@@ -637,7 +637,25 @@ def stream_payload_upsert(spark, sf):
         .select("location_id", "ts", "temperature_2m", "precipitation", "windspeed_10m", "run_id")
 
 
+def daily_flow_incremental(spark, sf):
+    """Two daily runs a week apart on the same landed payloads: the second
+    run's windows start at each location's high-water mark; locations whose
+    first load failed start over. Summary of the second run."""
+    from lakeshore.plans.flow import FlowConfig, run_daily_flow
+    from lakeshore.sources import payloads
+    from lakeshore.session import scratch_dir
+    root = scratch_dir(spark, "warehouse")
+    landing = f"{root}/landing"
+    payloads.fold_payloads(_raw_weather(spark, sf), SI.locations(spark, sf)) \
+        .write.mode("overwrite").json(landing)
+    for run_ts, as_of in (("2024-01-01 05:00:00", "2024-01-01"), ("2024-01-08 05:00:00", "2024-01-08")):
+        cfg = FlowConfig(root=root, landing=landing, run_ts=run_ts, as_of=as_of, raise_on_qc_failure=False)
+        summary = run_daily_flow(spark, cfg)
+    return summary
+
+
 QUERIES.update({
+    "daily_flow_incremental": daily_flow_incremental,
     "stream_payload_upsert": stream_payload_upsert,
     "model_refresh_build": model_refresh_build,
     "people_mart_build": people_mart_build,

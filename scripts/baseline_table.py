@@ -34,7 +34,7 @@ GROUPS = {
         "export_roundtrip", "load_new_files", "load_report", "reexport_load_by_key",
         "export_with_empty_location", "full_refresh_with_defaults", "publish_rollback", "stream_upsert",
         "stream_payload_upsert",
-        "multi_location_load", "daily_flow"],
+        "multi_location_load", "daily_flow", "daily_flow_incremental"],
 }
 
 
