@@ -322,6 +322,13 @@ def qc_runs_report(spark, sf):
                            QC_WINDOW_HOURS, pipeline_name=SI.PIPELINE_NAME)
 
 
+def qc_latest_run(spark, sf):
+    """Post-load QC of only the newest run in the window (the reference's
+    single-run check)."""
+    return quality.qc_runs(SI.runs(spark, sf), SI.hourly(spark, sf), QC_WINDOW_START,
+                           QC_WINDOW_HOURS, pipeline_name=SI.PIPELINE_NAME, latest_only=True)
+
+
 def latest_day_per_location(spark, sf):
     return marts.latest_day_rows(_raw_weather(spark, sf), SI.locations(spark, sf))
 
@@ -441,6 +448,7 @@ QUERIES = {
     "recent_runs": recent_runs,
     "latest_run_rows": latest_run_rows,
     "qc_runs_report": qc_runs_report,
+    "qc_latest_run": qc_latest_run,
     "latest_day_per_location": latest_day_per_location,
     "rows_per_run": rows_per_run,
     "filtered_slice": filtered_slice,

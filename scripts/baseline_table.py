@@ -28,7 +28,7 @@ GROUPS = {
     "Marts and run log (M4-M10, K9, Q9, I1-I4)": [
         "mart_daily_avg", "mart_daily_sum", "mart_top5_per_location", "mart_daily_avg_sql",
         "watermark_per_location", "fetch_windows", "windowed_rows", "run_state_latest", "recent_runs",
-        "latest_run_rows", "qc_runs_report", "latest_day_per_location", "rows_per_run", "filtered_slice",
+        "latest_run_rows", "qc_runs_report", "qc_latest_run", "latest_day_per_location", "rows_per_run", "filtered_slice",
         "location_labels", "run_params_json", "date_arithmetic", "label_lookup_left", "payload_explode"],
     "Files and streams (K1, K5-K8, S5-S7, I5-I9)": [
         "export_roundtrip", "load_new_files", "load_report", "reexport_load_by_key",
