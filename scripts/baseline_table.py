@@ -64,8 +64,8 @@ reference publishes no timings to compare against (see above).
 
 {chr(10).join(rows)}
 
-Run-to-run spread on this VM is about +-15%: the same 67 queries measured 179 s, 191 s and
-223 s in three runs. At this scale, times are dominated by per-job scheduling: sf0.01 and sf0.1
+Run-to-run spread on this VM is about +-15%: an earlier 67-query set measured 179 s, 191 s
+and 223 s in three runs of the same code. At this scale, times are dominated by per-job scheduling: sf0.01 and sf0.1
 take about the same total. Each size-checked broadcast adds one small counting job on purpose: at 100 TB that job
 replaces a shuffle of the whole fact on a few city keys. The heaviest entries (`daily_flow`,
 `stream_upsert`, `multi_location_load`, the loads) run several dependent Spark jobs each: writes,
