@@ -5,27 +5,51 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast side must fit comfortably in every executor; rows, not bytes,
-# are checked because the small sides here are narrow (keys + a label).
+# A broadcast side must fit comfortably in the driver (which builds it) and
+# in every executor: both its row count and its size in bytes are checked.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType,
+                T.NullType, T.DayTimeIntervalType, T.YearMonthIntervalType)
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    """Upper estimate of one row's in-memory size: an 8-byte slot per field
+    plus the null bits, and the bytes of every variable-length value (long
+    decimals and nested values measured through their text form)."""
+    size = F.lit(8 * len(schema.fields) + 8 * (len(schema.fields) // 64 + 1)).cast("long")
+    for f in schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(t, T.DecimalType) and t.precision > 18:
+            size = size + 16
+        elif not isinstance(t, _FIXED_WIDTH):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return size
 
 
 _KEPT: list[DataFrame] = []
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after counting it; above the bound return it
-    unchanged so the planner falls back to a shuffle join (AQE then handles
-    skew and may still convert it at run time).
+def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``small`` only after measuring it; above either bound return
+    it unchanged so the planner falls back to a shuffle join (AQE then
+    handles skew and may still convert it at run time).
 
-    The counted side stays cached for the join that follows; long-running
+    Rows and bytes are measured in one aggregation over the persisted side.
+    The measured side stays cached for the join that follows; long-running
     processes call :func:`release_checked` once the results are written."""
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
-    if n <= max_rows:
+    n, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(kept.schema))).first()
+    if n <= max_rows and (size or 0) <= max_bytes:
         _KEPT.append(kept)
         return F.broadcast(kept)
     # Too large to broadcast - and too large to keep cached: drop the cache
@@ -35,14 +59,15 @@ def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = DEFAULT_BROADCAST_ROWS,
+                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join a large fact to a dimension-sized frame with a checked broadcast.
 
     A few keys (cities, dates) may carry most of the fact rows; a shuffle join
     on such keys would put each in one task, a broadcast hash join never
     shuffles the fact at all.
     """
-    return big.join(sized_broadcast(small, max_rows), on, how)
+    return big.join(sized_broadcast(small, max_rows, max_bytes), on, how)
 
 
 def release_checked() -> int:
@@ -54,4 +79,5 @@ def release_checked() -> int:
     return n
 
 
-__all__ = ["sized_broadcast", "lookup_join", "release_checked", "DEFAULT_BROADCAST_ROWS"]
+__all__ = ["sized_broadcast", "lookup_join", "release_checked", "DEFAULT_BROADCAST_ROWS",
+           "DEFAULT_BROADCAST_BYTES"]

@@ -114,6 +114,27 @@ def test_sized_broadcast_falls_back_to_shuffle(spark):
     assert "SortMergeJoin" in over
 
 
+def test_sized_broadcast_checks_bytes(spark):
+    # few rows but wide values: the byte bound, not the row bound, decides
+    from lakeshore.plans.joins import _row_bytes, sized_broadcast
+    small = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("label"))
+    size = small.agg(F.sum(_row_bytes(small.schema))).first()[0]
+    assert 10 * 1000 < size < 10 * 1100
+    big = spark.range(1000).select((F.col("id") % 10).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ok = big.join(sized_broadcast(small, max_rows=100, max_bytes=1 << 20), "k") \
+            ._jdf.queryExecution().executedPlan().toString()
+        over = big.join(sized_broadcast(small, max_rows=100, max_bytes=5000), "k") \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in ok
+    assert "SortMergeJoin" in over
+
+
 def test_hot_key_is_combined_before_shuffle(spark):
     # one key holds a third of all rows: the partial aggregate must reduce it
     # to one row per task before the exchange
