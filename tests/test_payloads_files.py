@@ -222,3 +222,26 @@ def test_partition_upsert_rejects_duplicate_batch(spark, scratch):
     with pytest.raises(DuplicateKeyError):
         storage.upsert_partitions(spark, scratch, RAW_WEATHER_STORED, df.unionByName(df.limit(1)),
                                   ["location_id", "ts"], "date", ts_date("ts"))
+
+
+def test_export_spreads_a_hot_city_day_over_tasks(spark, scratch):
+    # each city-day here holds half of all rows: salting must hand it to
+    # several writer tasks, the per-file cap must hold, and no row is lost
+    from lakeshore.plans.export import export_rows, write_partitioned_csv
+    out = f"{scratch}/export-hot"
+    rows = export_rows(_weather(spark), _dim(spark))
+    # AQE stays on (without it Spark drops the rebalance); only the merging
+    # of small partitions is off, so the salted shuffle is visible at this size
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_partitioned_csv(rows, out, files_per_partition=4, max_records_per_file=5)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = os.path.join(local_path(out), "dt=2026-02-24", "city=Chicago_IL")
+    files = [f for f in os.listdir(hot) if f.startswith("part-")]
+    tasks = {f.split("-")[1] for f in files}
+    assert len(tasks) > 1
+    for f in files:
+        with open(os.path.join(hot, f)) as fh:
+            assert len(fh.read().splitlines()) - 1 <= 5      # minus the header
+    assert read_landed_csv(spark, out).count() == 48
