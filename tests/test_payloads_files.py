@@ -245,3 +245,38 @@ def test_export_spreads_a_hot_city_day_over_tasks(spark, scratch):
         with open(os.path.join(hot, f)) as fh:
             assert len(fh.read().splitlines()) - 1 <= 5      # minus the header
     assert read_landed_csv(spark, out).count() == 48
+
+
+def test_partition_upsert_splits_a_hot_day_over_tasks(spark, scratch):
+    # 2026-02-24 holds two thirds of the batch: AQE splits its rebalance
+    # partition over several writer tasks; every row is written once
+    from lakeshore.functions.scalar import ts_date
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    n = spark.range(6000)
+    hot = F.col("id") < 4000
+    df = n.select((F.col("id") % 500).alias("location_id"),
+                  (F.when(hot, F.lit("2026-02-24").cast("timestamp_ntz"))
+                    .otherwise(F.lit("2026-02-25").cast("timestamp_ntz"))
+                   + F.make_dt_interval(F.lit(0), (F.when(hot, F.col("id")).otherwise(F.col("id") - 4000)
+                                                   / 500).cast("int"))).alias("ts"),
+                  *[F.lit(1.5).cast("decimal(18,6)").alias(c) for c in
+                    ["temperature_2m", "precipitation", "windspeed_10m"]],
+                  F.lit("open-meteo").alias("source"),
+                  F.lit("2026-03-01 05:00:00").cast("timestamp_ntz").alias("ingested_at"),
+                  F.lit(1).cast("long").alias("run_id"))
+    # a tiny target size stands in for a day far above it; merging of small
+    # partitions is off so the map side keeps several tasks, as at scale
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        touched = storage.upsert_partitions(spark, scratch, RAW_WEATHER_STORED, df, ["location_id", "ts"],
+                                            "date", ts_date("ts"), on_duplicate="error")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(str(t) for t in touched) == ["2026-02-24", "2026-02-25"]
+    files = [f for f in os.listdir(os.path.join(local_path(scratch), "date=2026-02-24")) if f.startswith("part-")]
+    assert len({f.split("-")[1] for f in files}) > 1
+    t = spark.read.parquet(scratch)
+    assert t.count() == 6000 and t.where("date = '2026-02-24'").count() == 4000
+    assert t.groupBy("location_id", "ts").count().where("count > 1").count() == 0
