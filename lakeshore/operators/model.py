@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.functions.scalar import date_key, ntz, ts_date
 from lakeshore.operators.keys import desc, latest_per_key
-from lakeshore.plans.joins import lookup_join, sized_broadcast
+from lakeshore.plans.joins import lookup_join, measured_side
 
 # Key-only sides are narrow; this many keys still broadcast comfortably.
 KEY_BROADCAST_ROWS = 1_000_000
@@ -31,18 +31,33 @@ def build_dim_people(stg: DataFrame, raw: DataFrame, run_ts) -> DataFrame:
     )
 
 
-def lookup_flag(fact: DataFrame, dim: DataFrame, key: str, flag: str) -> DataFrame:
+def lookup_flag(fact: DataFrame, dim: DataFrame, key: str, flag: str,
+                max_rows: int = KEY_BROADCAST_ROWS) -> DataFrame:
     """fact LEFT JOIN dim ON key, flag = (dim.key IS NOT NULL).
 
     The dimension key must be unique (checked by ``unique_report``) or the
-    join would multiply facts. NULL keys match nothing -> false. A hot key on
-    the fact side is split by AQE's skew-join handling (left outer join,
-    fact on the left). A key set of checked size is broadcast instead, so
-    the fact is not shuffled at all."""
+    join would multiply facts. NULL keys match nothing -> false. A key set of
+    checked size is broadcast, so the fact is not shuffled at all. Above the
+    bound the join shuffles: a hot key is split by AQE's skew-join handling
+    (left outer, fact on the left), and fact rows with a NULL key - which
+    would all hash to one task - are spread by a second join column: the
+    hash of the key itself for a real key (on both sides, in the fact key's
+    type, so it is equal exactly when the keys are) and a hash of the whole
+    row for a NULL key. It is no constant, so Catalyst keeps it a shuffle
+    key; it is deterministic, so a retried task sends each row to the same
+    place."""
     keys = dim.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()) \
         .withColumn(flag, F.lit(True))
-    keys = sized_broadcast(keys, max_rows=KEY_BROADCAST_ROWS)
-    j = fact.join(keys, fact[key] == keys["_k"], "left").drop("_k")
+    keys, fits = measured_side(keys, max_rows=max_rows)
+    if fits:
+        j = fact.join(F.broadcast(keys), fact[key] == keys["_k"], "left").drop("_k")
+    else:
+        key_type = fact.schema[key].dataType
+        spread = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in fact.columns])) \
+            .otherwise(F.xxhash64(F.col(key)))
+        f = fact.withColumn("_ns", spread)
+        k = keys.withColumn("_nk", F.xxhash64(F.col("_k").cast(key_type)))
+        j = f.join(k, (f[key] == k["_k"]) & (f["_ns"] == k["_nk"]), "left").drop("_k", "_ns", "_nk")
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -47,15 +47,23 @@ def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     Rows and bytes are measured in one aggregation over the persisted side.
     The measured side stays cached for the join that follows; long-running
     processes call :func:`release_checked` once the results are written."""
+    side, fits = measured_side(small, max_rows, max_bytes)
+    return F.broadcast(side) if fits else side
+
+
+def measured_side(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                  max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """(side, fits): the persisted side and True under both bounds, else the
+    unpersisted side and False (for callers that shape a shuffle join)."""
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)
     n, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(kept.schema))).first()
     if n <= max_rows and (size or 0) <= max_bytes:
         _KEPT.append(kept)
-        return F.broadcast(kept)
+        return kept, True
     # Too large to broadcast - and too large to keep cached: drop the cache
     # and let the join shuffle (AQE splits skewed partitions).
     kept.unpersist()
-    return small
+    return small, False
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",
@@ -79,5 +87,5 @@ def release_checked() -> int:
     return n
 
 
-__all__ = ["sized_broadcast", "lookup_join", "release_checked", "DEFAULT_BROADCAST_ROWS",
+__all__ = ["sized_broadcast", "measured_side", "lookup_join", "release_checked", "DEFAULT_BROADCAST_ROWS",
            "DEFAULT_BROADCAST_BYTES"]

@@ -201,3 +201,29 @@ def test_upsert_rejects_null_keys(spark):
     s = spark.createDataFrame([(None, 5)], "k int, v int")
     with pytest.raises(upsert.NullKeyError):
         upsert.upsert(t, s, ["k"])
+
+
+def test_lookup_flag_spreads_null_keys_over_the_bound(spark):
+    # a third of the fact has a NULL key; above the broadcast bound the join
+    # shuffles, and the NULL rows must not all land in one task
+    from lakeshore.operators.model import lookup_flag
+    fact = spark.range(3000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 50).cast("string")).alias("email"))
+    dim = spark.range(0, 50, 2).select(F.col("id").cast("string").alias("email"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shuffled = lookup_flag(fact, dim, "email", "known", max_rows=5)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        nulls = shuffled.where(F.col("email").isNull()) \
+            .select(F.spark_partition_id().alias("p")).distinct().count()
+        got = sorted((r.event_id, r.known) for r in shuffled.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    want = sorted((r.event_id, r.known) for r in lookup_flag(fact, dim, "email", "known").collect())
+    assert "SortMergeJoin" in plan
+    assert nulls > 1
+    assert got == want and len(got) == 3000
+    assert sum(k for _, k in got) == sum(1 for i in range(3000) if i % 3 and (i % 50) % 2 == 0)
