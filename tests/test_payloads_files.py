@@ -280,3 +280,26 @@ def test_partition_upsert_splits_a_hot_day_over_tasks(spark, scratch):
     t = spark.read.parquet(scratch)
     assert t.count() == 6000 and t.where("date = '2026-02-24'").count() == 4000
     assert t.groupBy("location_id", "ts").count().where("count > 1").count() == 0
+
+
+def test_daily_flow_error_closes_runs_as_failed(spark, scratch):
+    # the same city landed twice: duplicate (location_id, ts) keys make the
+    # upsert raise; the open run must be closed FAILED and the error re-raised
+    from lakeshore.operators.audit import runs_state
+    from lakeshore.operators.upsert import DuplicateKeyError
+    from lakeshore.plans.flow import FlowConfig, run_daily_flow
+    from lakeshore.schemas import RUN_EVENTS
+    landing = f"{scratch}/landing"
+    times = [f"2026-03-01T{h:02d}:00" for h in range(24)]
+    for i in range(2):
+        _write(landing, f"p{i}.json", {"latitude": 41.8781, "longitude": -87.6298, "location_name": "Chicago, IL",
+                                       "hourly": {"time": times, "temperature_2m": [1.0] * 24,
+                                                  "precipitation": [0.0] * 24, "windspeed_10m": [3.0] * 24}})
+    cfg = FlowConfig(root=f"{scratch}/wh", landing=landing, run_ts="2026-03-01 05:00:00", as_of="2026-03-01",
+                     multiline_payloads=True)
+    with pytest.raises(DuplicateKeyError):
+        run_daily_flow(spark, cfg)
+    state = runs_state(spark.read.schema(RUN_EVENTS).parquet(cfg.path("run_events"))).collect()
+    assert len(state) == 1
+    assert state[0].status == "FAILED" and state[0].finished_at is not None
+    assert state[0].error_message.startswith("DuplicateKeyError")
