@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshore.session import scratch_dir
@@ -73,3 +73,22 @@ def tokenizer_bytes(path: str) -> bytes:
 def hex64(bits: Column) -> Column:
     """16 lowercase hex digits of a long's 64 bits."""
     return F.lpad(F.lower(F.hex(bits)), 16, "0")
+
+
+# Stands for a null doc_id inside operators: such documents order last.
+NULL_ID = (1 << 63) - 1
+
+
+def keyed_text(docs: DataFrame) -> DataFrame:
+    """doc_id, text, ``id`` (doc_id, null as NULL_ID) and ``copy``: 0, or where
+    one doc_id has several different texts, the rank of this row's text (by
+    hash) among them. Equal (id, copy) means the same document repeated."""
+    base = doc_text(docs).withColumn("id", F.coalesce("doc_id", F.lit(NULL_ID)))
+    texts = base.select("id", F.xxhash64("text").alias("text_hash")).distinct()
+    many = saved(texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "repeated-ids")
+    if many.isEmpty():
+        return base.withColumn("copy", F.lit(0))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("text_hash")) - 1
+    ranked = texts.join(many, "id").withColumn("copy", rank.cast("int"))
+    return (base.withColumn("text_hash", F.xxhash64("text")).join(ranked, ["id", "text_hash"], "left")
+            .select("doc_id", "text", "id", F.coalesce("copy", F.lit(0)).alias("copy")))
