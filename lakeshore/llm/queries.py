@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.llm import bpe, line_crf, packing, simhash, substring, token_files
+from lakeshore.llm import bpe, line_crf, nearest, nn_descent, packing, simhash, substring, token_files
 from lakeshore.llm.common import table, tokenizer_bytes
 from lakeshore.session import scratch_dir
 
@@ -17,6 +17,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20).select(
+        "query_id", "rank", "vec_id", "score")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = line_crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -27,6 +33,10 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = tokenizer_bytes(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, end_id=1)
@@ -44,6 +54,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.byte_bpe_digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op5_quality, op6_substring, op8_packing, op9_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_nearest, op5_quality, op6_substring, op7_nn_descent, op8_packing, op9_token_files, op10_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}
