@@ -80,10 +80,13 @@ NULL_ID = (1 << 63) - 1
 
 
 def keyed_text(docs: DataFrame) -> DataFrame:
-    """doc_id, text, ``id`` (doc_id, null as NULL_ID) and ``copy``: 0, or where
-    one doc_id has several different texts, the rank of this row's text (by
-    hash) among them. Equal (id, copy) means the same document repeated."""
-    base = doc_text(docs).withColumn("id", F.coalesce("doc_id", F.lit(NULL_ID)))
+    """text, ``id`` (doc_id, null as NULL_ID), ``copy``: 0, or where one doc_id
+    has several different texts, the rank of this row's text (by hash) among
+    them, and ``row``, a struct of the whole row. Equal (id, copy) means the
+    same document repeated."""
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))
     texts = base.select("id", F.xxhash64("text").alias("text_hash")).distinct()
     many = saved(texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "repeated-ids")
     if many.isEmpty():
@@ -91,4 +94,22 @@ def keyed_text(docs: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("id").orderBy("text_hash")) - 1
     ranked = texts.join(many, "id").withColumn("copy", rank.cast("int"))
     return (base.withColumn("text_hash", F.xxhash64("text")).join(ranked, ["id", "text_hash"], "left")
-            .select("doc_id", "text", "id", F.coalesce("copy", F.lit(0)).alias("copy")))
+            .select("id", "text", "row", F.coalesce("copy", F.lit(0)).alias("copy")))
+
+
+def matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs``, all columns, joined with ``keys`` (doc_id, text_hash and other
+    columns of names that begin with ``__``) on id and text, nulls equal."""
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    renamed = keys.withColumnsRenamed({"doc_id": "__key_id", "text_hash": "__key_hash"})
+    on = (F.col("doc_id").cast("long").eqNullSafe(F.col("__key_id"))) & (F.col("__hash") == F.col("__key_hash"))
+    out = docs.withColumn("__hash", text_hash).join(renamed, on, how)
+    return out.drop("__hash", "__key_id", "__key_hash")
+
+
+def with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with another text; n_chars, where there is one, follows it."""
+    columns = {"text": text}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return docs.withColumns(columns)

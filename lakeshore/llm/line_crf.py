@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeshore.llm.common import doc_text, ship
 
@@ -204,24 +205,33 @@ def held_out(doc_id):
 
 
 def classify(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMENTS) -> DataFrame:
-    """Score every whole text: doc_id, text_hash, held_out, score (0 to 1,
-    higher: good likelier), predicted (1 from THRESHOLD on).
+    """Score every whole text: doc_id, held_out, score (0 to 1, higher: good
+    likelier), predicted (1 from THRESHOLD on).
 
     Null or empty text: scored as one empty line. Null doc_id: scored, not
     held out. Repeated rows: scored alike, each kept. No labels: score 0.5.
     Empty table: no rows.
     """
-    ship(docs.sparkSession)
     model = train(docs, labels, train_documents)
+    rows = scored(doc_text(docs), model, "score")
+    return rows.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def scored(docs: DataFrame, model: Model | None, name: str) -> DataFrame:
+    """``docs``, all columns, and the score of each text in column ``name``."""
+    ship(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
+            texts = [t or "" for t in b.column("text").to_pylist()]
             scores = np.concatenate([document_scores(model, g) for g in _groups(texts)] or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(scores)],
-                                             ["doc_id", "text_hash", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], [*b.schema.names, name])
 
-    return (doc_text(docs).withColumn("text_hash", F.xxhash64("text"))
-            .mapInArrow(score, "doc_id long, text_hash long, score double")
-            .select("doc_id", "text_hash", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
-                    "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMENTS) -> DataFrame:
+    """``docs``, all columns, without the documents predicted bad."""
+    model = train(docs, labels, train_documents)
+    return scored(docs, model, "__score").where(F.col("__score") >= THRESHOLD).drop("__score")

@@ -7,11 +7,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.llm import bpe, line_crf, nearest, nn_descent, packing, simhash, substring, token_files
+from lakeshore.llm import (
+    bpe, chat_tree, line_crf, nearest, nn_descent, packing, secrets, simhash, substring, token_files)
 from lakeshore.llm.common import table, tokenizer_bytes
 from lakeshore.session import scratch_dir
 
 
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    control = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], conversations.schema)
+    nodes, paths = chat_tree.chat_tree(conversations.unionByName(control))
+    return chat_tree.conversation_digests(nodes, paths)
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    terms = secrets.dictionary(docs)
+    model = secrets.train(secrets.derived_findings(docs, terms), terms)
+    return secrets.scan(docs, model, terms).select(
+        "doc_id", F.col("at").alias("word_no"), F.col("nth").alias("value_no"), "value", "score", "is_secret")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return groups.select("doc_id", "fingerprint", "component_id")
@@ -30,7 +47,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(table(spark, sf_dir, "documents"), width=20)
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return kept.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +71,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.byte_bpe_digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_nearest, op5_quality, op6_substring, op7_nn_descent, op8_packing, op9_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op1_chat_tree, op2_secrets, op3_simhash, op4_nearest, op5_quality, op6_substring, op7_nn_descent, op8_packing,
+    op9_token_files, op10_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}

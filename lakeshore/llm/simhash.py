@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import doc_text, hex64, saved, ship
+from lakeshore.llm.common import doc_text, hex64, matched, saved, ship
 from lakeshore.llm.components import components
 
 MAX_BITS = 3
@@ -147,7 +147,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document row: doc_id, text_hash, fingerprint (16 hex
-    digits), component_id (smallest doc_id of its group).
+    digits), group (a number of the group), component_id (smallest doc_id of
+    its group).
 
     Null or empty text: fingerprint zero, linked like any other. Null doc_id:
     kept; component_id is null only where no member has a doc_id. Repeated rows
@@ -159,6 +160,21 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS)
     named = (classes.join(groups, classes["fp"] == groups["vertex"], "left")
              .select("fp", "first_id", F.coalesce("component", "fp").alias("component")))
     first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_fp = named.join(first, "component").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "text_hash", hex64(F.col("fp")).alias("fingerprint"),
+    of_fp = named.join(first, "component").select("fp", F.col("component").alias("group"), "component_id")
+    return rows.join(of_fp, "fp").select("doc_id", "text_hash", hex64(F.col("fp")).alias("fingerprint"), "group",
                                          "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs``, all columns, without all but one document of each group: the
+    one of smallest doc_id (a null after all others; ties by a hash of the
+    text; of repeated rows one)."""
+    groups = saved(simhash_groups(docs, shingle, max_bits), "groups")
+    place = F.row_number().over(Window.partitionBy("group").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash"))
+    first = groups.withColumn("place", place).where("place = 1").select("doc_id", "text_hash")
+    kept = matched(docs, first, "left_semi")
+    repeated = groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return kept.withColumn("__hash", text_hash).dropDuplicates(["doc_id", "__hash"]).drop("__hash")

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeshore.llm.common import NULL_ID, keyed_text, ship
+from lakeshore.llm.common import keyed_text, ship
 
 WINDOW_WORDS = 20
 CELLS_PER_WINDOW = 2
@@ -247,9 +248,10 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
     earlier (smaller doc_id, or the same document, earlier start), all windows
     judged on the input.
 
-    One row per document row: doc_id, copy, n_words, n_removed, kept_text: the
-    kept words joined by one space, or with ``keep_layout`` the text without
-    the removed words and the white space before each.
+    One row per document row: all columns of ``docs`` but text in the struct
+    ``row``, n_words, n_removed, kept_text: the kept words joined by one space,
+    or with ``keep_layout`` the text without the removed words and the white
+    space before each.
 
     Null or empty text: no words. Null doc_id: such documents order last.
     Repeated rows (one doc_id and text) are one document, each row with its
@@ -286,10 +288,10 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
                 kept.append(space.join(p for p, out in zip(pieces, removed.tolist()) if not out)
                             + b"".join(pieces[len(words):]))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("copy"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], ["id", "copy", "n_words", "n_removed", "kept_text"])
+                [b.column("row"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                 pa.array(kept, pa.binary()).cast(pa.string())], ["row", "n_words", "n_removed", "kept_text"])
 
-    joined = texts.select("id", "copy", "text").join(runs, ["id", "copy"], "left")
-    return (joined.select("id", "copy", "text", "lows", "highs")
-            .mapInArrow(cut, "id long, copy int, n_words long, n_removed long, kept_text string")
-            .withColumn("doc_id", F.when(F.col("id") != NULL_ID, F.col("id"))).drop("id"))
+    joined = texts.join(runs, ["id", "copy"], "left").select("row", "text", "lows", "highs")
+    schema = T.StructType([joined.schema["row"], T.StructField("n_words", T.LongType()),
+                           T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
+    return joined.mapInArrow(cut, schema)
