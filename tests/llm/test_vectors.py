@@ -1,0 +1,120 @@
+"""Nearest neighbours and embedding near-duplicates against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeshore.llm import nearest, nn_descent
+
+SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
+                       T.StructField("rank", T.StringType()), T.StructField("v", T.StringType()),
+                       T.StructField("score", T.StringType())])
+
+
+def vectors(n=120, dim=8):
+    """Random vectors, a cluster, copies, multiples, odd ones."""
+    r = np.random.default_rng(4)
+    rows = [(i, r.normal(size=dim)) for i in range(n)]
+    centre = r.normal(size=dim)
+    rows += [(200 + i, centre + 0.05 * r.normal(size=dim)) for i in range(40)]
+    rows += [(300 + i, centre) for i in range(30)] + [(400 + i, centre * (i + 1)) for i in range(5)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    odd = [(500, None), (501, []), (502, [0.0] * dim), (503, [1.0] * (dim - 1) + [None]),
+           (504, [float("nan")] * dim), (505, [float("inf")] + [1.0] * (dim - 1)), (None, rows[0][1]),
+           (520, [1.0, 2.0]), (540, [1.0, 2.0]), (541, [2.0, 4.0]), rows[5], rows[5],
+           (560, [float(np.float32(1e30))] * dim), (561, [float(np.float32(1e-30))] * dim)]
+    return [(i, v, "x", "x", "x") for i, v in rows + odd]
+
+
+def takes_part(v):
+    return bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rows = vectors()
+    random.Random(2).shuffle(rows)
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).persist()
+
+
+@pytest.mark.parametrize("block", [4096, 7])
+def test_nearest(frame, block, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", block)
+    monkeypatch.setattr(nearest, "BLOCK_QUERIES", block)
+    got = {}
+    for r in nearest.nearest(frame, F.col("vec_id") % 20 == 0, 20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    rows = sorted({(i, tuple(v)) for i, v, *_ in vectors() if i is not None and v and takes_part(v)})
+    queries = [r for r in rows if r[0] % 20 == 0]
+    expected = {}
+    for q, x in queries:
+        scores = sorted((-float(np.dot(np.array(x), np.array(y))), i) for i, y in rows if i != q and len(y) == len(x))
+        expected[q] = scores[:20]
+    assert set(got) == {q for q, s in expected.items() if s}
+    for q, found in got.items():
+        found.sort()
+        assert [x[0] for x in found] == list(range(1, len(expected[q]) + 1))
+        for (_, i, s), (e, j) in zip(found, expected[q], strict=True):
+            assert s == pytest.approx(-e, rel=1e-9)
+            assert i == j or s == pytest.approx(-e, rel=1e-12)
+
+
+def test_nearest_breaks_ties_by_id(spark):
+    rows = [(i, [1.0, float(i % 2)], "", "", "") for i in range(50)]
+    got = nearest.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 1, 20).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(3, 43, 2))
+
+
+def test_nearest_of_nothing(spark, frame):
+    assert nearest.nearest(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0, 20).count() == 0
+    assert nearest.nearest(frame, F.col("vec_id") == -7, 20).count() == 0
+
+
+def plain_links(rows, threshold):
+    """(vec_id, n_links, component_id) by row."""
+    x = [np.array(v, float) / np.abs(v).max() if takes_part(v) else None for _, v in rows]
+    unit = [v / np.linalg.norm(v) if v is not None else None for v in x]
+    n = len(rows)
+    near = [[j for j in range(n) if j != i and unit[i] is not None and unit[j] is not None
+             and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= threshold] for i in range(n)]
+    out, seen = [None] * n, set()
+    for i in range(n):
+        if i in seen:
+            continue
+        group, todo = {i}, [i]
+        while todo:
+            for j in near[todo.pop()]:
+                if j not in group:
+                    group.add(j)
+                    todo.append(j)
+        seen |= group
+        least = min((rows[j][0] for j in group if rows[j][0] is not None), default=None)
+        for j in group:
+            out[j] = (rows[j][0], len(near[j]), least, rows[j][0] == least)
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_near_duplicates(frame, small, monkeypatch):
+    if small:
+        monkeypatch.setattr(nn_descent, "TILE_VECTORS", 16)
+        monkeypatch.setattr(nn_descent, "CHUNK_VECTORS", 24)
+        monkeypatch.setattr(nn_descent, "LEAF_VECTORS", 12)
+    got = sorted(map(str, (tuple(r) for r in nn_descent.near_duplicates(frame, 0.9).collect())))
+    assert got == sorted(map(str, plain_links([r[:2] for r in vectors()], 0.9)))
+
+
+def test_missed_links_are_counted(spark):
+    x = np.eye(4)[0]
+    nodes = spark.createDataFrame([(i, bytearray(x.tobytes()), c) for i, c in ((1, 1), (2, 1), (3, 3))],
+                                  "v long, vec binary, component long")
+    # Of the six directed links the four to and from vector 3 lead elsewhere.
+    assert nn_descent._missed(nodes, 0.9) == pytest.approx(4 / 6)
+
+
+def test_near_duplicates_of_nothing(spark):
+    got = nn_descent.near_duplicates(spark.createDataFrame([], SCHEMA), 0.9)
+    assert got.count() == 0 and got.columns == ["vec_id", "n_links", "component_id", "kept"]
