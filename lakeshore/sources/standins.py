@@ -3,8 +3,10 @@
 The driver ships TPC-H-like tables plus an ``events`` table; these functions
 derive the people, events, hourly-weather, run-log and location inputs the
 warehouse operators expect. NULLs and blanks are injected by fixed rules on
-the ids so the edge cases of the reference's seed rows appear at scale.
-Every row of the source tables flows through.
+the ids so the edge cases of small seed data appear at scale. All of them
+grow with the source tables: a person per customer, a location per user, a
+run per location and day, an hourly row per location and hour with an event
+(96% of the events at every scale).
 """
 
 from __future__ import annotations
@@ -20,6 +22,16 @@ from lakeshore.sources.tables import driver_table
 PIPELINE_NAME = "hourly_incremental"
 
 
+def _person(k):
+    """Every fifth customer is the one before it again, under a new key."""
+    return F.when(k % 5 == 0, k - 1).otherwise(k)
+
+
+def _run_id(ts, user):
+    """A run per day and location."""
+    return F.datediff(ts, F.lit("2023-12-31")).cast("bigint") * 10_000_000 + user
+
+
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_people from ``customer``."""
     c = driver_table(spark, sf_dir, "customer")
@@ -30,7 +42,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 == 0, F.lit(None)).otherwise((k % 140 - 10).cast("int")).cast("int").alias("age"),
         F.when(k % 13 == 0, F.lit(""))
          .when(k % 17 == 0, F.lit(None))
-         .otherwise(F.concat(F.lit(" u"), (k % 100).cast("string"), F.lit("@example.com ")))
+         .otherwise(F.concat(F.lit(" u"), _person(k).cast("string"), F.lit("@example.com ")))
          .alias("email"),
         F.when(k % 9 == 0, F.lit(" ")).otherwise(F.col("c_mktsegment")).alias("country"),
         F.concat(F.lit("2024-01-0"), (k % 5 + 1).cast("string")).cast("timestamp_ntz").alias("created_at"),
@@ -61,23 +73,23 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = driver_table(spark, sf_dir, "events")
     i = F.col("event_id")
     rows = e.select(
-        (F.col("user_id") % 25).alias("location_id"),
+        F.col("user_id").alias("location_id"),
         hour_floor(F.col("ts").cast("timestamp_ntz")).alias("ts"),
         F.when(i % 50 == 0, F.lit(None).cast(MEASURE)).otherwise(F.col("value").cast(MEASURE))
          .alias("temperature_2m"),
         (i % 9).cast(MEASURE).alias("precipitation"),
         F.when(i % 37 == 0, F.lit(None).cast(MEASURE)).otherwise((i * 7 % 101).cast(MEASURE))
          .alias("windspeed_10m"),
-        F.dayofmonth("ts").cast("bigint").alias("run_id"),
+        _run_id("ts", F.col("user_id")).alias("run_id"),
         i.alias("event_id"),
     )
     return latest_per_key(rows, ["location_id", "ts"], [desc("event_id")]).drop("event_id")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ingestion_runs: one run per day of ``events``."""
+    """ingestion_runs: one run per location and day of ``events``."""
     e = driver_table(spark, sf_dir, "events")
-    x = e.groupBy(F.dayofmonth("ts").cast("bigint").alias("run_id")).agg(
+    x = e.groupBy(_run_id("ts", F.col("user_id")).alias("run_id")).agg(
         F.min("ts").alias("started_at"), F.max("ts").alias("last_ts"),
         F.count(F.lit(1)).alias("n"))
     r = F.col("run_id")
@@ -100,25 +112,32 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opened.unionByName(closed)
 
 
+def coordinates(k):
+    """(latitude, longitude) of location ``k``, distinct for each."""
+    return ((k % 1000 * F.lit(0.17) - 85).cast("decimal(9,6)").alias("latitude"),
+            (F.floor(k / 1000) * F.lit(0.013) - 179).cast("decimal(9,6)").alias("longitude"))
+
+
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """dim_location from ``nation`` (+ region name), with made coordinates."""
+    """dim_location: one per user of ``events``, named after a nation."""
+    users = driver_table(spark, sf_dir, "events").select(F.col("user_id").cast("bigint").alias("location_id")).distinct()
     n = driver_table(spark, sf_dir, "nation")
     r = driver_table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
-        F.col("n_nationkey").cast("bigint").alias("location_id"),
-        F.concat_ws(", ", "n_name", "r_name").alias("location_name"),
-        (F.col("n_nationkey") * F.lit(2.5) - 30).cast("decimal(9,6)").alias("latitude"),
-        (F.col("n_nationkey") * F.lit(-1.75) + 10).cast("decimal(9,6)").alias("longitude"),
-    )
+    k = F.col("location_id")
+    named = n.join(r, n.n_regionkey == r.r_regionkey, "left")
+    return users.join(named, k % 25 == F.col("n_nationkey"), "left").select(
+        "location_id",
+        F.concat_ws(", ", F.concat_ws(" ", "n_name", k.cast("string")), "r_name").alias("location_name"),
+        *coordinates(k))
 
 
 def extra_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Locations that have no weather rows: one per ``region``."""
     r = driver_table(spark, sf_dir, "region")
     return r.select(
-        (F.col("r_regionkey") + 1000).cast("bigint").alias("location_id"),
+        (-1 - F.col("r_regionkey")).cast("bigint").alias("location_id"),
         F.concat(F.col("r_name"), F.lit(" HQ")).alias("location_name"),
-        (F.col("r_regionkey") * F.lit(1.5) + 50).cast("decimal(9,6)").alias("latitude"),
+        (F.col("r_regionkey") * F.lit(0.5) + 86).cast("decimal(9,6)").alias("latitude"),
         (F.col("r_regionkey") * F.lit(-1.25) + 10).cast("decimal(9,6)").alias("longitude"),
     )
 
@@ -130,5 +149,5 @@ def region_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("location_name"))
 
 
-__all__ = ["people", "events", "hourly", "runs", "run_events", "locations", "extra_locations",
+__all__ = ["people", "events", "hourly", "runs", "run_events", "locations", "coordinates", "extra_locations",
            "region_labels", "PIPELINE_NAME"]
