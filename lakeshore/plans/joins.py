@@ -78,14 +78,21 @@ def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     return big.join(sized_broadcast(small, max_rows, max_bytes), on, how)
 
 
-def release_checked() -> int:
+def release_checked(since: int = 0) -> int:
     """Drop the caches kept by :func:`sized_broadcast` (after the results that
-    use them are written). Returns how many were released."""
-    n = len(_KEPT)
-    while _KEPT:
-        _KEPT.pop().unpersist()
-    return n
+    use them are written); with ``since`` (from :func:`kept_so_far`) only the
+    later ones. Returns how many were released."""
+    late = _KEPT[since:]
+    del _KEPT[since:]
+    for side in late:
+        side.unpersist()
+    return len(late)
 
 
-__all__ = ["sized_broadcast", "measured_side", "lookup_join", "release_checked", "DEFAULT_BROADCAST_ROWS",
+def kept_so_far() -> int:
+    """A mark for :func:`release_checked`."""
+    return len(_KEPT)
+
+
+__all__ = ["sized_broadcast", "measured_side", "lookup_join", "release_checked", "kept_so_far", "DEFAULT_BROADCAST_ROWS",
            "DEFAULT_BROADCAST_BYTES"]

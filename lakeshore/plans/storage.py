@@ -1,16 +1,22 @@
 """Tables on plain files: versioned snapshots with a commit log (K1, K8),
 defaults on insert (K2) and partition-wise upserts (K3 at scale).
 
-Snapshot tables live in ``<path>/v=<n>/``; a version becomes visible only
-when a commit record is appended to ``<path>/_commits/``. Readers resolve
-the latest committed version once per run, so a failed publish (checks not
-passed) leaves the previous version readable and nothing has to be undone.
-Fact tables are partitioned by day and upserted by rewriting only the days a
-batch touches (dynamic partition overwrite).
+Every write goes to a new folder of its own, ``<path>/attempt=<id>/``, and
+becomes visible by one commit record in ``<path>/_commits/``, created
+exclusively: of two writers that picked the same version one fails and its
+folder is never read. A crash or a failed check at any moment therefore leaves
+the committed table as it was.
+
+Snapshot tables (full refresh) read the folder of the latest commit. Fact
+tables are partitioned by day: a commit names the days its folder holds, and
+the table is each day's folder of the latest commit that names it, so an
+upsert writes only the days its batch touches.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -21,9 +27,13 @@ from pyspark.sql import types as T
 
 from lakeshore.operators.quality import gate
 from lakeshore.operators.upsert import check_keys, upsert
-from lakeshore.session import scratch_dir
 
 COMMITS = "_commits"
+COMMIT_SCHEMA = "version long, folder string, parts array<string>, note string"
+
+
+class ConcurrentPublishError(RuntimeError):
+    pass
 
 
 def with_defaults(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
@@ -54,77 +64,106 @@ def _try_read(spark: SparkSession, reader: Callable[[], DataFrame]) -> DataFrame
 
 
 def committed_versions(spark: SparkSession, path: str) -> DataFrame | None:
-    return _try_read(spark, lambda: spark.read.schema("version long, note string").json(f"{path}/{COMMITS}"))
+    """The commit log: version, folder, parts (the days it holds; NULL for a
+    snapshot), note."""
+    return _try_read(spark, lambda: spark.read.schema(COMMIT_SCHEMA).option("mode", "DROPMALFORMED")
+                     .json(f"{path}/{COMMITS}"))
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
     log = committed_versions(spark, path)
-    if log is None:
-        return None
-    return log.agg(F.max("version")).first()[0]
+    return None if log is None else log.agg(F.max("version")).first()[0]
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    v = current_version(spark, path)
-    if v is None:
+    """The latest committed snapshot, or None."""
+    log = committed_versions(spark, path)
+    folder = None if log is None else log.agg(F.max_by("folder", "version")).first()[0]
+    if folder is None:
         return None
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{path}/v={v}")
+    return reader.parquet(f"{path}/{folder}")
 
 
-def _write_snapshot(df: DataFrame, path: str, version: int, partition_by: Sequence[str] = ()) -> str:
-    target = f"{path}/v={version}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    return target
+def read_parts(spark: SparkSession, path: str, schema: T.StructType, only: Sequence | None = None) -> DataFrame:
+    """A day-partitioned table as committed (empty if absent); ``only`` limits
+    it to these partition values. One path per day reaches the driver."""
+    log = committed_versions(spark, path)
+    if log is None:
+        return spark.createDataFrame([], schema)
+    days = log.select("version", "folder", F.explode("parts").alias("part")).groupBy("part").agg(
+        F.max_by("folder", "version").alias("folder"))
+    if only is not None:
+        days = days.where(F.col("part").isin([str(v) for v in only]))
+    name = schema.fields[-1].name
+    folders = [f"{path}/{r['folder']}/{name}={r['part']}" for r in days.collect()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    stored = T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])
+    return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
+
+
+def _new_folder() -> str:
+    return f"attempt=a{uuid.uuid4().hex}"
+
+
+def _commit(spark: SparkSession, path: str, version: int, folder: str, note: str = "",
+            parts: Sequence[str] | None = None) -> None:
+    """Make ``folder`` visible: one small file whose name is the version,
+    created only if it does not exist (the file system decides)."""
+    record = json.dumps({"version": version, "folder": folder, "parts": parts, "note": note})
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITS}/{version:09d}.json")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(target, False)
+    except Exception as e:  # noqa: BLE001 - py4j wraps the file system's own error
+        if "exists" in str(e):
+            raise ConcurrentPublishError(f"{path}: version {version} was committed by another writer") from e
+        raise
+    try:
+        out.write(bytearray(record.encode()))
+    finally:
+        out.close()
 
 
-def _commit(spark: SparkSession, path: str, version: int, note: str = "") -> None:
-    spark.createDataFrame([(version, note)], "version long, note string").coalesce(1) \
-        .write.mode("append").json(f"{path}/{COMMITS}")
+def _write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    folder = _new_folder()
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/{folder}")
+    return folder
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), note: str = "") -> int:
-    """Full refresh (DROP/CREATE/INSERT or TRUNCATE/INSERT): write the next
-    version, then commit it. Readers of the old version are not disturbed."""
+    """Full refresh (DROP/CREATE/INSERT or TRUNCATE/INSERT): write a new
+    folder, then commit it. Readers of the old version are not disturbed."""
     spark = df.sparkSession
     v = (current_version(spark, path) or 0) + 1
-    _write_snapshot(df, path, v, partition_by)
-    _commit(spark, path, v, note)
+    _commit(spark, path, v, _write_snapshot(df, path, partition_by), note)
     return v
 
 
 def publish(df: DataFrame, path: str, checks: Callable[[DataFrame], DataFrame],
             partition_by: Sequence[str] = (), note: str = "") -> int:
-    """All-or-nothing publish: stage the next version, run ``checks`` on the
-    staged data (a report with a ``passed`` column), commit only if every
-    check passed; otherwise raise QualityError with the old version intact."""
+    """All-or-nothing publish: write a new folder, run ``checks`` on what was
+    written (a report with a ``passed`` column), commit only if every check
+    passed; otherwise raise QualityError with the old version intact."""
     spark = df.sparkSession
     v = (current_version(spark, path) or 0) + 1
-    staged = _write_snapshot(df, path, v, partition_by)
-    gate(checks(spark.read.parquet(staged)), what=f"publish of {path} v={v}")
-    _commit(spark, path, v, note)
+    folder = _write_snapshot(df, path, partition_by)
+    gate(checks(spark.read.schema(df.schema).parquet(f"{path}/{folder}")), what=f"publish of {path} v={v}")
+    _commit(spark, path, v, folder, note)
     return v
 
 
 # ---------------------------------------------------------------- partitioned facts
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
-                 partition_by: Sequence[str] = ()) -> DataFrame:
-    """Read a partitioned parquet table, creating it empty if absent.
-
-    A freshly created table is returned as an in-memory empty frame: a file
-    scan of a table without partition folders would pin an empty partition
-    schema into every plan built on it, and the refresh after the next write
-    into the path would then fail on the new ``date=`` folders."""
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read an append-only parquet table, creating it empty if absent."""
     df = _try_read(spark, lambda: spark.read.schema(schema).parquet(path))
     if df is None:
-        w = spark.createDataFrame([], schema).write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
         df = spark.createDataFrame([], schema)
     return df
 
@@ -134,13 +173,12 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
                       checks: Callable[[DataFrame], DataFrame] | None = None, **upsert_args) -> list:
     """Upsert ``source`` into the day-partitioned table at ``path``.
 
-    Only the partitions the source touches are read (partition pruning) and
-    rewritten (dynamic overwrite); the list of touched partitions is the one
-    small collect (days in a batch). With ``checks`` the merged partitions are
-    staged in the shared scratch space and checked before the swap. A crash
-    mid-swap is repaired by replaying the same batch: the upsert is
-    idempotent by key."""
-    table = ensure_table(spark, path, schema, [partition_col])
+    Only the partitions the source touches are read and written, to a new
+    folder that one commit record makes visible; the list of touched
+    partitions is the one small collect (days in a batch). ``checks`` see the
+    merged partitions as written, before the commit. The upsert is idempotent
+    by key, so a batch may be replayed. ``partition_col`` is the last field of
+    ``schema``."""
     # The batch is read for the touched days, the duplicate check and the
     # merge: keep it (spillable) for the duration of this call.
     src = source.withColumn(partition_col, partition_expr).persist(StorageLevel.MEMORY_AND_DISK)
@@ -155,24 +193,22 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
             touched = [r[0] for r in src.select(partition_col).distinct().collect()]
         if not touched:
             return []
-        target = table.where(F.col(partition_col).isin(touched))
+        version = (current_version(spark, path) or 0) + 1
+        target = read_parts(spark, path, schema, only=touched)
         merged = upsert(target, src.select(*[c for c in src.columns if c in schema.fieldNames()]),
                         keys, **args)
-        if checks is not None:
-            stage = scratch_dir(spark, "stage")
-            merged.hint("rebalance", partition_col).write.mode("overwrite") \
-                .partitionBy(partition_col).parquet(stage)
-            merged = spark.read.schema(schema).parquet(stage)
-            gate(checks(merged), what=f"upsert into {path}")
         # rebalance: AQE packs each day into a few right-sized files and
         # splits a hot day over several tasks, instead of every join task
         # writing a small file into every touched day. Files are sorted by
         # the keys, so parquet min/max statistics skip row groups for key
-        # filters (the role indexes play in the reference's database).
+        # filters (the role indexes play in a database).
+        folder = _new_folder()
         (merged.select(*schema.fieldNames()).hint("rebalance", partition_col)
                .sortWithinPartitions(partition_col, *keys)
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(partition_col).parquet(path))
+               .write.mode("errorifexists").partitionBy(partition_col).parquet(f"{path}/{folder}"))
+        if checks is not None:
+            gate(checks(spark.read.schema(schema).parquet(f"{path}/{folder}")), what=f"upsert into {path}")
+        _commit(spark, path, version, folder, parts=sorted(str(v) for v in touched))
         return touched
     finally:
         src.unpersist()
@@ -184,5 +220,5 @@ def _touched_and_checked(src: DataFrame, keys: list, partition_col: str) -> list
     return [r[partition_col] for r in check_keys(src, keys, by=[partition_col])]
 
 
-__all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "replace_table",
-           "publish", "ensure_table", "upsert_partitions"]
+__all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "read_parts",
+           "replace_table", "publish", "ensure_table", "upsert_partitions", "ConcurrentPublishError"]

@@ -69,6 +69,9 @@ RAW_WEATHER_HOURLY = _s(("location_id", T.LongType(), False), ("ts", NTZ, False)
 # raw_weather_hourly as stored: partitioned by day.
 RAW_WEATHER_STORED = T.StructType(RAW_WEATHER_HOURLY.fields + [T.StructField("date", T.DateType(), True)])
 
+# The last hour that each load brought, appended by every run.
+WATERMARKS = _s(("location_id", T.LongType(), False), ("ts", NTZ, False))
+
 DIM_DATE = _s(("date_key", T.IntegerType(), False), ("date", T.DateType(), False))
 
 FACT_WEATHER_HOURLY = _s(("location_id", T.LongType(), False), ("ts", NTZ, False),
@@ -82,11 +85,17 @@ CLOUD_WEATHER_HOURLY = _s(("location_name", T.StringType(), True), ("location_id
                           ("source", T.StringType(), True), ("ingested_at", NTZ, True),
                           ("run_id", T.LongType(), True))
 
+# The cloud table as stored: with the file of each row, partitioned by day.
+CLOUD_STORED = T.StructType(CLOUD_WEATHER_HOURLY.fields + [
+    T.StructField("file", T.StringType(), True), T.StructField("date", T.DateType(), True)])
+
+# Measures are read as text, so that garbage is seen instead of read as NULL.
 PAYLOAD = T.StructType([
     T.StructField("latitude", T.DoubleType(), True),
     T.StructField("longitude", T.DoubleType(), True),
     T.StructField("location_name", T.StringType(), True),
     T.StructField("hourly", T.StructType(
         [T.StructField("time", T.ArrayType(T.StringType()), True)]
-        + [T.StructField(v, T.ArrayType(T.DoubleType()), True) for v in HOURLY_VARS]), True),
+        + [T.StructField(v, T.ArrayType(T.StringType()), True) for v in HOURLY_VARS]), True),
+    T.StructField("_corrupt_record", T.StringType(), True),
 ])

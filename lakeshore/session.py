@@ -41,8 +41,9 @@ def get_session(master: str | None = None, app: str = "lakeshore",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a private folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session
+    without it gets a private folder; on a cluster executors could not share
+    one, so its absence is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lakeshore-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -16,3 +16,19 @@ def test_scratch_below_checkpoint_dir(spark):
 def test_existing_checkpoint_dir_is_kept(spark):
     before = spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark) == before          # never replaced once set
+
+
+def test_a_cluster_must_name_its_shared_folder(spark):
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)
