@@ -59,11 +59,12 @@ def main(argv=None) -> int:
         return 0
     from lakeshore.operators.audit import runs_state
     from lakeshore.operators.quality import QualityError, gate, qc_runs
+    from lakeshore.plans import storage
     from lakeshore.plans.flow import FlowConfig, PIPELINE
     from lakeshore.schemas import RAW_WEATHER_STORED
     cfg = FlowConfig(root=args.root, landing="", run_ts=args.run_ts, as_of="")
     state = runs_state(spark.read.parquet(cfg.path("run_events")))
-    raw = spark.read.schema(RAW_WEATHER_STORED).parquet(cfg.path("raw_weather_hourly"))
+    raw = storage.read_parts(spark, cfg.path("raw_weather_hourly"), RAW_WEATHER_STORED)
     report = qc_runs(state, raw, args.run_ts, args.window_hours, pipeline_name=PIPELINE,
                      latest_only=args.latest_only)
     report.show(100, truncate=False)

@@ -95,8 +95,9 @@ def location_label(lat, lon) -> Column:
 
 
 def path_slug(c) -> Column:
-    """City label -> path slug: runs of non-alphanumerics become one '_'."""
-    return F.regexp_replace(F.trim(col(c)), "[^A-Za-z0-9]+", "_")
+    """City label -> path slug: runs of anything but letters and digits (of
+    any script) become one '_'."""
+    return F.regexp_replace(F.trim(col(c)), r"[^\p{L}\p{N}]+", "_")
 
 
 def any_null(*cols) -> Column:

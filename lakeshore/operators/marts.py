@@ -112,15 +112,18 @@ def latest_run_rows(raw: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def latest_day_rows(raw: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Per location_name, every row of its latest day, with the label."""
+    """Per location_name, every row of its latest day, with the label. A
+    stored day column ``date`` is used as it is, so that its partitions prune;
+    otherwise the day comes from ts."""
     dim = dim_location.select("location_id", "location_name")
-    per_id = raw.groupBy("location_id").agg(F.max(ts_date("ts")).alias("_d"))
+    dated = raw if "date" in raw.columns else raw.withColumn("date", ts_date("ts"))
+    per_id = dated.groupBy("location_id").agg(F.max("date").alias("_d"))
     per_name = lookup_join(per_id, dim, "location_id", "inner") \
-        .groupBy("location_name").agg(F.max("_d").alias("_d"))
-    labelled = lookup_join(raw, dim, "location_id", "inner").withColumn("_rd", ts_date("ts"))
-    j = lookup_join(labelled, per_name, "location_name", "inner").where(F.col("_rd") == F.col("_d"))
-    return j.select("location_name", "location_id", "ts", "temperature_2m", "precipitation",
-                    "windspeed_10m", "source", "ingested_at", "run_id", F.col("_d").alias("date"))
+        .groupBy("location_name").agg(F.max("_d").alias("date"))
+    of_id = dim.join(per_name, "location_name").select("location_id", "location_name", "date")
+    return lookup_join(dated, of_id, ["location_id", "date"], "inner").select(
+        "location_name", "location_id", "ts", "temperature_2m", "precipitation", "windspeed_10m", "source",
+        "ingested_at", "run_id", "date")
 
 
 __all__ = ["revenue_by_country", "purchases_per_person", "activity_per_person",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeshore import fixed as fx
 from lakeshore.functions.scalar import any_null, ntz, plus_hours
 from lakeshore.operators.keys import desc, latest_per_key
+from lakeshore.plans.joins import sized_broadcast
 
 
 class QualityError(RuntimeError):
@@ -108,6 +109,13 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None
     return fact.join(keys, fact[fact_key] == keys["_k"], "left_anti")
 
 
+def orphan_count(fact: DataFrame, dim: DataFrame, fact_key: str, name: str, dim_key: str | None = None) -> DataFrame:
+    """How many rows :func:`orphans` has, as column ``name``. Facts are counted
+    per key first, so that no hot key is shuffled."""
+    per_key = fact.groupBy(fact_key).agg(F.count(F.lit(1)).alias("_n"))
+    return orphans(per_key, dim, fact_key, dim_key).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(name))
+
+
 def counts_row(frames: dict[str, DataFrame]) -> DataFrame:
     """Side-by-side counts of several frames as one row (scalar subqueries)."""
     items = list(frames.items())
@@ -129,6 +137,13 @@ def reconcile(frames: dict[str, DataFrame]) -> DataFrame:
     return row.withColumn("reconciled", same if same is not None else F.lit(True))
 
 
+def reconcile_tagged(tagged: DataFrame, reason: str = "reject_reason") -> DataFrame:
+    """Split reconciliation in one pass over the tagged rows."""
+    row = tagged.agg(F.count(F.lit(1)).alias("raw_count"), F.count_if(F.col(reason).isNull()).alias("good_count"),
+                     F.count_if(F.col(reason).isNotNull()).alias("bad_count"))
+    return row.withColumn("reconciled", F.col("raw_count") == F.col("good_count") + F.col("bad_count"))
+
+
 def reconcile_split(raw: DataFrame, good: DataFrame, bad: DataFrame) -> DataFrame:
     row = counts_row({"raw_count": raw, "good_count": good, "bad_count": bad})
     return row.withColumn("reconciled", F.col("raw_count") == F.col("good_count") + F.col("bad_count"))
@@ -182,7 +197,9 @@ def qc_runs(runs: DataFrame, raw: DataFrame, window_start, window_hours: int = f
     if latest_only:
         r = latest_per_key(r.withColumn("_one", F.lit(1)), ["_one"], [desc("run_id")]).drop("_one")
     nulls = any_null("ts", *measures)
-    per_key = raw.groupBy("run_id", "location_id", "ts").agg(
+    # Only rows of the runs in the window are aggregated.
+    checked = r.select("run_id").distinct()
+    per_key = raw.join(sized_broadcast(checked), "run_id", "left_semi").groupBy("run_id", "location_id", "ts").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(nulls).alias("_nulls"))
     stats = per_key.groupBy("run_id").agg(
         F.sum("_nulls").cast("bigint").alias("null_rows"),
@@ -217,11 +234,13 @@ def gate(report: DataFrame, passed_col: str = "passed", what: str = "quality che
          show: int = 20) -> None:
     """Stop the run when any row of a (small) report failed."""
     failed = report.where(~F.coalesce(F.col(passed_col), F.lit(False)))
-    sample = failed.limit(show).collect()
+    sample = failed.limit(show + 1).collect()
     if sample:
-        raise QualityError(f"{what} failed: " + "; ".join(str(r.asDict()) for r in sample))
+        more = failed.count() - show if len(sample) > show else 0
+        raise QualityError(f"{what} failed: " + "; ".join(str(r.asDict()) for r in sample[:show])
+                           + (f"; and {more} more" if more else ""))
 
 
 __all__ = ["QualityError", "tag_rejects", "quarantine", "event_rules", "reject_summary",
-           "event_checks", "check_report", "unique_report", "orphans", "counts_row", "reconcile",
-           "reconcile_split", "load_guard", "qc_runs", "QC_CHECKS", "gate"]
+           "event_checks", "check_report", "unique_report", "orphans", "orphan_count", "counts_row", "reconcile",
+           "reconcile_split", "reconcile_tagged", "load_guard", "qc_runs", "QC_CHECKS", "gate"]

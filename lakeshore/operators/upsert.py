@@ -148,28 +148,30 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 def resolve_locations(dim: DataFrame, incoming: DataFrame, id_col: str = "location_id",
                       natural_key: Sequence[str] = ("latitude", "longitude"),
-                      name_col: str = "location_name") -> DataFrame:
+                      name_col: str = "location_name", order_by: str | None = None) -> DataFrame:
     """ON CONFLICT (latitude, longitude) DO UPDATE SET location_name ...
-    RETURNING location_id, for a whole batch of locations.
+    RETURNING location_id, for a whole batch of locations. Of several names
+    for one coordinate the last under ``order_by`` (a column of ``incoming``,
+    e.g. the fetch time) stays, as with one statement after the other.
 
     Existing coordinates keep their id and take the new name; new coordinates
     get dense ids after max(id) in coordinate order. Returns the new dim."""
     natural_key = list(natural_key)
-    incoming = _one_name_per_key(incoming, natural_key, name_col)
+    incoming = _one_name_per_key(incoming, natural_key, name_col, order_by)
     new = incoming.join(dim.select(*natural_key), natural_key, "left_anti")
     new_ids = assign_keys(new, dim, id_col, natural_key)
     inserted_dim = dim.unionByName(new_ids.select(*dim.columns))
     return upsert(inserted_dim, incoming, natural_key, update_cols=[name_col], on_duplicate="trust")
 
 
-def _one_name_per_key(incoming: DataFrame, natural_key, name_col) -> DataFrame:
-    """Several names for one coordinate in a batch: the largest name wins
-    (deterministic stand-in for 'last statement wins')."""
-    nk = [F.col(c).isNotNull() for c in natural_key]
-    cond = nk[0]
-    for c in nk[1:]:
-        cond = cond & c
-    return incoming.where(cond).groupBy(*natural_key).agg(F.max(name_col).alias(name_col))
+def _one_name_per_key(incoming: DataFrame, natural_key, name_col, order_by) -> DataFrame:
+    """The last name of each coordinate in a batch (without an order, or on a
+    tie, the largest name); rows without a coordinate are left out."""
+    cond = F.lit(True)
+    for c in natural_key:
+        cond = cond & F.col(c).isNotNull()
+    order = F.struct(order_by, name_col) if order_by else F.col(name_col)
+    return incoming.where(cond).groupBy(*natural_key).agg(F.max_by(name_col, order).alias(name_col))
 
 
 __all__ = ["DuplicateKeyError", "NullKeyError", "dedup_source", "check_keys", "upsert", "upsert_counts", "insert_missing",

@@ -47,7 +47,7 @@ def refresh_model(spark: SparkSession, root: str, raw: DataFrame, dim_location:
     storage.upsert_partitions(
         spark, fact_path, _fact_stored_schema(), rows, ["location_id", "ts"], "date", ts_date("ts"),
         update_cols=["temperature_2m", "precipitation", "windspeed_10m", "date_key", "run_id"])
-    fact = spark.read.schema(_fact_stored_schema()).parquet(fact_path).drop("date")
+    fact = storage.read_parts(spark, fact_path, _fact_stored_schema()).drop("date")
 
     checks = quality.reconcile({"row_count_stg": stg, "row_count_fact": fact})
     return {

@@ -13,6 +13,7 @@ from lakeshore.functions import scalar as S
 from lakeshore.operators import clean, incremental, keys, marts, model, quality, upsert
 from lakeshore.operators import audit
 from lakeshore.plans.joins import lookup_join
+from lakeshore.plans.storage import read_parts, replace_table
 from lakeshore.schemas import DEFAULT_WEATHER_SOURCE, MEASURE
 from lakeshore.sources import standins as SI
 from lakeshore.sources.tables import driver_table
@@ -27,7 +28,7 @@ WINDOWS_AS_OF = "2024-01-24"
 INCR_AS_OF = "2024-01-20"
 QC_WINDOW_START = "2024-01-01 00:00:00"
 QC_WINDOW_HOURS = 31 * 24
-FILTER_LOCATION = "NATION_3, EUROPE"
+FILTER_LOCATION = "NATION_3 3, EUROPE"
 FILTER_DAY = "2024-01-10"
 
 
@@ -117,8 +118,7 @@ def quarantine_summary(spark, sf):
 
 
 def split_reconciliation(spark, sf):
-    good, bad = _good_bad(spark, sf)
-    return quality.reconcile_split(SI.events(spark, sf), good, bad)
+    return quality.reconcile_tagged(quality.tag_rejects(SI.events(spark, sf), quality.event_rules()))
 
 
 def check_constraints_report(spark, sf):
@@ -214,14 +214,10 @@ def dim_date_insert_missing(spark, sf):
 def location_keys(spark, sf):
     dim = SI.locations(spark, sf)
     c = driver_table(spark, sf, "customer")
-    seg = F.length("c_mktsegment") - 8
-    incoming = c.select(
-        (F.col("c_nationkey") * F.lit(2.5) - 30).cast("decimal(9,6)").alias("latitude"),
-        (F.col("c_nationkey") * F.lit(-1.75) + 10 - seg * 7)
-        .cast("decimal(9,6)").alias("longitude"),
-        F.concat(F.lit("City "), F.col("c_nationkey").cast("string"), F.lit(" "), F.col("c_mktsegment"))
-        .alias("location_name"))
-    return upsert.resolve_locations(dim, incoming)
+    k = F.floor(F.col("c_custkey") / 3)     # three names each; the last one stays
+    incoming = c.select(*SI.coordinates(k), F.col("c_custkey").alias("said"),
+                        F.concat_ws(" ", F.lit("City"), k.cast("string"), "c_mktsegment").alias("location_name"))
+    return upsert.resolve_locations(dim, incoming, order_by="said")
 
 
 def fact_hourly_load(spark, sf):
@@ -252,13 +248,12 @@ def layer_reconciliation(spark, sf):
 def orphan_dates(spark, sf):
     raw = _raw_weather(spark, sf)
     dim_early = model.dim_date_from(raw.where(F.col("ts") < S.ntz(TARGET_BEFORE)))
-    o = quality.orphans(_fact_hourly(spark, sf), dim_early, "date_key")
-    return o.agg(F.count(F.lit(1)).alias("missing_dates"))
+    return quality.orphan_count(_fact_hourly(spark, sf), dim_early, "date_key", "missing_dates")
 
 
 def orphan_locations(spark, sf):
-    o = quality.orphans(_fact_hourly(spark, sf), SI.region_labels(spark, sf), "location_id")
-    return o.agg(F.count(F.lit(1)).alias("missing_location"))
+    return quality.orphan_count(_fact_hourly(spark, sf), SI.region_labels(spark, sf), "location_id",
+                                "missing_location")
 
 
 def duplicate_grain(spark, sf):
@@ -482,9 +477,9 @@ def _loaded(spark, sf):
     from lakeshore.session import scratch_dir
     from lakeshore.streaming.file_load import load_new_files
     src = _export_dir(spark, sf)
-    # a file that is not CSV lands beside the data and must be skipped
-    spark.createDataFrame([("not a data file",)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{src}/_notes")
+    # files that are not CSV land beside the data and must be skipped
+    SI.locations(spark, sf).select(F.col("location_name").alias("value")).coalesce(1) \
+        .write.mode("overwrite").text(f"{src}/notes")
     dst, ck = scratch_dir(spark, "cloud"), scratch_dir(spark, "ckpt")
     load_new_files(spark, src, dst, ck)
     load_new_files(spark, src, dst, ck)     # rerun: no new files, nothing loaded twice
@@ -503,7 +498,7 @@ def load_report(spark, sf):
 def export_with_empty_location(spark, sf):
     from lakeshore.plans.export import export_report, export_rows
     dim = _all_locations(spark, sf)
-    return export_report(export_rows(_raw_weather(spark, sf), dim), dim)
+    return export_report(export_rows(_raw_weather(spark, sf), dim), dim).drop("location_id")
 
 
 def full_refresh_with_defaults(spark, sf):
@@ -557,7 +552,7 @@ def stream_upsert(spark, sf):
     src.withColumn("ingested_at", S.ntz(RUN_TS2)).write.mode("append").json(landing)   # second drop
     run(spark, landing, table, ck, **args)
     run(spark, landing, table, ck, **args)                        # nothing new: no change
-    return spark.read.schema(RAW_WEATHER_STORED).parquet(table).drop("date")
+    return read_parts(spark, table, RAW_WEATHER_STORED).drop("date")
 
 
 def multi_location_load(spark, sf):
@@ -578,22 +573,124 @@ def multi_location_load(spark, sf):
                       .alias("row_count"))
 
 
-def daily_flow(spark, sf):
+def _no_nulls(rows):
+    return rows.where(F.col("temperature_2m").isNotNull() & F.col("windspeed_10m").isNotNull())
+
+
+def _flow_root(spark, sf, rows):
+    """A new warehouse with ``rows`` landed as payload documents."""
+    from lakeshore.session import scratch_dir
+    from lakeshore.sources import payloads
+    root = scratch_dir(spark, "warehouse")
+    payloads.fold_payloads(rows, SI.locations(spark, sf)).write.mode("append").json(f"{root}/landing")
+    return root
+
+
+def _run_flow(spark, root, day, **options):
     from lakeshore.plans.flow import FlowConfig, run_daily_flow
+    return run_daily_flow(spark, FlowConfig(root=root, landing=f"{root}/landing", run_ts=f"{day} 05:00:00",
+                                            as_of=day, **options))
+
+
+def daily_flow(spark, sf):
+    """One daily run over complete payloads: QC passes, the latest day is
+    exported and loaded."""
+    return _run_flow(spark, _flow_root(spark, sf, _no_nulls(_raw_weather(spark, sf))), "2024-01-01")
+
+
+def daily_flow_failing(spark, sf):
+    """One daily run over payloads with NULL measures: runs fail and the gate
+    stops export and load."""
+    root = _flow_root(spark, sf, _raw_weather(spark, sf))
+    return _run_flow(spark, root, "2024-01-01", raise_on_qc_failure=False)
+
+
+def daily_flow_rerun(spark, sf):
+    """Two runs on one day: the second has nothing new, and the cloud table
+    holds each key once. Rows of the cloud table."""
+    from lakeshore.schemas import CLOUD_STORED
+    root = _flow_root(spark, sf, _no_nulls(_raw_weather(spark, sf)).where(S.ts_date("ts") <= S.date_lit("2024-01-07")))
+    _run_flow(spark, root, "2024-01-01")
+    _run_flow(spark, root, "2024-01-01", raise_on_qc_failure=False)
+    return read_parts(spark, f"{root}/cloud_raw_weather_hourly", CLOUD_STORED).select(
+        "location_name", "ts", "temperature_2m")
+
+
+def _land_overlap(spark, sf, landing):
+    """Two fetches that overlap: the second changes measures from 01-03 on,
+    renames every location and brings one that is new."""
     from lakeshore.sources import payloads
+    dim, rows = SI.locations(spark, sf), _no_nulls(_raw_weather(spark, sf)).where(
+        S.ts_date("ts") <= S.date_lit("2024-01-07"))
+    payloads.fold_payloads(rows.where(S.ts_date("ts") <= S.date_lit("2024-01-05")), dim) \
+        .write.mode("append").json(landing)
+    later = rows.where(S.ts_date("ts") >= S.date_lit("2024-01-03")).withColumn(
+        "temperature_2m", (F.col("temperature_2m") + 1).cast(MEASURE))
+    renamed = dim.withColumn("location_name", F.concat(F.lit("New "), "location_name"))
+    unseen = dim.where("location_id = 0").select(
+        (F.col("location_id") - 100).alias("location_id"), F.lit("Unseen").alias("location_name"),
+        F.lit(89.5).cast("decimal(9,6)").alias("latitude"), F.lit(0.5).cast("decimal(9,6)").alias("longitude"))
+    payloads.fold_payloads(later.unionByName(later.where("location_id = 0").withColumn(
+        "location_id", F.col("location_id") - 100)), renamed.unionByName(unseen)).write.mode("append").json(landing)
+
+
+def overlapping_fetches(spark, sf):
+    """Overlapping fetches, a rename and an unseen coordinate in one run of
+    the flow: the last fetch wins. The raw table with its locations' names."""
+    from lakeshore.plans.storage import read_current
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    from lakeshore.session import scratch_dir
+    root = scratch_dir(spark, "warehouse")
+    _land_overlap(spark, sf, f"{root}/landing")
+    _run_flow(spark, root, "2024-01-01")
+    return model.stg_hourly(read_parts(spark, f"{root}/raw_weather_hourly", RAW_WEATHER_STORED),
+                            read_current(spark, f"{root}/dim_location")).select(
+        "location_name", "ts", "temperature_2m", "precipitation", "windspeed_10m")
+
+
+def stream_overlapping_fetches(spark, sf):
+    """The same in one micro-batch of the streaming loader, inside a window;
+    the run's closing event beside each row."""
+    from lakeshore.plans.storage import read_current
+    from lakeshore.schemas import RAW_WEATHER_STORED, RUN_EVENTS
     from lakeshore.session import scratch_dir
+    from lakeshore.streaming.upsert_stream import stream_payload_upsert as run
     root = scratch_dir(spark, "warehouse")
-    landing = f"{root}/landing"
-    payloads.fold_payloads(_raw_weather(spark, sf), SI.locations(spark, sf)) \
-        .write.mode("overwrite").json(landing)
-    cfg = FlowConfig(root=root, landing=landing, run_ts="2024-01-01 05:00:00", as_of="2024-01-01",
-                     raise_on_qc_failure=False)
-    return run_daily_flow(spark, cfg)
+    _land_overlap(spark, sf, f"{root}/landing")
+    run(spark, f"{root}/landing", f"{root}/raw", f"{root}/ckpt", f"{root}/dim", RUN_TS, f"{root}/events",
+        window=("2024-01-02", "2024-01-06"))
+    state = audit.runs_state(spark.read.schema(RUN_EVENTS).parquet(f"{root}/events"))
+    rows = model.stg_hourly(read_parts(spark, f"{root}/raw", RAW_WEATHER_STORED), read_current(spark, f"{root}/dim"))
+    return lookup_join(rows, state.select("run_id", "status", "row_count"), "run_id", "left").select(
+        "location_name", "ts", "temperature_2m", "status", "row_count")
+
+
+def bad_payloads(spark, sf):
+    """Payloads with a garbage number (each fifth location) and truncated ones
+    (each seventh): they fail their runs, the other rows are loaded. Runs by
+    location name (NULL: the payload names none that can be read)."""
+    from lakeshore.plans.storage import read_current
+    from lakeshore.session import scratch_dir
+    from lakeshore.sources import payloads
+    root = scratch_dir(spark, "warehouse")
+    dim = SI.locations(spark, sf)
+    docs = payloads.fold_payloads(_no_nulls(_raw_weather(spark, sf)), dim).where(
+        F.element_at("hourly.time", 1).startswith("2024-01-0"))
+    named = lookup_join(docs, dim.select("location_id", "location_name"), "location_name", "inner")
+    text = F.to_json(F.struct("latitude", "longitude", "location_name", "hourly"))
+    k, day = F.col("location_id"), F.substring(F.element_at("hourly.time", 1), 9, 2)
+    broken = F.when((k % 5 == 0) & (day == "03"), F.regexp_replace(text, r'"temperature_2m":\["[^"]*"', 
+                                                                   '"temperature_2m":["n/a"')) \
+        .when((k % 7 == 3) & (day == "05"), F.expr("left(__t, length(__t) - 9)")).otherwise(text)
+    named.withColumn("__t", text).select(broken.alias("value")).write.text(f"{root}/landing")
+    runs = _run_flow(spark, root, "2024-01-01", raise_on_qc_failure=False)
+    names = read_current(spark, f"{root}/dim_location").select("location_id", "location_name")
+    return runs.join(names, "location_id", "left").select("location_name", "status", "row_count")
 
 
 def reexport_load_by_key(spark, sf):
     from lakeshore.plans.export import export_latest
-    from lakeshore.schemas import CLOUD_WEATHER_HOURLY
+    from lakeshore.schemas import CLOUD_STORED, CLOUD_WEATHER_HOURLY
     from lakeshore.session import scratch_dir
     from lakeshore.streaming.file_load import load_new_files_by_key
     src = _export_dir(spark, sf)
@@ -601,7 +698,7 @@ def reexport_load_by_key(spark, sf):
     load_new_files_by_key(spark, src, dst, ck)
     export_latest(_raw_weather(spark, sf), SI.locations(spark, sf), src)   # same rows, new file names
     load_new_files_by_key(spark, src, dst, ck)
-    return spark.read.parquet(dst).select(*CLOUD_WEATHER_HOURLY.fieldNames())
+    return read_parts(spark, dst, CLOUD_STORED).select(*CLOUD_WEATHER_HOURLY.fieldNames())
 
 
 def people_mart_build(spark, sf):
@@ -637,31 +734,106 @@ def stream_payload_upsert(spark, sf):
     landing, table, ck = (scratch_dir(spark, n) for n in ("landing", "raw_weather", "ckpt"))
     dim = SI.locations(spark, sf)
     target, src = _split(spark, sf)
+    known = scratch_dir(spark, "dim_location")
+    replace_table(dim, known)
     payloads.fold_payloads(target, dim).write.mode("append").json(landing)
-    run(spark, landing, table, ck, dim, RUN_TS)
+    run(spark, landing, table, ck, known, RUN_TS, not_null=())
     payloads.fold_payloads(src, dim).write.mode("append").json(landing)
-    run(spark, landing, table, ck, dim, RUN_TS2)
-    return spark.read.schema(RAW_WEATHER_STORED).parquet(table) \
+    run(spark, landing, table, ck, known, RUN_TS2, not_null=())
+    return read_parts(spark, table, RAW_WEATHER_STORED) \
         .select("location_id", "ts", "temperature_2m", "precipitation", "windspeed_10m", "run_id")
 
 
 def daily_flow_incremental(spark, sf):
     """Two daily runs a week apart on the same landed payloads: the second
-    run's windows start at each location's high-water mark; locations whose
-    first load failed start over. Summary of the second run."""
-    from lakeshore.plans.flow import FlowConfig, run_daily_flow
-    from lakeshore.sources import payloads
+    run's windows start at each location's high-water mark. Summary of the
+    second run."""
+    root = _flow_root(spark, sf, _no_nulls(_raw_weather(spark, sf)))
+    _run_flow(spark, root, "2024-01-01")
+    return _run_flow(spark, root, "2024-01-08")
+
+
+def publish_partitioned_after_failure(spark, sf):
+    """A partitioned publish that fails its checks, then a good one: no row of
+    the first is read."""
+    from lakeshore.plans import storage
     from lakeshore.session import scratch_dir
-    root = scratch_dir(spark, "warehouse")
-    landing = f"{root}/landing"
-    payloads.fold_payloads(_raw_weather(spark, sf), SI.locations(spark, sf)) \
-        .write.mode("overwrite").json(landing)
-    for run_ts, as_of in (("2024-01-01 05:00:00", "2024-01-01"), ("2024-01-08 05:00:00", "2024-01-08")):
-        cfg = FlowConfig(root=root, landing=landing, run_ts=run_ts, as_of=as_of, raise_on_qc_failure=False)
-        summary = run_daily_flow(spark, cfg)
-    return summary
+    d = scratch_dir(spark, "raw_weather")
+    target, src = _split(spark, sf)
+
+    def checks(df):
+        return quality.unique_report(df, ["location_id", "ts"], "raw_weather_hourly")
+
+    day = S.ts_date("ts").alias("date")
+    twice = _raw_weather(spark, sf).unionByName(target).select("*", day)
+    try:
+        storage.publish(twice, d, checks, partition_by=["date"])
+    except quality.QualityError:
+        pass
+    else:
+        raise AssertionError("publish of duplicate keys was not rejected")
+    storage.publish(target.select("*", day), d, checks, partition_by=["date"])
+    return storage.read_current(spark, d).select(*target.columns)
 
 
+def load_report_files(spark, sf):
+    """Rows per loaded file and in total: (status, files, rows)."""
+    from lakeshore.streaming.file_load import load_report as report
+    r = report(_loaded(spark, sf), by_file=True)
+    return r.groupBy("status").agg(F.sum("rows_loaded").alias("rows_loaded"), F.sum("errors_seen").alias("errors_seen"))
+
+
+def export_clashing_names(spark, sf):
+    """Pairs of locations whose different names have one slug: a folder each."""
+    from lakeshore.plans.export import export_report, export_rows
+    k = F.col("location_id")
+    dim = SI.locations(spark, sf).withColumn(
+        "location_name", F.concat(F.when(k % 2 == 0, "St. Łódź ").otherwise("St Łódź "),
+                                  F.floor(k / 2).cast("string")))
+    return export_report(export_rows(_raw_weather(spark, sf), dim), dim)
+
+
+def export_one_day(spark, sf):
+    """Export of a fixed day (``export_date``)."""
+    from lakeshore.plans.export import export_rows
+    return export_rows(_raw_weather(spark, sf), SI.locations(spark, sf), FILTER_DAY).select(
+        "location_id", "ts", "temperature_2m", "dt", "city")
+
+
+def windowed_rows_strict(spark, sf):
+    """As windowed_rows, hours already loaded left out (``strict_hour``)."""
+    h = SI.hourly(spark, sf)
+    w = incremental.fetch_windows(_all_locations(spark, sf), h.where(F.col("ts") < S.ntz(TARGET_BEFORE)), INCR_AS_OF)
+    return incremental.windowed_rows(h, w, strict_hour=True)
+
+
+def load_guard_week(spark, sf):
+    """The full-window guard with its 168 hours."""
+    from lakeshore.fixed import FULL_WINDOW_HOURS
+    return quality.load_guard(SI.hourly(spark, sf), ["location_id"], expected_rows=FULL_WINDOW_HOURS)
+
+
+def fact_events_lookup_shuffled(spark, sf):
+    """fact_events_lookup with the key set above the broadcast bound."""
+    flagged = model.lookup_flag(SI.events(spark, sf), _dim_people(spark, sf), "email", "is_known_person", max_rows=0)
+    return flagged.select("event_id", "event_ts", "email", "event_type", "amount", "source", "is_known_person",
+                          S.ntz(RUN_TS).alias("load_ts"))
+
+
+def literal_rows(spark, sf):
+    """Rows given as literals, inserted before the table's own."""
+    from lakeshore.plans.storage import with_defaults
+    from lakeshore.schemas import RAW_PEOPLE
+    given = spark.createDataFrame([(-1, "Ann Able", 23, None, "India"), (-2, None, None, "bo@example.com", " ")],
+                                  "person_id long, full_name string, age int, email string, country string")
+    rows = with_defaults(given, RAW_PEOPLE, {"created_at": S.ntz(RUN_TS)})
+    return clean.clean_people(rows.unionByName(_raw_people(spark, sf).select(*rows.columns)), RUN_TS)
+
+
+QUERIES.update({f.__name__: f for f in (
+    daily_flow_failing, daily_flow_rerun, overlapping_fetches, stream_overlapping_fetches, bad_payloads,
+    publish_partitioned_after_failure, load_report_files, export_clashing_names, export_one_day,
+    windowed_rows_strict, load_guard_week, fact_events_lookup_shuffled, literal_rows)})
 QUERIES.update({
     "daily_flow_incremental": daily_flow_incremental,
     "stream_payload_upsert": stream_payload_upsert,
@@ -681,12 +853,10 @@ QUERIES.update({
 
 
 def stg_view_sql(spark, sf):
-    """The staged view created with SQL over temporary views."""
-    from lakeshore.plans.views import STG_WEATHER_HOURLY, register_views
-    register_views(spark, {"raw_weather_hourly": _raw_weather(spark, sf),
-                           "dim_location": SI.locations(spark, sf)})
-    spark.sql(STG_WEATHER_HOURLY)
-    return spark.table("stg_weather_hourly")
+    """The staged view, read with SQL."""
+    from lakeshore.plans.views import register_staged_view
+    register_staged_view(_raw_weather(spark, sf), SI.locations(spark, sf))
+    return spark.sql("SELECT * FROM stg_weather_hourly")
 
 
 def mart_daily_avg_sql(spark, sf):

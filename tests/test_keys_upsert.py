@@ -169,7 +169,9 @@ def test_load_report_by_file(spark):
     from lakeshore.streaming.file_load import load_report
     loaded = spark.createDataFrame([("s3://b/raw/dt=2026-02-24/city=Chicago_IL/part-0.csv",)] * 3 +
                                    [("s3://b/raw/dt=2026-02-24/city=New_York_NY/part-1.csv",)], "file string")
-    per_file = {r.file.split("/")[-2]: (r.status, r.rows_loaded) for r in load_report(loaded, by_file=True).collect()}
+    report = load_report(loaded, by_file=True)
+    assert [(r.status, r.rows_loaded) for r in report.where("file IS NULL").collect()] == [("TOTAL", 4)]
+    per_file = {r.file.split("/")[-2]: (r.status, r.rows_loaded) for r in report.where("file IS NOT NULL").collect()}
     assert per_file == {"city=Chicago_IL": ("LOADED", 3), "city=New_York_NY": ("LOADED", 1)}
     per_part = {(r.dt, r.city): (r.files, r.rows_loaded) for r in load_report(loaded).collect()}
     assert per_part == {("2026-02-24", "Chicago_IL"): (1, 3), ("2026-02-24", "New_York_NY"): (1, 1)}

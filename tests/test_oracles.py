@@ -32,8 +32,8 @@ def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows, cols = df.collect(), df.columns
     sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(rows) >= 0
+    if sql is None:  # held against brute force in tests of its own
+        assert rows and cols
         return
     res = duck.execute(sql)
     dcols = [d[0] for d in res.description]
@@ -44,4 +44,4 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
-    assert df.count() >= 0 and df.columns == ["country", "total_revenue"]
+    assert df.count() > 0 and df.columns == ["country", "total_revenue"]

@@ -122,14 +122,17 @@ def test_partition_upsert_rewrites_touched_days_only(spark, scratch):
     args = dict(update_cols=["temperature_2m", "run_id"], on_duplicate="error")
     storage.upsert_partitions(spark, scratch, RAW_WEATHER_STORED, df, ["location_id", "ts"], "date",
                               ts_date("ts"), **args)
-    day23 = set(os.listdir(os.path.join(local_path(scratch), "date=2026-02-23")))
+    first = storage.committed_versions(spark, scratch).collect()
     change = df.where("ts >= '2026-02-24 10:00:00' and location_id = 1") \
         .withColumn("temperature_2m", F.lit(99).cast("decimal(18,6)")).withColumn("run_id", F.lit(10).cast("long"))
     touched = storage.upsert_partitions(spark, scratch, RAW_WEATHER_STORED, change, ["location_id", "ts"],
                                         "date", ts_date("ts"), **args)
     assert [str(t) for t in touched] == ["2026-02-24"]
-    assert set(os.listdir(os.path.join(local_path(scratch), "date=2026-02-23"))) == day23
-    t = spark.read.parquet(scratch)
+    second = storage.committed_versions(spark, scratch).orderBy("version").collect()
+    assert second[:1] == first and second[1].parts == ["2026-02-24"]
+    written = os.listdir(os.path.join(local_path(scratch), second[1].folder))
+    assert [d for d in written if d.startswith("date=")] == ["date=2026-02-24"]
+    t = storage.read_parts(spark, scratch, RAW_WEATHER_STORED)
     assert t.count() == 72 and t.where("run_id = 10").count() == 14
     assert t.where("temperature_2m = 99").count() == 14
 
@@ -153,7 +156,8 @@ def test_daily_flow_exports_and_loads(spark, scratch):
                       multiline_payloads=True, raise_on_qc_failure=False)
     again = {r.location_id: r.status for r in run_daily_flow(spark, cfg2).collect()}
     assert again == {1: "FAILED", 2: "FAILED"}        # rows_touched = 0 -> guard fails, data kept
-    assert spark.read.parquet(cfg.path("raw_weather_hourly")).count() == 336
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    assert storage.read_parts(spark, cfg.path("raw_weather_hourly"), RAW_WEATHER_STORED).count() == 336
     from lakeshore.__main__ import main
     assert main(["qc", "--root", f"{scratch}/wh", "--run-ts", "2026-03-01 05:00:00"]) == 0
     assert main(["qc", "--root", f"{scratch}/wh", "--run-ts", "2026-03-02 05:00:00"]) == 1
@@ -173,25 +177,26 @@ def test_stream_upsert_full_replay_is_harmless(spark, scratch):
     stream_upsert(spark, landing, table, f"{scratch}/ck1", **args)
     df.where("location_id = 2").withColumn("run_id", F.lit(99).cast("long")).write.mode("append").json(landing)
     stream_upsert(spark, landing, table, f"{scratch}/ck1", **args)
-    first = sorted(spark.read.parquet(table).collect())
+    first = sorted(storage.read_parts(spark, table, RAW_WEATHER_STORED).collect())
     assert len(first) == 72
     stream_upsert(spark, landing, table, f"{scratch}/ck2", **args)     # replay everything
-    assert sorted(spark.read.parquet(table).collect()) == first
+    assert sorted(storage.read_parts(spark, table, RAW_WEATHER_STORED).collect()) == first
 
 
 def test_keyed_load_absorbs_reexport(spark, scratch):
+    from lakeshore.schemas import CLOUD_STORED
     from lakeshore.streaming.file_load import load_new_files_by_key
     out, dst, ck = f"{scratch}/export", f"{scratch}/cloud", f"{scratch}/ck"
     df = _weather(spark)
     export_latest(df, _dim(spark), out)
     load_new_files_by_key(spark, out, dst, ck)
-    first = spark.read.parquet(dst)
+    first = storage.read_parts(spark, dst, CLOUD_STORED)
     assert first.count() == 48
     # re-export the same day with a changed measure: new part-file names
     changed = df.withColumn("temperature_2m", F.col("temperature_2m") + F.lit(1))
     export_latest(changed, _dim(spark), out)
     load_new_files_by_key(spark, out, dst, ck)
-    after = spark.read.parquet(dst)
+    after = storage.read_parts(spark, dst, CLOUD_STORED)
     assert after.count() == 48                                    # replaced, not duplicated
     assert after.where("location_id = 1 and ts = '2026-02-24 05:00:00'").first().temperature_2m == 7.0
 
@@ -207,10 +212,10 @@ def test_refresh_model_checks_and_rerun(spark, scratch):
     assert out["daily_avg"].count() == 3                     # (Chicago, 23rd/24th), (New York, 24th)
     changed = raw.withColumn("run_id", F.lit(50).cast("long"))
     out2 = refresh_model(spark, scratch, changed, dim)
-    fact = spark.read.parquet(f"{scratch}/fact_weather_hourly")
+    from lakeshore.plans.model_refresh import _fact_stored_schema
+    fact = storage.read_parts(spark, f"{scratch}/fact_weather_hourly", _fact_stored_schema())
     assert fact.count() == 72 and fact.where("run_id = 50").count() == 72
     assert out2["reconciliation"].first().reconciled
-    from lakeshore.plans import storage
     assert storage.read_current(spark, f"{scratch}/dim_date").count() == 2
 
 
@@ -275,31 +280,155 @@ def test_partition_upsert_splits_a_hot_day_over_tasks(spark, scratch):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sorted(str(t) for t in touched) == ["2026-02-24", "2026-02-25"]
-    files = [f for f in os.listdir(os.path.join(local_path(scratch), "date=2026-02-24")) if f.startswith("part-")]
+    folder = storage.committed_versions(spark, scratch).first().folder
+    files = [f for f in os.listdir(os.path.join(local_path(scratch), folder, "date=2026-02-24"))
+             if f.startswith("part-")]
     assert len({f.split("-")[1] for f in files}) > 1
-    t = spark.read.parquet(scratch)
+    t = storage.read_parts(spark, scratch, RAW_WEATHER_STORED)
     assert t.count() == 6000 and t.where("date = '2026-02-24'").count() == 4000
     assert t.groupBy("location_id", "ts").count().where("count > 1").count() == 0
 
 
-def test_daily_flow_error_closes_runs_as_failed(spark, scratch):
-    # the same city landed twice: duplicate (location_id, ts) keys make the
-    # upsert raise; the open run must be closed FAILED and the error re-raised
+def _payload(hours=24, day=1, temperature=1.0, **other):
+    times = [f"2026-03-{day + h // 24:02d}T{h % 24:02d}:00" for h in range(hours)]
+    return {"latitude": 41.8781, "longitude": -87.6298, "location_name": "Chicago, IL",
+            "hourly": {"time": times, "temperature_2m": [temperature] * hours, "precipitation": [0.0] * hours,
+                       "windspeed_10m": [3.0] * hours}, **other}
+
+
+def _flow(scratch, **other):
+    from lakeshore.plans.flow import FlowConfig
+    return FlowConfig(**{**dict(root=f"{scratch}/wh", landing=f"{scratch}/landing", run_ts="2026-03-01 05:00:00",
+                                as_of="2026-03-01", multiline_payloads=True), **other})
+
+
+def test_daily_flow_error_closes_runs_as_failed(spark, scratch, monkeypatch):
+    # the write fails: the open run must be closed FAILED with the whole
+    # message, and the error re-raised
     from lakeshore.operators.audit import runs_state
-    from lakeshore.operators.upsert import DuplicateKeyError
-    from lakeshore.plans.flow import FlowConfig, run_daily_flow
+    from lakeshore.plans import flow
     from lakeshore.schemas import RUN_EVENTS
-    landing = f"{scratch}/landing"
-    times = [f"2026-03-01T{h:02d}:00" for h in range(24)]
-    for i in range(2):
-        _write(landing, f"p{i}.json", {"latitude": 41.8781, "longitude": -87.6298, "location_name": "Chicago, IL",
-                                       "hourly": {"time": times, "temperature_2m": [1.0] * 24,
-                                                  "precipitation": [0.0] * 24, "windspeed_10m": [3.0] * 24}})
-    cfg = FlowConfig(root=f"{scratch}/wh", landing=landing, run_ts="2026-03-01 05:00:00", as_of="2026-03-01",
-                     multiline_payloads=True)
-    with pytest.raises(DuplicateKeyError):
-        run_daily_flow(spark, cfg)
+    _write(f"{scratch}/landing", "p.json", _payload())
+    cfg, message = _flow(scratch), "no room " * 200
+
+    def fail(*args, **kwargs):
+        raise OSError(message)
+
+    monkeypatch.setattr(flow.storage, "upsert_partitions", fail)
+    with pytest.raises(OSError):
+        flow.run_daily_flow(spark, cfg)
     state = runs_state(spark.read.schema(RUN_EVENTS).parquet(cfg.path("run_events"))).collect()
     assert len(state) == 1
     assert state[0].status == "FAILED" and state[0].finished_at is not None
-    assert state[0].error_message.startswith("DuplicateKeyError")
+    assert state[0].error_message == f"OSError: {message}"
+
+
+def test_daily_flow_last_fetch_wins_and_renames(spark, scratch):
+    from lakeshore.plans.flow import run_daily_flow
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    landing = f"{scratch}/landing"
+    _write(landing, "a.json", _payload(48, location_name="Z old"))
+    _write(landing, "b.json", _payload(48, day=2, temperature=9.0, location_name="A new"))
+    os.utime(os.path.join(local_path(landing), "a.json"), (1, 1))
+    cfg = _flow(scratch)
+    (row,) = run_daily_flow(spark, cfg).collect()
+    assert (row.status, row.row_count, row.rows_exported, row.rows_loaded) == ("SUCCESS", 72, 24, 24)
+    raw = storage.read_parts(spark, cfg.path("raw_weather_hourly"), RAW_WEATHER_STORED)
+    assert raw.where("temperature_2m = 9").count() == 48 and raw.count() == 72
+    assert storage.read_current(spark, cfg.path("dim_location")).first().location_name == "A new"
+    # a second run of the day has nothing new: no export, no row twice
+    (again,) = run_daily_flow(spark, _flow(scratch, raise_on_qc_failure=False)).collect()
+    from lakeshore.schemas import CLOUD_STORED
+    assert again.rows_exported is None
+    assert storage.read_parts(spark, cfg.path("cloud_raw_weather_hourly"), CLOUD_STORED).count() == 24
+
+
+def test_bad_payloads_fail_their_runs(spark, scratch):
+    from lakeshore.operators.audit import runs_state
+    from lakeshore.plans.flow import run_daily_flow
+    from lakeshore.schemas import RUN_EVENTS
+    landing = f"{scratch}/landing"
+    _write(landing, "good.json", _payload())
+    other = _payload(latitude=1.0)
+    other["hourly"]["precipitation"][5] = "garbage"
+    _write(landing, "garbage.json", other)
+    _write(landing, "fine.json", _payload(latitude=1.0))     # the location is known by another document
+    with open(os.path.join(local_path(landing), "cut.json"), "w") as f:
+        f.write(json.dumps(_payload(latitude=2.0))[:-30])
+    cfg = _flow(scratch, raise_on_qc_failure=False)
+    rows = run_daily_flow(spark, cfg).collect()
+    assert sorted((r.location_id is None, r.status, r.row_count) for r in rows) == [
+        (False, "FAILED", 0), (False, "SUCCESS", 24), (True, "FAILED", 0)]
+    errors = [r.error_message or "" for r in runs_state(spark.read.schema(RUN_EVENTS).parquet(
+        cfg.path("run_events"))).collect()]
+    assert any("cut.json" in e for e in errors) and any("garbage.json" in e for e in errors)
+
+
+def test_a_writer_that_stops_before_its_commit_changes_nothing(spark, scratch, monkeypatch):
+    from lakeshore.functions.scalar import ts_date
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    df = _weather(spark)
+    args = (spark, scratch, RAW_WEATHER_STORED)
+    storage.upsert_partitions(*args, df, ["location_id", "ts"], "date", ts_date("ts"))
+    before = sorted(storage.read_parts(*args).collect())
+
+    def stop(*a, **k):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_commit", stop)
+        with pytest.raises(KeyboardInterrupt):
+            storage.upsert_partitions(*args, df.where("location_id = 2").withColumn("run_id", F.lit(99).cast("long")),
+                                      ["location_id", "ts"], "date", ts_date("ts"))
+    assert sorted(storage.read_parts(*args).collect()) == before
+    # the replay goes through
+    storage.upsert_partitions(*args, df.where("location_id = 2").withColumn("run_id", F.lit(99).cast("long")),
+                              ["location_id", "ts"], "date", ts_date("ts"))
+    assert storage.read_parts(*args).where("run_id = 99").count() == 24
+    assert storage.read_parts(*args).count() == len(before)
+
+
+def test_two_writers_of_one_version(spark, scratch):
+    df = _weather(spark)
+    storage.replace_table(df, scratch)
+    folder = storage._write_snapshot(df.limit(1), scratch)
+    with pytest.raises(storage.ConcurrentPublishError):
+        storage._commit(spark, scratch, 1, folder)
+    assert storage.read_current(spark, scratch).count() == df.count()
+
+
+def test_rejected_partitions_stay_unread(spark, scratch):
+    day = F.to_date("ts").alias("date")
+    df = _weather(spark).select("*", day)
+
+    def checks(x):
+        return quality.unique_report(x, ["location_id", "ts"], "raw")
+
+    odd = df.limit(2).withColumn("date", F.to_date(F.lit("2030-01-01")))
+    with pytest.raises(quality.QualityError):
+        storage.publish(df.unionByName(odd), scratch, checks, partition_by=["date"])
+    storage.publish(df, scratch, checks, partition_by=["date"])
+    assert storage.read_current(spark, scratch).where("date = '2030-01-01'").count() == 0
+    assert storage.read_current(spark, scratch).count() == df.count()
+
+
+def test_stored_days_are_pruned(spark, scratch):
+    """QC, export and the upsert read only the days they need."""
+    from lakeshore.functions.scalar import ts_date
+    from lakeshore.plans.views import plan_text
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    storage.upsert_partitions(spark, scratch, RAW_WEATHER_STORED, _weather(spark), ["location_id", "ts"], "date",
+                              ts_date("ts"))
+    some = storage.read_parts(spark, scratch, RAW_WEATHER_STORED, only=["2026-02-23"])
+    assert len(some.inputFiles()) == 1 and some.count() == 24
+    rest = storage.read_parts(spark, scratch, RAW_WEATHER_STORED).where("date = '2026-02-24'")
+    assert "PartitionFilters: [isnotnull(date" in plan_text(rest).replace("#", "(").replace("((", "(") or \
+        "date" in plan_text(rest).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_folders_of_clashing_city_names(spark):
+    from lakeshore.plans.export import city_folders
+    dim = spark.createDataFrame([(1, "St. Louis"), (2, "St Louis"), (3, "東京"), (4, "大阪"), (5, "東京")],
+                                "location_id long, location_name string")
+    got = {r.location_id: r.city for r in city_folders(dim).collect()}
+    assert got == {1: "St_Louis_1", 2: "St_Louis_2", 3: "東京", 4: "大阪", 5: "東京"}
