@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeshore.llm import (
     bpe, chat_tree, line_crf, nearest, nn_descent, packing, secrets, simhash, substring, token_files)
 from lakeshore.llm.common import table, tokenizer_bytes
+from lakeshore.llm.oracle import ORACLE_SQL
 from lakeshore.session import scratch_dir
 
 
@@ -75,4 +76,4 @@ QUERIES = {f.__name__: f for f in (
     op1_chat_tree, op2_secrets, op3_simhash, op4_nearest, op5_quality, op6_substring, op7_nn_descent, op8_packing,
     op9_token_files, op10_byte_bpe)}
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLE_SQL"]
