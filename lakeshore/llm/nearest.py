@@ -3,10 +3,11 @@
 Vectors are packed into blocks of int8 with a scale, a norm and the norm of
 the quantisation error each. Every block of queries meets every block of rows
 in one tile: the int8 product gives each pair's inner product up to a bound
-that the error norms prove. A pair survives its tile if its upper bound reaches
-the k-th largest lower bound there, and survives the merge if it reaches the
-k-th largest over all tiles; only survivors are computed from the original
-vectors, in double precision. The bounds hold, so nothing near is lost.
+that the error norms prove. Only pairs whose upper bound reaches the query's
+k-th largest lower bound in the tile, and the worst of its heap, survive; they
+are computed from the original vectors, in double precision, and enter the
+query's heap of k. Heaps are carried from tile to tile of a task and merged
+over the tasks at last. The bounds hold, so nothing near is lost.
 
 Equal vectors can tie without limit: of each distinct vector the k+1 smallest
 ids are enough for any query's k nearest, so only they enter the tiles.
@@ -23,14 +24,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshore.llm.common import saved, ship
-from lakeshore.llm.vectors import inner_product, usable
+from lakeshore.llm.vectors import usable
 
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 TILES_PER_TASK = 4
-# Queries of a tile worked on together.
-TILE_QUERIES = 128
+# Queries of a tile worked on together, pairs recomputed together, and query
+# blocks whose heaps a task holds before it hands them on.
+TILE_QUERIES, PAIRS, HELD_BLOCKS = 128, 1 << 14, 16
 
-BLOCK_SCHEMA = "block long, dim int, ids binary, hashes binary, codes binary, scales binary, norms binary, errors binary"
+BLOCK_SCHEMA = ("block long, dim int, ids binary, hashes binary, codes binary, scales binary, norms binary, "
+                "errors binary, vectors binary")
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -51,7 +54,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
             near = codes * scale[:, None]
             block += 1
             values = [block - 1, dim, np.array(ids, "<i8"), np.array(hashes, "<i8"), codes.astype(np.int8), scale,
-                      np.linalg.norm(x, axis=1), np.linalg.norm(x - near, axis=1)]
+                      np.linalg.norm(x, axis=1), np.linalg.norm(x - near, axis=1), x]
             return pa.RecordBatch.from_arrays(
                 [pa.array([values[0]], pa.int64()), pa.array([dim], pa.int32()),
                  *(pa.array([v.tobytes()], pa.binary()) for v in values[2:])], names)
@@ -71,20 +74,42 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("vec_id", "vec_hash", "embedding").mapInArrow(pack, BLOCK_SCHEMA)
 
 
-def _tile_survivors(tiles: DataFrame, k: int) -> DataFrame:
-    """Pairs of each tile whose upper bound reaches the tile's k-th largest
-    lower bound for the query."""
+def _tile_heaps(tiles: DataFrame, k: int) -> DataFrame:
+    """The k best rows of each query over the tiles of a task."""
     def arrays(b: pa.RecordBatch, i: int, side: str):
         get = lambda name, kind: np.frombuffer(b.column(side + name)[i].as_buffer(), kind)
-        codes = get("codes", np.int8).reshape(-1, b.column("dim")[i].as_py())
-        return (get("ids", "<i8"), get("hashes", "<i8"), codes, get("scales", np.float64), get("norms", np.float64),
-                get("errors", np.float64))
+        dim = b.column("dim")[i].as_py()
+        return (get("ids", "<i8"), get("codes", np.int8).reshape(-1, dim), get("scales", np.float64),
+                get("norms", np.float64), get("errors", np.float64), get("vectors", np.float64).reshape(-1, dim))
+
+    def exact(x: np.ndarray, y: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+        # Row sums: equal vectors get equal scores wherever they stand.
+        parts = [(x[q[i:i + PAIRS]] * y[r[i:i + PAIRS]]).sum(axis=1) for i in range(0, len(q), PAIRS)]
+        return np.concatenate(parts) if parts else np.zeros(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray, list[list[tuple[float, int]]]]] = {}
+
+        def hand_on() -> pa.RecordBatch:
+            rows = [(q, h, -v, s) for ids, hashes, heaps in held.values()
+                    for q, h, heap in zip(ids.tolist(), hashes.tolist(), heaps, strict=True) for s, v in heap]
+            held.clear()
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                              ["query_id", "query_hash", "vec_id", "score"])
+
         for b in batches:
             for i in range(b.num_rows):
-                q_ids, q_hash, q_codes, q_scale, q_norm, q_error = arrays(b, i, "q_")
-                ids, hashes, codes, scale, norm, error = arrays(b, i, "r_")
+                block = b.column("q_block")[i].as_py()
+                q_ids, q_codes, q_scale, q_norm, q_error, q_vectors = arrays(b, i, "q_")
+                ids, codes, scale, norm, error, vectors = arrays(b, i, "r_")
+                if block not in held:
+                    if len(held) == HELD_BLOCKS:
+                        yield hand_on()
+                    hashes = np.frombuffer(b.column("q_hashes")[i].as_buffer(), "<i8")
+                    held[block] = (q_ids, hashes, [[] for _ in q_ids])
+                heaps = held[block][2]
                 # Sums of int8 products are whole numbers that this type holds exactly.
                 kind = np.float32 if codes.shape[1] * 127 * 127 < 1 << 24 else np.float64
                 rows = codes.astype(kind).T
@@ -94,15 +119,21 @@ def _tile_survivors(tiles: DataFrame, k: int) -> DataFrame:
                     slack = (q_norm[at] + q_error[at])[:, None] * error + q_error[at, None] * norm
                     slack += 1e-9 * q_norm[at, None] * norm
                     own = q_ids[at, None] == ids
-                    lower = np.where(own, -np.inf, near - slack)
-                    least = np.partition(lower, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(lower), -np.inf)
-                    q, r = np.nonzero(~own & (near + slack >= least[:, None]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (q_ids[at][q], q_hash[at][q], ids[r], hashes[r], (near - slack)[q, r],
-                                               (near + slack)[q, r])],
-                        ["query_id", "query_hash", "vec_id", "vec_hash", "low", "high"])
-
-    return tiles.mapInArrow(run, "query_id long, query_hash long, vec_id long, vec_hash long, low double, high double")
+                    worst = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps[at]])
+                    if len(ids) > k:
+                        lower = np.where(own, -np.inf, near - slack)
+                        worst = np.maximum(worst, np.partition(lower, -k, axis=1)[:, -k])
+                    q, r = np.nonzero(~own & (near + slack >= worst[:, None]))
+                    scores = exact(q_vectors[at], vectors, q, r)
+                    for j, v, s in zip((q + lo).tolist(), ids[r].tolist(), scores.tolist(), strict=True):
+                        if len(heaps[j]) < k:
+                            heapq.heappush(heaps[j], (s, -v))
+                        elif (s, -v) > heaps[j][0]:
+                            heapq.heapreplace(heaps[j], (s, -v))
+        if held:
+            yield hand_on()
+
+    return tiles.mapInArrow(run, "query_id long, query_hash long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
@@ -126,49 +157,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     row_blocks = saved(_blocks(pool, BLOCK_ROWS), "row-blocks")
     query_blocks = saved(_blocks(rows.where(is_query), BLOCK_QUERIES), "query-blocks")
     groups = max(1, query_blocks.count())
-    salts = max(1, row_blocks.count() // TILES_PER_TASK)
+    salts = max(1, -(-rows.count() // (BLOCK_ROWS * TILES_PER_TASK)))
 
     fields = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")][2:]
     left = (query_blocks.select(F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"), "dim",
-                                *(F.col(f).alias("q_" + f) for f in fields))
+                                F.col("block").alias("q_block"), *(F.col(f).alias("q_" + f) for f in fields))
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     # Each row block goes once to every group of query blocks, under its own salt.
     right = (row_blocks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
              .select("salt", "dim", *(F.col(f).alias("r_" + f) for f in fields),
                      F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")))
-    tiles = left.join(right, ["group", "salt", "dim"]).drop("group", "salt")
-    found = _tile_survivors(tiles, k)
-
-    by_bound = (Window.partitionBy("query_id", "query_hash").orderBy(F.col("low").desc())
-                .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    found = (found.withColumn("least", F.nth_value("low", k).over(by_bound))
-             .where(F.col("least").isNull() | (F.col("high") >= F.col("least")))
-             .select("query_id", "query_hash", "vec_id", "vec_hash"))
-    q = rows.select(F.col("vec_id").alias("query_id"), F.col("vec_hash").alias("query_hash"),
-                    F.col("embedding").alias("q"))
-    x = rows.select("vec_id", "vec_hash", F.col("embedding").alias("x"))
-    scored = (found.join(q, ["query_id", "query_hash"]).join(x, ["vec_id", "vec_hash"])
-              .select("query_id", "query_hash", "vec_id", inner_product(F.col("q"), F.col("x")).alias("score")))
-    return _merge(scored, k)
-
-
-def _merge(scored: DataFrame, k: int) -> DataFrame:
-    """The k best of each query: a heap for each query in every task, and the
-    heaps' rows ranked together."""
-    def heaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            best: dict[tuple[int, int], list[tuple[float, int]]] = {}
-            for q, h, v, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                heap = best.setdefault((q, h), [])
-                if len(heap) < k:
-                    heapq.heappush(heap, (s, -v))
-                elif (s, -v) > heap[0]:
-                    heapq.heapreplace(heap, (s, -v))
-            out = [(q, h, -v, s) for (q, h), heap in best.items() for s, v in heap]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], b.schema.names)
-
-    kept = scored.mapInArrow(heaps, "query_id long, query_hash long, vec_id long, score double")
+    best = _tile_heaps(left.join(right, ["group", "salt", "dim"]).drop("group", "salt"), k)
     order = Window.partitionBy("query_id", "query_hash").orderBy(F.col("score").desc(), "vec_id")
-    return (kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

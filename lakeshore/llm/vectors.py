@@ -11,9 +11,3 @@ def usable(embedding: Column) -> Column:
     (never null itself)."""
     finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce((F.size(embedding) > 0) & finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
-
-
-def inner_product(a: Column, b: Column) -> Column:
-    """Inner product in double precision."""
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
