@@ -182,8 +182,10 @@ def _estimated_repeated(bits: np.ndarray, cell_bits: int, h1: np.ndarray, h2: np
 def repeated_windows(texts: DataFrame, width: int, sketch, cell_bits: int) -> DataFrame:
     """(id, copy, lo, hi): runs of starts of windows whose words also start
     earlier. ``texts`` as made by :func:`keyed_text`."""
-    names = ["h1", "h2", "id", "copy", "lo", "hi", "settled"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+    # settled: the length of a run of windows known to be repeated; 0 for a
+    # window that is still open, the earliest of its hash in its task.
+    names = ["h1", "h2", "id", "copy", "lo", "settled"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sketch.value
@@ -197,20 +199,22 @@ def repeated_windows(texts: DataFrame, width: int, sketch, cell_bits: int) -> Da
             new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
             first = np.flatnonzero(new)[np.cumsum(new) - 1]
             settled = (doc != doc[first]) | (copy != copy[first]) | (at != at[first])
-            # Open: the earliest here, for comparison with other tasks' windows.
-            yield batch(h1[new], h2[new], doc[new], copy[new], at[new], at[new], False)
+            # Open rows in the order of the text, which the shuffle compresses better.
+            kept_order = np.flatnonzero(new)
+            kept_order = kept_order[np.lexsort((at[new], copy[new], doc[new]))]
+            yield batch(*(x[kept_order] for x in (h1, h2, doc, copy, at)), np.zeros(len(kept_order), np.int32))
             doc, copy, at = (x[settled] for x in (doc, copy, at))
             if len(doc):
                 order = np.lexsort((at, copy, doc))
                 doc, copy, at = (x[order] for x in (doc, copy, at))
                 breaks = np.r_[True, (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (at[1:] > at[:-1] + 1)]
                 lo = np.flatnonzero(breaks)
-                hi = np.r_[lo[1:], len(doc)] - 1
+                length = np.diff(np.r_[lo, len(doc)])
                 spread = _mix(doc[lo].astype(np.uint64) * np.uint64(31) + at[lo].astype(np.uint64))
-                yield batch(spread, spread, doc[lo], copy[lo], at[lo], at[hi], True)
+                yield batch(spread, spread, doc[lo], copy[lo], at[lo], length)
 
-        def batch(h1, h2, doc, copy, lo, hi, settled) -> pa.RecordBatch:
-            columns = [h1.view(np.int64), h2.view(np.int64), doc, copy, lo, hi, np.full(len(h1), settled)]
+        def batch(h1, h2, doc, copy, lo, settled) -> pa.RecordBatch:
+            columns = [h1.view(np.int64), h2.view(np.int64), doc, copy, lo, settled]
             return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)],
                                               names)
 
@@ -229,10 +233,10 @@ def repeated_windows(texts: DataFrame, width: int, sketch, cell_bits: int) -> Da
             yield from flush()
 
     found = texts.select("id", "copy", "text").mapInArrow(
-        candidates, "h1 long, h2 long, id long, copy int, lo int, hi int, settled boolean")
-    place = F.rank().over(Window.partitionBy("h1", "h2", "settled").orderBy("id", "copy", "lo"))
-    return (found.withColumn("place", place).where("settled OR place > 1")
-            .select("id", "copy", "lo", "hi"))
+        candidates, "h1 long, h2 long, id long, copy int, lo int, settled int")
+    place = F.rank().over(Window.partitionBy("h1", "h2", F.col("settled") > 0).orderBy("id", "copy", "lo"))
+    return (found.withColumn("place", place).where("settled > 0 OR place > 1")
+            .select("id", "copy", "lo", (F.col("lo") + F.greatest(F.col("settled") - 1, F.lit(0))).alias("hi")))
 
 
 def _removed(n: int, lows: np.ndarray, highs: np.ndarray, width: int) -> np.ndarray:
