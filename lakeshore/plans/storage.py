@@ -103,6 +103,15 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType, only: Seque
     return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
 
 
+def parts_since(spark: SparkSession, path: str, version: int = 0) -> list[str]:
+    """The days that commits after ``version`` wrote (what a refresh that saw
+    ``version`` has yet to see)."""
+    log = committed_versions(spark, path)
+    if log is None:
+        return []
+    return sorted(r[0] for r in log.where(F.col("version") > version).select(F.explode("parts")).distinct().collect())
+
+
 def _new_folder() -> str:
     return f"attempt=a{uuid.uuid4().hex}"
 
@@ -220,5 +229,5 @@ def _touched_and_checked(src: DataFrame, keys: list, partition_col: str) -> list
     return [r[partition_col] for r in check_keys(src, keys, by=[partition_col])]
 
 
-__all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "read_parts",
+__all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "read_parts", "parts_since",
            "replace_table", "publish", "ensure_table", "upsert_partitions", "ConcurrentPublishError"]

@@ -711,16 +711,26 @@ def people_mart_build(spark, sf):
 
 
 def model_refresh_build(spark, sf):
-    """The hourly model refresh on stored tables, twice (the second run finds
-    every date present and rewrites the same facts); daily averages read back."""
+    """The hourly model refresh on stored tables, twice: the second run sees
+    only the days that changed in the raw table since the first; daily
+    averages read back."""
+    from lakeshore.plans import storage
     from lakeshore.plans.model_refresh import refresh_model
+    from lakeshore.schemas import RAW_WEATHER_STORED
     from lakeshore.session import scratch_dir
     root = scratch_dir(spark, "model")
+    raw, dim = f"{root}/raw", SI.locations(spark, sf)
     target, src = _split(spark, sf)
-    dim = SI.locations(spark, sf)
-    refresh_model(spark, root, target, dim)
-    upserted = _upsert_hourly(target, src, RUN_TS2)
-    out = refresh_model(spark, root, upserted, dim)
+    seen = 0
+    for rows, run_ts in ((target, RUN_TS), (src, RUN_TS2)):
+        storage.upsert_partitions(
+            spark, raw, RAW_WEATHER_STORED, rows, ["location_id", "ts"], "date", S.ts_date("ts"),
+            update_cols=["temperature_2m", "precipitation", "windspeed_10m", "run_id"],
+            insert_defaults={"source": DEFAULT_WEATHER_SOURCE, "ingested_at": S.ntz(run_ts)},
+            touch={"ingested_at": S.ntz(run_ts)})
+        days = storage.parts_since(spark, raw, seen)
+        out = refresh_model(spark, root, read_parts(spark, raw, RAW_WEATHER_STORED, only=days), dim, days)
+        seen = storage.current_version(spark, raw)
     return out["daily_avg"]
 
 

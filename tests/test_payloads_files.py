@@ -432,3 +432,22 @@ def test_folders_of_clashing_city_names(spark):
                                 "location_id long, location_name string")
     got = {r.location_id: r.city for r in city_folders(dim).collect()}
     assert got == {1: "St_Louis_1", 2: "St_Louis_2", 3: "東京", 4: "大阪", 5: "東京"}
+
+
+def test_refresh_writes_only_changed_days_and_checks_keys_first(spark, scratch):
+    from lakeshore.plans.model_refresh import _fact_stored_schema, refresh_model
+    raw, dim = _weather(spark), _dim(spark)
+    runs = spark.createDataFrame([(7,), (8,)], "run_id long")
+    refresh_model(spark, scratch, raw, dim, runs=runs)
+    changed = raw.withColumn("temperature_2m", F.lit(3).cast("decimal(18,6)"))
+    refresh_model(spark, scratch, changed, dim, days=["2026-02-23"], runs=runs)
+    fact_path = f"{scratch}/fact_weather_hourly"
+    log = storage.committed_versions(spark, fact_path).orderBy("version").collect()
+    assert [r.parts for r in log] == [["2026-02-23", "2026-02-24"], ["2026-02-23"]]
+    assert storage.parts_since(spark, fact_path, 1) == ["2026-02-23"]
+    before = storage.read_parts(spark, fact_path, _fact_stored_schema())
+    assert before.where("temperature_2m = 3").where("date = '2026-02-23'").count() == 24
+    # a run that the log does not know keeps the refresh from being published
+    with pytest.raises(quality.QualityError, match="orphan_run_id"):
+        refresh_model(spark, scratch, raw.withColumn("run_id", F.lit(99).cast("long")), dim, runs=runs)
+    assert storage.read_parts(spark, fact_path, _fact_stored_schema()).where("run_id = 99").count() == 0
