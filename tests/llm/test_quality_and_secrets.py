@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
-from conftest import doc_row, prose
+from odd_rows import doc_row, prose
 from pyspark.sql import functions as F
 
 from lakeshore.llm import line_crf, secrets
