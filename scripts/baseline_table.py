@@ -15,7 +15,7 @@ GROUPS = {
     "People / events (P2, W1, J2, Q1, M1-M3)": [
         "raw_null_profile", "stg_null_profile", "raw_age_out_of_range", "raw_duplicate_emails",
         "stg_people_clean", "dim_people_latest", "dim_people_upsert", "fact_events_lookup",
-        "fact_events_good", "events_quarantine", "quarantine_summary", "split_reconciliation",
+        "fact_events_lookup_shuffled", "literal_rows", "fact_events_good", "events_quarantine", "quarantine_summary", "split_reconciliation",
         "check_constraints_report", "unknown_person_counts", "mart_revenue_by_country",
         "mart_purchases_per_person", "zero_activity_left", "events_by_type", "global_counts",
         "people_mart_build"],
@@ -23,18 +23,23 @@ GROUPS = {
         "stg_hourly_labelled", "dim_date_build", "dim_date_insert_missing", "location_keys",
         "fact_hourly_load", "fact_hourly_upsert", "insert_update_counts", "upsert_replay",
         "layer_reconciliation", "orphan_dates", "orphan_locations", "duplicate_grain",
-        "composite_distinct_gap", "unique_keys_report", "load_guard_full", "load_guard_incremental",
+        "composite_distinct_gap", "unique_keys_report", "load_guard_full", "load_guard_incremental", "load_guard_week",
         "stg_view_sql", "model_refresh_build"],
     "Marts and run log (M4-M10, K9, Q9, I1-I4)": [
         "mart_daily_avg", "mart_daily_sum", "mart_top5_per_location", "mart_daily_avg_sql",
-        "watermark_per_location", "fetch_windows", "windowed_rows", "run_state_latest", "recent_runs",
+        "watermark_per_location", "fetch_windows", "windowed_rows", "windowed_rows_strict", "run_state_latest", "recent_runs",
         "latest_run_rows", "qc_runs_report", "qc_latest_run", "latest_day_per_location", "rows_per_run", "filtered_slice",
         "location_labels", "run_params_json", "date_arithmetic", "label_lookup_left", "payload_explode"],
     "Files and streams (K1, K5-K8, S5-S7, I5-I9)": [
         "export_roundtrip", "load_new_files", "load_report", "reexport_load_by_key",
         "export_with_empty_location", "full_refresh_with_defaults", "publish_rollback", "stream_upsert",
         "stream_payload_upsert",
-        "multi_location_load", "daily_flow", "daily_flow_incremental"],
+        "multi_location_load", "daily_flow", "daily_flow_incremental", "daily_flow_failing", "daily_flow_rerun",
+        "overlapping_fetches", "stream_overlapping_fetches", "bad_payloads", "publish_partitioned_after_failure",
+        "load_report_files", "export_clashing_names", "export_one_day"],
+    "Training-data operators and pipeline": [
+        "op1_chat_tree", "op2_secrets", "op3_simhash", "op4_nearest", "op5_quality", "op6_substring",
+        "op7_nn_descent", "op8_packing", "op9_token_files", "op10_byte_bpe", "pipeline"],
 }
 
 
@@ -45,6 +50,8 @@ def main() -> None:
     seen = set()
     for g, names in GROUPS.items():
         names = [n for n in names if n in q]
+        if not names:
+            continue
         seen |= set(names)
         slow = max(names, key=lambda n: q[n])
         rows.append(f"| {g} | {len(names)} | {sum(q[n] for n in names):.1f} | {slow} {q[slow]:.1f} s |")
