@@ -131,8 +131,9 @@ def features(findings: DataFrame, terms: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, terms: DataFrame) -> RandomForestClassificationModel | None:
     """A forest from labelled findings: columns FINDING and label (1: secret, 0:
     false positive; null labels don't count). None unless both labels occur."""
-    rows = saved(features(labelled.where("label IS NOT NULL"), terms).select(
-        *FEATURES, F.col("label").cast("double").alias("label")), "labelled-findings")
+    labelled = saved(labelled.where("label IS NOT NULL"), "labelled-findings")
+    rows = saved(features(labelled, terms).select(
+        *FEATURES, F.col("label").cast("double").alias("label")), "training-rows")
     if rows.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features",
@@ -172,13 +173,15 @@ def derived_findings(docs: DataFrame, terms: DataFrame, documents: int = TRAIN_D
     """
     chosen = (docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents))
-    sample = docs.join(F.broadcast(chosen), "doc_id")
-    real = features(candidates(sample), terms)
+    # Written once: everything below reads the sample several times.
+    columns = [c for c in ("doc_id", "text", "source") if c in docs.columns]
+    sample = saved(docs.select(*columns).join(F.broadcast(chosen), "doc_id"), "secret-sample")
+    real = features(saved(candidates(sample), "sample-candidates"), terms)
     rule = ((F.col("key_word") == 1) & (F.col("assigned") == 1) & (F.col("neutral_word") == 0)
             & (F.col("distinct") * F.col("length") >= 8) & (F.col("coverage") < 0.5))
     real = real.select(*FINDING, rule.cast("int").alias("label"))
 
-    path = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
+    path = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in columns else F.lit("")
     words = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+")
     seed = F.col("doc_id").cast("string")
     rows = sample.dropDuplicates(["doc_id"]).select(
