@@ -121,7 +121,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     connect all of them within ``max_bits`` bits of each other."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("two halves with one wildcard find links of at most three bits")
-    parts, keys, frame = [], [], fps
+    # Each fingerprint becomes 64 rows: spread them before, and don't let the
+    # small table they come from be merged into a few tasks.
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, keys, frame = [], [], fps.repartition(spread, "fp")
     # Free bits before each split: both halves; the other half; its other quarter.
     levels = [("k1", "0", 32),
               ("k2", "32 * (1 - shiftright(k1, 37))", 16),
