@@ -47,7 +47,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = substring.remove_repeats(table(spark, sf_dir, "documents"), width=20)
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), width=20)
     return kept.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -1,6 +1,8 @@
 """Substring dedup with a count-min prefilter (operator 6).
 
-Every window of consecutive words has a 128-bit hash. First pass: each task
+Every window of consecutive words has a 96-bit hash (by a multilinear hash of
+64-bit word hashes; two different windows of 10^13 share one with a
+probability of about 1 in 1000). First pass: each task
 counts its windows in sketches, two rows of cells addressed by independent
 halves of the hash; the sketches are merged by addition, block of cells by
 block, and a window whose cells both hold two or more is estimated repeated.
@@ -17,6 +19,7 @@ the result stays the same.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -185,15 +188,16 @@ def repeated_windows(texts: DataFrame, width: int, sketch, cell_bits: int) -> Da
     # settled: the length of a run of windows known to be repeated; 0 for a
     # window that is still open, the earliest of its hash in its task.
     names = ["h1", "h2", "id", "copy", "lo", "settled"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sketch.value
+        bits = np.frombuffer(zlib.decompress(sketch.value), np.uint8).reshape(2, -1)
         kept: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             h1, h2, doc, copy, at = (np.concatenate(x) for x in zip(*kept, strict=True))
             kept.clear()
+            h2 = (h2 >> np.uint64(32)).astype(np.uint32)
             order = np.lexsort((at, copy, doc, h2, h1))
             h1, h2, doc, copy, at = (x[order] for x in (h1, h2, doc, copy, at))
             new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
@@ -211,10 +215,10 @@ def repeated_windows(texts: DataFrame, width: int, sketch, cell_bits: int) -> Da
                 lo = np.flatnonzero(breaks)
                 length = np.diff(np.r_[lo, len(doc)])
                 spread = _mix(doc[lo].astype(np.uint64) * np.uint64(31) + at[lo].astype(np.uint64))
-                yield batch(spread, spread, doc[lo], copy[lo], at[lo], length)
+                yield batch(spread, spread.astype(np.uint32), doc[lo], copy[lo], at[lo], length)
 
         def batch(h1, h2, doc, copy, lo, settled) -> pa.RecordBatch:
-            columns = [h1.view(np.int64), h2.view(np.int64), doc, copy, lo, settled]
+            columns = [h1.view(np.int64), h2.view(np.int32), doc, copy, lo, settled]
             return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)],
                                               names)
 
@@ -233,7 +237,7 @@ def repeated_windows(texts: DataFrame, width: int, sketch, cell_bits: int) -> Da
             yield from flush()
 
     found = texts.select("id", "copy", "text").mapInArrow(
-        candidates, "h1 long, h2 long, id long, copy int, lo int, settled int")
+        candidates, "h1 long, h2 int, id long, copy int, lo int, settled int")
     place = F.rank().over(Window.partitionBy("h1", "h2", F.col("settled") > 0).orderBy("id", "copy", "lo"))
     return (found.withColumn("place", place).where("settled > 0 OR place > 1")
             .select("id", "copy", "lo", (F.col("lo") + F.greatest(F.col("settled") - 1, F.lit(0))).alias("hi")))
@@ -269,7 +273,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
     spaces = F.length("text") - F.length(F.translate("text", " \t\n\u000b\f\r", ""))
     words = texts.agg(F.sum(spaces + 1)).first()[0] or 0
     cell_bits = min(MAX_CELL_BITS, max(MIN_CELL_BITS, int(words * CELLS_PER_WINDOW - 1).bit_length()))
-    sketch = spark.sparkContext.broadcast(_sketch(texts, width, cell_bits))
+    sketch = spark.sparkContext.broadcast(zlib.compress(_sketch(texts, width, cell_bits).tobytes(), 1))
     runs = (repeated_windows(texts, width, sketch, cell_bits).groupBy("id", "copy")
             .agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs")))
 
