@@ -6,8 +6,10 @@ the group of each of its neighbours, so that neighbours of neighbours meet and
 are compared; better ones enter the lists, and pairs at or above the threshold
 are kept as links whether or not a list has room. A list whose every entry is
 at or above the threshold is saturated and doubles. Rounds end when few lists
-change. Recall is then audited by brute force for a bounded sample of vectors;
-below ``RECALL`` new projections and further rounds follow.
+change. Recall is then audited by brute force for a bounded sample of vectors,
+vector by vector, so that large groups don't hide lost small ones; below
+``RECALL`` new projections and further rounds follow, and where they stop
+helping the operator raises with the measured recall.
 
 Links join vectors into components; inside each component every two vectors
 are compared in tiles of bounded size, which gives exact link counts without
@@ -36,7 +38,11 @@ CHUNK_VECTORS = 96
 OFFERS = 4
 ROUNDS, MORE_TREES = 4, 3
 SETTLED_SHARE = 0.02
-RECALL, AUDIT_VECTORS = 0.999, 200
+# The audit takes AUDIT_VECTORS vectors with known links and as many without; a
+# component counts with about AUDIT_GROUP of its vectors at most.
+RECALL, AUDIT_VECTORS, AUDIT_GROUP = 0.999, 2000, 64
+# Links this near to the threshold may be decided either way by rounding.
+ROUNDING = 1e-12
 TILE_VECTORS = 512
 
 NODE_SCHEMA = "v long, vec binary, room int, ids binary, sims binary"
@@ -100,14 +106,23 @@ def _leaves(nodes: DataFrame, n: int, first_tree: int, trees: int) -> DataFrame:
     return nodes.mapInArrow(run, MEMBER_SCHEMA)
 
 
-def _neighbour_groups(nodes: DataFrame) -> DataFrame:
-    """Each vector in its own group and in that of each of its neighbours."""
+def _spread(v: int, salt: int) -> float:
+    """A place from 0 to 1 for a vector, another one for each salt."""
+    x = (v + salt * 0xD1B54A32D192ED03) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+    x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+    return (x >> 11) / (1 << 53)
+
+
+def _neighbour_groups(nodes: DataFrame, salt: int) -> DataFrame:
+    """Each vector in its own group and in that of each of its neighbours;
+    ``salt``: number of the round, so that the members of a group of several
+    chunks meet others in each round."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for v, vec, ids, worst in _node_rows(b):
                 rows.append((-1, v, -1.0, v, vec, worst))
-                spread = (v * 0x9E3779B97F4A7C15 & (1 << 53) - 1) / (1 << 53)
+                spread = _spread(v, salt)
                 rows += [(-1, u, spread, v, vec, worst) for u in ids.tolist()]
             if rows:
                 yield _member_batch(rows)
@@ -233,9 +248,20 @@ def _improve(nodes: DataFrame, offers: DataFrame, threshold: float) -> DataFrame
     return entries.mapInArrow(run, NODE_SCHEMA + ", changed boolean")
 
 
-def _missed(nodes: DataFrame, threshold: float) -> float:
-    """Share of a bounded sample's links that lead to another component."""
-    sample = (nodes.orderBy(F.xxhash64("v"), "v").limit(AUDIT_VECTORS).select("v", "vec", "component").collect())
+def _missed(nodes: DataFrame, threshold: float, salt: int = 0) -> float:
+    """Mean share of a vector's links that lead to another component, over the
+    vectors that have links; estimated by brute force for a bounded sample of
+    the vectors with known links and one of those without, other ones for each
+    ``salt``. Vectors of components beyond AUDIT_GROUP are thinned to that."""
+    sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    draw = F.pmod(F.xxhash64("v", F.lit(salt)), F.lit(1 << 40)) / (1 << 40)
+    drawn = (nodes.select("v", "component").join(sizes, "component").where(draw * F.col("size") < AUDIT_GROUP)
+             .select("v", (F.col("size") > 1).alias("linked")))
+    of_kind = {r["linked"]: r["n"] for r in drawn.groupBy("linked").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known, single = (drawn.where(kind).orderBy(F.xxhash64("v", F.lit(salt), F.lit(1)), "v").limit(AUDIT_VECTORS)
+                     for kind in ("linked", "NOT linked"))
+    sample = (nodes.join(F.broadcast(known.unionAll(single)), "v").select("v", "vec", "component", "linked")
+              .collect())
     by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for size in {len(r["vec"]) for r in sample}:
         own = [r for r in sample if len(r["vec"]) == size]
@@ -243,20 +269,46 @@ def _missed(nodes: DataFrame, threshold: float) -> float:
                          np.frombuffer(b"".join(r["vec"] for r in own), "<f8").reshape(len(own), -1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = missed = 0
+        found, missed = ({size: np.zeros(len(ids), np.int64) for size, (ids, _, _) in by_size.items()}
+                         for _ in range(2))
+
+        def compare(size: int, tile: list[tuple[int, bytes, int]]) -> None:
+            ids, components_, x = by_size[size]
+            sims = x @ np.frombuffer(b"".join(t[1] for t in tile), "<f8").reshape(len(tile), -1).T
+            sims[ids[:, None] == np.array([t[0] for t in tile])] = -3.0
+            same = components_[:, None] == np.array([t[2] for t in tile])
+            found[size] += ((sims >= threshold) & same).sum(axis=1)
+            missed[size] += ((sims >= threshold + ROUNDING) & ~same).sum(axis=1)
+
+        tiles: dict[int, list[tuple[int, bytes, int]]] = {size: [] for size in by_size}
         for b in batches:
-            for v, vec, component in zip(*(b.column(c).to_pylist() for c in ("v", "vec", "component")), strict=True):
-                if len(vec) not in by_size:
+            for row in zip(*(b.column(c).to_pylist() for c in ("v", "vec", "component")), strict=True):
+                size = len(row[1])
+                if size not in tiles:
                     continue
-                ids, components_, x = by_size[len(vec)]
-                close = (x @ np.frombuffer(vec, "<f8") >= threshold) & (ids != v)
-                found += int((close & (components_ == component)).sum())
-                missed += int((close & (components_ != component)).sum())
-        yield pa.RecordBatch.from_pydict({"found": [found], "missed": [missed]})
-
-    n = nodes.select("v", "vec", "component").mapInArrow(run, "found long, missed long").agg(
-        F.sum("found").alias("found"), F.sum("missed").alias("missed")).first()
-    return (n["missed"] or 0) / max(1, (n["found"] or 0) + (n["missed"] or 0))
+                tiles[size].append(row)
+                if len(tiles[size]) == TILE_VECTORS:
+                    compare(size, tiles[size])
+                    tiles[size] = []
+        for size, tile in tiles.items():
+            if tile:
+                compare(size, tile)
+            some = np.flatnonzero(found[size] + missed[size])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(by_size[size][0][some], pa.int64()), pa.array(found[size][some], pa.int64()),
+                 pa.array(missed[size][some], pa.int64())], ["v", "found", "missed"])
+
+    # At most a row for each vector of the sample.
+    links = (nodes.select("v", "vec", "component").mapInArrow(run, "v long, found long, missed long").groupBy("v")
+             .agg(F.sum("found").alias("found"), F.sum("missed").alias("missed")).collect())
+    share = {r["v"]: r["missed"] / (r["found"] + r["missed"]) for r in links}
+    lost = having = 0.0
+    for kind, n in of_kind.items():
+        own = [r["v"] for r in sample if r["linked"] == kind]
+        with_links = [share[v] for v in own if v in share]
+        lost += n * sum(with_links) / max(1, len(own))
+        having += n * len(with_links) / max(1, len(own))
+    return lost / having if having else 0.0
 
 
 def _labelled(nodes: DataFrame, links: list[DataFrame]) -> DataFrame:
@@ -332,7 +384,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     link with nothing (no links, their own component). Vectors of different
     lengths never link. Equal vectors link with each other; repeated rows are
     rows of their own. A null vec_id stays null and never names a component
-    that has another. An empty table gives no rows.
+    that has another. An empty table gives no rows. RuntimeError where the
+    audited recall stays below RECALL.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -356,14 +409,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         nodes = better
         return (better.where("changed").count() or 0) / max(1, n)
 
-    for attempt in range(1 + MORE_TREES):
+    least_missed, attempt, in_vain = 1.0, 0, 0
+    while True:
         round_of(_leaves(nodes.drop("changed"), n, attempt * PROJECTION_TREES, PROJECTION_TREES))
-        for _ in range(ROUNDS):
-            if round_of(_neighbour_groups(nodes.drop("changed"))) < SETTLED_SHARE:
+        for step in range(ROUNDS):
+            if round_of(_neighbour_groups(nodes.drop("changed"), attempt * ROUNDS + step)) < SETTLED_SHARE:
                 break
         labelled = saved(_labelled(nodes.select("v", "vec"), links), "labelled")
-        if _missed(labelled, threshold) <= 1 - RECALL:
+        missed = _missed(labelled, threshold, attempt)
+        if missed <= 1 - RECALL:
             break
+        in_vain = 0 if missed < least_missed else in_vain + 1
+        if in_vain == MORE_TREES:
+            raise RuntimeError(f"near_duplicates: recall {1 - missed:.5f} after {attempt + 1} attempts, "
+                               f"{RECALL} wanted; the last {in_vain} did not raise it")
+        least_missed = min(least_missed, missed)
+        drop_saved(labelled)
+        attempt += 1
 
     members = labelled.join(classes.select("v", "n", "first_id"), "v")
     counts = _link_counts(members.select("v", "n", "vec", "component"), threshold)

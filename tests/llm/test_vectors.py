@@ -115,6 +115,40 @@ def test_missed_links_are_counted(spark):
     assert nn_descent._missed(nodes, 0.9) == pytest.approx(4 / 6)
 
 
+def test_a_large_group_hides_no_lost_pairs(spark):
+    r = np.random.default_rng(3)
+
+    def unit(x):
+        return bytearray((x / np.linalg.norm(x)).tobytes())
+
+    centre = r.normal(size=64)
+    rows = [(i, unit(centre + 0.01 * r.normal(size=64)), 0) for i in range(1500)]
+    for i in range(2000, 2040, 2):  # twenty pairs, their vectors in components of their own
+        x = r.normal(size=64)
+        rows += [(i, unit(x), i), (i + 1, unit(x + 0.01 * r.normal(size=64)), i + 1)]
+    nodes = spark.createDataFrame(rows, "v long, vec binary, component long")
+    assert nn_descent._missed(nodes, 0.9) > 0.2
+    whole = nodes.withColumn("component", F.expr("CASE WHEN v < 2000 THEN 0 ELSE v - v % 2 END"))
+    assert nn_descent._missed(whole, 0.9) == 0
+
+
+def test_recall_is_reached_or_raised(frame, monkeypatch):
+    shares = iter([0.5, 0.4, 0.3, 0.2, 0.1, 0.0])
+    monkeypatch.setattr(nn_descent, "_missed", lambda *_: next(shares))
+    nn_descent.near_duplicates(frame.limit(20), 0.9)
+    assert list(shares) == []
+    monkeypatch.setattr(nn_descent, "_missed", lambda *_: 0.25)
+    with pytest.raises(RuntimeError, match="recall 0.75"):
+        nn_descent.near_duplicates(frame.limit(20), 0.9)
+
+
+def test_chunks_differ_from_round_to_round():
+    order = [sorted(range(500), key=lambda v: nn_descent._spread(v, salt)) for salt in range(3)]
+    firsts = [set(o[:96]) for o in order]
+    assert len(firsts[0] & firsts[1]) < 60 and len(firsts[1] & firsts[2]) < 60
+    assert all(0 <= nn_descent._spread(v, 7) < 1 for v in (0, 1, 1 << 40, (1 << 62) + 3))
+
+
 def test_near_duplicates_of_nothing(spark):
     got = nn_descent.near_duplicates(spark.createDataFrame([], SCHEMA), 0.9)
     assert got.count() == 0 and got.columns == ["vec_id", "n_links", "component_id", "kept"]
