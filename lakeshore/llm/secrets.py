@@ -16,12 +16,26 @@ from pyspark.sql import functions as F
 from lakeshore.llm.common import matched, saved, with_text
 
 # A candidate: 16 or more characters of keys, hashes and encoded bytes, with a
-# digit or a change from lower to upper case.
-VALUE = r"[A-Za-z0-9][A-Za-z0-9_+/.\-]{14,}[A-Za-z0-9]={0,2}"
+# digit or a change from lower to upper case; and whatever is assigned to a key
+# word or is the password of a URL, from six characters on.
+VALUE = r"[A-Za-z0-9][A-Za-z0-9_+/.\-]{14,}[A-Za-z0-9_+/\-]={0,2}"
 MAYBE = r"[A-Za-z0-9_+/.\-]{16}"
 VARIED = r"[0-9]|[a-z][A-Z]"
 KEY_WORDS = r"token|secret|passw|pwd|api.?key|access.?key|auth|credential|private|bearer"
 NEUTRAL_WORDS = r"commit|revision|checksum|digest|version|uuid|build|hash|sha\d*$"
+# A key word's name, the sign behind it, and the value: in quotes, or up to
+# white space without the punctuation that closes it; a scheme is no value.
+NAME = rf"(?i)(?:{KEY_WORDS})[A-Za-z0-9_.\-]{{0,64}}[\"'`\]]{{0,2}}"
+SIGN = r"(?:=>|:=|==?|:)"
+RUN = r"(?:([\"'`])((?:(?!\1)\S){6,})\1|((?![\"'`]|(?i:bearer|basic)$)\S{5,}[^\s,;)\]}>.\"'`]))"
+SCHEME = r"(?i)\b(?:bearer|basic)$"
+URL_PASSWORD = r"[A-Za-z][A-Za-z0-9+.\-]{0,20}://[^\s/:@]{0,200}:([^\s/@]{6,})@"
+# A quoted value of several words; possessive, so that no line is read twice.
+PHRASE = (rf"{NAME}[\x20\t]{{0,8}}{SIGN}[\x20\t]{{0,8}}"
+          r"(?:\"[^\"\s]*+[\x20\t][^\"\r\n]*+\"|'[^'\s]*+[\x20\t][^'\r\n]*+')")
+PROVIDER = (r"^(?:A[KS]IA[0-9A-Z]{12}|gh[pousr]_|github_pat_|glpat-|xox[abeoprs]-|[srp]k[-_](?:live|test|ant|proj)|"
+            r"AIza|ya29\.|npm_|pypi-|SG\.|hf_|dop_v1_|shpat_|eyJ[A-Za-z0-9_\-]{8,})")
+PEM = r"PRIVATE KEY-----$|(?:^|\s)[A-Za-z0-9+/]{60,76}$"
 PATH_SAMPLES = r"test|example|sample|mock|fixture|docs?/"
 PATH_SETTINGS = r"\.(env|pem|key|cfg|conf|ini|ya?ml|json|properties|toml)$"
 
@@ -58,31 +72,65 @@ def transitions(terms: DataFrame) -> DataFrame:
     return counts.select("pair", F.log((F.col("n") + 1) / (F.sum("n").over(of_first) + alphabet)).alias("log_p"))
 
 
+def _assigned_values(before: Column, word: Column) -> Column:
+    """Values in ``word`` that a key word names, in it or at the end of
+    ``before``, and passwords of URLs in it."""
+    def runs(text: Column, lead: str) -> list[Column]:
+        return [F.regexp_extract_all(text, F.lit(lead + RUN), F.lit(i)) for i in (2, 3)]
+
+    none = F.array().cast("array<string>")
+    within = runs(word, NAME + SIGN)
+    named = before.rlike(rf"{NAME} ?{SIGN}$") | before.rlike(SCHEME)
+    behind = [F.when(named, c).otherwise(none) for c in runs(word, "^")]
+    signed = [F.when(before.rlike(NAME + "$"), c).otherwise(none) for c in runs(word, "^" + SIGN)]
+    url = F.regexp_extract_all(word, F.lit(URL_PASSWORD), F.lit(1))
+    return F.filter(F.concat(*within, *behind, *signed, url), lambda v: v != "")
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: its key (doc_id, text_hash, number of the word,
-    number within the word), value, the two words before, what stands before
-    and behind it in its own word, the word after, and the document's path
-    (column source; empty where the table has none)."""
+    number within the word; negative for a quoted value of several words),
+    value, the two words before, what stands before and behind it in its own
+    word, the word after, and the document's path (column source; empty where
+    the table has none)."""
     path = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), path.alias("path"))
-    texts = texts.where(F.col("text").rlike(MAYBE)).withColumn("text_hash", F.xxhash64("text"))
-    texts = texts.withColumn("words", F.split("text", r"[\x20\x09-\x0D]+"))
+    key_word = rf"(?i)(?:{KEY_WORDS}|basic)|://"
+    texts = texts.where(F.col("text").rlike(MAYBE) | F.col("text").rlike(key_word)).withColumn(
+        "text_hash", F.xxhash64("text"))
+    split = texts.withColumn("words", F.split("text", r"[\x20\x09-\x0D]+"))
 
     def word(i: Column) -> Column:
         return F.coalesce(F.get("words", i), F.lit(""))
 
-    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: word(i).rlike(MAYBE))
+    def maybe(i: Column) -> Column:
+        return word(i).rlike(MAYBE) | (F.length(word(i)) >= 6) & F.concat_ws(" ", word(i - 2), word(i - 1), word(i)).rlike(
+            key_word)
+
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), maybe)
     found = F.transform(places, lambda i: F.struct(
         i.alias("at"), word(i).alias("word"), F.concat_ws(" ", word(i - 2), word(i - 1)).alias("before"),
         word(i + 1).alias("after")))
-    rows = texts.select("doc_id", "text_hash", "path", F.explode(found).alias("x")).select(
+    rows = split.select("doc_id", "text_hash", "path", F.explode(found).alias("x")).select(
         "doc_id", "text_hash", "path", "x.*")
-    rows = rows.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(VALUE), F.lit(0))).alias("nth", "value"))
-    return (rows.where(F.col("value").rlike(VARIED))
-            .withColumn("prefix", F.expr("substring_index(word, value, 1)"))
-            .withColumn("suffix", F.expr("substr(word, length(prefix) + length(value) + 1)"))
-            .select(*FINDING))
+    varied = F.filter(F.regexp_extract_all("word", F.lit(VALUE), F.lit(0)), lambda v: v.rlike(VARIED))
+    assigned = F.filter(F.array_distinct(_assigned_values(F.col("before"), F.col("word"))),
+                        lambda v: ~F.array_contains(F.col("varied"), v))
+    rows = rows.withColumn("varied", varied).select("*", F.posexplode(F.concat("varied", assigned)).alias("nth", "value"))
+    rows = (rows.withColumn("prefix", F.expr("substring_index(word, value, 1)"))
+            .withColumn("suffix", F.expr("substr(word, length(prefix) + length(value) + 1)")))
+
+    phrases = texts.select("*", F.posexplode(F.regexp_extract_all("text", F.lit(PHRASE), F.lit(0))).alias("i", "phrase"))
+    quote = F.expr("right(phrase, 1)")
+    phrases = (phrases.withColumn("at", F.size(F.split(F.expr("substring_index(text, phrase, 1)"),
+                                                       r"[\x20\x09-\x0D]+")) - 1)
+               .withColumn("nth", -1 - F.col("i")).withColumn("suffix", quote)
+               .withColumn("value", F.regexp_extract("phrase", rf"{SIGN}[\x20\t]*[\"'](.*)[\"']$", 1))
+               .where(F.length("value") >= 6)
+               .withColumn("prefix", F.expr("left(phrase, length(phrase) - length(value) - 1)"))
+               .withColumns({"before": F.lit(""), "after": F.lit("")}))
+    return rows.select(*FINDING).unionAll(phrases.select(*FINDING))
 
 
 def features(findings: DataFrame, terms: DataFrame) -> DataFrame:

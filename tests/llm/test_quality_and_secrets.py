@@ -131,3 +131,14 @@ def test_several_values_in_one_word_and_text(spark):
     rows = secrets.candidates(docs).orderBy("nth").collect()
     assert [r["value"] for r in rows] == [KEY, KEY[::-1]]
     assert rows[0]["prefix"] == '{"k":"' and rows[0]["suffix"].startswith('","m"')
+
+
+def test_candidates_assigned_to_a_key_word(spark):
+    texts = ['password = "Tr0ub4dor&3"', "pwd=hunter2!", "a secret: abcdefghijklmnopqrst", 'api_key="Zq9-Zq9-Zq9-Zq9-"',
+             'password = "correct horse  battery staple"', "at mysql://root:pa$$w0rd@db.host/x", 'password ="uVw!12"']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["value"]) for r in secrets.candidates(docs).collect()}
+    assert {(0, "Tr0ub4dor&3"), (1, "hunter2!"), (2, "abcdefghijklmnopqrst"), (3, "Zq9-Zq9-Zq9-Zq9-"),
+            (4, "correct horse  battery staple"), (5, "pa$$w0rd"), (6, "uVw!12")} <= got
+    keys = secrets.candidates(docs).select(*secrets.KEY)
+    assert keys.count() == keys.distinct().count()
