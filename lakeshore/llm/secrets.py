@@ -48,7 +48,7 @@ REDACTED = "[SECRET]"
 KEY = ["doc_id", "text_hash", "at", "nth"]
 FEATURES = ["length", "digits", "upper", "lower", "other", "distinct", "switches", "hexadecimal", "surprise",
             "coverage", "neighbours", "key_word", "neutral_word", "assigned", "quoted", "path_sample",
-            "path_settings", "path_depth"]
+            "path_settings", "path_depth", "provider", "url_password", "scheme", "pem"]
 FINDING = [*KEY, "value", "before", "prefix", "suffix", "after", "path"]
 
 
@@ -154,7 +154,11 @@ def features(findings: DataFrame, terms: DataFrame) -> DataFrame:
         F.col("prefix").rlike("[\"'`]$").cast("double").alias("quoted"),
         F.lower("path").rlike(PATH_SAMPLES).cast("double").alias("path_sample"),
         F.lower("path").rlike(PATH_SETTINGS).cast("double").alias("path_settings"),
-        F.regexp_count("path", F.lit("/")).cast("double").alias("path_depth"))
+        F.regexp_count("path", F.lit("/")).cast("double").alias("path_depth"),
+        value.rlike(PROVIDER).cast("double").alias("provider"),
+        F.col("prefix").rlike(r"://[^\s/:@]*:$").cast("double").alias("url_password"),
+        ((F.col("prefix") == "") & F.col("before").rlike(SCHEME)).cast("double").alias("scheme"),
+        (value.rlike(r"^[A-Za-z0-9+/]{16,76}={0,2}$") & F.col("before").rlike(PEM)).cast("double").alias("pem"))
     # Facts of a value and of its neighbouring words, once for each distinct one.
     runs = F.regexp_extract_all(F.lower("value"), F.lit(r"\p{L}+"), F.lit(0))
     values = findings.select("value").distinct()
@@ -212,12 +216,15 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel | None, terms:
 def derived_findings(docs: DataFrame, terms: DataFrame, documents: int = TRAIN_DOCUMENTS) -> DataFrame:
     """Labelled findings derived from the corpus, for when no reviewed ones are
     given: from up to ``documents`` documents of smallest hash (a documented
-    bound of the training sample). Real candidates are labelled by a strict
-    rule: a secret is a varied value of high entropy assigned to a secret's
-    name. Beside each chosen document stand values of known make in its path
-    and words: digests and keys assigned to a secret's name (secrets);
-    placeholders of dictionary words assigned likewise, digests named as
-    commits and checksums, and plain words joined with numbers (not secrets).
+    bound of the training sample). Real candidates are labelled by strict
+    rules: secrets are varied values of high entropy assigned to a secret's
+    name or marked by their own form (provider's prefix, JWT, password in a
+    URL, bearer, PEM line); not secrets are plain numbers, addresses, named
+    digests and values of dictionary words that nothing assigns or marks; the
+    others stay unlabelled. Beside each chosen document stand values of known
+    make in its path and words: secrets with and without an assigned name, and
+    placeholders, named digests, numbers, addresses, paths and words joined
+    with numbers (not secrets).
     """
     chosen = (docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents))
@@ -225,9 +232,16 @@ def derived_findings(docs: DataFrame, terms: DataFrame, documents: int = TRAIN_D
     columns = [c for c in ("doc_id", "text", "source") if c in docs.columns]
     sample = saved(docs.select(*columns).join(F.broadcast(chosen), "doc_id"), "secret-sample")
     real = features(saved(candidates(sample), "sample-candidates"), terms)
-    rule = ((F.col("key_word") == 1) & (F.col("assigned") == 1) & (F.col("neutral_word") == 0)
-            & (F.col("distinct") * F.col("length") >= 8) & (F.col("coverage") < 0.5))
-    real = real.select(*FINDING, rule.cast("int").alias("label"))
+    marked = F.greatest("provider", "url_password", "scheme", "pem") == 1
+    varied = (F.col("distinct") * F.col("length") >= 8) & (F.col("coverage") < 0.5)
+    named = (F.col("key_word") == 1) & (F.col("assigned") == 1)
+    secret = (F.col("neutral_word") == 0) & varied & (
+        marked | named & (F.col("length") >= 16) & F.col("value").rlike(VARIED))
+    address = F.col("prefix").rlike("@$") | F.col("suffix").rlike(r"^@[A-Za-z0-9.\-]+\.[a-z]+")
+    plain = (F.col("value").rlike(r"^[0-9.,:/+\-]+$") | address | (F.col("coverage") >= 0.5)
+             | (F.col("neutral_word") == 1) & (F.col("hexadecimal") == 1))
+    label = F.when(secret, 1).when(plain & ~marked & ~named, 0)
+    real = real.select(*FINDING, label.cast("int").alias("label"))
 
     path = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in columns else F.lit("")
     words = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+")
@@ -248,22 +262,48 @@ def derived_findings(docs: DataFrame, terms: DataFrame, documents: int = TRAIN_D
                            (F.pmod(F.xxhash64("seed"), F.lit(5)) + 1).cast("int"))
     assigned, empty = F.concat(name, F.lit(" =")), F.lit("")
     quote = F.lit('"')
+    def part(i: int, n: int) -> Column:
+        """n characters of base64 of a hash of the document, other ones for each i."""
+        return F.substring(F.translate(F.concat(*(F.base64(F.unhex(F.sha2(F.concat(seed, F.lit(f"/{i}/{j}")), 256)))
+                                                  for j in range(n // 43 + 1))), "=", ""), 1, n)
+
+    def word_like(i: int, n: int) -> Column:
+        return F.translate(part(i, n), "+/", "-_")
+
+    hard = F.concat(F.substring(F.translate(part(1, 12), "+/", "!&"), 1, 9), F.element_at(
+        F.array(*map(F.lit, ("!7", "&3", "#9", "$1", "%k"))), (F.pmod(F.xxhash64("seed"), F.lit(5)) + 1).cast("int")))
+    jwt = F.concat_ws(".", F.concat(F.lit("eyJ"), word_like(2, 30)), word_like(3, 40), word_like(4, 43))
+    line, line2 = part(5, 64), part(6, 64)
+    two = F.concat_ws(" ", "w0", "w1")
+    bearer = F.lit("Authorization: Bearer")
     makes = [(digest, assigned, quote, 1), (F.upper(digest), F.concat(F.upper(name), F.lit(" =")), quote, 1),
              (key64, F.concat(F.col("w0"), F.lit(" "), name, F.lit(":")), empty, 1),
              (F.concat(F.lit("AKIA"), F.upper(F.substring(F.md5("seed"), 1, 16))), assigned, quote, 1),
+             (F.concat(F.lit("AKIA"), F.upper(F.substring(F.md5("seed"), 1, 16))), two, empty, 1),
+             (F.concat(F.lit("ghp_"), F.translate(part(7, 36), "+/", "xy")), two, empty, 1),
+             (jwt, bearer, empty, 1), (jwt, two, empty, 1), (word_like(8, 40), bearer, empty, 1),
+             (hard, F.col("w0"), F.concat(F.lit("postgres://"), letters(1), F.lit(":")), 1),
+             (line, F.lit("PRIVATE KEY-----"), empty, 1), (line2, F.concat_ws(" ", part(9, 64), line), empty, 1),
+             (F.substring(line, 1, 24), F.concat_ws(" ", line, line2), empty, 1),
+             (hard, assigned, quote, 1), (hard, F.col("w0"), F.concat(name, F.lit("=")), 1),
+             (F.translate(F.lower(part(10, 24)), "0123456789+/", "abcdefghijkl"), assigned, quote, 1),
              (long_digest, F.col("w0"), F.concat(name, F.lit("=")), 1),
              (F.concat_ws("_", letters(1), letters(2), F.lit("placeholder1")), assigned, quote, 0),
-             (F.concat(letters(1), F.lit("."), letters(2), F.lit("@mail1.example.com")), F.col("w0"), empty, 0),
+             (F.concat_ws(" ", letters(1), letters(2), letters(3)), assigned, quote, 0),
+             (letters(1), F.concat(F.col("w0"), F.lit(" "), name, F.lit(":")), empty, 0),
+             (F.concat(letters(1), letters(2)), F.concat(F.col("w0"), F.lit(" "), name, F.lit(":")), empty, 0),
              (digest, F.concat(neutral, F.lit(" =")), quote, 0), (long_digest, F.concat(F.col("w0"), F.lit(" "),
                                                                                        neutral), empty, 0),
              (F.concat(letters(1), letters(2), F.lit("/"), letters(3), F.lit("12")), F.col("w0"), empty, 0),
-             (F.lpad(number, 16, "4"), F.concat_ws(" ", "w0", "w1"), empty, 0),
+             (F.concat(letters(1), F.lit("."), letters(2), F.lit(".example.org")), F.col("w0"),
+              F.concat(letters(3), F.lit("@")), 0),
+             (F.concat(number, number), two, empty, 0),
              (F.concat_ws("-", letters(1), letters(2), letters(3), number), F.col("w0"), empty, 0)]
     made = F.explode(F.array(*(F.struct(v.alias("value"), b.alias("before"), p.alias("prefix"),
                                         F.lit(label).alias("label")) for v, b, p, label in makes)))
     derived = (rows.select("doc_id", "path", F.col("w3").alias("after"), made.alias("x"))
                .select("doc_id", "path", "after", "x.*")
-               .withColumn("value", F.regexp_extract("value", VALUE, 0)).where("value <> ''")
+               .where(F.length("value") >= 6)
                .select("doc_id", F.lit(0).cast("long").alias("text_hash"), F.lit(-1).alias("at"), F.lit(0).alias("nth"),
                        "value", "before", "prefix", F.lit('"').alias("suffix"), "after", "path", "label"))
     return real.unionByName(derived)
