@@ -609,7 +609,7 @@ def daily_flow_rerun(spark, sf):
     """Two runs on one day: the second has nothing new, and the cloud table
     holds each key once. Rows of the cloud table."""
     from lakeshore.schemas import CLOUD_STORED
-    root = _flow_root(spark, sf, _no_nulls(_raw_weather(spark, sf)).where(S.ts_date("ts") <= S.date_lit("2024-01-07")))
+    root = _flow_root(spark, sf, _no_nulls(_raw_weather(spark, sf)))
     _run_flow(spark, root, "2024-01-01")
     _run_flow(spark, root, "2024-01-01", raise_on_qc_failure=False)
     return read_parts(spark, f"{root}/cloud_raw_weather_hourly", CLOUD_STORED).select(
@@ -620,8 +620,7 @@ def _land_overlap(spark, sf, landing):
     """Two fetches that overlap: the second changes measures from 01-03 on,
     renames every location and brings one that is new."""
     from lakeshore.sources import payloads
-    dim, rows = SI.locations(spark, sf), _no_nulls(_raw_weather(spark, sf)).where(
-        S.ts_date("ts") <= S.date_lit("2024-01-07"))
+    dim, rows = SI.locations(spark, sf), _no_nulls(_raw_weather(spark, sf))
     payloads.fold_payloads(rows.where(S.ts_date("ts") <= S.date_lit("2024-01-05")), dim) \
         .write.mode("append").json(landing)
     later = rows.where(S.ts_date("ts") >= S.date_lit("2024-01-03")).withColumn(
@@ -674,8 +673,7 @@ def bad_payloads(spark, sf):
     from lakeshore.sources import payloads
     root = scratch_dir(spark, "warehouse")
     dim = SI.locations(spark, sf)
-    docs = payloads.fold_payloads(_no_nulls(_raw_weather(spark, sf)), dim).where(
-        F.element_at("hourly.time", 1).startswith("2024-01-0"))
+    docs = payloads.fold_payloads(_no_nulls(_raw_weather(spark, sf)), dim)
     named = lookup_join(docs, dim.select("location_id", "location_name"), "location_name", "inner")
     text = F.to_json(F.struct("latitude", "longitude", "location_name", "hourly"))
     k, day = F.col("location_id"), F.substring(F.element_at("hourly.time", 1), 9, 2)
