@@ -69,4 +69,83 @@ SELECT vec_id, (SELECT COUNT(*) FROM link WHERE a = vec_id) AS n_links, componen
        vec_id = component_id AS kept
 FROM least"""
 
-ORACLE_SQL = {"op1_chat_tree": OP1, "op4_nearest": OP4, "op6_substring": OP6, "op7_nn_descent": OP7}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _share(n: str, total: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({n} + 1)) // ({total})"
+
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS doc, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+                  COALESCE(text, '') AS text FROM documents),
+grp AS (SELECT DISTINCT lang, source FROM d),
+word AS (SELECT doc, lang, source, unnest(regexp_extract_all(
+           translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (
+  SELECT lang, term, COUNT(*) AS n FROM word GROUP BY lang, term HAVING COUNT(DISTINCT doc) >= 3),
+said AS MATERIALIZED (
+  SELECT w.lang, w.source, w.term, COUNT(*) AS n FROM word w JOIN kept k ON k.lang = w.lang AND k.term = w.term
+  GROUP BY w.lang, w.source, w.term),
+lang_all AS (SELECT lang, COUNT(*) AS v, SUM(n) AS total FROM kept GROUP BY lang),
+tot AS (SELECT g.lang, g.source, COALESCE(SUM(s.n), 0) + COALESCE(MAX(l.v), 0) AS total
+        FROM grp g LEFT JOIN said s ON s.lang = g.lang AND s.source = g.source
+        LEFT JOIN lang_all l ON l.lang = g.lang GROUP BY g.lang, g.source),
+every AS MATERIALIZED (
+  SELECT t.lang, t.source, k.term, COALESCE(s.n, 0) AS n, CAST({_share("COALESCE(s.n, 0)", "t.total")} AS BIGINT) AS p,
+         CAST({_share("k.n", "l.total + l.v")} AS BIGINT) AS q
+  FROM tot t JOIN kept k ON k.lang = t.lang JOIN lang_all l ON l.lang = t.lang
+  LEFT JOIN said s ON s.lang = t.lang AND s.source = t.source AND s.term = k.term),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, SUM((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM every a JOIN every b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+  GROUP BY a.lang, a.source, b.source),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(COALESCE(p.value, 0) AS BIGINT) AS value
+  FROM grp a JOIN grp b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM every WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+  FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
+
+def _op11() -> str:
+    """Six rounds of assignment and update, then the last assignment."""
+    steps = ["""
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, [CAST(floor(4096 * CAST(y AS DOUBLE)) AS BIGINT) FOR y IN embedding] AS x
+  FROM embeddings WHERE len(embedding) > 0 AND NOT list_bool_or([y IS NULL OR NOT isfinite(y) FOR y IN embedding])),
+part AS MATERIALIZED (
+  SELECT r, vec_id, p, x[p * (len(x) // 8) + 1:(p + 1) * (len(x) // 8)] AS x FROM v, range(8) t(p)),
+c0 AS (SELECT p, ROW_NUMBER() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM part
+       QUALIFY ROW_NUMBER() OVER (PARTITION BY p ORDER BY vec_id) <= 16)"""]
+    for i in range(7):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, part.p, min(16 * list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(part.x, c{i}.x)])::BIGINT + e) AS k
+  FROM part JOIN c{i} ON c{i}.p = part.p GROUP BY r, part.p)""")
+        if i == 6:
+            break
+        steps.append(f"""
+s{i} AS (
+  SELECT p, e, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS x FROM (
+    SELECT p, e, pos, SUM(y) AS total, COUNT(*) AS n FROM (
+      SELECT part.p, k % 16 AS e, unnest(x) AS y, generate_subscripts(x, 1) AS pos
+      FROM part JOIN a{i} ON a{i}.r = part.r AND a{i}.p = part.p) u GROUP BY p, e, pos) w GROUP BY p, e),
+c{i + 1} AS MATERIALIZED (SELECT o.p, o.e, COALESCE(s.x, o.x) AS x FROM c{i} o LEFT JOIN s{i} s ON s.p = o.p AND s.e = o.e)""")
+    return "WITH " + ",".join(steps) + """,
+coded AS (SELECT r, string_agg(printf('%02x', k % 16), '' ORDER BY p) AS code, CAST(SUM(k // 16) AS BIGINT) AS error
+          FROM a6 GROUP BY r),
+book AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c6)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN coded USING (r), book"""
+
+
+OP11 = _op11()
+
+ORACLE_SQL = {"op1_chat_tree": OP1, "op4_nearest": OP4, "op6_substring": OP6, "op7_nn_descent": OP7,
+              "op11_vector_codes": OP11, "op12_source_divergence": OP12}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.llm import (
-    bpe, chat_tree, line_crf, nearest, nn_descent, packing, secrets, simhash, substring, token_files)
+    bpe, chat_tree, divergence, language, line_crf, nearest, nn_descent, packing, secrets, simhash, substring,
+    token_files, vector_codes)
 from lakeshore.llm.common import table, tokenizer_bytes
 from lakeshore.llm.oracle import ORACLE_SQL
 from lakeshore.session import scratch_dir
@@ -72,8 +73,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.byte_bpe_digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.classify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_tree, op2_secrets, op3_simhash, op4_nearest, op5_quality, op6_substring, op7_nn_descent, op8_packing,
-    op9_token_files, op10_byte_bpe)}
+    op9_token_files, op10_byte_bpe, op11_vector_codes, op12_source_divergence, op13_language)}
 
 __all__ = ["QUERIES", "ORACLE_SQL"]

@@ -1,0 +1,235 @@
+"""Source divergence, vector codes and language identification against brute
+force and held-out labels."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from odd_rows import DOC_SCHEMA, doc_row, prose
+from pyspark.sql import functions as F
+
+from lakeshore.llm import divergence, language, vector_codes
+
+# ---------------------------------------------------------------- operator 12
+
+_TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms_of(text):
+    return _TERM.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+
+
+def brute_audit(docs):
+    """docs: (text, lang, source); rows as divergence.audit gives them."""
+    docs = [tuple(x or "" for x in d) for d in docs]
+    seen, by_lang, by_group = defaultdict(set), defaultdict(Counter), defaultdict(Counter)
+    for i, (text, lang, source) in enumerate(docs):
+        by_group[lang, source].update(terms_of(text))
+        for t in terms_of(text):
+            seen[lang, t].add(i)
+            by_lang[lang][t] += 1
+    out = set()
+    for lang in {d[1] for d in docs}:
+        kept = [t for t in by_lang[lang] if len(seen[lang, t]) >= 3]
+        sources = sorted({d[2] for d in docs if d[1] == lang})
+
+        def shares(counts):
+            total = sum(counts[t] for t in kept) + len(kept)
+            return {t: 1 + 10 ** 9 * (counts[t] + 1) // total for t in kept}
+        q_lang = shares(by_lang[lang])
+        for a in sources:
+            p = shares(by_group[lang, a])
+            parts = {"pair": [(sum((p[t] - q[t]) ** 2 // q[t] for t in kept), b) for b in sources if b != a
+                              for q in [shares(by_group[lang, b])]],
+                     "term": [((p[t] - q_lang[t]) ** 2 // q_lang[t], t) for t in kept
+                              if by_group[lang, a][t] and p[t] > q_lang[t]]}
+            for part, found in parts.items():
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                for rank, (value, item) in enumerate(found, 1):
+                    if part == "pair" or rank <= 200:
+                        out.add((lang, a, part, item, value, rank))
+    return out
+
+
+def audit_documents():
+    r = random.Random(5)
+    rows = [doc_row(i, prose(i % 9, 40 + i) + " Ünter ünter THE the", f"src{r.randrange(7)}") for i in range(60)]
+    rows += [doc_row(99, None, None), doc_row(None, "", "empty"), doc_row(100, "12 34 !?", "nothing"),
+             doc_row(101, "A" * 5000 + " " + "word " * 300, "src0"), doc_row(101, "A" * 5000, "src1"),
+             doc_row(102, "a" * 5000, "src1"), doc_row(103, "a" * 4999 + "b", "src1")]
+    rows = [(*x[:2], ["en", "de", None][i % 3], *x[3:]) for i, x in enumerate(rows)]
+    return rows + [(*doc_row(7, "one source only only", "lone")[:2], "fr", "lone", *rows[0][4:])] * 4
+
+
+@pytest.fixture(scope="module")
+def audited(spark):
+    return spark.createDataFrame(audit_documents(), DOC_SCHEMA).repartition(3).persist()
+
+
+@pytest.mark.parametrize(("block", "bucket"), [(256, 1 << 15), (2, 50)])
+def test_audit(audited, monkeypatch, block, bucket):
+    monkeypatch.setattr(divergence, "SOURCE_BLOCK", block)
+    monkeypatch.setattr(divergence, "BUCKET_ROWS", bucket)
+    got = divergence.audit(audited).collect()
+    want = brute_audit([(r[1], r[2], r[3]) for r in audit_documents()])
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_audit_of_nothing(no_documents, spark):
+    assert divergence.audit(no_documents).count() == 0
+    few = spark.createDataFrame([doc_row(1, "one two"), doc_row(2, "one two", "src1")], DOC_SCHEMA)
+    assert {tuple(r) for r in divergence.audit(few).collect()} == {
+        ("en", "src0", "pair", "src1", 0, 1), ("en", "src1", "pair", "src0", 0, 1)}
+
+
+@pytest.mark.parametrize("slice_bytes", [16 << 20, 700])
+def test_word_runs(slice_bytes):
+    rows = [((r[1] or ""), r[2] or "", r[3] or "") for r in audit_documents()]
+    batch = pa.RecordBatch.from_pydict({"lang": [r[1] for r in rows], "source": [r[2] for r in rows],
+                                        "text": [r[0] for r in rows]})
+    got = defaultdict(lambda: np.zeros(2, int))
+    for b in divergence.count_batches(iter([batch.slice(0, 20), batch.slice(20)]), slice_bytes):
+        for r in b.to_pylist():
+            got[r["lang"], r["source"], r["term"]] += (r["docs"], r["n"])
+    want = defaultdict(lambda: np.zeros(2, int))
+    for text, lang, source in rows:
+        for t, n in Counter(terms_of(text)).items():
+            want[lang, source, t] += (1, n)
+    assert {k: tuple(v) for k, v in got.items()} == {k: tuple(v) for k, v in want.items()}
+
+
+def test_words_sort_slice_by_slice():
+    r = random.Random(3)
+    words = ["".join(r.choice("ab") for _ in range(r.choice([1, 7, 8, 9, 16, 17, 33, 40]))) for _ in range(3000)]
+    data = np.frombuffer((" ".join(words)).encode() + bytes(8), np.uint8)
+    starts, lengths, _ = divergence.word_pointers(data[:-8], np.array([0, len(data) - 8]))
+    order, term = divergence.sort_words(data, starts, lengths)
+    ranked = [words[i] for i in order]
+    assert ranked == sorted(words)
+    assert [a != b for a, b in zip(ranked, ranked[1:])] == [a != b for a, b in zip(term, term[1:])]
+    assert all(a < b for a, b, s, t in zip(order, order[1:], term, term[1:]) if s == t)
+
+
+def test_share_is_exact_for_large_counts(spark):
+    cases = [(0, 1), (7, 9), (123_456_789_012, 200_000_000_000_000), (289_999_999_999_998, 289_999_999_999_999)]
+    rows = spark.createDataFrame(cases, "n long, total long").select(
+        "n", "total", divergence.share(F.col("n"), F.col("total")).alias("p")).collect()
+    assert all(r["p"] == 1 + 10 ** 9 * (r["n"] + 1) // r["total"] for r in rows)
+
+
+# ---------------------------------------------------------------- operator 11
+
+def brute_codes(rows, parts=8, entries=16, rounds=6):
+    """rows: (vec_id, vector, label) that take part, all of one length."""
+    x = [np.floor(np.array(v, float) * 4096).astype(int) for _, v, _ in rows]
+    cut = [np.array_split(v, parts) for v in x]
+    first = {}
+    for (vec_id, v, _), c in zip(rows, cut):
+        key = (vec_id is None, vec_id or 0)
+        if key not in first or v < first[key][0]:
+            first[key] = (v, c)
+    books = [[first[k][1][p].tolist() for k in sorted(first)[:entries]] for p in range(parts)]
+
+    def nearest(p, part):
+        return min((int(((part - np.array(e)) ** 2).sum()), i) for i, e in enumerate(books[p]))
+    for _ in range(rounds):
+        for p in range(parts):
+            own = defaultdict(list)
+            for c in cut:
+                own[nearest(p, c[p])[1]].append(c[p])
+            for i, members in own.items():
+                books[p][i] = [int(s) // len(members) for s in np.sum(members, axis=0)]
+    sha = hashlib.sha256(",".join(str(v) for b in books for e in b for v in e).encode()).hexdigest()
+    out = []
+    for (vec_id, _, label), c in zip(rows, cut):
+        found = [nearest(p, c[p]) for p in range(parts)]
+        out.append((vec_id, "".join(f"{i:02x}" for _, i in found), sum(d for d, _ in found), label))
+    by_label = Counter()
+    for _, _, error, label in out:
+        by_label[label] += error
+    return Counter((v, code, error, by_label[label], sha) for v, code, error, label in out)
+
+
+VECTOR_SCHEMA = "vec_id long, embedding array<float>, label int, x string, error string, n string"
+
+
+@pytest.mark.parametrize(("n", "width"), [(300, 16), (5, 16), (60, 19)])
+def test_vector_codes(spark, n, width):
+    r = random.Random(n)
+    rows = [(i * 7 % n, [float(np.float32(r.gauss(i % 5, 1) * r.choice([0, 1]))) for _ in range(width)],
+             None if i % 3 == 0 else i % 4) for i in range(n)]
+    rows += [rows[0], rows[1], (rows[2][0], rows[3][1], 9), (None, rows[4][1], None), (None, [0.0] * width, 1)]
+    rows += [(10_000 + i, [0.0] * width, 1) for i in range(9)]  # ties
+    odd = [(0, None, 1), (1, [], 1), (2, [float("nan")] * width, 1), (3, [float("inf")] * width, 1),
+           (4, [None] + [1.0] * (width - 1), 1), (n + 50_000, [1.0] * (width + 8), 1)]
+    frame = spark.createDataFrame([(*x, "clash", "clash", "clash") for x in rows + odd], VECTOR_SCHEMA).repartition(3)
+    got = vector_codes.compress(frame).collect()
+    assert Counter(tuple(r) for r in got) == brute_codes(rows)
+
+
+def test_vector_codes_of_nothing(spark):
+    none = spark.createDataFrame([], VECTOR_SCHEMA)
+    assert vector_codes.compress(none).collect() == []
+    assert vector_codes.compress(none).columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    large = spark.createDataFrame([(1, [1e9] * 8, 1, "", "", "")], VECTOR_SCHEMA)
+    with pytest.raises(Exception, match="exact in 64 bits"):
+        vector_codes.compress(large).collect()
+
+
+def test_pivots_prune_and_lose_nothing():
+    r = np.random.default_rng(1)
+    centres = r.integers(-9000, 9000, (16, 8))
+    parts = centres[r.integers(0, 16, 4000)] + r.integers(-60, 60, (4000, 8))
+    pivots = vector_codes.farthest_first(centres, 4)
+    nearest, best, evaluated = vector_codes.assign(parts, vector_codes.pivot_distances(parts, pivots), centres, pivots)
+    every = ((parts[:, None] - centres[None]) ** 2).sum(axis=2)
+    assert (nearest == every.argmin(axis=1)).all() and (best == every.min(axis=1)).all()
+    assert evaluated < 1.2 * len(parts)
+
+
+# ---------------------------------------------------------------- operator 13
+
+def test_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language.classify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(rows) > 200
+    assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) >= 0.98
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    sure = [r for r in rows if not r["rejected"]]
+    assert np.mean([r["lang_pred"] == r["lang"] for r in sure]) >= np.mean([r["lang_pred"] == r["lang"] for r in rows])
+
+
+def test_language_of_odd_rows(spark, documents, no_documents, texts):
+    got = language.classify(documents).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in texts)
+    model = language.Model(["en"], [b"some text"])
+    for r in language.classify(documents, model).collect():
+        assert r["lang_pred"] == ("und" if r["doc_id"] in (4, 5, 6) else "en")
+        assert r["score"] == (0.0 if r["doc_id"] in (4, 5, 6) else 1.0)
+        assert r["held_out"] is False or r["doc_id"] is not None
+    assert language.classify(no_documents).count() == 0
+    unlabelled = language.classify(documents.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {(r["lang_pred"], r["score"], r["rejected"]) for r in unlabelled} == {("und", 0.0, True)}
+    letters = spark.createDataFrame([(1, "ß"), (2, "²½ 12 _"), (3, "日本語"), (4, "\U0001d400 x" * 90_000)],
+                                    "doc_id long, text string")
+    assert [r["lang_pred"] for r in sorted(language.classify(letters, model).collect())] == ["en", "und", "en", "en"]
+
+
+def test_language_never_learns_from_held_out(spark):
+    # Held-out and null ids speak "xx" only: it must not be learned.
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit(prose(1, 30)).alias("text")).withColumn(
+        "lang", F.when(language.held_out(F.col("doc_id")), "xx").otherwise("yy"))
+    docs = docs.unionByName(spark.createDataFrame(
+        [(None, "foo bar", "zz")], "doc_id long, text string, lang string"))
+    assert language.learn(docs).languages == ["yy"]
+
+
+def test_decision_ties_and_scores():
+    model = language.Model(["big", "small"], [b"", b""])
+    assert language.decide(model, [10, 10]) == ("big", 0.5, 0.0)
+    name, score, margin = language.decide(model, [50, 40])
+    assert name == "small" and 0.9 < score < 1 and margin == 0.25
