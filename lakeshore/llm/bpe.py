@@ -13,12 +13,14 @@ import base64
 import hashlib
 import struct
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakeshore.llm.common import doc_text, ship
-from lakeshore.llm.encoders import WordMemo, id_bytes, memo_of
+from lakeshore.llm.encoders import PieceMemo, memo_of
 
 # Fixed values of the sentencepiece model file: field numbers and enum values.
 NORMAL_PIECE, UNKNOWN_PIECE = 1, 2
@@ -86,45 +88,55 @@ class ByteBpe:
         self.token_of = {rank: token for token, rank in ranks.items()}
         self.letters = byte_letters()
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """Id bytes of each string: its pre-tokens one by one."""
-        split = [[p.encode() for p in self.pretokens(w)] for w in words]
+    def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each string: of its pre-tokens one by one."""
+        split = [[p.encode() for p in self.pretokens(w)] for w in pieces]
         unknown = list({p for w in split for p in w if p not in self.ranks})
         spelled = ["".join(map(self.letters.__getitem__, p)) for p in unknown]
         ids = {p: [self.by_piece[i] for i in got]
                for p, got in zip(unknown, self.model.encode(spelled, num_threads=1) if spelled else [], strict=True)}
-        return [id_bytes([i for p in w for i in ((self.ranks[p],) if p in self.ranks else ids[p])]) for w in split]
+        return [[i for p in w for i in ((self.ranks[p],) if p in self.ranks else ids[p])] for w in split]
+
+    def table(self, of_token: Callable[[int, bytes], bytes]) -> pa.Array:
+        """A byte string for each id (null: no token has it)."""
+        return pa.array([None if i not in self.token_of else of_token(i, self.token_of[i])
+                         for i in range(max(self.token_of) + 1)], pa.large_binary())
 
     def decode(self, ids: tuple[int, ...]) -> bytes:
         return b"".join(map(self.token_of.__getitem__, ids))
 
 
+def _strung(table: pa.Array, ids: np.ndarray, offsets: np.ndarray) -> tuple[memoryview, list[int]]:
+    """The table's strings of all ids behind one another, and where each text's begin."""
+    got = table.take(pa.array(ids))
+    bounds = np.frombuffer(got.buffers()[1], np.int64)
+    return memoryview(got.buffers()[2] or b""), bounds[offsets].tolist() if len(ids) else [0] * len(offsets)
+
+
 def byte_bpe(docs: DataFrame, vocabulary: bytes, pattern: str) -> DataFrame:
     """Encode every whole text and decode it again.
 
     Returns doc_id, ids (array<int>) and decoded (binary) per row. Null or
     empty text: no ids. Null doc_id, repeated rows: kept. Empty table: no rows.
     """
-    def rows(doc_ids, encoded, bpe):
-        ids = [struct.unpack(f"<{len(b) // 4}I", b) for b in encoded]
+    def rows(doc_ids, ids, offsets, tables):
+        data, at = _strung(tables["bytes"], ids, offsets)
         return pa.RecordBatch.from_arrays(
-            [doc_ids, pa.array(ids, pa.list_(pa.int32())), pa.array([bpe.decode(i) for i in ids], pa.binary())],
-            ["doc_id", "ids", "decoded"])
+            [doc_ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int32))),
+             pa.array([bytes(data[i:j]) for i, j in pairwise(at)], pa.binary())], ["doc_id", "ids", "decoded"])
     return _over_texts(docs, vocabulary, pattern, rows, "doc_id long, ids array<int>, decoded binary")
 
 
 def byte_bpe_digests(docs: DataFrame, vocabulary: bytes, pattern: str) -> DataFrame:
     """As :func:`byte_bpe`, with digests in place of ids and bytes: doc_id,
     n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256."""
-    def rows(doc_ids, encoded, bpe):
-        n, of_ids, of_bytes = [], [], []
-        for b in encoded:
-            ids = struct.unpack(f"<{len(b) // 4}I", b)
-            n.append(len(ids))
-            of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-            of_bytes.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+    def rows(doc_ids, ids, offsets, tables):
+        digests = []
+        for name, behind in (("decimals", 1), ("bytes", 0)):  # a comma follows each number
+            data, at = _strung(tables[name], ids, offsets)
+            digests.append([hashlib.sha256(data[i:max(i, j - behind)]).hexdigest() for i, j in pairwise(at)])
         return pa.RecordBatch.from_arrays(
-            [doc_ids, pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+            [doc_ids, pa.array(np.diff(offsets), pa.int64()), *(pa.array(d, pa.string()) for d in digests)],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return _over_texts(docs, vocabulary, pattern, rows,
                        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -135,17 +147,18 @@ def _over_texts(docs: DataFrame, vocabulary: bytes, pattern: str, rows: Callable
     key = hashlib.sha256(vocabulary + pattern.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> WordMemo:
+        def make() -> PieceMemo:
             bpe = ByteBpe(read_ranks(vocabulary), pattern)
-            memo = WordMemo(bpe.encode_words, spaces_are_dropped=False)
-            memo.bpe = bpe
+            memo = PieceMemo(bpe.encode_pieces)
+            memo.tables = {"decimals": bpe.table(lambda i, _: b"%d," % i), "bytes": bpe.table(lambda _, token: token)}
             return memo
         memo = memo_of(key, make)
         for b in batches:
-            # Small output batches: ids and bytes of whole texts are large.
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                yield rows(part.column("doc_id"), memo.encode(t.as_py() for t in part.column("text")), memo.bpe)
+            done = 0
+            for ids, offsets in memo.encode(b.column("text")):
+                n = len(offsets) - 1
+                yield rows(b.column("doc_id").slice(done, n), ids, offsets, memo.tables)
+                done += n
 
     return doc_text(docs).mapInArrow(run, schema)
 

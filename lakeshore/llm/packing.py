@@ -20,13 +20,15 @@ import heapq
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakeshore.llm.common import doc_text, ship
-from lakeshore.llm.encoders import json_tokenizer_memo
+from lakeshore.llm.encoders import json_tokenizer_memo, with_end
 
 CONTEXT_SIZES = (256, 512, 1024, 2048)
 CHUNK_TOKENS = 1 << 20
@@ -38,15 +40,20 @@ PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_token
 
 
 class Piece(NamedTuple):
+    """A run of a document's ids. Pieces compare by length, then doc_id (null
+    last), start and the document's number, which no other piece shares."""
     length: int
-    doc_id: int | None
+    no_id: bool
+    doc_id: int
     start: int
+    number: int
     doc_tokens: int
-    ids: bytes
+    ids: np.ndarray
 
     def cut(self, n: int) -> tuple[Piece, Piece]:
-        return (self._replace(length=n, ids=self.ids[:4 * n]),
-                self._replace(length=self.length - n, start=self.start + n, ids=self.ids[4 * n:]))
+        length, no_id, doc_id, start, number, doc_tokens, ids = self
+        return (Piece(n, no_id, doc_id, start, number, doc_tokens, ids[:n]),
+                Piece(length - n, no_id, doc_id, start + n, number, doc_tokens, ids[n:]))
 
 
 def fill_windows(pieces: list[Piece], sizes: tuple[int, ...]) -> tuple[list[list[Piece]], list[Piece]]:
@@ -109,10 +116,10 @@ def step_groups(tokens: list[int], step_tokens: int) -> list[int]:
     return out
 
 
-def pack_documents(encoded: Iterator[tuple[int | None, bytes]], sizes: tuple[int, ...], step_tokens: int,
+def pack_documents(encoded: Iterator[tuple[int | None, np.ndarray]], sizes: tuple[int, ...], step_tokens: int,
                    base: int) -> Iterator[tuple]:
-    """Rows of PIECE_SCHEMA and the piece's id bytes, for documents given as
-    (doc_id, id bytes with the end id)."""
+    """Rows of PIECE_SCHEMA and the piece's ids, for documents given as
+    (doc_id, little-endian uint32 ids with the end id)."""
     longest, sequence, group = sizes[-1], base, base
     pending: list[Piece] = []
     tokens = 0
@@ -124,16 +131,16 @@ def pack_documents(encoded: Iterator[tuple[int | None, bytes]], sizes: tuple[int
         for window, total, g in zip(windows, sums, dealt, strict=True):
             offset = 0
             for p in window:
-                yield (p.doc_id, p.start, p.length, zlib.crc32(p.ids), p.doc_tokens, sequence, offset, total,
+                yield (None if p.no_id else p.doc_id, p.start, p.length, zlib.crc32(p.ids), p.doc_tokens, sequence, offset, total,
                        group + g, p.ids)
                 offset += p.length
             sequence += 1
         group += max(dealt, default=-1) + 1
 
     full: list[list[Piece]] = []
-    for doc_id, ids in encoded:
-        n = len(ids) // 4
-        rest = Piece(n, doc_id, 0, n, ids)
+    for number, (doc_id, ids) in enumerate(encoded):
+        n = len(ids)
+        rest = Piece(n, doc_id is None, doc_id or 0, 0, number, n, ids)
         while rest.length >= longest:
             head, rest = rest.cut(longest)
             full.append([head])
@@ -158,31 +165,35 @@ def pack(docs: DataFrame, tokenizer: bytes, end_id: int, sizes: tuple[int, ...]
     also the ids (binary).
 
     Null or empty text: a document of the end id alone. Null doc_id: kept as
-    null. Repeated rows are packed once each. Ties in length go by doc_id and
-    position. An empty table gives no rows. ``sizes``: rising powers of two.
+    null. Repeated rows are packed once each. Ties in length go by doc_id
+    (null last) and position. The text of a special token becomes its id, as the
+    library does by default. An empty table gives no rows. ``sizes``: rising powers of two.
     """
     if any(s & (s - 1) for s in sizes) or list(sizes) != sorted(set(sizes)):
         raise ValueError("context sizes must be rising powers of two")
     ship(docs.sparkSession)
-    end = end_id.to_bytes(4, "little")
     schema = PIECE_SCHEMA + (", ids binary" if with_ids else "")
     names = [c.split()[0] for c in schema.split(", ")]
     types = [pa.binary() if n == "ids" else pa.int64() for n in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        memo = json_tokenizer_memo(tokenizer, spaces_are_dropped=False)
+        memo = json_tokenizer_memo(tokenizer)
 
-        def encoded() -> Iterator[tuple[int | None, bytes]]:
+        def encoded() -> Iterator[tuple[int | None, np.ndarray]]:
             for b in batches:
-                ids = memo.encode(t.as_py() for t in b.column("text"))
-                for doc_id, got in zip(b.column("doc_id").to_pylist(), ids, strict=True):
-                    yield doc_id, got + end
+                doc_ids = iter(b.column("doc_id").to_pylist())
+                for ids, offsets in memo.encode(b.column("text")):
+                    ids, offsets = with_end(ids, offsets, end_id)
+                    for lo, hi in pairwise(offsets.tolist()):
+                        yield next(doc_ids), ids[lo:hi]
 
         rows: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))[:len(names)]
+            if with_ids:
+                columns[-1] = [x.tobytes() for x in columns[-1]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         for row in pack_documents(encoded(), sizes, step_tokens, TaskContext.get().partitionId() << 33):

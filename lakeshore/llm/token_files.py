@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.llm.common import doc_text, ship
-from lakeshore.llm.encoders import json_tokenizer_memo
+from lakeshore.llm.encoders import json_tokenizer_memo, with_end
 
 MANIFEST = "manifest.json"
 ID_TYPES = {2: "<u2", 4: "<u4"}
@@ -42,16 +42,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: bytes, end_id: in
 
     Null text: the end id alone. Null doc_id: first. Repeated doc_ids stay
     separate documents, ordered by a hash of their text. ``id_bytes``: 2 or 4.
+    The text of a special token becomes its id, as the library does by default.
     """
     spark = docs.sparkSession
     ship(spark)
     id_type = ID_TYPES[id_bytes]
-    end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task = TaskContext.get()
-        memo = json_tokenizer_memo(tokenizer, spaces_are_dropped=True)
+        memo = json_tokenizer_memo(tokenizer)
         first = next(batches, None)
         if first is None:
             return
@@ -59,7 +59,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: bytes, end_id: in
         fs.create_dir(root, recursive=True)
         attempt = f"tmp-{task.taskAttemptId()}"
         doc_ids: list[int | None] = []
-        lengths: list[int] = []
+        lengths: list[np.ndarray] = []
 
         def write_ids(out) -> None:
             def chain():
@@ -67,16 +67,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: bytes, end_id: in
                 yield from batches
             for b in chain():
                 doc_ids.extend(b.column("doc_id").to_pylist())
-                for got in memo.encode(t.as_py() for t in b.column("text")):
-                    ids = np.frombuffer(got + end, "<u4")
-                    if id_bytes == 2 and ids.max() > 0xFFFF:
+                for ids, offsets in memo.encode(b.column("text")):
+                    ids, offsets = with_end(ids, offsets, end_id)
+                    if id_bytes == 2 and ids.max(initial=0) > 0xFFFF:
                         raise ValueError("an id needs more than 2 bytes")
-                    lengths.append(len(ids))
-                    out.write(ids.astype(id_type).tobytes())
+                    lengths.append(np.diff(offsets))
+                    out.write(ids.astype(id_type).data)
 
         def write_index(out) -> None:
-            offsets = np.zeros(len(lengths) + 1, "<u8")
-            np.cumsum(lengths, out=offsets[1:])
+            offsets = np.zeros(len(doc_ids) + 1, "<u8")
+            np.cumsum(np.concatenate(lengths), out=offsets[1:])
             out.write(offsets.tobytes())
             out.write(np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes())
             out.write(np.array([d is None for d in doc_ids], "u1").tobytes())
@@ -84,8 +84,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: bytes, end_id: in
         name = f"{root}/part-{task.partitionId():06d}"
         _move_into_place(fs, f"{name}.bin", attempt, write_ids)
         _move_into_place(fs, f"{name}.idx", attempt, write_index)
-        yield pa.RecordBatch.from_pydict({"part": [task.partitionId()], "docs": [len(lengths)],
-                                          "tokens": [int(sum(lengths))]})
+        yield pa.RecordBatch.from_pydict({"part": [task.partitionId()], "docs": [len(doc_ids)],
+                                          "tokens": [sum(int(n.sum()) for n in lengths)]})
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     written = (doc_text(docs).repartitionByRange(*order).sortWithinPartitions(*order)
@@ -139,13 +139,14 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
                 for lo in range(0, n, 4096):
                     hi = min(n, lo + 4096)
                     bounds = offsets[lo:hi + 1].astype("i8")
-                    ids = [tokens[bounds[i]:bounds[i + 1]].astype("<u4") for i in range(hi - lo)]
+                    own = tokens[bounds[0]:bounds[-1]].astype("<u4")
+                    cuts = (bounds - bounds[0]).tolist()
                     out = [pa.array(doc_ids[lo:hi].astype("i8"), mask=null[lo:hi]),
                            pa.array(bounds[:-1] + entry["token_base"]), pa.array(np.diff(bounds)),
-                           pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())]
+                           pa.array([zlib.crc32(own[i:j]) for i, j in pairwise(cuts)], pa.int64())]
                     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                     if with_ids:
-                        out.append(pa.array([x.astype("i8") for x in ids], pa.list_(pa.int64())))
+                        out.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(own.astype("i8"))))
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(out, names)
 
