@@ -171,5 +171,24 @@ def assign_keys(new: DataFrame, existing: DataFrame | None, id_col: str,
     return out.select(id_col, *[c for c in new.columns if c != id_col])
 
 
+def running_sums(df: DataFrame, value: str, order_by: Sequence[str], out: str) -> DataFrame:
+    """``df`` with ``out``: the sum of ``value`` (a long) over all rows before
+    this one in ``order_by`` order. As in :func:`assign_keys` no task sees all
+    rows: sums inside the ranges of a range sort, and one row per range to add
+    them up."""
+    spark = df.sparkSession
+    ordered = df.orderBy(*order_by).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    part = F.shiftright(F.col("_mid"), 33)
+    sums = sorted(ordered.groupBy(part.alias("_pid")).agg(F.sum(value).alias("_sum")).collect())
+    rows, running = [], 0
+    for pid, total in sums:
+        rows.append((int(pid), running))
+        running += int(total or 0)
+    offsets = F.broadcast(spark.createDataFrame(rows or [(0, 0)], "_pid long, _off long"))
+    before = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    return (ordered.withColumn("_pid", part).withColumn("_in", F.coalesce(F.sum(value).over(before), F.lit(0)))
+            .join(offsets, "_pid").withColumn(out, F.col("_off") + F.col("_in")).drop("_mid", "_pid", "_in", "_off"))
+
+
 __all__ = ["Order", "asc", "desc", "latest_per_key", "top_n_per_group", "duplicate_keys",
-           "watermarks", "assign_keys"]
+           "watermarks", "assign_keys", "running_sums"]

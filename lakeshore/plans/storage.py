@@ -2,10 +2,12 @@
 defaults on insert (K2) and partition-wise upserts (K3 at scale).
 
 Every write goes to a new folder of its own, ``<path>/attempt=<id>/``, and
-becomes visible by one commit record in ``<path>/_commits/``, created
-exclusively: of two writers that picked the same version one fails and its
-folder is never read. A crash or a failed check at any moment therefore leaves
-the committed table as it was.
+becomes visible by one commit record in ``<path>/_commits/``, created whole and
+exclusively (:mod:`lakeshore.plans.records`): of two writers that picked the
+same version one fails and its folder is never read. A crash or a failed check
+at any moment therefore leaves the committed table as it was, and the next
+writer goes on: versions are numbered past every record, also one that can't be
+read. Upserts that lose the race merge again into what the other committed.
 
 Snapshot tables (full refresh) read the folder of the latest commit. Fact
 tables are partitioned by day: a commit names the days its folder holds, and
@@ -27,8 +29,11 @@ from pyspark.sql import types as T
 
 from lakeshore.operators.quality import gate
 from lakeshore.operators.upsert import check_keys, upsert
+from lakeshore.plans import records
 
 COMMITS = "_commits"
+# How often an upsert merges again after losing the race for a version.
+COMMIT_ATTEMPTS = 20
 COMMIT_SCHEMA = "version long, folder string, parts array<string>, note string"
 
 
@@ -75,6 +80,12 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return None if log is None else log.agg(F.max("version")).first()[0]
 
 
+def next_version(spark: SparkSession, path: str) -> int:
+    """The version a writer may commit that has yet to read the table: if it
+    is taken by the time of the commit, the table has changed since."""
+    return records.next_number(spark, f"{path}/{COMMITS}")
+
+
 def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The latest committed snapshot, or None."""
     log = committed_versions(spark, path)
@@ -118,21 +129,15 @@ def _new_folder() -> str:
 
 def _commit(spark: SparkSession, path: str, version: int, folder: str, note: str = "",
             parts: Sequence[str] | None = None) -> None:
-    """Make ``folder`` visible: one small file whose name is the version,
-    created only if it does not exist (the file system decides)."""
+    """Make ``folder`` visible: one small record whose name is the version."""
     record = json.dumps({"version": version, "folder": folder, "parts": parts, "note": note})
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITS}/{version:09d}.json")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    try:
-        out = fs.create(target, False)
-    except Exception as e:  # noqa: BLE001 - py4j wraps the file system's own error
-        if "exists" in str(e):
-            raise ConcurrentPublishError(f"{path}: version {version} was committed by another writer") from e
-        raise
-    try:
-        out.write(bytearray(record.encode()))
-    finally:
-        out.close()
+    if not records.create(spark, f"{path}/{COMMITS}", f"{version:09d}.json", record):
+        raise ConcurrentPublishError(f"{path}: version {version} was committed by another writer")
+
+
+def _discard(spark: SparkSession, path: str, folder: str) -> None:
+    lost = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+    lost.getFileSystem(spark._jsc.hadoopConfiguration()).delete(lost, True)
 
 
 def _write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
@@ -144,11 +149,14 @@ def _write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     return folder
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), note: str = "") -> int:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), note: str = "",
+                  version: int | None = None) -> int:
     """Full refresh (DROP/CREATE/INSERT or TRUNCATE/INSERT): write a new
-    folder, then commit it. Readers of the old version are not disturbed."""
+    folder, then commit it. Readers of the old version are not disturbed. A
+    table made from its own last version passes the :func:`next_version` it
+    asked for before reading, so that it can't undo another writer's commit."""
     spark = df.sparkSession
-    v = (current_version(spark, path) or 0) + 1
+    v = version or next_version(spark, path)
     _commit(spark, path, v, _write_snapshot(df, path, partition_by), note)
     return v
 
@@ -159,7 +167,7 @@ def publish(df: DataFrame, path: str, checks: Callable[[DataFrame], DataFrame],
     written (a report with a ``passed`` column), commit only if every check
     passed; otherwise raise QualityError with the old version intact."""
     spark = df.sparkSession
-    v = (current_version(spark, path) or 0) + 1
+    v = next_version(spark, path)
     folder = _write_snapshot(df, path, partition_by)
     gate(checks(spark.read.schema(df.schema).parquet(f"{path}/{folder}")), what=f"publish of {path} v={v}")
     _commit(spark, path, v, folder, note)
@@ -202,22 +210,29 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
             touched = [r[0] for r in src.select(partition_col).distinct().collect()]
         if not touched:
             return []
-        version = (current_version(spark, path) or 0) + 1
-        target = read_parts(spark, path, schema, only=touched)
-        merged = upsert(target, src.select(*[c for c in src.columns if c in schema.fieldNames()]),
-                        keys, **args)
-        # rebalance: AQE packs each day into a few right-sized files and
-        # splits a hot day over several tasks, instead of every join task
-        # writing a small file into every touched day. Files are sorted by
-        # the keys, so parquet min/max statistics skip row groups for key
-        # filters (the role indexes play in a database).
-        folder = _new_folder()
-        (merged.select(*schema.fieldNames()).hint("rebalance", partition_col)
-               .sortWithinPartitions(partition_col, *keys)
-               .write.mode("errorifexists").partitionBy(partition_col).parquet(f"{path}/{folder}"))
-        if checks is not None:
-            gate(checks(spark.read.schema(schema).parquet(f"{path}/{folder}")), what=f"upsert into {path}")
-        _commit(spark, path, version, folder, parts=sorted(str(v) for v in touched))
+        for attempt in range(1, COMMIT_ATTEMPTS + 1):
+            version = next_version(spark, path)
+            target = read_parts(spark, path, schema, only=touched)
+            merged = upsert(target, src.select(*[c for c in src.columns if c in schema.fieldNames()]),
+                            keys, **args)
+            # rebalance: AQE packs each day into a few right-sized files and
+            # splits a hot day over several tasks, instead of every join task
+            # writing a small file into every touched day. Files are sorted by
+            # the keys, so parquet min/max statistics skip row groups for key
+            # filters (the role indexes play in a database).
+            folder = _new_folder()
+            (merged.select(*schema.fieldNames()).hint("rebalance", partition_col)
+                   .sortWithinPartitions(partition_col, *keys)
+                   .write.mode("errorifexists").partitionBy(partition_col).parquet(f"{path}/{folder}"))
+            if checks is not None:
+                gate(checks(spark.read.schema(schema).parquet(f"{path}/{folder}")), what=f"upsert into {path}")
+            try:
+                _commit(spark, path, version, folder, parts=sorted(str(v) for v in touched))
+                break
+            except ConcurrentPublishError:
+                _discard(spark, path, folder)
+                if attempt == COMMIT_ATTEMPTS:
+                    raise
         return touched
     finally:
         src.unpersist()
@@ -229,5 +244,5 @@ def _touched_and_checked(src: DataFrame, keys: list, partition_col: str) -> list
     return [r[partition_col] for r in check_keys(src, keys, by=[partition_col])]
 
 
-__all__ = ["with_defaults", "committed_versions", "current_version", "read_current", "read_parts", "parts_since",
+__all__ = ["with_defaults", "committed_versions", "current_version", "next_version", "read_current", "read_parts", "parts_since",
            "replace_table", "publish", "ensure_table", "upsert_partitions", "ConcurrentPublishError"]

@@ -89,6 +89,17 @@ CLOUD_WEATHER_HOURLY = _s(("location_name", T.StringType(), True), ("location_id
 CLOUD_STORED = T.StructType(CLOUD_WEATHER_HOURLY.fields + [
     T.StructField("file", T.StringType(), True), T.StructField("date", T.DateType(), True)])
 
+# The ledger of file loads, and the records that were not loaded.
+LOAD_LEDGER = _s(("load", T.LongType(), False), ("file", T.StringType(), False), ("length", T.LongType(), True),
+                 ("modified", T.TimestampType(), True), ("fingerprint", T.StringType(), True),
+                 ("status", T.StringType(), False), ("rows_parsed", T.LongType(), True),
+                 ("rows_loaded", T.LongType(), True), ("errors_seen", T.LongType(), True),
+                 ("first_error", T.StringType(), True), ("first_error_row", T.LongType(), True),
+                 ("first_error_column", T.StringType(), True))
+LOAD_REJECTS = _s(("load", T.LongType(), False), ("file", T.StringType(), False), ("row_number", T.LongType(), False),
+                  ("column", T.StringType(), True), ("value", T.StringType(), True), ("reason", T.StringType(), False),
+                  ("record", T.StringType(), True))
+
 # Measures are read as text, so that garbage is seen instead of read as NULL.
 PAYLOAD = T.StructType([
     T.StructField("latitude", T.DoubleType(), True),

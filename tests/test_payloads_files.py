@@ -230,18 +230,12 @@ def test_partition_upsert_rejects_duplicate_batch(spark, scratch):
 
 
 def test_export_spreads_a_hot_city_day_over_tasks(spark, scratch):
-    # each city-day here holds half of all rows: salting must hand it to
-    # several writer tasks, the per-file cap must hold, and no row is lost
+    # each city-day here holds half of all rows: it must be handed to several
+    # writer tasks, the per-file cap must hold, and no row is lost
     from lakeshore.plans.export import export_rows, write_partitioned_csv
     out = f"{scratch}/export-hot"
     rows = export_rows(_weather(spark), _dim(spark))
-    # AQE stays on (without it Spark drops the rebalance); only the merging
-    # of small partitions is off, so the salted shuffle is visible at this size
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        write_partitioned_csv(rows, out, files_per_partition=4, max_records_per_file=5)
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    write_partitioned_csv(rows, out, rows_per_task=10, max_records_per_file=5)
     hot = os.path.join(local_path(out), "dt=2026-02-24", "city=Chicago_IL")
     files = [f for f in os.listdir(hot) if f.startswith("part-")]
     tasks = {f.split("-")[1] for f in files}
@@ -252,6 +246,54 @@ def test_export_spreads_a_hot_city_day_over_tasks(spark, scratch):
     assert read_landed_csv(spark, out).count() == 48
 
 
+def test_folders_are_planned_by_number_and_rows(spark):
+    from lakeshore.plans.export import plan_folders
+    small = spark.range(3000).select(F.lit("2026-02-24").alias("dt"), (F.col("id") % 300).cast("string").alias("city"))
+    hot = spark.range(5000).select(F.lit("2026-02-25").alias("dt"), F.lit("hot").alias("city"))
+    plan = plan_folders(small.unionByName(hot), rows_per_task=1000, folders_per_task=20).collect()
+    assert sorted(r.rows for r in plan) == [10] * 300 + [5000]
+    folders, load = {}, {}
+    for r in plan:
+        assert len(r.tasks) == -(-r.rows // 1000)
+        for t in r.tasks:
+            folders[t] = folders.get(t, 0) + 1
+            load[t] = load.get(t, 0) + r.rows / len(r.tasks)
+    assert sorted(folders) == list(range(max(folders) + 1))
+    assert max(folders.values()) <= 21 and max(load.values()) <= 2000
+
+
+def test_export_manifest_and_reruns(spark, scratch, monkeypatch):
+    from lakeshore.plans import export
+    out = f"{scratch}/export"
+    assert export.export_manifest(spark, out).count() == 0
+    export_latest(_weather(spark), _dim(spark), out)
+    export_latest(_weather(spark), _dim(spark), out, export_date="2026-02-23")
+    first = {(r.dt, r.city): r for r in export.export_manifest(spark, out).collect()}
+    assert {k: (r.rows, r.export) for k, r in first.items()} == {
+        ("2026-02-24", "Chicago_IL"): (24, 1), ("2026-02-24", "New_York_NY"): (24, 1),
+        ("2026-02-23", "Chicago_IL"): (24, 2)}
+    # A rerun replaces its folders' files and leaves the other day's.
+    export_latest(_weather(spark).where("location_id = 1"), _dim(spark), out)
+    again = {(r.dt, r.city): r for r in export.export_manifest(spark, out).collect()}
+    assert again["2026-02-24", "Chicago_IL"].export == 3 and again["2026-02-24", "New_York_NY"].export == 1
+    there = {os.path.join(d, n) for d, _, names in os.walk(local_path(out)) for n in names if n.endswith(".csv")}
+    assert there == {local_path(f) for r in again.values() for f in r.files}
+    assert read_landed_csv(spark, out).count() == 72
+    export.write_partitioned_csv(export.export_rows(_weather(spark).where("false"), _dim(spark)), out)
+    assert read_landed_csv(spark, out).count() == 72
+    # Of two exports at once the later commit fails and takes its files back.
+    commit = storage._commit
+
+    def beaten(spark_, path, *args, **k):
+        monkeypatch.setattr(storage, "_commit", commit)
+        export_latest(_weather(spark), _dim(spark), out, export_date="2026-02-23")
+        commit(spark_, path, *args, **k)
+    monkeypatch.setattr(storage, "_commit", beaten)
+    with pytest.raises(storage.ConcurrentPublishError):
+        export_latest(_weather(spark), _dim(spark), out)
+    assert read_landed_csv(spark, out).count() == 72
+
+
 def test_partition_upsert_splits_a_hot_day_over_tasks(spark, scratch):
     # 2026-02-24 holds two thirds of the batch: AQE splits its rebalance
     # partition over several writer tasks; every row is written once
