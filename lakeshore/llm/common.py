@@ -64,6 +64,17 @@ def doc_text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def drawn(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """About ``n`` rows of ``df`` (all, if it has no more), drawn by a hash of
+    ``columns``: no task gathers them, and a run again draws the same. Rows
+    equal in these columns are drawn together: merge them afterwards."""
+    total = df.count()
+    if total <= n:
+        return df
+    place = F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) / float(1 << 40)
+    return df.where(place < n / total)
+
+
 def tokenizer_bytes(path: str) -> bytes:
     """A tokenizer file as bytes (a few MB at most), to travel with the tasks."""
     with open(path, "rb") as f:

@@ -3,9 +3,10 @@ labels every line good or bad from features of the line and its neighbours;
 forward-backward marginals, weighted by line length, give the document's score.
 
 Lines of a training document carry the document's label. The model is fitted
-on the driver over a bounded sample, ``train_documents`` labelled documents
-with the smallest hash of their doc_id, from line features computed on the
-executors; every document is then scored whole, on the executors.
+on the driver over a bounded sample, about ``train_documents`` labelled
+documents of at most ``TRAIN_LINES`` lines drawn by a hash of their doc_id, one
+text each, from line features computed on the executors; every document is then
+scored whole, on the executors.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.llm.common import doc_text, ship
+from lakeshore.llm.common import doc_text, drawn, ship
 
 TRAIN_DOCUMENTS = 3000
+TRAIN_LINES = 1000
 HOLDOUT_FOLDS, HOLDOUT_FOLD = 4, 2
 THRESHOLD = 0.7
 TRAIN_STEPS = 150
@@ -170,15 +172,14 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
 
 
 def train(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMENTS) -> Model | None:
-    """Fit on up to ``train_documents`` labelled documents outside the held-out
-    fold, those with the smallest hash. A document labelled more than once
-    takes the majority, good on a tie; null labels don't count. None where no
-    labelled document is left."""
+    """Fit on about ``train_documents`` labelled documents outside the held-out
+    fold. A document labelled more than once takes the majority, good on a tie;
+    null labels don't count; of different texts under one doc_id the smallest
+    counts. None where no labelled document is left."""
     ship(docs.sparkSession)
-    sample = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("q"))
-              .where("doc_id IS NOT NULL AND q IS NOT NULL").where(~held_out(F.col("doc_id")))
-              .groupBy("doc_id").agg((F.avg("q") >= 0.5).cast("int").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents))
+    known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("q"))
+             .where("doc_id IS NOT NULL AND q IS NOT NULL").where(~held_out(F.col("doc_id")))
+             .groupBy("doc_id").agg((F.avg("q") >= 0.5).cast("int").alias("label")))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,9 +190,11 @@ def train(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUM
                     "doc_id": pa.array([doc_id], pa.int64()), "label": pa.array([label], pa.int32()),
                     "n_lines": pa.array([int(lines[0])], pa.int32()), "x": [x.astype("<f4").tobytes()]})
 
-    # At most train_documents rows.
-    chosen = F.broadcast(sample)
-    rows = (doc_text(docs).join(chosen, "doc_id").select("doc_id", "label", "text")
+    # About train_documents rows, and one text for each before any of them moves.
+    chosen = F.broadcast(drawn(known, train_documents, "doc_id"))
+    lines = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
+    rows = (doc_text(docs).where(lines <= TRAIN_LINES).join(chosen, "doc_id")
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
             .mapInArrow(features, "doc_id long, label int, n_lines int, x binary").collect())
     if not rows:
         return None

@@ -7,13 +7,16 @@ Everything is DataFrame functions and Spark ML on the JVM.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import matched, saved, with_text
+from lakeshore.llm.common import drawn, matched, saved, with_text
+from lakeshore.plans.joins import sized_broadcast
 
 # A candidate: 16 or more characters of keys, hashes and encoded bytes, with a
 # digit or a change from lower to upper case; and whatever is assigned to a key
@@ -39,7 +42,9 @@ PEM = r"PRIVATE KEY-----$|(?:^|\s)[A-Za-z0-9+/]{60,76}$"
 PATH_SAMPLES = r"test|example|sample|mock|fixture|docs?/"
 PATH_SETTINGS = r"\.(env|pem|key|cfg|conf|ini|ya?ml|json|properties|toml)$"
 
-DICTIONARY_WORDS = 5000
+# A word of the dictionary occurs in this share of all documents, and in so
+# many of them at least.
+WORD_SHARE, WORD_DOCUMENTS = 1e-4, 3
 TRAIN_DOCUMENTS = 4000
 TREES, DEPTH, SEED = 20, 8, 7
 THRESHOLD = 0.5
@@ -52,24 +57,32 @@ FEATURES = ["length", "digits", "upper", "lower", "other", "distinct", "switches
 FINDING = [*KEY, "value", "before", "prefix", "suffix", "after", "path"]
 
 
-def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """(term, n): the ``words`` most frequent words of three or more letters
-    over all texts, ties by word."""
-    term = F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"\p{L}{3,}"), F.lit(0)))
-    counts = docs.select(term.alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return saved(counts.orderBy(F.col("n").desc(), "term").limit(words), "dictionary")
+class Words(NamedTuple):
+    """What the corpus says about words: ``terms`` (column term) is its
+    dictionary, ``pairs`` (pair, log_p) the log probability of the second of
+    two letters a to z after the first, over all words."""
+    terms: DataFrame
+    pairs: DataFrame
+
+
+def dictionary(docs: DataFrame) -> Words:
+    """Words of three or more letters over all texts; the dictionary's are
+    those in WORD_SHARE of the documents, at least WORD_DOCUMENTS."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"\p{L}{3,}"), F.lit(0)))
+    counts = saved(docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "words")
+    least = max(WORD_DOCUMENTS, int(WORD_SHARE * docs.count()))
+    return Words(saved(counts.where(F.col("n") >= least).select("term"), "dictionary"), transitions(counts))
 
 
-def transitions(terms: DataFrame) -> DataFrame:
-    """(pair, log_p): log probability of the second letter after the first, by
-    the dictionary's words; add-one over the letters seen."""
-    letters = F.split("term", "")
-    pairs = terms.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("term") - 1), lambda i: F.substring(
-        F.col("term"), i, F.lit(2)))).alias("pair"))
-    alphabet = terms.select(F.explode(letters)).distinct().count()
-    counts = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
-    of_first = Window.partitionBy(F.substring("pair", 1, 1))
-    return counts.select("pair", F.log((F.col("n") + 1) / (F.sum("n").over(of_first) + alphabet)).alias("log_p"))
+def transitions(counts: DataFrame) -> DataFrame:
+    """(pair, log_p) by words (term) and their numbers (n); add-one over the 26
+    letters. At most 26 * 26 rows."""
+    pairs = counts.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("term") - 1), lambda i: F.substring(
+        F.col("term"), i, F.lit(2)))).alias("pair")).where(F.col("pair").rlike("^[a-z]{2}$"))
+    sums = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
+    of_first = sums.groupBy(F.substring("pair", 1, 1).alias("first")).agg(F.sum("n").alias("total"))
+    joined = sums.join(F.broadcast(of_first), F.substring("pair", 1, 1) == F.col("first"))
+    return saved(joined.select("pair", F.log((F.col("n") + 1) / (F.col("total") + 26)).alias("log_p")), "letter-pairs")
 
 
 def _assigned_values(before: Column, word: Column) -> Column:
@@ -133,7 +146,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     return rows.select(*FINDING).unionAll(phrases.select(*FINDING))
 
 
-def features(findings: DataFrame, terms: DataFrame) -> DataFrame:
+def features(findings: DataFrame, words: Words) -> DataFrame:
     """``findings`` (columns FINDING, others kept) with the columns FEATURES."""
     value, size = F.col("value"), F.length("value")
 
@@ -162,17 +175,17 @@ def features(findings: DataFrame, terms: DataFrame) -> DataFrame:
     # Facts of a value and of its neighbouring words, once for each distinct one.
     runs = F.regexp_extract_all(F.lower("value"), F.lit(r"\p{L}+"), F.lit(0))
     values = findings.select("value").distinct()
-    covered = (values.select("value", F.explode(runs).alias("term")).join(F.broadcast(terms), "term")
+    terms = sized_broadcast(words.terms)
+    covered = (values.select("value", F.explode(runs).alias("term")).join(terms, "term")
                .groupBy("value").agg(F.sum(F.length("term")).alias("covered")))
     pairs = values.select("value", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("value") - 1),
         lambda i: F.substring(F.lower(F.col("value")), i, F.lit(2)))).alias("pair"))
-    table = transitions(terms)  # at most the square of the dictionary's letters
-    surprise = (pairs.join(F.broadcast(table), "pair", "left").groupBy("value")
+    surprise = (pairs.join(F.broadcast(words.pairs), "pair", "left").groupBy("value")
                 .agg((-F.avg(F.coalesce("log_p", F.lit(-12.0)))).alias("surprise")))
     near = F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit(r"\p{L}+"), F.lit(0))
     sides = findings.select("before", "after").distinct()
-    known = (sides.select("before", "after", F.explode(near).alias("term")).join(F.broadcast(terms), "term")
+    known = (sides.select("before", "after", F.explode(near).alias("term")).join(terms, "term")
              .groupBy("before", "after").agg(F.count(F.lit(1)).cast("double").alias("neighbours")))
     out = (plain.join(covered, "value", "left").join(surprise, "value", "left")
            .join(known, ["before", "after"], "left"))
@@ -180,7 +193,7 @@ def features(findings: DataFrame, terms: DataFrame) -> DataFrame:
         (f, F.col("covered") / F.col("length") if f == "coverage" else F.col(f)) for f in FEATURES)))
 
 
-def train(labelled: DataFrame, terms: DataFrame) -> RandomForestClassificationModel | None:
+def train(labelled: DataFrame, terms: Words) -> RandomForestClassificationModel | None:
     """A forest from labelled findings: columns FINDING and label (1: secret, 0:
     false positive; null labels don't count). None unless both labels occur."""
     labelled = saved(labelled.where("label IS NOT NULL"), "labelled-findings")
@@ -197,7 +210,7 @@ def _assembled(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep").transform(rows)
 
 
-def scan(docs: DataFrame, model: RandomForestClassificationModel | None, terms: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, model: RandomForestClassificationModel | None, terms: Words) -> DataFrame:
     """One row per candidate of every whole text: FINDING, score (probability
     of a secret), is_secret (from THRESHOLD on). Without a model every
     candidate stays, with score 1.
@@ -213,10 +226,25 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel | None, terms:
             .select(*FINDING, "score", (F.col("score") >= THRESHOLD).alias("is_secret")))
 
 
-def derived_findings(docs: DataFrame, terms: DataFrame, documents: int = TRAIN_DOCUMENTS) -> DataFrame:
+def measure(labelled: DataFrame, terms: Words, folds: int = 4, fold: int = 2) -> dict[str, float]:
+    """Precision and recall of a forest on the labelled findings of one fold of
+    the documents (by a hash of doc_id), trained on those of the others."""
+    inside = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == fold
+    labelled = saved(labelled.where("label IS NOT NULL AND doc_id IS NOT NULL"), "measured-findings")
+    model = train(labelled.where(~inside), terms)
+    if model is None:
+        return {"findings": 0, "precision": 0.0, "recall": 0.0}
+    judged = model.transform(_assembled(features(labelled.where(inside), terms).withColumnRenamed("label", "truth")))
+    said, true = vector_to_array("probability")[1] >= THRESHOLD, F.col("truth") == 1
+    n, hits, said_n, true_n = judged.agg(F.count(F.lit(1)), F.count_if(said & true), F.count_if(said),
+                                         F.count_if(true)).first()
+    return {"findings": n, "precision": hits / max(1, said_n), "recall": hits / max(1, true_n)}
+
+
+def derived_findings(docs: DataFrame, terms: Words, documents: int = TRAIN_DOCUMENTS) -> DataFrame:
     """Labelled findings derived from the corpus, for when no reviewed ones are
-    given: from up to ``documents`` documents of smallest hash (a documented
-    bound of the training sample). Real candidates are labelled by strict
+    given: from about ``documents`` documents drawn by hash (a documented bound
+    of the training sample; documents without id are not drawn). Real candidates are labelled by strict
     rules: secrets are varied values of high entropy assigned to a secret's
     name or marked by their own form (provider's prefix, JWT, password in a
     URL, bearer, PEM line); not secrets are plain numbers, addresses, named
@@ -226,11 +254,10 @@ def derived_findings(docs: DataFrame, terms: DataFrame, documents: int = TRAIN_D
     placeholders, named digests, numbers, addresses, paths and words joined
     with numbers (not secrets).
     """
-    chosen = (docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents))
     # Written once: everything below reads the sample several times.
     columns = [c for c in ("doc_id", "text", "source") if c in docs.columns]
-    sample = saved(docs.select(*columns).join(F.broadcast(chosen), "doc_id"), "secret-sample")
+    known = docs.select(*columns).where("doc_id IS NOT NULL")
+    sample = saved(drawn(known, documents, "doc_id", "text").dropDuplicates(["doc_id", "text"]), "secret-sample")
     real = features(saved(candidates(sample), "sample-candidates"), terms)
     marked = F.greatest("provider", "url_password", "scheme", "pem") == 1
     varied = (F.col("distinct") * F.col("length") >= 8) & (F.col("coverage") < 0.5)

@@ -122,9 +122,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("two halves with one wildcard find links of at most three bits")
     # Each fingerprint becomes 64 rows: spread them before, and don't let the
-    # small table they come from be merged into a few tasks.
+    # small table they come from be merged into a few tasks. (By "fp" itself
+    # the planner would drop the exchange in favour of the one below it.)
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts, keys, frame = [], [], fps.repartition(spread, "fp")
+    parts, keys, frame = [], [], fps.repartition(spread, F.xxhash64("fp"))
     # Free bits before each split: both halves; the other half; its other quarter.
     levels = [("k1", "0", 32),
               ("k2", "32 * (1 - shiftright(k1, 37))", 16),
