@@ -664,6 +664,51 @@ def stream_overlapping_fetches(spark, sf):
         "location_name", "ts", "temperature_2m", "status", "row_count")
 
 
+def _stream_windows(spark, sf):
+    """Three drops of payloads into the stream of daily loads: first loads; an
+    overlap with warmer rows five days later; everything again, warmer still,
+    on a day whose windows end before most locations' marks."""
+    from lakeshore.plans.flow import FlowConfig
+    from lakeshore.session import scratch_dir
+    from lakeshore.sources import payloads
+    from lakeshore.streaming.window_stream import stream_daily_loads
+    root = scratch_dir(spark, "warehouse")
+    dim, rows = SI.locations(spark, sf), _raw_weather(spark, sf)
+    for warmer, (day, kept) in enumerate((("2024-01-01", F.col("ts") < S.ntz("2024-01-10")),
+                                          ("2024-01-06", F.col("ts") >= S.ntz("2024-01-06")),
+                                          ("2024-01-02", F.lit(True)))):
+        drop = rows.where(kept).withColumn("temperature_2m", (F.col("temperature_2m") + warmer).cast(MEASURE))
+        payloads.fold_payloads(drop, dim).write.mode("append").json(f"{root}/landing")
+        stream_daily_loads(spark, FlowConfig(root=root, landing=f"{root}/landing", run_ts=f"{day} 05:00:00", as_of=day),
+                           f"{root}/_checkpoints/loads")
+    return root
+
+
+def stream_window_runs(spark, sf):
+    """The runs of the three drops: window state, outcome and rows of each."""
+    from lakeshore.plans.storage import read_current
+    from lakeshore.schemas import RUN_EVENTS
+    root = _stream_windows(spark, sf)
+    params = F.from_json("params", "location_id long, state string, watermark_ts string")
+    state = audit.runs_state(spark.read.schema(RUN_EVENTS).parquet(f"{root}/run_events")).withColumn("p", params)
+    names = read_current(spark, f"{root}/dim_location").select("location_id", "location_name")
+    return state.select("run_id", S.ts_date("started_at").alias("as_of"), "p.location_id", "p.state",
+                        F.col("p.watermark_ts").cast("timestamp_ntz").alias("watermark"), "status", "row_count") \
+        .join(names, "location_id").drop("location_id")
+
+
+def stream_window_rows(spark, sf):
+    """The rows of the three drops and the day of the run that loaded each."""
+    from lakeshore.plans.storage import read_current
+    from lakeshore.schemas import RAW_WEATHER_STORED, RUN_EVENTS
+    root = _stream_windows(spark, sf)
+    state = audit.runs_state(spark.read.schema(RUN_EVENTS).parquet(f"{root}/run_events"))
+    rows = model.stg_hourly(read_parts(spark, f"{root}/raw_weather_hourly", RAW_WEATHER_STORED),
+                            read_current(spark, f"{root}/dim_location"))
+    return lookup_join(rows, state.select("run_id", S.ts_date("started_at").alias("as_of")), "run_id", "inner").select(
+        "location_name", "ts", "temperature_2m", "precipitation", "windspeed_10m", "as_of")
+
+
 def bad_payloads(spark, sf):
     """Payloads with a garbage number (each fifth location) and truncated ones
     (each seventh): they fail their runs, the other rows are loaded. Runs by
@@ -939,7 +984,7 @@ def literal_rows(spark, sf):
 QUERIES.update({f.__name__: f for f in (
     daily_flow_failing, daily_flow_rerun, overlapping_fetches, stream_overlapping_fetches, bad_payloads,
     publish_partitioned_after_failure, load_report_files, load_files_continue, load_rejected_records,
-    load_files_skip_file, load_by_content, export_clashing_names, export_one_day,
+    load_files_skip_file, load_by_content, stream_window_runs, stream_window_rows, export_clashing_names, export_one_day,
     windowed_rows_strict, load_guard_week, fact_events_lookup_shuffled, literal_rows)})
 QUERIES.update({
     "daily_flow_incremental": daily_flow_incremental,

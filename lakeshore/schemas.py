@@ -69,8 +69,8 @@ RAW_WEATHER_HOURLY = _s(("location_id", T.LongType(), False), ("ts", NTZ, False)
 # raw_weather_hourly as stored: partitioned by day.
 RAW_WEATHER_STORED = T.StructType(RAW_WEATHER_HOURLY.fields + [T.StructField("date", T.DateType(), True)])
 
-# The last hour that each load brought, appended by every run.
-WATERMARKS = _s(("location_id", T.LongType(), False), ("ts", NTZ, False))
+# The last hour that each load brought, appended by every run; a stream names itself.
+WATERMARKS = _s(("location_id", T.LongType(), False), ("ts", NTZ, False), ("loaded_by", T.StringType(), True))
 
 DIM_DATE = _s(("date_key", T.IntegerType(), False), ("date", T.DateType(), False))
 
