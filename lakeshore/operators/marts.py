@@ -99,6 +99,78 @@ def windiest_hours(fact: DataFrame, dim_location: DataFrame, n: int = 5) -> Data
         .orderBy("location_name", F.col("windspeed_10m").desc_nulls_first(), "rn")
 
 
+# ---------------------------------------------------------------- marts from stored partials
+
+# An hour in the order of the windiest: NULL speed first, then falling speed,
+# then time. Hours of one location compare as structs, the smallest first.
+HOUR = "struct<known:boolean,calm:decimal(19,6),ts:timestamp_ntz>"
+
+
+def _hour():
+    return F.struct(F.col("windspeed_10m").isNotNull().alias("known"),
+                    (-F.col("windspeed_10m")).cast("decimal(19,6)").alias("calm"), F.col("ts").alias("ts"))
+
+
+def day_partials(fact: DataFrame, n: int = 5) -> DataFrame:
+    """What the marts need of each (location_id, day): exact sums and counts,
+    and its ``n`` windiest hours. Parts of a day can be added up, days merged."""
+    return fact.groupBy("location_id", ts_date("ts").alias("date")).agg(
+        F.sum("temperature_2m").cast("decimal(28,6)").alias("warmth"), F.count("temperature_2m").alias("measured"),
+        F.sum("precipitation").cast("decimal(28,6)").alias("wet"),
+        # A location's day has at most 24 hours.
+        F.slice(F.sort_array(F.collect_list(_hour())), 1, n).cast(f"array<{HOUR}>").alias("hours"))
+
+
+def _named_days(partials: DataFrame, dim_location: DataFrame) -> DataFrame:
+    return lookup_join(partials, dim_location.select("location_id", "location_name"), "location_id", "left") \
+        .groupBy("location_name", "date")
+
+
+def daily_avg_from(partials: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """:func:`daily_avg_temperature` without its fact."""
+    out = _named_days(partials, dim_location).agg(F.sum("warmth").alias("_s"), F.sum("measured").alias("_c"))
+    return out.select("location_name", "date", F.when(F.col("_c") > 0, F.col("_s").cast("double") / F.col("_c")).alias(
+        "average_temperature_city")).orderBy(F.col("date").desc(), "location_name")
+
+
+def daily_total_from(partials: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """:func:`daily_total_precipitation` without its fact."""
+    out = _named_days(partials, dim_location).agg(F.sum("wet").cast("decimal(28,6)").alias("total_precipitation_city"))
+    return out.orderBy(F.col("date").desc(), "location_name")
+
+
+def top_hours(partials: DataFrame, n: int = 5) -> DataFrame:
+    """(location_id, hours): the ``n`` windiest hours over the days given."""
+    hours = partials.select("location_id", F.explode("hours").alias("h")).select("location_id", "h", "h.*")
+    best = top_n_per_group(hours, ["location_id"], [asc("known"), asc("calm", nulls_first=True), asc("ts")], n)
+    return best.groupBy("location_id").agg(F.sort_array(F.collect_list("h")).alias("hours"))
+
+
+def merge_top_hours(old: DataFrame, changed: DataFrame, days: list, n: int = 5) -> DataFrame:
+    """``old`` top hours after the ``days`` were replaced by what ``changed``
+    (top hours of those days alone) says: (location_id, hours, exact). Hours
+    of other days that never made it into ``old`` all rank behind its last one,
+    so the merge is exact unless its own last one ranks behind that too."""
+    stays = F.filter("old_hours", lambda h: ~h["ts"].cast("date").isin(days)) if days else F.col("old_hours")
+    none = F.array().cast(f"array<{HOUR}>")
+    both = old.withColumnRenamed("hours", "old_hours").join(changed.withColumnRenamed("hours", "new_hours"),
+                                                            "location_id", "full_outer")
+    merged = F.slice(F.sort_array(F.concat(F.coalesce(stays, none), F.coalesce("new_hours", none))), 1, n)
+    exact = (F.coalesce(F.size("old_hours"), F.lit(0)) < n) | (
+        (F.size("hours") == n) & (F.element_at("hours", -1) <= F.element_at("old_hours", -1)))
+    return both.withColumn("hours", merged).select("location_id", "hours", F.coalesce(exact, F.lit(True)).alias("exact"))
+
+
+def windiest_from(top: DataFrame, dim_location: DataFrame, n: int = 5) -> DataFrame:
+    """:func:`windiest_hours` from each location's top hours."""
+    hours = top.select("location_id", F.explode("hours").alias("h")).select(
+        "location_id", "h.ts", (-F.col("h.calm")).cast("decimal(18,6)").alias("windspeed_10m"))
+    order = [desc("windspeed_10m", nulls_first=True), asc("ts"), asc("location_id")]
+    labelled = lookup_join(hours, dim_location.select("location_id", "location_name"), "location_id", "left")
+    return top_n_per_group(labelled, ["location_name"], order, n).select("location_name", "ts", "windspeed_10m", "rn") \
+        .orderBy("location_name", F.col("windspeed_10m").desc_nulls_first(), "rn")
+
+
 def recent_runs(runs: DataFrame, pipeline_name: str | None = None, k: int = 10) -> DataFrame:
     """ORDER BY run_id DESC LIMIT k (TakeOrderedAndProject: top-k per task)."""
     if pipeline_name is not None:
@@ -111,16 +183,24 @@ def latest_run_rows(raw: DataFrame, runs: DataFrame) -> DataFrame:
     return raw.where(F.col("run_id") == runs.select(F.max("run_id")).scalar())
 
 
-def latest_day_rows(raw: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Per location_name, every row of its latest day, with the label. A
-    stored day column ``date`` is used as it is, so that its partitions prune;
-    otherwise the day comes from ts."""
+def latest_days(days: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """(location_name, location_id, date): the last day that any location of
+    its name has, from (location_id, date)."""
     dim = dim_location.select("location_id", "location_name")
-    dated = raw if "date" in raw.columns else raw.withColumn("date", ts_date("ts"))
-    per_id = dated.groupBy("location_id").agg(F.max("date").alias("_d"))
+    per_id = days.groupBy("location_id").agg(F.max("date").alias("_d"))
     per_name = lookup_join(per_id, dim, "location_id", "inner") \
         .groupBy("location_name").agg(F.max("_d").alias("date"))
-    of_id = dim.join(per_name, "location_name").select("location_id", "location_name", "date")
+    return dim.join(per_name, "location_name").select("location_id", "location_name", "date")
+
+
+def latest_day_rows(raw: DataFrame, dim_location: DataFrame, of_id: DataFrame | None = None) -> DataFrame:
+    """Per location_name, every row of its latest day, with the label. A
+    stored day column ``date`` is used as it is, so that its partitions prune;
+    otherwise the day comes from ts. ``of_id`` gives what :func:`latest_days`
+    says where that is known without reading the rows."""
+    dated = raw if "date" in raw.columns else raw.withColumn("date", ts_date("ts"))
+    if of_id is None:
+        of_id = latest_days(dated, dim_location)
     return lookup_join(dated, of_id, ["location_id", "date"], "inner").select(
         "location_name", "location_id", "ts", "temperature_2m", "precipitation", "windspeed_10m", "source",
         "ingested_at", "run_id", "date")
@@ -128,4 +208,6 @@ def latest_day_rows(raw: DataFrame, dim_location: DataFrame) -> DataFrame:
 
 __all__ = ["revenue_by_country", "purchases_per_person", "activity_per_person",
            "unknown_person_counts", "daily_avg_temperature", "daily_total_precipitation",
-           "windiest_hours", "recent_runs", "latest_run_rows", "latest_day_rows"]
+           "windiest_hours", "day_partials", "daily_avg_from", "daily_total_from", "top_hours", "merge_top_hours",
+           "windiest_from", "HOUR", "recent_runs", "latest_run_rows", "latest_days",
+           "latest_day_rows"]

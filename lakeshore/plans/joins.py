@@ -78,6 +78,34 @@ def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     return big.join(sized_broadcast(small, max_rows, max_bytes), on, how)
 
 
+def heavy_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",
+               share: float = 0.002) -> DataFrame:
+    """The shuffle join of a fact with a dimension too large to broadcast, for
+    keys that may each carry much of the fact.
+
+    A frequent-items sketch of the fact's keys (each task keeps 1 / ``share``
+    counters, so none that holds more than ``share`` of the rows is missed)
+    names the heavy ones. Their rows, and those without a key, meet a broadcast
+    of their few dimension rows where they are; only the others are shuffled.
+    ``small`` has unique keys; ``how`` is ``left`` or ``inner``."""
+    if how not in ("left", "inner"):
+        raise ValueError("how is left or inner")
+    keys = [on] if isinstance(on, str) else list(on)
+    sketch = big.select(F.struct(*keys).alias("_key")).stat.freqItems(["_key"], share).first()[0]
+    heavy = [tuple(r[k] for k in keys) for r in sketch or []]
+    # At most 1 / share rows.
+    listed = big.sparkSession.createDataFrame(heavy, T.StructType([big.schema[k] for k in keys])).distinct()
+    is_heavy = F.lit(False)
+    for k in keys:
+        is_heavy = is_heavy | F.col(k).isNull()
+    marked = big.join(F.broadcast(listed.withColumn("_heavy", F.lit(True))), keys, "left").withColumn(
+        "_heavy", F.coalesce("_heavy", is_heavy)).select(*big.columns, "_heavy")
+    heavy_rows = small.join(F.broadcast(listed), keys, "left_semi")
+    stays = marked.where("_heavy").drop("_heavy").join(F.broadcast(heavy_rows), keys, how)
+    moves = marked.where("NOT _heavy").drop("_heavy").join(small.hint("shuffle_hash"), keys, how)
+    return stays.unionByName(moves)
+
+
 def release_checked(since: int = 0) -> int:
     """Drop the caches kept by :func:`sized_broadcast` (after the results that
     use them are written); with ``since`` (from :func:`kept_so_far`) only the
@@ -94,5 +122,5 @@ def kept_so_far() -> int:
     return len(_KEPT)
 
 
-__all__ = ["sized_broadcast", "measured_side", "lookup_join", "release_checked", "kept_so_far", "DEFAULT_BROADCAST_ROWS",
+__all__ = ["sized_broadcast", "measured_side", "lookup_join", "heavy_join", "release_checked", "kept_so_far", "DEFAULT_BROADCAST_ROWS",
            "DEFAULT_BROADCAST_BYTES"]

@@ -3,7 +3,7 @@
 staged view (raw JOIN dim_location) -> missing dates into dim_date ->
 fact_weather_hourly upserted through the date join (touched days only) ->
 model checks (staging = fact, no orphan dates or locations, unique grain)
--> marts read from the stored fact.
+-> marts brought up to date from the days that changed (mart_refresh).
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshore.functions.scalar import ts_date
-from lakeshore.operators import keys, marts, model, quality, upsert
+from lakeshore.operators import keys, model, quality, upsert
 from lakeshore.plans import storage
+from lakeshore.plans.mart_refresh import read_marts, refresh_marts
 from lakeshore.schemas import DIM_DATE, FACT_WEATHER_HOURLY
 
 def _fact_stored_schema() -> T.StructType:
@@ -77,15 +78,14 @@ def refresh_model(spark: SparkSession, root: str, raw: DataFrame, dim_location:
     fact = storage.read_parts(spark, fact_path, _fact_stored_schema(), only=days).drop("date")
 
     checks = quality.reconcile({"row_count_stg": stg, "row_count_fact": fact})
-    whole = storage.read_parts(spark, fact_path, _fact_stored_schema()).drop("date")
+    # marts: only the days of the fact that changed are read
+    refresh_marts(spark, root, fact_path, _fact_stored_schema())
     return {
         "reconciliation": checks,
         "missing_dates": quality.orphan_count(fact, dim_date, "date_key", "missing_dates"),
         "missing_location": quality.orphan_count(fact, dim_location, "location_id", "missing_location"),
         "duplicate_grain": keys.duplicate_keys(fact, ["location_id", "ts"], "duplicate_count"),
-        "daily_avg": marts.daily_avg_temperature(whole, dim_location),
-        "daily_total": marts.daily_total_precipitation(whole, dim_location),
-        "windiest": marts.windiest_hours(whole, dim_location, 5),
+        **read_marts(spark, root, dim_location),
     }
 
 

@@ -32,6 +32,7 @@ from lakeshore.operators.upsert import check_keys, upsert
 from lakeshore.plans import records
 
 COMMITS = "_commits"
+SUMMARIES = "_summary"
 # How often an upsert merges again after losing the race for a version.
 COMMIT_ATTEMPTS = 20
 COMMIT_SCHEMA = "version long, folder string, parts array<string>, note string"
@@ -114,6 +115,26 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType, only: Seque
     return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
 
 
+def read_summary(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str]) -> DataFrame:
+    """(``by``, partition, rows) of a day-partitioned table as committed, from
+    what its upserts counted; from the rows themselves if any did not."""
+    name = schema.fields[-1].name
+    log = committed_versions(spark, path)
+    kept = T.StructType([*(schema[c] for c in by), schema[name], T.StructField("rows", T.LongType()),
+                         T.StructField("folder", T.StringType())])
+    if log is None:
+        return spark.createDataFrame([], kept).drop("folder")
+    days = log.select("version", "folder", F.explode("parts").alias("_part")).groupBy("_part").agg(
+        F.max_by("folder", "version").alias("folder"))
+    folders = sorted(r[0] for r in days.select("folder").distinct().collect())
+    told = _try_read(spark, lambda: spark.read.schema(kept).parquet(*(f"{path}/{SUMMARIES}/{f}" for f in folders)))
+    if told is None:
+        return read_parts(spark, path, schema).groupBy(*by, name).agg(F.count(F.lit(1)).alias("rows"))
+    # A row a day: each day counts in its latest folder only.
+    return told.join(F.broadcast(days), (told["folder"] == days["folder"]) & (
+        F.col(name).cast("string") == F.col("_part")), "left_semi").drop("folder")
+
+
 def parts_since(spark: SparkSession, path: str, version: int = 0) -> list[str]:
     """The days that commits after ``version`` wrote (what a refresh that saw
     ``version`` has yet to see)."""
@@ -187,7 +208,8 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, source: DataFrame,
                       keys: Sequence[str], partition_col: str, partition_expr: Column,
-                      checks: Callable[[DataFrame], DataFrame] | None = None, **upsert_args) -> list:
+                      checks: Callable[[DataFrame], DataFrame] | None = None,
+                      summary_by: Sequence[str] = (), **upsert_args) -> list:
     """Upsert ``source`` into the day-partitioned table at ``path``.
 
     Only the partitions the source touches are read and written, to a new
@@ -195,7 +217,8 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
     partitions is the one small collect (days in a batch). ``checks`` see the
     merged partitions as written, before the commit. The upsert is idempotent
     by key, so a batch may be replayed. ``partition_col`` is the last field of
-    ``schema``."""
+    ``schema``. With ``summary_by`` the rows of each of its groups in each
+    partition are counted beside the commit (:func:`read_summary`)."""
     # The batch is read for the touched days, the duplicate check and the
     # merge: keep it (spillable) for the duration of this call.
     src = source.withColumn(partition_col, partition_expr).persist(StorageLevel.MEMORY_AND_DISK)
@@ -226,6 +249,10 @@ def upsert_partitions(spark: SparkSession, path: str, schema: T.StructType, sour
                    .write.mode("errorifexists").partitionBy(partition_col).parquet(f"{path}/{folder}"))
             if checks is not None:
                 gate(checks(spark.read.schema(schema).parquet(f"{path}/{folder}")), what=f"upsert into {path}")
+            if summary_by:
+                written = spark.read.schema(schema).parquet(f"{path}/{folder}")
+                written.groupBy(*summary_by, partition_col).agg(F.count(F.lit(1)).alias("rows")).withColumn(
+                    "folder", F.lit(folder)).write.parquet(f"{path}/{SUMMARIES}/{folder}")
             try:
                 _commit(spark, path, version, folder, parts=sorted(str(v) for v in touched))
                 break
@@ -244,5 +271,5 @@ def _touched_and_checked(src: DataFrame, keys: list, partition_col: str) -> list
     return [r[partition_col] for r in check_keys(src, keys, by=[partition_col])]
 
 
-__all__ = ["with_defaults", "committed_versions", "current_version", "next_version", "read_current", "read_parts", "parts_since",
+__all__ = ["with_defaults", "committed_versions", "current_version", "next_version", "read_current", "read_parts", "read_summary", "parts_since",
            "replace_table", "publish", "ensure_table", "upsert_partitions", "ConcurrentPublishError"]

@@ -777,6 +777,84 @@ def model_refresh_build(spark, sf):
     return out["daily_avg"]
 
 
+def _refreshed_marts(spark, sf):
+    """Three changes of the stored fact, the marts refreshed after each: the
+    early rows; the later ones with other measures; calm on 01-10 .. 01-12, which
+    takes hours out of many locations' windiest."""
+    from lakeshore.plans import storage
+    from lakeshore.plans.mart_refresh import read_marts, refresh_marts
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    from lakeshore.session import scratch_dir
+    root = scratch_dir(spark, "marts")
+    fact = f"{root}/fact"
+    target, src = _split(spark, sf)
+    calm = SI.hourly(spark, sf).where(S.ts_date("ts").between(S.date_lit("2024-01-10"), S.date_lit("2024-01-12"))) \
+        .withColumn("windspeed_10m", (F.col("windspeed_10m") / 100).cast(MEASURE)).drop("run_id")
+    for rows in (target.drop("source", "ingested_at"), src, calm):
+        storage.upsert_partitions(
+            spark, fact, RAW_WEATHER_STORED, rows, ["location_id", "ts"], "date", S.ts_date("ts"),
+            insert_defaults={"source": DEFAULT_WEATHER_SOURCE, "ingested_at": S.ntz(RUN_TS)})
+        refresh_marts(spark, root, fact, RAW_WEATHER_STORED)
+    return read_marts(spark, root, SI.locations(spark, sf))
+
+
+def windiest_after_updates(spark, sf):
+    """The five windiest hours per location, kept up to date from changed days."""
+    return _refreshed_marts(spark, sf)["windiest"]
+
+
+def daily_total_after_updates(spark, sf):
+    """Daily precipitation per location, kept up to date from changed days."""
+    return _refreshed_marts(spark, sf)["daily_total"]
+
+
+def content_differences(spark, sf):
+    """A copy of the hourly rows with changed, lost, doubled and added rows
+    against the original: exactly these, found down a tree of checksums."""
+    rows = SI.hourly(spark, sf).withColumn("date", S.ts_date("ts"))
+    k, day = F.col("location_id"), F.dayofmonth("ts")
+    copy = rows.where(~((k % 40 == 3) & (day == 6))).withColumn(
+        "precipitation", F.when((k % 50 == 7) & (day == 5), F.col("precipitation") + 1).otherwise(F.col("precipitation"))
+        .cast(MEASURE))
+    copy = copy.unionByName(copy.where((k % 45 == 11) & (day == 9))).unionByName(
+        rows.where((k % 60 == 13) & (day == 12)).withColumn("location_id", -k))
+    return quality.reconcile_content(rows, copy, [["date"], ["date", "location_id"], ["date", "location_id", "ts"]])
+
+
+def hour_gaps(spark, sf):
+    """Missing hours of every location in January, also of those without rows."""
+    return quality.hour_gaps(SI.hourly(spark, sf), _all_locations(spark, sf), "location_id", "2024-01-01 00:00:00",
+                             "2024-01-31 23:00:00")
+
+
+def latest_day_stored(spark, sf):
+    """latest_day_per_location of a stored table that two upserts made, read
+    by the counts beside its commits."""
+    from lakeshore.plans import storage
+    from lakeshore.plans.export import stored_latest_rows
+    from lakeshore.schemas import RAW_WEATHER_STORED
+    from lakeshore.session import scratch_dir
+    path = scratch_dir(spark, "raw_weather")
+    for rows, run_ts in zip(_split(spark, sf), (RUN_TS, RUN_TS2), strict=True):
+        storage.upsert_partitions(
+            spark, path, RAW_WEATHER_STORED, rows, ["location_id", "ts"], "date", S.ts_date("ts"),
+            summary_by=["location_id"], update_cols=["temperature_2m", "precipitation", "windspeed_10m", "run_id"],
+            insert_defaults={"source": DEFAULT_WEATHER_SOURCE, "ingested_at": S.ntz(run_ts)},
+            touch={"ingested_at": S.ntz(run_ts)})
+    return stored_latest_rows(spark, path, RAW_WEATHER_STORED, SI.locations(spark, sf))
+
+
+def heavy_key_lookup(spark, sf):
+    """A label lookup above the broadcast bound where one location holds a
+    third of the rows."""
+    fact = SI.hourly(spark, sf).select(
+        F.when(F.hour("ts") % 3 == 0, F.lit(7)).when(F.hour("ts") % 23 == 1, F.lit(None)).otherwise(F.col("location_id"))
+        .cast("bigint").alias("location_id"), "ts", "precipitation")
+    labelled = lookup_join(fact, SI.locations(spark, sf).where("location_id % 10 <> 9"), "location_id", "left", max_rows=0)
+    return labelled.groupBy("location_name").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("precipitation").cast(
+        "decimal(28,6)").alias("total_precipitation"), F.max("ts").alias("last_ts"))
+
+
 def stream_payload_upsert(spark, sf):
     """Two drops of landed payload documents (early days, then later days
     with changed measures) streamed into the raw table; run id = batch."""
@@ -984,7 +1062,9 @@ def literal_rows(spark, sf):
 QUERIES.update({f.__name__: f for f in (
     daily_flow_failing, daily_flow_rerun, overlapping_fetches, stream_overlapping_fetches, bad_payloads,
     publish_partitioned_after_failure, load_report_files, load_files_continue, load_rejected_records,
-    load_files_skip_file, load_by_content, stream_window_runs, stream_window_rows, export_clashing_names, export_one_day,
+    load_files_skip_file, load_by_content, stream_window_runs, stream_window_rows,
+    windiest_after_updates, daily_total_after_updates, content_differences, hour_gaps, latest_day_stored,
+    heavy_key_lookup, export_clashing_names, export_one_day,
     windowed_rows_strict, load_guard_week, fact_events_lookup_shuffled, literal_rows)})
 QUERIES.update({
     "daily_flow_incremental": daily_flow_incremental,

@@ -100,6 +100,15 @@ LOAD_REJECTS = _s(("load", T.LongType(), False), ("file", T.StringType(), False)
                   ("column", T.StringType(), True), ("value", T.StringType(), True), ("reason", T.StringType(), False),
                   ("record", T.StringType(), True))
 
+# What the marts keep of each location's day (partitioned by day), and each
+# location's windiest hours.
+_HOURS = T.ArrayType(T.StructType([T.StructField("known", T.BooleanType()), T.StructField("calm", T.DecimalType(19, 6)),
+                                   T.StructField("ts", NTZ)]))
+MART_DAYS = _s(("location_id", T.LongType(), False), ("warmth", T.DecimalType(28, 6), True),
+               ("measured", T.LongType(), False), ("wet", T.DecimalType(28, 6), True), ("hours", _HOURS, True),
+               ("date", T.DateType(), True))
+MART_TOP_HOURS = _s(("location_id", T.LongType(), False), ("hours", _HOURS, True))
+
 # Measures are read as text, so that garbage is seen instead of read as NULL.
 PAYLOAD = T.StructType([
     T.StructField("latitude", T.DoubleType(), True),
