@@ -6,9 +6,10 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeshore.plans.joins import sized_broadcast
 from lakeshore.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -91,21 +92,22 @@ NULL_ID = (1 << 63) - 1
 
 
 def keyed_text(docs: DataFrame) -> DataFrame:
-    """text, ``id`` (doc_id, null as NULL_ID), ``copy``: 0, or where one doc_id
-    has several different texts, the rank of this row's text (by hash) among
-    them, and ``row``, a struct of the whole row. Equal (id, copy) means the
-    same document repeated."""
+    """text, ``id`` (doc_id, null as NULL_ID), ``copy`` (long): 0, or where one
+    doc_id has several different texts, the hash of this row's text; and
+    ``row``, a struct of the whole row. Equal (id, copy) means the same document
+    repeated."""
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))
-    texts = base.select("id", F.xxhash64("text").alias("text_hash")).distinct()
-    many = saved(texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "repeated-ids")
+    # Two hashes of an id differ if it has two texts; combined in every task.
+    text_hash = F.xxhash64("text")
+    spans = base.groupBy("id").agg(F.min(text_hash).alias("least"), F.max(text_hash).alias("most"))
+    many = saved(spans.where("least < most").select("id"), "repeated-ids")
     if many.isEmpty():
-        return base.withColumn("copy", F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("text_hash")) - 1
-    ranked = texts.join(many, "id").withColumn("copy", rank.cast("int"))
-    return (base.withColumn("text_hash", F.xxhash64("text")).join(ranked, ["id", "text_hash"], "left")
-            .select("id", "text", "row", F.coalesce("copy", F.lit(0)).alias("copy")))
+        return base.withColumn("copy", F.lit(0).cast("long"))
+    told = sized_broadcast(many.withColumn("several", F.lit(True)))
+    return base.join(told, "id", "left").select(
+        "id", "text", "row", F.when(F.col("several"), F.xxhash64("text")).otherwise(F.lit(0)).alias("copy"))
 
 
 def matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:

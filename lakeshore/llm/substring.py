@@ -11,30 +11,38 @@ Second pass: only those windows are grouped exactly by their whole hash, after
 each task has settled the repeats among its own, and every window but the
 earliest of a group is marked.
 
-The sketch has about ``CELLS_PER_WINDOW`` cells for each window and row, up to
-``MAX_CELL_BITS``; only its "two or more" bits travel to the tasks (two rows of
-at most 2^28 bits: 64 MB). Beyond that size more windows pass the prefilter;
-the result stays the same.
+The sketch has about ``CELLS_PER_WINDOW`` cells for each window and row, however
+many there are. Its "two or more" bits are broadcast while they have a size of
+at most ``BROADCAST_BITS`` (64 MB). A larger sketch stays where it is merged,
+dealt over the cluster by blocks of cells: every unit of documents sends its
+cells to their blocks and gets one bit back for each, so nothing is broadcast
+and no task holds more than a block. Texts are then written and shuffled once
+more than with the broadcast.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.llm.common import keyed_text, ship
+from lakeshore.llm.common import keyed_text, saved, ship
 
 WINDOW_WORDS = 20
 CELLS_PER_WINDOW = 2
-MIN_CELL_BITS, MAX_CELL_BITS = 16, 28
+MIN_CELL_BITS = 16
+BROADCAST_BITS = 1 << 29
 BLOCK_BITS = 16
+# Blocks that are not broadcast: about this many a row, of so many cells at most.
+FAR_BLOCKS_BITS, MAX_BLOCK_BITS = 12, 26
+UNIT_BYTES = 8 << 20
 # Working sets of a task: words hashed at a time, windows counted or compared at a time.
 GROUP_WORDS = 1 << 19
 FLUSH_WINDOWS = 1 << 21
@@ -168,7 +176,7 @@ def _sketch(texts: DataFrame, width: int, cell_bits: int) -> np.ndarray:
               .mapInArrow(merge, "row int, block int, bits binary"))
     bits = np.zeros((2, 1 << (cell_bits - 3)), np.uint8)
     size = 1 << (BLOCK_BITS - 3)
-    # At most two rows of 2^MAX_CELL_BITS bits.
+    # At most BROADCAST_BITS bits.
     for r in merged.toLocalIterator():
         bits[r["row"], r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return bits
@@ -182,62 +190,211 @@ def _estimated_repeated(bits: np.ndarray, cell_bits: int, h1: np.ndarray, h2: np
     return out
 
 
-def repeated_windows(texts: DataFrame, width: int, sketch, cell_bits: int) -> DataFrame:
-    """(id, copy, lo, hi): runs of starts of windows whose words also start
-    earlier. ``texts`` as made by :func:`keyed_text`."""
-    # settled: the length of a run of windows known to be repeated; 0 for a
-    # window that is still open, the earliest of its hash in its task.
-    names = ["h1", "h2", "id", "copy", "lo", "settled"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+# settled: the length of a run of windows known to be repeated; 0 for a window
+# that is still open, the earliest of its hash in its task.
+_CANDIDATE = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("id", pa.int64()), ("copy", pa.int64()),
+                        ("lo", pa.int32()), ("settled", pa.int32())])
+_CANDIDATE_DDL = "h1 long, h2 int, id long, copy long, lo int, settled int"
+
+
+def _settle(h1, h2, doc, copy, at) -> Iterator[pa.RecordBatch]:
+    """Candidate rows of windows estimated repeated, their repeats among
+    themselves settled."""
+    def batch(h1, h2, doc, copy, lo, settled) -> pa.RecordBatch:
+        columns = [h1.view(np.int64), h2.view(np.int32), doc, copy, lo, settled]
+        return pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, _CANDIDATE, strict=True)],
+                                          _CANDIDATE.names)
+
+    h2 = (h2 >> np.uint64(32)).astype(np.uint32)
+    order = np.lexsort((at, copy, doc, h2, h1))
+    h1, h2, doc, copy, at = (x[order] for x in (h1, h2, doc, copy, at))
+    new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    settled = (doc != doc[first]) | (copy != copy[first]) | (at != at[first])
+    # Open rows in the order of the text, which the shuffle compresses better.
+    kept_order = np.flatnonzero(new)
+    kept_order = kept_order[np.lexsort((at[new], copy[new], doc[new]))]
+    yield batch(*(x[kept_order] for x in (h1, h2, doc, copy, at)), np.zeros(len(kept_order), np.int32))
+    doc, copy, at = (x[settled] for x in (doc, copy, at))
+    if len(doc):
+        order = np.lexsort((at, copy, doc))
+        doc, copy, at = (x[order] for x in (doc, copy, at))
+        breaks = np.r_[True, (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (at[1:] > at[:-1] + 1)]
+        lo = np.flatnonzero(breaks)
+        length = np.diff(np.r_[lo, len(doc)])
+        spread = _mix(doc[lo].astype(np.uint64) * np.uint64(31) + at[lo].astype(np.uint64))
+        yield batch(spread, spread.astype(np.uint32), doc[lo], copy[lo], at[lo], length)
+
+
+def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int) -> DataFrame:
+    sketch = texts.sparkSession.sparkContext.broadcast(zlib.compress(_sketch(texts, width, cell_bits).tobytes(), 1))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(zlib.decompress(sketch.value), np.uint8).reshape(2, -1)
         kept: list[tuple[np.ndarray, ...]] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            h1, h2, doc, copy, at = (np.concatenate(x) for x in zip(*kept, strict=True))
-            kept.clear()
-            h2 = (h2 >> np.uint64(32)).astype(np.uint32)
-            order = np.lexsort((at, copy, doc, h2, h1))
-            h1, h2, doc, copy, at = (x[order] for x in (h1, h2, doc, copy, at))
-            new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
-            first = np.flatnonzero(new)[np.cumsum(new) - 1]
-            settled = (doc != doc[first]) | (copy != copy[first]) | (at != at[first])
-            # Open rows in the order of the text, which the shuffle compresses better.
-            kept_order = np.flatnonzero(new)
-            kept_order = kept_order[np.lexsort((at[new], copy[new], doc[new]))]
-            yield batch(*(x[kept_order] for x in (h1, h2, doc, copy, at)), np.zeros(len(kept_order), np.int32))
-            doc, copy, at = (x[settled] for x in (doc, copy, at))
-            if len(doc):
-                order = np.lexsort((at, copy, doc))
-                doc, copy, at = (x[order] for x in (doc, copy, at))
-                breaks = np.r_[True, (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (at[1:] > at[:-1] + 1)]
-                lo = np.flatnonzero(breaks)
-                length = np.diff(np.r_[lo, len(doc)])
-                spread = _mix(doc[lo].astype(np.uint64) * np.uint64(31) + at[lo].astype(np.uint64))
-                yield batch(spread, spread.astype(np.uint32), doc[lo], copy[lo], at[lo], length)
-
-        def batch(h1, h2, doc, copy, lo, settled) -> pa.RecordBatch:
-            columns = [h1.view(np.int64), h2.view(np.int32), doc, copy, lo, settled]
-            return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)],
-                                              names)
-
         n = 0
         for ids, copies, words in _word_groups(batches):
             h1, h2, document, start = window_hashes(words, width)
             at = np.flatnonzero(_estimated_repeated(bits, cell_bits, h1, h2))
             if len(at):
                 kept.append((h1[at], h2[at], np.array(ids, np.int64)[document[at]],
-                             np.array(copies, np.int32)[document[at]], start[at].astype(np.int32)))
+                             np.array(copies, np.int64)[document[at]], start[at].astype(np.int32)))
                 n += len(at)
             if n >= FLUSH_WINDOWS:
-                yield from flush()
-                n = 0
+                yield from _settle(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+                kept, n = [], 0
         if kept:
-            yield from flush()
+            yield from _settle(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+
+    return texts.select("id", "copy", "text").mapInArrow(candidates, _CANDIDATE_DDL)
+
+
+# ---------------------------------------------------------------- a sketch that stays in its blocks
+
+def _pack_gaps(cells: np.ndarray, repeated: np.ndarray) -> bytes:
+    """Sorted distinct offsets as gaps of one or two bytes (larger ones apart),
+    and a bit for each that is set if it was seen more than once."""
+    gaps = np.diff(cells, prepend=-1) - 1
+    kind, top = ("u1", 255) if len(cells) and cells[-1] < 64 * len(cells) else ("<u2", 65535)
+    large = gaps >= top
+    return b"".join([np.array([len(cells), top, int(large.sum())], "<u4").tobytes(),
+                     np.minimum(gaps, top).astype(kind).tobytes(), gaps[large].astype("<u8").tobytes(),
+                     np.packbits(repeated, bitorder="little").tobytes()])
+
+
+def _unpack_gaps(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets, and which of them were seen more than once."""
+    n, top, m = np.frombuffer(data, "<u4", 3).tolist()
+    kind, size = ("u1", n) if top == 255 else ("<u2", 2 * n)
+    gaps = np.frombuffer(data, kind, n, 12).astype(np.int64)
+    gaps[gaps == top] = np.frombuffer(data, "<u8", m, 12 + size).astype(np.int64)
+    repeated = np.unpackbits(np.frombuffer(data, "u1", -1, 12 + size + 8 * m), count=n, bitorder="little").astype(bool)
+    return np.cumsum(gaps + 1) - 1, repeated
 
-    found = texts.select("id", "copy", "text").mapInArrow(
-        candidates, "h1 long, h2 int, id long, copy int, lo int, settled int")
+
+def _cells(h: np.ndarray, cell_bits: int, **options):
+    return np.unique((h >> np.uint64(64 - cell_bits)).astype(np.int64), **options)
+
+
+def _with_units(texts: DataFrame) -> DataFrame:
+    """(unit, seq, id, copy, text), written: documents in the order of their
+    task, cut into units of about UNIT_BYTES."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        unit, seq, size = TaskContext.get().partitionId() << 32, 0, 0
+        for b in batches:
+            units, seqs = [], []
+            for n in pa.compute.binary_length(b.column("text")).to_pylist():
+                if size + n > UNIT_BYTES and seq:
+                    unit, seq, size = unit + 1, 0, 0
+                units.append(unit)
+                seqs.append(seq)
+                seq, size = seq + 1, size + n
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), pa.array(seqs, pa.int32()), *b.columns],
+                                             ["unit", "seq", *b.schema.names])
+    return saved(texts.select("id", "copy", "text").mapInArrow(
+        number, "unit long, seq int, id long, copy long, text string"), "substring-units")
+
+
+def _candidates_by_blocks(texts: DataFrame, width: int, cell_bits: int) -> DataFrame:
+    block_bits = min(MAX_BLOCK_BITS, max(BLOCK_BITS, cell_bits - FAR_BLOCKS_BITS))
+    units = _with_units(texts)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cells of each unit (or the part of it that this task reads, from
+        document lo to hi) by row and block."""
+        def told(unit: int, lo: int, hi: int, words: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
+            for row, h in enumerate(window_hashes(words, width)[:2]):
+                cells, n = _cells(h, cell_bits, return_counts=True)
+                block = cells >> block_bits
+                bounds = np.flatnonzero(np.diff(block, prepend=-1, append=-1)) if len(cells) else np.zeros(1, int)
+                data = [_pack_gaps(cells[i:j] & ((1 << block_bits) - 1), n[i:j] > 1)
+                        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                k = len(data)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([unit] * k, pa.int64()), pa.array([lo] * k, pa.int32()), pa.array([hi] * k, pa.int32()),
+                     pa.array([row] * k, pa.int32()), pa.array(block[bounds[:-1]], pa.int64()), pa.array(data, pa.binary())],
+                    ["unit", "lo", "hi", "row", "block", "cells"])
+
+        now, lo, hi, words = None, 0, 0, []
+        for b in batches:
+            for unit, seq, text in zip(b.column("unit").to_pylist(), b.column("seq").to_pylist(), b.column("text"),
+                                       strict=True):
+                if (unit, seq) != (now, hi):
+                    if now is not None:
+                        yield from told(now, lo, hi, words)
+                    now, lo, words = unit, seq, []
+                words.append(text.as_py().encode().split())
+                hi = seq + 1
+        if now is not None:
+            yield from told(now, lo, hi, words)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each cell of a block that a unit asked about: is it seen twice?"""
+        counts = np.zeros(1 << block_bits, np.uint8)
+        now, held = None, []
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            counts[:] = 0
+            for _, _, _, data in held:
+                cells, repeated = _unpack_gaps(data)
+                counts[cells] = np.minimum(counts[cells] + 1 + repeated, 2)
+            for lo in range(0, len(held), 1024):
+                part = held[lo:lo + 1024]
+                bits = [np.packbits(counts[_unpack_gaps(x[3])[0]] > 1, bitorder="little").tobytes() for x in part]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int32()),
+                     pa.array([x[2] for x in part], pa.int32()), pa.array([now[0]] * len(part), pa.int32()),
+                     pa.array([now[1]] * len(part), pa.int64()), pa.array(bits, pa.binary())],
+                    ["unit", "lo", "hi", "row", "block", "bits"])
+
+        for b in batches:
+            for *own, row, block, data in zip(*(b.column(k).to_pylist() for k in (
+                    "unit", "lo", "hi", "row", "block", "cells")), strict=True):
+                if (row, block) != now:
+                    if held:
+                        yield from answered()
+                    now, held = (row, block), []
+                held.append((*own, data))
+        if held:
+            yield from answered()
+
+    asked = units.mapInArrow(count, "unit long, lo int, hi int, row int, block long, cells binary")
+    answers = (asked.repartition("row", "block").sortWithinPartitions("row", "block")
+               .mapInArrow(answer, "unit long, lo int, hi int, row int, block long, bits binary"))
+
+    def candidates(documents: pa.Table, told: pa.Table) -> pa.Table:
+        """Windows of a unit whose cells were both seen twice."""
+        documents, told = documents.sort_by("seq"), told.sort_by([("lo", "ascending"), ("row", "ascending"),
+                                                                  ("block", "ascending")]).to_pylist()
+        found = []
+        for (lo, hi), answered in groupby(told, key=lambda r: (r["lo"], r["hi"])):
+            part = documents.slice(lo, hi - lo)
+            words = [t.encode().split() for t in part.column("text").to_pylist()]
+            h1, h2, document, start = window_hashes(words, width)
+            again = np.ones(len(h1), bool)
+            by_row = {row: [r["bits"] for r in rows] for row, rows in groupby(answered, key=lambda r: r["row"])}
+            for row, h in enumerate((h1, h2)):
+                cells, which = _cells(h, cell_bits, return_inverse=True)
+                sizes = np.diff(np.flatnonzero(np.diff(cells >> block_bits, prepend=-1, append=-1)))
+                bits = [np.unpackbits(np.frombuffer(b, "u1"), count=n, bitorder="little")
+                        for b, n in zip(by_row[row], sizes.tolist(), strict=True)]
+                again &= np.concatenate(bits).astype(bool)[which]
+            at = np.flatnonzero(again)
+            found.append((h1[at], h2[at], part.column("id").to_numpy()[document[at]],
+                          part.column("copy").to_numpy()[document[at]], start[at].astype(np.int32)))
+        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.uint64)]
+        batches = _settle(*columns) if len(columns[0]) else iter(())
+        return pa.Table.from_batches(list(batches), _CANDIDATE)
+
+    return units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(candidates, _CANDIDATE_DDL)
+
+
+def repeated_windows(texts: DataFrame, width: int, cell_bits: int) -> DataFrame:
+    """(id, copy, lo, hi): runs of starts of windows whose words also start
+    earlier. ``texts`` as made by :func:`keyed_text`."""
+    near = 2 << cell_bits <= BROADCAST_BITS
+    found = (_candidates_by_broadcast if near else _candidates_by_blocks)(texts, width, cell_bits)
     place = F.rank().over(Window.partitionBy("h1", "h2", F.col("settled") > 0).orderBy("id", "copy", "lo"))
     return (found.withColumn("place", place).where("settled > 0 OR place > 1")
             .select("id", "copy", "lo", (F.col("lo") + F.greatest(F.col("settled") - 1, F.lit(0))).alias("hi")))
@@ -272,9 +429,8 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
     # Words are at least a byte and a space: an upper bound of windows, in one light pass.
     spaces = F.length("text") - F.length(F.translate("text", " \t\n\u000b\f\r", ""))
     words = texts.agg(F.sum(spaces + 1)).first()[0] or 0
-    cell_bits = min(MAX_CELL_BITS, max(MIN_CELL_BITS, int(words * CELLS_PER_WINDOW - 1).bit_length()))
-    sketch = spark.sparkContext.broadcast(zlib.compress(_sketch(texts, width, cell_bits).tobytes(), 1))
-    runs = (repeated_windows(texts, width, sketch, cell_bits).groupBy("id", "copy")
+    cell_bits = max(MIN_CELL_BITS, int(words * CELLS_PER_WINDOW - 1).bit_length())
+    runs = (repeated_windows(texts, width, cell_bits).groupBy("id", "copy")
             .agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,8 +5,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
+from odd_rows import prose
 
 from lakeshore.llm import simhash, substring
 from lakeshore.llm.components import components
@@ -126,13 +128,50 @@ def test_layout_is_kept(documents):
 
 def test_a_small_sketch_loses_nothing(documents, monkeypatch):
     plain = Counter(map(str, substring.remove_repeats(documents).select("row.doc_id", "kept_text").collect()))
-    monkeypatch.setattr(substring, "MAX_CELL_BITS", 16)
     monkeypatch.setattr(substring, "CELLS_PER_WINDOW", 1 / 1000)
     assert Counter(map(str, substring.remove_repeats(documents).select("row.doc_id", "kept_text").collect())) == plain
 
 
+@pytest.mark.parametrize(("cells", "unit", "block"), [(2, 8 << 20, 16), (2, 2000, 9), (1 / 1000, 2000, 5)])
+def test_a_sketch_in_blocks_gives_the_same(documents, monkeypatch, cells, unit, block):
+    plain = Counter(map(str, substring.remove_repeats(documents).select("row.doc_id", "kept_text").collect()))
+    for name, value in (("CELLS_PER_WINDOW", cells), ("UNIT_BYTES", unit), ("BROADCAST_BITS", 0), ("BLOCK_BITS", block),
+                        ("FAR_BLOCKS_BITS", 30), ("_candidates_by_broadcast", None)):
+        monkeypatch.setattr(substring, name, value)
+    # Some of a file's units are read by two tasks.
+    spark = documents.sparkSession
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        got = Counter(map(str, substring.remove_repeats(documents).select("row.doc_id", "kept_text").collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert got == plain
+    assert substring.remove_repeats(documents.limit(0)).count() == 0
+
+
+def test_the_sketch_in_blocks_still_filters(spark, monkeypatch):
+    """Beyond the broadcast bound few windows that don't repeat pass."""
+    texts = [(i, prose(1000 + i, 400)) for i in range(40)] + [(100, prose(1000, 400))]
+    frame = substring.keyed_text(spark.createDataFrame(texts, "doc_id long, text string"))
+    monkeypatch.setattr(substring, "UNIT_BYTES", 20_000)
+    found = substring._candidates_by_blocks(frame, 20, 16)
+    windows = sum(max(0, len(t.split()) - 19) for _, t in texts)
+    repeated = 2 * (len(prose(1000, 400).split()) - 19)
+    n = found.where("settled = 0").count() + (found.where("settled > 0").agg({"settled": "sum"}).first()[0] or 0)
+    assert repeated <= n < repeated + 0.2 * windows
+
+
+def test_gaps_round_trip():
+    r = np.random.default_rng(5)
+    for top, n in ((1 << 16, 900), (1 << 26, 40), (1 << 26, 1), (1 << 40, 30), (700, 700)):
+        cells = np.unique(r.integers(0, top, n))
+        again = r.random(len(cells)) < 0.3
+        got, seen = substring._unpack_gaps(substring._pack_gaps(cells, again))
+        assert (got == cells).all() and (seen == again).all()
+
+
 def test_sketch_cells_round_trip():
-    import numpy as np
     r = random.Random(3)
     for n in (1, 2, 500, 60_000):
         cells = np.array(sorted(r.sample(range(1 << 16), n)))
