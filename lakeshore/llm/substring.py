@@ -11,7 +11,7 @@ Second pass: only those windows are grouped exactly by their whole hash, after
 each task has settled the repeats among its own, and every window but the
 earliest of a group is marked.
 
-The sketch has about ``CELLS_PER_WINDOW`` cells for each window and row, however
+The sketch has one to ``CELLS_PER_WINDOW`` cells for each window and row, however
 many there are. Its "two or more" bits are broadcast while they have a size of
 at most ``BROADCAST_BITS`` (64 MB). A larger sketch stays where it is merged,
 dealt over the cluster by blocks of cells: every unit of documents sends its
@@ -429,7 +429,8 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
     # Words are at least a byte and a space: an upper bound of windows, in one light pass.
     spaces = F.length("text") - F.length(F.translate("text", " \t\n\u000b\f\r", ""))
     words = texts.agg(F.sum(spaces + 1)).first()[0] or 0
-    cell_bits = max(MIN_CELL_BITS, int(words * CELLS_PER_WINDOW - 1).bit_length())
+    # Between half of CELLS_PER_WINDOW and all of it.
+    cell_bits = max(MIN_CELL_BITS, int(words * CELLS_PER_WINDOW).bit_length() - 1)
     runs = (repeated_windows(texts, width, cell_bits).groupBy("id", "copy")
             .agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs")))
 
