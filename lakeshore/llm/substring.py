@@ -16,24 +16,24 @@ many there are. Its "two or more" bits are broadcast while they have a size of
 at most ``BROADCAST_BITS`` (64 MB). A larger sketch stays where it is merged,
 dealt over the cluster by blocks of cells: every unit of documents sends its
 cells to their blocks and gets one bit back for each, so nothing is broadcast
-and no task holds more than a block. Texts are then written and shuffled once
-more than with the broadcast.
+and no task holds more than a block or a unit. Texts are shuffled once either
+way: here all passes read one exchange of them.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.llm.common import keyed_text, saved, ship
+from lakeshore.llm.common import keyed_text, ship
 
 WINDOW_WORDS = 20
 CELLS_PER_WINDOW = 2
@@ -43,6 +43,7 @@ BLOCK_BITS = 16
 # Blocks that are not broadcast: about this many a row, of so many cells at most.
 FAR_BLOCKS_BITS, MAX_BLOCK_BITS = 12, 26
 UNIT_BYTES = 8 << 20
+MAX_UNIT_PARTITIONS = 1 << 15
 # Working sets of a task: words hashed at a time, windows counted or compared at a time.
 GROUP_WORDS = 1 << 19
 FLUSH_WINDOWS = 1 << 21
@@ -276,58 +277,41 @@ def _cells(h: np.ndarray, cell_bits: int, **options):
     return np.unique((h >> np.uint64(64 - cell_bits)).astype(np.int64), **options)
 
 
-def _with_units(texts: DataFrame) -> DataFrame:
-    """(unit, seq, id, copy, text), written: documents in the order of their
-    task, cut into units of about UNIT_BYTES."""
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        unit, seq, size = TaskContext.get().partitionId() << 32, 0, 0
-        for b in batches:
-            units, seqs = [], []
-            for n in pa.compute.binary_length(b.column("text")).to_pylist():
-                if size + n > UNIT_BYTES and seq:
-                    unit, seq, size = unit + 1, 0, 0
-                units.append(unit)
-                seqs.append(seq)
-                seq, size = seq + 1, size + n
-            yield pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), pa.array(seqs, pa.int32()), *b.columns],
-                                             ["unit", "seq", *b.schema.names])
-    return saved(texts.select("id", "copy", "text").mapInArrow(
-        number, "unit long, seq int, id long, copy long, text string"), "substring-units")
-
-
-def _candidates_by_blocks(texts: DataFrame, width: int, cell_bits: int) -> DataFrame:
+def _dealt(texts: DataFrame, total_bytes: int) -> DataFrame:
+    """``texts`` with ``unit``: documents dealt to units of about UNIT_BYTES,
+    rows of one document to several. Everything that follows reads this one
+    exchange, so all columns stay."""
+    n = total_bytes // UNIT_BYTES + 1
+    dealt = texts.withColumn("place", F.monotonically_increasing_id()).withColumn(
+        "unit", F.pmod(F.xxhash64("id", "copy", "place"), F.lit(n)))
+    return dealt.drop("place").repartition(int(min(n, MAX_UNIT_PARTITIONS)), "unit")
+
+
+def _candidates_by_blocks(dealt: DataFrame, width: int, cell_bits: int) -> DataFrame:
+    """Candidate rows with their unit."""
     block_bits = min(MAX_BLOCK_BITS, max(BLOCK_BITS, cell_bits - FAR_BLOCKS_BITS))
-    units = _with_units(texts)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Cells of each unit (or the part of it that this task reads, from
-        document lo to hi) by row and block."""
-        def told(unit: int, lo: int, hi: int, words: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
-            for row, h in enumerate(window_hashes(words, width)[:2]):
-                cells, n = _cells(h, cell_bits, return_counts=True)
-                block = cells >> block_bits
-                bounds = np.flatnonzero(np.diff(block, prepend=-1, append=-1)) if len(cells) else np.zeros(1, int)
-                data = [_pack_gaps(cells[i:j] & ((1 << block_bits) - 1), n[i:j] > 1)
-                        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                k = len(data)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([unit] * k, pa.int64()), pa.array([lo] * k, pa.int32()), pa.array([hi] * k, pa.int32()),
-                     pa.array([row] * k, pa.int32()), pa.array(block[bounds[:-1]], pa.int64()), pa.array(data, pa.binary())],
-                    ["unit", "lo", "hi", "row", "block", "cells"])
+    def hashes(documents: pa.Table):
+        return window_hashes([t.encode().split() for t in documents.column("text").to_pylist()], width)
 
-        now, lo, hi, words = None, 0, 0, []
-        for b in batches:
-            for unit, seq, text in zip(b.column("unit").to_pylist(), b.column("seq").to_pylist(), b.column("text"),
-                                       strict=True):
-                if (unit, seq) != (now, hi):
-                    if now is not None:
-                        yield from told(now, lo, hi, words)
-                    now, lo, words = unit, seq, []
-                words.append(text.as_py().encode().split())
-                hi = seq + 1
-        if now is not None:
-            yield from told(now, lo, hi, words)
+    def blocks_of(cells: np.ndarray) -> np.ndarray:
+        """Bounds of the runs of sorted cells that lie in one block."""
+        return np.flatnonzero(np.diff(cells >> block_bits, prepend=-1, append=-1)) if len(cells) else np.zeros(1, int)
+
+    asked_schema = pa.schema([("unit", pa.int64()), ("row", pa.int32()), ("block", pa.int64()), ("cells", pa.binary())])
+
+    def count(documents: pa.Table) -> pa.Table:
+        """Cells of a unit by row and block."""
+        out = [[], [], []]
+        for row, h in enumerate(hashes(documents)[:2]):
+            cells, n = _cells(h, cell_bits, return_counts=True)
+            bounds = blocks_of(cells)
+            for i, j in pairwise(bounds.tolist()):
+                out[2].append(_pack_gaps(cells[i:j] & ((1 << block_bits) - 1), n[i:j] > 1))
+            out[0] += [row] * (len(bounds) - 1)
+            out[1] += (cells[bounds[:-1]] >> block_bits).tolist()
+        unit = [documents.column("unit")[0].as_py()] * len(out[0])
+        return pa.table([pa.array(c, f.type) for c, f in zip([unit, *out], asked_schema, strict=True)], asked_schema)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each cell of a block that a unit asked about: is it seen twice?"""
@@ -336,68 +320,64 @@ def _candidates_by_blocks(texts: DataFrame, width: int, cell_bits: int) -> DataF
 
         def answered() -> Iterator[pa.RecordBatch]:
             counts[:] = 0
-            for _, _, _, data in held:
+            for _, data in held:
                 cells, repeated = _unpack_gaps(data)
                 counts[cells] = np.minimum(counts[cells] + 1 + repeated, 2)
             for lo in range(0, len(held), 1024):
                 part = held[lo:lo + 1024]
-                bits = [np.packbits(counts[_unpack_gaps(x[3])[0]] > 1, bitorder="little").tobytes() for x in part]
+                bits = [np.packbits(counts[_unpack_gaps(x[1])[0]] > 1, bitorder="little").tobytes() for x in part]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int32()),
-                     pa.array([x[2] for x in part], pa.int32()), pa.array([now[0]] * len(part), pa.int32()),
+                    [pa.array([x[0] for x in part], pa.int64()), pa.array([now[0]] * len(part), pa.int32()),
                      pa.array([now[1]] * len(part), pa.int64()), pa.array(bits, pa.binary())],
-                    ["unit", "lo", "hi", "row", "block", "bits"])
+                    ["unit", "row", "block", "bits"])
 
         for b in batches:
-            for *own, row, block, data in zip(*(b.column(k).to_pylist() for k in (
-                    "unit", "lo", "hi", "row", "block", "cells")), strict=True):
+            for unit, row, block, data in zip(*(b.column(k).to_pylist() for k in asked_schema.names), strict=True):
                 if (row, block) != now:
                     if held:
                         yield from answered()
                     now, held = (row, block), []
-                held.append((*own, data))
+                held.append((unit, data))
         if held:
             yield from answered()
 
-    asked = units.mapInArrow(count, "unit long, lo int, hi int, row int, block long, cells binary")
+    asked = dealt.groupBy("unit").applyInArrow(count, "unit long, row int, block long, cells binary")
     answers = (asked.repartition("row", "block").sortWithinPartitions("row", "block")
-               .mapInArrow(answer, "unit long, lo int, hi int, row int, block long, bits binary"))
+               .mapInArrow(answer, "unit long, row int, block long, bits binary"))
+    found_schema = pa.schema([("unit", pa.int64()), *_CANDIDATE])
 
     def candidates(documents: pa.Table, told: pa.Table) -> pa.Table:
         """Windows of a unit whose cells were both seen twice."""
-        documents, told = documents.sort_by("seq"), told.sort_by([("lo", "ascending"), ("row", "ascending"),
-                                                                  ("block", "ascending")]).to_pylist()
-        found = []
-        for (lo, hi), answered in groupby(told, key=lambda r: (r["lo"], r["hi"])):
-            part = documents.slice(lo, hi - lo)
-            words = [t.encode().split() for t in part.column("text").to_pylist()]
-            h1, h2, document, start = window_hashes(words, width)
-            again = np.ones(len(h1), bool)
-            by_row = {row: [r["bits"] for r in rows] for row, rows in groupby(answered, key=lambda r: r["row"])}
-            for row, h in enumerate((h1, h2)):
-                cells, which = _cells(h, cell_bits, return_inverse=True)
-                sizes = np.diff(np.flatnonzero(np.diff(cells >> block_bits, prepend=-1, append=-1)))
-                bits = [np.unpackbits(np.frombuffer(b, "u1"), count=n, bitorder="little")
-                        for b, n in zip(by_row[row], sizes.tolist(), strict=True)]
-                again &= np.concatenate(bits).astype(bool)[which]
-            at = np.flatnonzero(again)
-            found.append((h1[at], h2[at], part.column("id").to_numpy()[document[at]],
-                          part.column("copy").to_numpy()[document[at]], start[at].astype(np.int32)))
-        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.uint64)]
-        batches = _settle(*columns) if len(columns[0]) else iter(())
-        return pa.Table.from_batches(list(batches), _CANDIDATE)
-
-    return units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(candidates, _CANDIDATE_DDL)
-
-
-def repeated_windows(texts: DataFrame, width: int, cell_bits: int) -> DataFrame:
-    """(id, copy, lo, hi): runs of starts of windows whose words also start
-    earlier. ``texts`` as made by :func:`keyed_text`."""
-    near = 2 << cell_bits <= BROADCAST_BITS
-    found = (_candidates_by_broadcast if near else _candidates_by_blocks)(texts, width, cell_bits)
+        if not documents.num_rows or not told.num_rows:
+            return found_schema.empty_table()
+        told = told.sort_by([("row", "ascending"), ("block", "ascending")])
+        h1, h2, document, start = hashes(documents)
+        again = np.ones(len(h1), bool)
+        for row, h in enumerate((h1, h2)):
+            cells, which = _cells(h, cell_bits, return_inverse=True)
+            bits = told.filter(pc.equal(told["row"], row))["bits"].to_pylist()
+            seen = [np.unpackbits(np.frombuffer(x, "u1"), count=n, bitorder="little")
+                    for x, n in zip(bits, np.diff(blocks_of(cells)).tolist(), strict=True)]
+            again &= np.concatenate(seen).astype(bool)[which]
+        at = np.flatnonzero(again)
+        if not len(at):
+            return found_schema.empty_table()
+        out = pa.Table.from_batches(list(_settle(
+            h1[at], h2[at], documents["id"].to_numpy()[document[at]], documents["copy"].to_numpy()[document[at]],
+            start[at].astype(np.int32))))
+        unit = pa.array([documents["unit"][0].as_py()] * out.num_rows, pa.int64())
+        return pa.table([unit, *out.columns], found_schema)
+
+    return dealt.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(candidates, "unit long, " + _CANDIDATE_DDL)
+
+
+def repeated_windows(found: DataFrame) -> DataFrame:
+    """Runs of starts of windows whose words also start earlier: the candidate
+    rows ``found`` with lo and hi, h1 and h2 left out."""
     place = F.rank().over(Window.partitionBy("h1", "h2", F.col("settled") > 0).orderBy("id", "copy", "lo"))
+    own = [c for c in ("unit", "id", "copy") if c in found.columns]
     return (found.withColumn("place", place).where("settled > 0 OR place > 1")
-            .select("id", "copy", "lo", (F.col("lo") + F.greatest(F.col("settled") - 1, F.lit(0))).alias("hi")))
+            .select(*own, "lo", (F.col("lo") + F.greatest(F.col("settled") - 1, F.lit(0))).alias("hi")))
 
 
 def _removed(n: int, lows: np.ndarray, highs: np.ndarray, width: int) -> np.ndarray:
@@ -428,35 +408,56 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
     texts = keyed_text(docs)
     # Words are at least a byte and a space: an upper bound of windows, in one light pass.
     spaces = F.length("text") - F.length(F.translate("text", " \t\n\u000b\f\r", ""))
-    words = texts.agg(F.sum(spaces + 1)).first()[0] or 0
+    words, size = texts.agg(F.sum(spaces + 1), F.sum(F.octet_length("text"))).first()
     # Between half of CELLS_PER_WINDOW and all of it.
-    cell_bits = max(MIN_CELL_BITS, int(words * CELLS_PER_WINDOW).bit_length() - 1)
-    runs = (repeated_windows(texts, width, cell_bits).groupBy("id", "copy")
-            .agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs")))
+    cell_bits = max(MIN_CELL_BITS, int((words or 0) * CELLS_PER_WINDOW).bit_length() - 1)
+    segments = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_text(text: str, lows: np.ndarray, highs: np.ndarray) -> tuple[int, int, bytes]:
+        """Words, removed words and what is kept of a text."""
         import re
-        segments = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-        for b in batches:
-            n_words, n_removed, kept = [], [], []
-            for text, lows, highs in zip(b.column("text"), b.column("lows"), b.column("highs"), strict=True):
-                data = text.as_py().encode()
-                words = data.split()
-                n_words.append(len(words))
-                if not lows.is_valid:
-                    n_removed.append(0)
-                    kept.append(data if keep_layout else b" ".join(words))
-                    continue
-                removed = _removed(len(words), lows.values.to_numpy(), highs.values.to_numpy(), width)
-                n_removed.append(int(removed.sum()))
-                pieces, space = (segments.findall(data), b"") if keep_layout else (words, b" ")
-                kept.append(space.join(p for p, out in zip(pieces, removed.tolist()) if not out)
-                            + b"".join(pieces[len(words):]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], ["row", "n_words", "n_removed", "kept_text"])
-
-    joined = texts.join(runs, ["id", "copy"], "left").select("row", "text", "lows", "highs")
-    schema = T.StructType([joined.schema["row"], T.StructField("n_words", T.LongType()),
+        data = text.encode()
+        words = data.split()
+        if not len(lows):
+            return len(words), 0, data if keep_layout else b" ".join(words)
+        removed = _removed(len(words), lows, highs, width)
+        pieces, space = (re.findall(segments.encode(), data), b"") if keep_layout else (words, b" ")
+        kept = space.join(p for p, out in zip(pieces, removed.tolist()) if not out) + b"".join(pieces[len(words):])
+        return len(words), int(removed.sum()), kept
+
+    names = ["row", "n_words", "n_removed", "kept_text"]
+
+    def result(row: pa.Array, cuts: list[tuple[int, int, bytes]]) -> list[pa.Array]:
+        n_words, n_removed, kept = zip(*cuts, strict=True) if cuts else ((), (), ())
+        return [row, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                pa.array(kept, pa.binary()).cast(pa.string())]
+
+    schema = T.StructType([texts.schema["row"], T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    return joined.mapInArrow(cut, schema)
+    none = np.zeros(0, np.int64)
+    if 2 << cell_bits <= BROADCAST_BITS:
+        runs = (repeated_windows(_candidates_by_broadcast(texts, width, cell_bits)).groupBy("id", "copy")
+                .agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs")))
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                cuts = [cut_text(text.as_py(), *(x.values.to_numpy() if x.is_valid else none for x in found))
+                        for text, *found in zip(b.column("text"), b.column("lows"), b.column("highs"), strict=True)]
+                yield pa.RecordBatch.from_arrays(result(b.column("row"), cuts), names)
+
+        return texts.join(runs, ["id", "copy"], "left").select("row", "text", "lows", "highs").mapInArrow(cut, schema)
+
+    dealt = _dealt(texts, size or 0)
+    runs = repeated_windows(_candidates_by_blocks(dealt, width, cell_bits))
+
+    def cut_unit(documents: pa.Table, found: pa.Table) -> pa.Table:
+        order = np.lexsort((found["copy"].to_numpy(), found["id"].to_numpy()))
+        keys, lows, highs = (x[order] for x in (np.stack([found["id"].to_numpy(), found["copy"].to_numpy()], axis=1),
+                                                found["lo"].to_numpy(), found["hi"].to_numpy()))
+        new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]) if len(keys) else none
+        spans = {tuple(keys[i].tolist()): (lows[i:j], highs[i:j]) for i, j in pairwise([*new.tolist(), len(keys)])}
+        cuts = [cut_text(t, *spans.get((i, c), (none, none))) for i, c, t in zip(
+            *(documents[k].to_pylist() for k in ("id", "copy", "text")), strict=True)]
+        return pa.table(result(documents["row"], cuts), names)
+
+    return dealt.groupBy("unit").cogroup(runs.groupBy("unit")).applyInArrow(cut_unit, schema)

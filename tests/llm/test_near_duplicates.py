@@ -132,34 +132,37 @@ def test_a_small_sketch_loses_nothing(documents, monkeypatch):
     assert Counter(map(str, substring.remove_repeats(documents).select("row.doc_id", "kept_text").collect())) == plain
 
 
-@pytest.mark.parametrize(("cells", "unit", "block"), [(2, 8 << 20, 16), (2, 2000, 9), (1 / 1000, 2000, 5)])
-def test_a_sketch_in_blocks_gives_the_same(documents, monkeypatch, cells, unit, block):
-    plain = Counter(map(str, substring.remove_repeats(documents).select("row.doc_id", "kept_text").collect()))
+@pytest.mark.parametrize(("cells", "unit", "block", "layout"), [
+    (2, 8 << 20, 16, False), (2, 2000, 9, True), (1 / 1000, 2000, 5, False)])
+def test_a_sketch_in_blocks_gives_the_same(documents, monkeypatch, cells, unit, block, layout):
+    def result():
+        rows = substring.remove_repeats(documents, keep_layout=layout)
+        assert rows.columns == ["row", "n_words", "n_removed", "kept_text"]
+        return Counter(map(str, rows.select("row.doc_id", "n_words", "n_removed", "kept_text").collect()))
+    plain = result()
     for name, value in (("CELLS_PER_WINDOW", cells), ("UNIT_BYTES", unit), ("BROADCAST_BITS", 0), ("BLOCK_BITS", block),
                         ("FAR_BLOCKS_BITS", 30), ("_candidates_by_broadcast", None)):
         monkeypatch.setattr(substring, name, value)
-    # Some of a file's units are read by two tasks.
-    spark = documents.sparkSession
-    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
-    try:
-        got = Counter(map(str, substring.remove_repeats(documents).select("row.doc_id", "kept_text").collect()))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
-    assert got == plain
+    assert result() == plain
     assert substring.remove_repeats(documents.limit(0)).count() == 0
 
 
 def test_the_sketch_in_blocks_still_filters(spark, monkeypatch):
-    """Beyond the broadcast bound few windows that don't repeat pass."""
+    """Beyond the broadcast bound few windows that don't repeat pass, and the
+    texts go through one exchange."""
     texts = [(i, prose(1000 + i, 400)) for i in range(40)] + [(100, prose(1000, 400))]
-    frame = substring.keyed_text(spark.createDataFrame(texts, "doc_id long, text string"))
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
     monkeypatch.setattr(substring, "UNIT_BYTES", 20_000)
-    found = substring._candidates_by_blocks(frame, 20, 16)
+    found = substring._candidates_by_blocks(substring._dealt(substring.keyed_text(frame), 100_000), 20, 16)
     windows = sum(max(0, len(t.split()) - 19) for _, t in texts)
     repeated = 2 * (len(prose(1000, 400).split()) - 19)
     n = found.where("settled = 0").count() + (found.where("settled > 0").agg({"settled": "sum"}).first()[0] or 0)
     assert repeated <= n < repeated + 0.2 * windows
+    monkeypatch.setattr(substring, "BROADCAST_BITS", 0)
+    cut = substring.remove_repeats(frame)
+    cut.collect()
+    plan = cut._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") >= 2 and plan.count("hashpartitioning(unit") - plan.count("ReusedExchange") == 3  # texts, answers, runs
 
 
 def test_gaps_round_trip():
