@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -68,9 +69,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/lakeshore-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def sweep_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete work folders that were made at least so long ago (results that
+    read them must have been written by then). Returns how many."""
+    probe = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, "probe"))
+    work, fs = probe.getParent(), probe.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(work):
+        return 0
+    before = (time.time() - 3600 * older_than_hours) * 1000
+    old = [s.getPath() for s in fs.listStatus(work) if s.getModificationTime() < before]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for the few places that need a plain path."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_dir", "local_path", "BASE_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_dir", "sweep_scratch", "local_path", "BASE_CONF"]

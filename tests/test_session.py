@@ -32,3 +32,16 @@ def test_a_cluster_must_name_its_shared_folder(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session)
+
+
+def test_old_work_folders_are_swept(spark, monkeypatch, tmp_path):
+    import os
+
+    from lakeshore import session
+    monkeypatch.setattr(session, "scratch_dir", lambda s, name: f"file://{tmp_path}/work/{name}-1")
+    assert session.sweep_scratch(spark) == 0
+    for name, age in (("old", 30 * 3600), ("new", 0)):
+        os.makedirs(tmp_path / "work" / name / "inner")
+        os.utime(tmp_path / "work" / name, (1_700_000_000,) * 2 if age else None)
+    assert session.sweep_scratch(spark) == 1
+    assert os.listdir(tmp_path / "work") == ["new"]
