@@ -156,7 +156,9 @@ def chat_tree(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = conversations.sparkSession
     ship(spark)
     turns = saved(_nodes_of_turns(conversations), "turns")
-    owners = turns.groupBy("node").agg(F.min("conv").alias("owner"))
+    # Written, so that the join has nothing but two exchanges to read and a node
+    # of many conversations can be split.
+    owners = saved(turns.groupBy("node").agg(F.min("conv").alias("owner")), "node-owners")
     owned = turns.select("conv", "depth", "node", "chars").join(owners, "node")
     spans = saved(owned.groupBy("conv", "owner").agg(
         F.min("depth").alias("first"), F.max("depth").alias("last"), F.sum("chars").alias("chars")), "spans")
