@@ -208,7 +208,9 @@ def _settle(h1, h2, doc, copy, at) -> Iterator[pa.RecordBatch]:
 
     h2 = (h2 >> np.uint64(32)).astype(np.uint32)
     order = np.lexsort((at, copy, doc, h2, h1))
-    h1, h2, doc, copy, at = (x[order] for x in (h1, h2, doc, copy, at))
+    # One after the other, so that no more than one column is held twice.
+    h1, h2 = h1[order], h2[order]
+    doc, copy, at = doc[order], copy[order], at[order]
     new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     settled = (doc != doc[first]) | (copy != copy[first]) | (at != at[first])
@@ -233,19 +235,27 @@ def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int) -> Da
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(zlib.decompress(sketch.value), np.uint8).reshape(2, -1)
         kept: list[tuple[np.ndarray, ...]] = []
+
+        def settled() -> Iterator[pa.RecordBatch]:
+            columns = [np.concatenate(x) for x in zip(*kept, strict=True)]
+            kept.clear()
+            return _settle(*columns)
+
         n = 0
         for ids, copies, words in _word_groups(batches):
             h1, h2, document, start = window_hashes(words, width)
             at = np.flatnonzero(_estimated_repeated(bits, cell_bits, h1, h2))
             if len(at):
-                kept.append((h1[at], h2[at], np.array(ids, np.int64)[document[at]],
-                             np.array(copies, np.int64)[document[at]], start[at].astype(np.int32)))
+                # Mostly no id has two texts: then the column takes a byte a window.
+                copy = np.array(copies, np.int64) if any(copies) else np.zeros(len(copies), np.int8)
+                kept.append((h1[at], h2[at], np.array(ids, np.int64)[document[at]], copy[document[at]],
+                             start[at].astype(np.int32)))
                 n += len(at)
             if n >= FLUSH_WINDOWS:
-                yield from _settle(*(np.concatenate(x) for x in zip(*kept, strict=True)))
-                kept, n = [], 0
+                yield from settled()
+                n = 0
         if kept:
-            yield from _settle(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+            yield from settled()
 
     return texts.select("id", "copy", "text").mapInArrow(candidates, _CANDIDATE_DDL)
 
