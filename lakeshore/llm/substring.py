@@ -251,7 +251,7 @@ def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int) -> Da
                 kept.append((h1[at], h2[at], np.array(ids, np.int64)[document[at]], copy[document[at]],
                              start[at].astype(np.int32)))
                 n += len(at)
-            if n >= FLUSH_WINDOWS:
+            if n >= FLUSH_WINDOWS // 2:  # settling takes twice the memory of counting
                 yield from settled()
                 n = 0
         if kept:
