@@ -24,22 +24,25 @@ GROUPS = {
         "fact_hourly_load", "fact_hourly_upsert", "insert_update_counts", "upsert_replay",
         "layer_reconciliation", "orphan_dates", "orphan_locations", "duplicate_grain",
         "composite_distinct_gap", "unique_keys_report", "load_guard_full", "load_guard_incremental", "load_guard_week",
-        "stg_view_sql", "model_refresh_build"],
+        "stg_view_sql", "model_refresh_build", "content_differences", "hour_gaps"],
     "Marts and run log (M4-M10, K9, Q9, I1-I4)": [
         "mart_daily_avg", "mart_daily_sum", "mart_top5_per_location", "mart_daily_avg_sql",
         "watermark_per_location", "fetch_windows", "windowed_rows", "windowed_rows_strict", "run_state_latest", "recent_runs",
         "latest_run_rows", "qc_runs_report", "qc_latest_run", "latest_day_per_location", "rows_per_run", "filtered_slice",
-        "location_labels", "run_params_json", "date_arithmetic", "label_lookup_left", "payload_explode"],
+        "location_labels", "run_params_json", "date_arithmetic", "label_lookup_left", "payload_explode",
+        "latest_day_stored", "windiest_after_updates", "daily_total_after_updates", "heavy_key_lookup"],
     "Files and streams (K1, K5-K8, S5-S7, I5-I9)": [
         "export_roundtrip", "load_new_files", "load_report", "reexport_load_by_key",
         "export_with_empty_location", "full_refresh_with_defaults", "publish_rollback", "stream_upsert",
         "stream_payload_upsert",
         "multi_location_load", "daily_flow", "daily_flow_incremental", "daily_flow_failing", "daily_flow_rerun",
         "overlapping_fetches", "stream_overlapping_fetches", "bad_payloads", "publish_partitioned_after_failure",
-        "load_report_files", "export_clashing_names", "export_one_day"],
+        "load_report_files", "load_files_continue", "load_files_skip_file", "load_rejected_records", "load_by_content",
+        "stream_window_runs", "stream_window_rows", "export_clashing_names", "export_one_day"],
     "Training-data operators and pipeline": [
         "op1_chat_tree", "op2_secrets", "op3_simhash", "op4_nearest", "op5_quality", "op6_substring",
-        "op7_nn_descent", "op8_packing", "op9_token_files", "op10_byte_bpe", "pipeline"],
+        "op7_nn_descent", "op8_packing", "op9_token_files", "op10_byte_bpe", "op11_vector_codes",
+        "op12_source_divergence", "op13_language", "pipeline"],
 }
 
 
