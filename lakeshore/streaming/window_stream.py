@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,8 @@ OUT_SCHEMA = ("kind string, lat string, lon string, location_name string, fetche
               "null_values long, failure string, passed boolean")
 _OUT = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
 STATE_SCHEMA = "last_us long"
-_ORDER = ["ts", "fetched_at", "payload_file", "position", *HOURLY_VARS]
+_COUNTS = {"row_count", "null_values"}
+_TEMPERATURE = list(HOURLY_VARS).index("temperature_2m")
 
 
 def keyed_elements(payloads: DataFrame) -> DataFrame:
@@ -72,14 +74,24 @@ def window_of(mark: dt.datetime | None, as_of: dt.date, horizon_days: int) -> tu
 
 
 def _frame(rows: dict, n: int = 1) -> pd.DataFrame:
-    return pd.DataFrame({c: rows[c] if c in rows else [None] * n for c in _OUT})
+    # Counts as objects: beside NULLs pandas would make them floats.
+    return pd.DataFrame({c: pd.Series(rows[c], dtype=object) if c in _COUNTS and c in rows
+                         else rows[c] if c in rows else [None] * n for c in _OUT})
+
+
+def _rank(*values) -> tuple:
+    """What orders the fetches of one hour: NULLs order last, as the largest value."""
+    return tuple((True, 0) if v is None or v != v else (False, v) for v in values)
 
 
 def load_step(as_of: dt.date, horizon_days: int, expected_rows: int | None):
-    """The state function of one drop: (key, chunks of elements, state) -> output."""
+    """The state function of one drop: (key, chunks of elements, state) -> output.
+    Most keys have a few dozen elements, so these are walked in plain Python:
+    a pandas operation a key costs more than all of them."""
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         lat, lon = key
-        mark, kept, window = None, None, None
+        mark, window = None, None
+        kept: dict = {}     # hour -> (rank, measures): at most the window's hours
         best_name, first_bad, n_rows = None, None, 0
         for chunk in chunks:
             if window is None:
@@ -89,21 +101,35 @@ def load_step(as_of: dt.date, horizon_days: int, expected_rows: int | None):
                 elif not pd.isna(seed):
                     mark = pd.Timestamp(seed).to_pydatetime()
                 window = window_of(mark, as_of, horizon_days)
-            bad = chunk[chunk["kind"] == "bad"]
-            if len(bad):
-                first_bad = min([f for f in (first_bad, bad["payload_file"].min()) if f is not None])
+                first, after = np.datetime64(window[0]), np.datetime64(window[1] + dt.timedelta(days=1))
+            kind = chunk["kind"].to_numpy()
+            fetched, file = chunk["fetched_at"].tolist(), chunk["payload_file"].tolist()
+            bad = [file[i] for i in np.flatnonzero(kind == "bad")]
+            if bad:
+                first_bad = min(bad) if first_bad is None else min(first_bad, *bad)
                 yield _frame({"kind": ["bad"] * len(bad), "lat": [lat] * len(bad), "lon": [lon] * len(bad),
-                              "payload_file": bad["payload_file"].tolist()}, len(bad))
-            for d in chunk[chunk["kind"] == "doc"].itertuples():
-                told = (d.fetched_at, d.payload_file, d.location_name)
+                              "payload_file": bad}, len(bad))
+            docs = np.flatnonzero(kind == "doc")
+            if len(docs):
+                name = chunk["location_name"].tolist()
+                told = max((fetched[i], file[i], name[i]) for i in docs)
                 best_name = told if best_name is None else max(best_name, told)
-            rows = chunk[chunk["kind"] == "row"]
-            n_rows += len(rows)
-            day = rows["ts"].dt.date
-            rows = rows[(day >= window[0]) & (day <= window[1])] if window[2] != "SKIPPED" else rows[:0]
-            kept = rows if kept is None else pd.concat([kept, rows])
-            # At most the window's hours stay: NULLs order last, as the largest value.
-            kept = kept.sort_values(_ORDER, na_position="last").drop_duplicates("ts", keep="last")
+            is_row = kind == "row"
+            n_rows += int(is_row.sum())
+            if window[2] == "SKIPPED":
+                continue
+            hours = chunk["ts"].to_numpy()
+            inside = np.flatnonzero(is_row & (hours >= first) & (hours < after))
+            if not len(inside):
+                continue
+            ts, position = chunk["ts"].tolist(), chunk["position"].tolist()
+            columns = [chunk[v].tolist() for v in HOURLY_VARS]
+            for i in inside:
+                measures = [c[i] for c in columns]
+                rank = _rank(fetched[i], file[i], position[i], *measures)
+                held = kept.get(ts[i])
+                if held is None or rank > held[0]:
+                    kept[ts[i]] = (rank, measures)
         if lat is None or lon is None:
             return
         name = dict(zip(("fetched_at", "payload_file", "location_name"), ([x] for x in best_name), strict=True)) \
@@ -112,22 +138,27 @@ def load_step(as_of: dt.date, horizon_days: int, expected_rows: int | None):
         if not n_rows and first_bad is None:
             yield _frame({"kind": ["name"], **base})
             return
-        n, nulls = len(kept), int(kept["temperature_2m"].isna().sum())
+        n, nulls = len(kept), sum(m[_TEMPERATURE] is None for _, m in kept.values())
         failure = None
         if n:
             wrong = n < 1 if expected_rows is None else n != expected_rows
             failure = f"bad payload {first_bad}" if first_bad else "row_count" if wrong else "null_values" if nulls else None
         passed = n > 0 and failure is None
+        run = {"kind": ["run"], **base, "state": [window[2]], "last_ts": [mark], "row_count": [n if n else None],
+               "null_values": [nulls], "failure": [failure], "passed": [passed if n else None]}
         if passed:
-            newest = kept["ts"].max().to_pydatetime()
+            hours = sorted(kept)
+            newest = hours[-1].to_pydatetime()
             newest = newest if mark is None else max(newest, mark)
             state.update((int((newest - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)),))
-            out = {c: kept[c].tolist() for c in ("ts", *HOURLY_VARS)}
-            yield _frame({"kind": ["row"] * n, "lat": [lat] * n, "lon": [lon] * n, **out}, n)
-        elif mark is not None and not state.exists:
+            rows = {"kind": ["row"] * n, "lat": [lat] * n, "lon": [lon] * n, "ts": hours}
+            rows |= {v: [kept[h][1][k] for h in hours] for k, v in enumerate(HOURLY_VARS)}
+            # One frame of the rows and the run.
+            yield _frame({c: rows.get(c, [None] * n) + run.get(c, [None]) for c in rows | run}, n + 1)
+            return
+        if mark is not None and not state.exists:
             state.update((int((mark - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)),))
-        yield _frame({"kind": ["run"], **base, "state": [window[2]], "last_ts": [mark], "row_count": [n if n else None],
-                      "null_values": [nulls], "failure": [failure], "passed": [passed if n else None]})
+        yield _frame(run)
     return step
 
 

@@ -3,7 +3,9 @@
 import datetime as dt
 import json
 import os
+from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +161,28 @@ def test_flows_at_once_take_different_run_ids(spark, scratch, monkeypatch):
     assert {r.run_id: r["count"] for r in rows.groupBy("run_id").count().collect()} == {
         r.run_id: r.row_count for r in runs}
     assert rows.agg(F.count_distinct("location_id")).first()[0] == 3
+
+
+def test_a_location_gives_one_frame_with_the_last_fetch_of_each_hour():
+    class Fresh:
+        exists, kept = False, None
+
+        def update(self, value):
+            self.kept = value
+    start, rows = dt.datetime(2026, 3, 1), []
+    for fetch in range(3):
+        rows.append(("doc", "Chicago", pd.Timestamp(start), f"f{fetch}", 0, pd.NaT, None, None, None))
+        rows += [("row", "Chicago", pd.Timestamp(start), f"f{fetch}", h + 1, pd.Timestamp(start + dt.timedelta(hours=h)),
+                  Decimal(fetch), None if fetch == 1 else Decimal(1), None) for h in range(-24, 48)]
+    chunk = pd.DataFrame(rows, columns=["kind", "location_name", "fetched_at", "payload_file", "position", "ts",
+                                        "temperature_2m", "precipitation", "windspeed_10m"])
+    chunk["seed"] = pd.NaT
+    state = Fresh()
+    frames = list(window_stream.load_step(start.date(), 6, None)(("1.0", "2.0"), iter([chunk[:100], chunk[100:]]), state))
+    assert len(frames) == 1 and state.kept == (int((start + dt.timedelta(hours=47) - dt.datetime(1970, 1, 1))
+                                                   / dt.timedelta(microseconds=1)),)
+    out = frames[0]
+    loaded, run = out[out["kind"] == "row"], out[out["kind"] == "run"].iloc[0]
+    assert loaded["ts"].tolist() == [start + dt.timedelta(hours=h) for h in range(48)]
+    assert set(loaded["temperature_2m"]) == {Decimal(2)} and set(loaded["precipitation"]) == {Decimal(1)}
+    assert (run["row_count"], run["null_values"], run["state"], run["passed"]) == (48, 0, "FIRST", True)
