@@ -9,7 +9,9 @@ block, and a window whose cells both hold two or more is estimated repeated.
 Estimates are never below the true count, so no repeated window is missed.
 Second pass: only those windows are grouped exactly by their whole hash, after
 each task has settled the repeats among its own, and every window but the
-earliest of a group is marked.
+earliest of a group is marked. For this they are shuffled by buckets of hashes,
+about 14 bytes a window; the number of buckets grows with the words, so that
+none has more than 2^20 windows of different hashes or so.
 
 The sketch has one to ``CELLS_PER_WINDOW`` cells for each window and row, however
 many there are. Its "two or more" bits are broadcast while they have a size of
@@ -29,7 +31,7 @@ from itertools import chain, pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,8 +47,10 @@ FAR_BLOCKS_BITS, MAX_BLOCK_BITS = 12, 26
 UNIT_BYTES = 8 << 20
 MAX_UNIT_PARTITIONS = 1 << 15
 # Working sets of a task: words hashed at a time, windows counted or compared at a time.
-GROUP_WORDS = 1 << 19
+GROUP_WORDS = 1 << 17
 FLUSH_WINDOWS = 1 << 21
+# Buckets of hashes: 2^MIN_BUCKET_BITS at least, of at most 2^BUCKET_WORDS_BITS words each.
+MIN_BUCKET_BITS, BUCKET_WORDS_BITS = 8, 20
 
 
 def _coefficients(lane: int, n: int) -> np.ndarray:
@@ -127,15 +131,17 @@ def _sketch(texts: DataFrame, width: int, cell_bits: int) -> np.ndarray:
         def flush() -> pa.RecordBatch:
             rows, blocks, data = [], [], []
             for row in range(2):
-                cells, n = np.unique(np.concatenate([k[row] for k in kept]) >> np.uint64(64 - cell_bits),
-                                     return_counts=True)
-                cells = cells.astype(np.int64)
-                block = cells >> BLOCK_BITS
-                bounds = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
-                for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    rows.append(row)
-                    blocks.append(int(block[lo]))
-                    data.append(_pack_cells(cells[lo:hi] & ((1 << BLOCK_BITS) - 1), n[lo:hi] > 1))
+                cells = np.concatenate([k[row] for k in kept])
+                cells.sort()
+                new = np.r_[True, cells[1:] != cells[:-1], True]
+                cells, again = cells[new[:-1]], ~new[1:][new[:-1]]
+                ends = np.searchsorted(cells, np.arange((1 << cell_bits) >> BLOCK_BITS, dtype=np.uint32)
+                                       << np.uint32(BLOCK_BITS))
+                for block, (lo, hi) in enumerate(pairwise([*ends.tolist(), len(cells)])):
+                    if lo < hi:
+                        rows.append(row)
+                        blocks.append(block)
+                        data.append(_pack_cells(cells[lo:hi].astype(np.int64) & ((1 << BLOCK_BITS) - 1), again[lo:hi]))
             kept.clear()
             return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(blocks, pa.int32()),
                                                pa.array(data, pa.binary())], ["row", "block", "cells"])
@@ -144,7 +150,8 @@ def _sketch(texts: DataFrame, width: int, cell_bits: int) -> np.ndarray:
         for _, _, words in _word_groups(batches):
             h1, h2, _, _ = window_hashes(words, width)
             if len(h1):
-                kept.append((h1, h2))
+                # At most 2^32 cells: half the memory of a hash.
+                kept.append(tuple((h >> np.uint64(64 - cell_bits)).astype(np.uint32) for h in (h1, h2)))
                 n += len(h1)
             if n >= FLUSH_WINDOWS:
                 yield flush()
@@ -196,50 +203,149 @@ def _estimated_repeated(bits: np.ndarray, cell_bits: int, h1: np.ndarray, h2: np
 _CANDIDATE = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("id", pa.int64()), ("copy", pa.int64()),
                         ("lo", pa.int32()), ("settled", pa.int32())])
 _CANDIDATE_DDL = "h1 long, h2 int, id long, copy long, lo int, settled int"
+# Candidates packed by buckets of hashes.
+_PACKED = pa.schema([("bucket", pa.int32()), ("open", pa.binary()), ("runs", pa.binary())])
+_PACKED_DDL = "bucket int, open binary, runs binary"
 
 
-def _settle(h1, h2, doc, copy, at) -> Iterator[pa.RecordBatch]:
-    """Candidate rows of windows estimated repeated, their repeats among
-    themselves settled."""
-    def batch(h1, h2, doc, copy, lo, settled) -> pa.RecordBatch:
-        columns = [h1.view(np.int64), h2.view(np.int32), doc, copy, lo, settled]
-        return pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, _CANDIDATE, strict=True)],
-                                          _CANDIDATE.names)
-
-    h2 = (h2 >> np.uint64(32)).astype(np.uint32)
+def _by_hash(h1, h2, doc, copy, at) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by hash and place; in it, where a hash begins, and which places
+    are not the first of their hash."""
     order = np.lexsort((at, copy, doc, h2, h1))
     # One after the other, so that no more than one column is held twice.
-    h1, h2 = h1[order], h2[order]
-    doc, copy, at = doc[order], copy[order], at[order]
-    new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for h in (h1, h2):
+        h = h[order]
+        new[1:] |= h[1:] != h[:-1]
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    settled = (doc != doc[first]) | (copy != copy[first]) | (at != at[first])
-    # Open rows in the order of the text, which the shuffle compresses better.
-    kept_order = np.flatnonzero(new)
-    kept_order = kept_order[np.lexsort((at[new], copy[new], doc[new]))]
-    yield batch(*(x[kept_order] for x in (h1, h2, doc, copy, at)), np.zeros(len(kept_order), np.int32))
-    doc, copy, at = (x[settled] for x in (doc, copy, at))
-    if len(doc):
-        order = np.lexsort((at, copy, doc))
-        doc, copy, at = (x[order] for x in (doc, copy, at))
-        breaks = np.r_[True, (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (at[1:] > at[:-1] + 1)]
-        lo = np.flatnonzero(breaks)
-        length = np.diff(np.r_[lo, len(doc)])
-        spread = _mix(doc[lo].astype(np.uint64) * np.uint64(31) + at[lo].astype(np.uint64))
-        yield batch(spread, spread.astype(np.uint32), doc[lo], copy[lo], at[lo], length)
-
-
-def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int) -> DataFrame:
+    later = np.zeros(len(order), bool)
+    for x in (doc, copy, at):
+        x = x[order]
+        later |= x != x[first]
+    return order, new, later
+
+
+def _settle(h1, h2, doc, copy, at) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Windows estimated repeated, their repeats among themselves settled:
+    h1, h2, doc, copy, at of those that are open, and doc, copy, lo, length of
+    runs known to be repeated, both in the order of the text."""
+    order, new, later = _by_hash(h1, h2, doc, copy, at)
+    kept = order[new]
+    kept = kept[np.lexsort((at[kept], copy[kept], doc[kept]))]
+    open_windows = tuple(x[kept] for x in (h1, h2, doc, copy, at))
+    order = order[later]
+    order = order[np.lexsort((at[order], copy[order], doc[order]))]
+    doc, copy, at = (x[order] for x in (doc, copy, at))
+    breaks = np.ones(len(doc), bool)
+    breaks[1:] = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (at[1:] > at[:-1] + 1)
+    lo = np.flatnonzero(breaks)
+    return open_windows, (doc[lo], copy[lo], at[lo], np.diff(np.r_[lo, len(doc)]))
+
+
+def _spread(doc: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return _mix(doc.astype(np.uint64) * np.uint64(31) + lo.astype(np.uint64))
+
+
+def _candidate_rows(open_windows, runs) -> pa.Table:
+    """What :func:`_settle` returns, a row for each window or run."""
+    h1, h2, *place = open_windows
+    doc, copy, lo, length = runs
+    spread = _spread(doc, lo)
+    parts = [(h1, h2, *place, np.zeros(len(h1), np.int32)), (spread, spread.astype(np.uint32), doc, copy, lo, length)]
+    return pa.concat_tables(pa.table([pa.array(c).cast(f.type) for c, f in zip(
+        (x.view(np.int64), y.view(np.int32), *rest), _CANDIDATE, strict=True)], _CANDIDATE) for x, y, *rest in parts)
+
+
+def _pack_numbers(x: np.ndarray) -> bytes:
+    """Unsigned numbers of one or two bytes, larger ones apart."""
+    kinds = [("u1", 255), ("<u2", 65535)]
+    large = [x >= top for _, top in kinds]
+    which = int(len(x) + 8 * large[1].sum() < 8 * large[0].sum())
+    kind, top = kinds[which]
+    apart = x[large[which]]
+    return b"".join([np.array([top, len(apart)], "<u4").tobytes(),
+                     np.minimum(x, np.uint64(top)).astype(kind).tobytes(), apart.astype("<u8").tobytes()])
+
+
+def _unpack_numbers(data: bytes, n: int, at: int) -> tuple[np.ndarray, int]:
+    """n numbers that begin at byte ``at``, and where they end."""
+    top, m = np.frombuffer(data, "<u4", 2, at).tolist()
+    kind, end = ("u1", at + 8 + n) if top == 255 else ("<u2", at + 8 + 2 * n)
+    x = np.frombuffer(data, kind, n, at + 8).astype(np.uint64)
+    x[x == top] = np.frombuffer(data, "<u8", m, end)
+    return x, end + 8 * m
+
+
+def _pack_places(doc, copy, *numbers) -> bytes:
+    """Documents as gaps (in their order mostly a byte), numbers of 0 or more."""
+    doc = doc.astype(np.int64).view(np.uint64)
+    return b"".join([np.array([len(doc), copy.any()], "<u4").tobytes(),
+                     *(_pack_numbers(x.astype(np.uint64)) for x in (np.diff(doc, prepend=np.uint64(0)), *numbers)),
+                     copy.astype("<i8").tobytes() if copy.any() else b""])
+
+
+def _unpack_places(data: bytes, k: int) -> tuple[list[np.ndarray], int]:
+    """doc, copy and k columns of numbers, and where they end."""
+    n, copies = np.frombuffer(data, "<u4", 2).tolist()
+    columns, end = [], 8
+    for _ in range(1 + k):
+        x, end = _unpack_numbers(data, n, end)
+        columns.append(x)
+    doc = np.cumsum(columns[0], dtype=np.uint64).view(np.int64)
+    copy = np.frombuffer(data, "<i8", n, end) if copies else np.zeros(n, np.int64)
+    return [doc, copy, *(x.astype(np.int64) for x in columns[1:])], end + 8 * n * copies
+
+
+def _pack_candidates(open_windows, runs, bucket_bits: int) -> pa.RecordBatch:
+    """What :func:`_settle` returns, a row for each bucket; the bytes of a hash
+    that its bucket tells are left out."""
+    def by_bucket(h: np.ndarray, columns) -> tuple[list[np.ndarray], list[int]]:
+        bucket = (h >> np.uint64(64 - bucket_bits)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return [x[order] for x in columns], np.searchsorted(bucket[order], np.arange((1 << bucket_bits) + 1)).tolist()
+
+    told = bucket_bits // 8
+    (h1, h2, *place), bounds = by_bucket(open_windows[0], open_windows)
+    hashes = np.concatenate([h1.astype(">u8").view("u1").reshape(-1, 8)[:, told:],
+                             h2.astype(">u4").view("u1").reshape(-1, 4)], axis=1)
+    runs, run_bounds = by_bucket(_spread(runs[0], runs[2]), runs)
+    out = [[], [], []]
+    for bucket, ((i, j), (k, m)) in enumerate(zip(pairwise(bounds), pairwise(run_bounds), strict=True)):
+        if i < j or k < m:
+            out[0].append(bucket)
+            out[1].append(_pack_places(*(x[i:j] for x in place)) + hashes[i:j].tobytes() if i < j else None)
+            out[2].append(_pack_places(*(x[k:m] for x in runs)) if k < m else None)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PACKED, strict=True)], _PACKED.names)
+
+
+def _unpack_open(data: bytes, bucket_bits: int) -> list[np.ndarray]:
+    """h1 (without the bytes that the bucket tells), h2, doc, copy, at."""
+    place, end = _unpack_places(data, 1)
+    told = bucket_bits // 8
+    hashes = np.frombuffer(data, "u1", -1, end).reshape(-1, 12 - told)
+    h1 = np.zeros((len(hashes), 8), "u1")
+    h1[:, told:] = hashes[:, :8 - told]
+    return [h1.view(">u8")[:, 0].astype(np.uint64),
+            np.ascontiguousarray(hashes[:, 8 - told:]).view(">u4")[:, 0].astype(np.uint32), *place]
+
+
+def _bucket_bits(words: int) -> int:
+    return max(MIN_BUCKET_BITS, words.bit_length() - BUCKET_WORDS_BITS)
+
+
+def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int, bucket_bits: int) -> DataFrame:
+    """Packed candidates."""
     sketch = texts.sparkSession.sparkContext.broadcast(zlib.compress(_sketch(texts, width, cell_bits).tobytes(), 1))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(zlib.decompress(sketch.value), np.uint8).reshape(2, -1)
         kept: list[tuple[np.ndarray, ...]] = []
 
-        def settled() -> Iterator[pa.RecordBatch]:
+        def settled() -> pa.RecordBatch:
             columns = [np.concatenate(x) for x in zip(*kept, strict=True)]
             kept.clear()
-            return _settle(*columns)
+            return _pack_candidates(*_settle(*columns), bucket_bits)
 
         n = 0
         for ids, copies, words in _word_groups(batches):
@@ -248,16 +354,16 @@ def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int) -> Da
             if len(at):
                 # Mostly no id has two texts: then the column takes a byte a window.
                 copy = np.array(copies, np.int64) if any(copies) else np.zeros(len(copies), np.int8)
-                kept.append((h1[at], h2[at], np.array(ids, np.int64)[document[at]], copy[document[at]],
-                             start[at].astype(np.int32)))
+                kept.append((h1[at], (h2[at] >> np.uint64(32)).astype(np.uint32), np.array(ids, np.int64)[document[at]],
+                             copy[document[at]], start[at].astype(np.int32)))
                 n += len(at)
             if n >= FLUSH_WINDOWS // 2:  # settling takes twice the memory of counting
-                yield from settled()
+                yield settled()
                 n = 0
         if kept:
-            yield from settled()
+            yield settled()
 
-    return texts.select("id", "copy", "text").mapInArrow(candidates, _CANDIDATE_DDL)
+    return texts.select("id", "copy", "text").mapInArrow(candidates, _PACKED_DDL)
 
 
 # ---------------------------------------------------------------- a sketch that stays in its blocks
@@ -297,8 +403,8 @@ def _dealt(texts: DataFrame, total_bytes: int) -> DataFrame:
     return dealt.drop("place").repartition(int(min(n, MAX_UNIT_PARTITIONS)), "unit")
 
 
-def _candidates_by_blocks(dealt: DataFrame, width: int, cell_bits: int) -> DataFrame:
-    """Candidate rows with their unit."""
+def _candidates_by_blocks(dealt: DataFrame, width: int, cell_bits: int, bucket_bits: int | None = None) -> DataFrame:
+    """Packed candidates with their unit; without ``bucket_bits`` a row for each."""
     block_bits = min(MAX_BLOCK_BITS, max(BLOCK_BITS, cell_bits - FAR_BLOCKS_BITS))
 
     def hashes(documents: pa.Table):
@@ -354,7 +460,7 @@ def _candidates_by_blocks(dealt: DataFrame, width: int, cell_bits: int) -> DataF
     asked = dealt.groupBy("unit").applyInArrow(count, "unit long, row int, block long, cells binary")
     answers = (asked.repartition("row", "block").sortWithinPartitions("row", "block")
                .mapInArrow(answer, "unit long, row int, block long, bits binary"))
-    found_schema = pa.schema([("unit", pa.int64()), *_CANDIDATE])
+    found_schema = pa.schema([("unit", pa.int64()), *(_PACKED if bucket_bits else _CANDIDATE)])
 
     def candidates(documents: pa.Table, told: pa.Table) -> pa.Table:
         """Windows of a unit whose cells were both seen twice."""
@@ -372,22 +478,45 @@ def _candidates_by_blocks(dealt: DataFrame, width: int, cell_bits: int) -> DataF
         at = np.flatnonzero(again)
         if not len(at):
             return found_schema.empty_table()
-        out = pa.Table.from_batches(list(_settle(
-            h1[at], h2[at], documents["id"].to_numpy()[document[at]], documents["copy"].to_numpy()[document[at]],
-            start[at].astype(np.int32))))
+        found = _settle(h1[at], (h2[at] >> np.uint64(32)).astype(np.uint32), documents["id"].to_numpy()[document[at]],
+                        documents["copy"].to_numpy()[document[at]], start[at].astype(np.int32))
+        out = _pack_candidates(*found, bucket_bits) if bucket_bits else _candidate_rows(*found)
         unit = pa.array([documents["unit"][0].as_py()] * out.num_rows, pa.int64())
         return pa.table([unit, *out.columns], found_schema)
 
-    return dealt.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(candidates, "unit long, " + _CANDIDATE_DDL)
-
-
-def repeated_windows(found: DataFrame) -> DataFrame:
-    """Runs of starts of windows whose words also start earlier: the candidate
-    rows ``found`` with lo and hi, h1 and h2 left out."""
-    place = F.rank().over(Window.partitionBy("h1", "h2", F.col("settled") > 0).orderBy("id", "copy", "lo"))
-    own = [c for c in ("unit", "id", "copy") if c in found.columns]
-    return (found.withColumn("place", place).where("settled > 0 OR place > 1")
-            .select(*own, "lo", (F.col("lo") + F.greatest(F.col("settled") - 1, F.lit(0))).alias("hi")))
+    return dealt.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(
+        candidates, "unit long, " + (_PACKED_DDL if bucket_bits else _CANDIDATE_DDL))
+
+
+def repeated_windows(found: DataFrame, bucket_bits: int) -> DataFrame:
+    """Runs of starts, lo to hi, of windows whose words also start earlier, from
+    packed candidates: id, copy, lo, hi, and unit where ``found`` has it."""
+    own = [c for c in ("unit",) if c in found.columns]
+    schema = pa.schema([*((c, pa.int64()) for c in own), ("id", pa.int64()), ("copy", pa.int64()), ("lo", pa.int32()),
+                        ("hi", pa.int32())])
+
+    def of_bucket(packed: pa.Table) -> pa.Table:
+        out = []
+        units = [packed[c].to_numpy() for c in own]
+        rows = [(i, _unpack_open(x, bucket_bits)) for i, x in enumerate(packed["open"].to_pylist()) if x]
+        if rows:
+            columns = [np.concatenate(x) for x in zip(*(x for _, x in rows), strict=True)]
+            source = np.repeat([i for i, _ in rows], [len(x[0]) for _, x in rows])
+            del rows
+            order, _, later = _by_hash(*columns)
+            order = order[later]
+            doc, copy, at = (x[order] for x in columns[2:])
+            out.append([*(u[source[order]] for u in units), doc, copy, at, at])
+        rows = [(i, _unpack_places(x, 2)[0]) for i, x in enumerate(packed["runs"].to_pylist()) if x]
+        if rows:
+            doc, copy, lo, length = (np.concatenate(x) for x in zip(*(x for _, x in rows), strict=True))
+            source = np.repeat([i for i, _ in rows], [len(x[0]) for _, x in rows])
+            out.append([*(u[source] for u in units), doc, copy, lo, lo + length - 1])
+        return pa.table([pa.array(np.concatenate(c)).cast(f.type) for c, f in zip(
+            zip(*out, strict=True), schema, strict=True)], schema)
+
+    return found.groupBy("bucket").applyInArrow(
+        of_bucket, "".join(f"{c} long, " for c in own) + "id long, copy long, lo int, hi int")
 
 
 def _removed(n: int, lows: np.ndarray, highs: np.ndarray, width: int) -> np.ndarray:
@@ -421,6 +550,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
     words, size = texts.agg(F.sum(spaces + 1), F.sum(F.octet_length("text"))).first()
     # Between half of CELLS_PER_WINDOW and all of it.
     cell_bits = max(MIN_CELL_BITS, int((words or 0) * CELLS_PER_WINDOW).bit_length() - 1)
+    bucket_bits = _bucket_bits(words or 0)
     segments = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
 
     def cut_text(text: str, lows: np.ndarray, highs: np.ndarray) -> tuple[int, int, bytes]:
@@ -446,7 +576,8 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     none = np.zeros(0, np.int64)
     if 2 << cell_bits <= BROADCAST_BITS:
-        runs = (repeated_windows(_candidates_by_broadcast(texts, width, cell_bits)).groupBy("id", "copy")
+        found = _candidates_by_broadcast(texts, width, cell_bits, bucket_bits)
+        runs = (repeated_windows(found, bucket_bits).groupBy("id", "copy")
                 .agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs")))
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -458,7 +589,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
         return texts.join(runs, ["id", "copy"], "left").select("row", "text", "lows", "highs").mapInArrow(cut, schema)
 
     dealt = _dealt(texts, size or 0)
-    runs = repeated_windows(_candidates_by_blocks(dealt, width, cell_bits))
+    runs = repeated_windows(_candidates_by_blocks(dealt, width, cell_bits, bucket_bits), bucket_bits)
 
     def cut_unit(documents: pa.Table, found: pa.Table) -> pa.Table:
         order = np.lexsort((found["copy"].to_numpy(), found["id"].to_numpy()))

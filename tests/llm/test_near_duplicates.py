@@ -174,6 +174,72 @@ def test_gaps_round_trip():
         assert (got == cells).all() and (seen == again).all()
 
 
+def test_candidates_round_trip(monkeypatch):
+    """Windows and runs come back from their buckets as they were settled, in
+    less than 17 bytes a window."""
+    r = np.random.default_rng(6)
+    n = 30_000
+    h1 = r.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)
+    h2 = r.integers(0, 1 << 32, n, dtype=np.uint32)
+    h1[1000:2000], h2[1000:2000] = h1[:1000], h2[:1000]  # repeats that are settled
+    ids = np.sort(r.choice(np.array([-7, 3, 4, 900, 70_000, 1 << 40, (1 << 63) - 1]), n))
+    places = [ids, np.where(ids == 4, r.integers(-5, 5, n), 0), np.arange(n, dtype=np.int32)]
+    settled = substring._settle(h1, h2, *places)
+    rows = substring._candidate_rows(*settled).to_pylist()
+    for bits in (8, 13, 16):
+        packed = substring._pack_candidates(*settled, bits).to_pylist()
+        windows, runs = [], []
+        for row in packed:
+            if row["open"]:
+                first, *rest = substring._unpack_open(row["open"], bits)
+                full = first | np.uint64(row["bucket"] << (64 - bits))
+                windows += zip(*(x.tolist() for x in (full.view(np.int64), rest[0].view(np.int32), *rest[1:])), strict=True)
+            if row["runs"]:
+                runs += zip(*(x.tolist() for x in substring._unpack_places(row["runs"], 2)[0]), strict=True)
+        assert sorted(windows) == sorted((*(x[k] for k in ("h1", "h2", "id", "copy", "lo")),) for x in rows if not x["settled"])
+        assert sorted(runs) == sorted((*(x[k] for k in ("id", "copy", "lo", "settled")),) for x in rows if x["settled"])
+    assert len(windows) == n - 1000 and sum(x[3] for x in runs) == 1000
+    places[1][:] = 0
+    dense = substring._pack_candidates(*substring._settle(h1, h2, *places), 8).to_pylist()
+    assert sum(len(x["open"]) for x in dense) < 17 * len(windows)
+
+
+def test_numbers_round_trip():
+    r = np.random.default_rng(7)
+    for top in (1, 200, 300, 60_000, 70_000, (1 << 64) - 1):
+        for n in (1, 500):
+            x = r.integers(0, top, n, dtype=np.uint64, endpoint=True)
+            data = substring._pack_numbers(x)
+            got, end = substring._unpack_numbers(b"ab" + data, n, 2)
+            assert (got == x).all() and end == 2 + len(data)
+
+
+def test_candidates_are_shuffled_by_bucket(spark):
+    """The exchange of windows carries packed buckets (24.5 bytes a window were
+    shuffled before), and no window function sorts rows."""
+    frame = spark.createDataFrame([(i, prose(i % 3, 60)) for i in range(9)], "doc_id long, text string")
+    cut = substring.remove_repeats(frame)
+    assert cut.where("n_removed > 0").count() == 6
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(bucket" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize(("broadcast", "bits"), [(1 << 29, 0), (0, 0), (1 << 29, 12)])
+def test_windows_meet_over_tasks(spark, monkeypatch, broadcast, bits):
+    """Repeats within and over tasks, whatever the number of buckets."""
+    texts = [(i % 50, prose(i % 9, 60) + " " + prose(500 + i % 50, 30)) for i in range(80)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    monkeypatch.setattr(substring, "BROADCAST_BITS", broadcast)
+    monkeypatch.setattr(substring, "UNIT_BYTES", 4000)
+    if bits:
+        monkeypatch.setattr(substring, "MIN_BUCKET_BITS", bits)
+    hashes = {t: spark.sql("SELECT xxhash64(:t)", args={"t": t}).first()[0] for _, t in texts}
+    keyed = sorted({(d, hashes[t], t) for d, t in texts})
+    expected = {(k[0], k[2]): r for k, r in zip(keyed, plain_removal([(k[:2], k[2]) for k in keyed], 20), strict=True)}
+    got = substring.remove_repeats(frame).select("row.doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert Counter(map(tuple, got)) == Counter((d, *expected[d, t]) for d, t in texts)
+
+
 def test_sketch_cells_round_trip():
     r = random.Random(3)
     for n in (1, 2, 500, 60_000):
