@@ -47,8 +47,9 @@ FAR_BLOCKS_BITS, MAX_BLOCK_BITS = 12, 26
 UNIT_BYTES = 8 << 20
 MAX_UNIT_PARTITIONS = 1 << 15
 # Working sets of a task: words hashed at a time, windows counted or compared at a time.
-GROUP_WORDS = 1 << 17
+GROUP_WORDS = 1 << 15
 FLUSH_WINDOWS = 1 << 21
+CUT_ROWS = 512
 # Buckets of hashes: 2^MIN_BUCKET_BITS at least, of at most 2^BUCKET_WORDS_BITS words each.
 MIN_BUCKET_BITS, BUCKET_WORDS_BITS = 8, 20
 
@@ -87,6 +88,15 @@ def window_hashes(words: list[list[bytes]], width: int) -> tuple[np.ndarray, np.
     return lanes[0], lanes[1], document[inside], start[inside]
 
 
+def _releasing(f):
+    """``f``, a function of batches; at its end the worker, which later stages
+    use again, gives back what Arrow keeps of freed batches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        pa.default_memory_pool().release_unused()
+    return run
+
+
 def _word_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[list[bytes]]]]:
     """ids, copies and word lists of a bounded number of documents at a time."""
     ids, copies, words, n = [], [], [], 0
@@ -179,7 +189,7 @@ def _sketch(texts: DataFrame, width: int, cell_bits: int) -> np.ndarray:
                 counts[repeated] = 2
         yield from finished()
 
-    merged = (texts.select("id", "copy", "text").mapInArrow(count, "row int, block int, cells binary")
+    merged = (texts.select("id", "copy", "text").mapInArrow(_releasing(count), "row int, block int, cells binary")
               .repartition("row", "block").sortWithinPartitions("row", "block")
               .mapInArrow(merge, "row int, block int, bits binary"))
     bits = np.zeros((2, 1 << (cell_bits - 3)), np.uint8)
@@ -301,7 +311,7 @@ def _pack_candidates(open_windows, runs, bucket_bits: int) -> pa.RecordBatch:
     """What :func:`_settle` returns, a row for each bucket; the bytes of a hash
     that its bucket tells are left out."""
     def by_bucket(h: np.ndarray, columns) -> tuple[list[np.ndarray], list[int]]:
-        bucket = (h >> np.uint64(64 - bucket_bits)).astype(np.int64)
+        bucket = (h >> np.uint64(64 - bucket_bits)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         return [x[order] for x in columns], np.searchsorted(bucket[order], np.arange((1 << bucket_bits) + 1)).tolist()
 
@@ -339,13 +349,15 @@ def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int, bucke
     sketch = texts.sparkSession.sparkContext.broadcast(zlib.compress(_sketch(texts, width, cell_bits).tobytes(), 1))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(zlib.decompress(sketch.value), np.uint8).reshape(2, -1)
+        # With its size told it isn't held twice meanwhile.
+        bits = np.frombuffer(zlib.decompress(sketch.value, bufsize=2 << (cell_bits - 3)), np.uint8).reshape(2, -1)
         kept: list[tuple[np.ndarray, ...]] = []
 
         def settled() -> pa.RecordBatch:
-            columns = [np.concatenate(x) for x in zip(*kept, strict=True)]
+            columns = list(zip(*kept, strict=True))
             kept.clear()
-            return _pack_candidates(*_settle(*columns), bucket_bits)
+            # No column is held in pieces and whole, nor while the result is packed.
+            return _pack_candidates(*_settle(*(np.concatenate(columns.pop(0)) for _ in range(5))), bucket_bits)
 
         n = 0
         for ids, copies, words in _word_groups(batches):
@@ -357,13 +369,13 @@ def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int, bucke
                 kept.append((h1[at], (h2[at] >> np.uint64(32)).astype(np.uint32), np.array(ids, np.int64)[document[at]],
                              copy[document[at]], start[at].astype(np.int32)))
                 n += len(at)
-            if n >= FLUSH_WINDOWS // 2:  # settling takes twice the memory of counting
+            if n >= FLUSH_WINDOWS // 4:  # settling takes four times the memory of counting
                 yield settled()
                 n = 0
         if kept:
             yield settled()
 
-    return texts.select("id", "copy", "text").mapInArrow(candidates, _PACKED_DDL)
+    return texts.select("id", "copy", "text").mapInArrow(_releasing(candidates), _PACKED_DDL)
 
 
 # ---------------------------------------------------------------- a sketch that stays in its blocks
@@ -581,12 +593,15 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
                 .agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs")))
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                cuts = [cut_text(text.as_py(), *(x.values.to_numpy() if x.is_valid else none for x in found))
-                        for text, *found in zip(b.column("text"), b.column("lows"), b.column("highs"), strict=True)]
-                yield pa.RecordBatch.from_arrays(result(b.column("row"), cuts), names)
-
-        return texts.join(runs, ["id", "copy"], "left").select("row", "text", "lows", "highs").mapInArrow(cut, schema)
+            for whole in batches:
+                for lo in range(0, whole.num_rows, CUT_ROWS):
+                    b = whole.slice(lo, CUT_ROWS)
+                    cuts = [cut_text(text.as_py(), *(x.values.to_numpy() if x.is_valid else none for x in found))
+                            for text, *found in zip(b.column("text"), b.column("lows"), b.column("highs"), strict=True)]
+                    yield pa.RecordBatch.from_arrays(result(b.column("row"), cuts), names)
+
+        return (texts.join(runs, ["id", "copy"], "left").select("row", "text", "lows", "highs")
+                .mapInArrow(_releasing(cut), schema))
 
     dealt = _dealt(texts, size or 0)
     runs = repeated_windows(_candidates_by_blocks(dealt, width, cell_bits, bucket_bits), bucket_bits)

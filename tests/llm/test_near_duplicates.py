@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from odd_rows import prose
@@ -193,17 +194,56 @@ def test_candidates_round_trip(monkeypatch):
             if row["open"]:
                 first, *rest = substring._unpack_open(row["open"], bits)
                 full = first | np.uint64(row["bucket"] << (64 - bits))
-                windows += zip(*(x.tolist() for x in (full.view(np.int64), rest[0].view(np.int32), *rest[1:])), strict=True)
+                columns = full.view(np.int64), rest[0].view(np.int32), *rest[1:]
+                windows += zip(*(x.tolist() for x in columns), strict=True)
             if row["runs"]:
                 runs += zip(*(x.tolist() for x in substring._unpack_places(row["runs"], 2)[0]), strict=True)
-        assert sorted(windows) == sorted((*(x[k] for k in ("h1", "h2", "id", "copy", "lo")),) for x in rows if not x["settled"])
-        assert sorted(runs) == sorted((*(x[k] for k in ("id", "copy", "lo", "settled")),) for x in rows if x["settled"])
+        assert sorted(windows) == sorted(tuple(x.values())[:5] for x in rows if not x["settled"])
+        assert sorted(runs) == sorted(tuple(x.values())[2:] for x in rows if x["settled"])
     assert len(windows) == n - 1000 and sum(x[3] for x in runs) == 1000
     places[1][:] = 0
     dense = substring._pack_candidates(*substring._settle(h1, h2, *places), 8).to_pylist()
     assert sum(len(x["open"]) for x in dense) < 17 * len(windows)
 
 
+def test_cut_texts_leave_in_small_batches(spark, monkeypatch):
+    """Results of a batch are not held whole, and come in the same rows."""
+    frame = spark.createDataFrame([(i, prose(i % 30, 40)) for i in range(100)], "doc_id long, text string")
+    rows = Counter(map(str, substring.remove_repeats(frame).collect()))
+    monkeypatch.setattr(substring, "CUT_ROWS", 7)
+    assert Counter(map(str, substring.remove_repeats(frame).collect())) == rows and len(rows) == 100
+
+
+def test_memory_of_counted_windows(monkeypatch):
+    """A task counts cells of four bytes: it held hashes of eight, and sorted a
+    copy of them."""
+    import tracemalloc
+    functions = []
+
+    class Texts:
+        def mapInArrow(self, f, _):
+            functions.append(f)
+            return self
+
+        def select(self, *_):
+            return self
+        repartition = sortWithinPartitions = select
+
+        def toLocalIterator(self):
+            return []
+
+    substring._sketch(Texts(), 20, 28)
+    words = " ".join(str(i) for i in range(40_000))
+    batches = [pa.record_batch([[i], [0], [f"{i} {words}".replace(" 1", f" {i}")]], ["id", "copy", "text"])
+               for i in range(20)]
+    list(functions[0](iter(batches[:1])))
+    tracemalloc.start()
+    cells = sum(len(x) for b in functions[0](iter(batches)) for x in b["cells"].to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert cells > 1_000_000 and peak < 35 * 20 * 40_000, peak
+
+
 def test_numbers_round_trip():
     r = np.random.default_rng(7)
     for top in (1, 200, 300, 60_000, 70_000, (1 << 64) - 1):
