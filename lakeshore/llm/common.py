@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,23 @@ from lakeshore.session import scratch_dir
 _SHIPPED: set[str] = set()
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def releasing(f: Callable) -> Callable:
+    """``f``, a function of batches; at its end the worker, which later stages
+    use again, gives the memory back that Arrow and the C library keep of freed
+    objects (about 100 MB after a batch of 27 MB of texts)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        _give_back()
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,7 @@ scored whole, on the executors.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.llm.common import doc_text, drawn, ship
+from lakeshore.llm.common import doc_text, drawn, releasing, ship
 
 TRAIN_DOCUMENTS = 3000
 TRAIN_LINES = 1000
@@ -159,7 +159,7 @@ def document_scores(model: Model | None, texts: list[str]) -> np.ndarray:
     return np.bincount(document, good * weight) / np.bincount(document, weight)
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
     group, size = [], 0
     for t in texts:
         if group and (len(group) >= GROUP_DOCUMENTS or size + len(t) > GROUP_CHARS):
@@ -227,11 +227,11 @@ def scored(docs: DataFrame, model: Model | None, name: str) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
+            texts = (t.as_py() or "" for t in b.column("text"))
             scores = np.concatenate([document_scores(model, g) for g in _groups(texts)] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], [*b.schema.names, name])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(releasing(score), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMENTS) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lakeshore.llm.common import doc_text, ship
+from lakeshore.llm.common import doc_text, releasing, ship
 from lakeshore.llm.encoders import json_tokenizer_memo, with_end
 
 CONTEXT_SIZES = (256, 512, 1024, 2048)
@@ -204,4 +204,4 @@ def pack(docs: DataFrame, tokenizer: bytes, end_id: int, sizes: tuple[int, ...]
         if rows:
             yield batch()
 
-    return doc_text(docs).mapInArrow(run, schema)
+    return doc_text(docs).mapInArrow(releasing(run), schema)

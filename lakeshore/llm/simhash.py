@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import doc_text, hex64, matched, saved, ship
+from lakeshore.llm.common import doc_text, hex64, matched, releasing, saved, ship
 from lakeshore.llm.components import components
 
 MAX_BITS = 3
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
                                              ["doc_id", "text_hash", "fp"])
 
     return (doc_text(docs).withColumn("text_hash", F.xxhash64("text"))
-            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
+            .mapInArrow(releasing(run), "doc_id long, text_hash long, fp long"))
 
 
 def spanning_links(fps: list[int], max_bits: int) -> list[tuple[int, int]]:

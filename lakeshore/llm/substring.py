@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.llm.common import keyed_text, ship
+from lakeshore.llm.common import keyed_text, releasing, ship
 
 WINDOW_WORDS = 20
 CELLS_PER_WINDOW = 2
@@ -88,15 +88,6 @@ def window_hashes(words: list[list[bytes]], width: int) -> tuple[np.ndarray, np.
     return lanes[0], lanes[1], document[inside], start[inside]
 
 
-def _releasing(f):
-    """``f``, a function of batches; at its end the worker, which later stages
-    use again, gives back what Arrow keeps of freed batches."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from f(batches)
-        pa.default_memory_pool().release_unused()
-    return run
-
-
 def _word_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[list[bytes]]]]:
     """ids, copies and word lists of a bounded number of documents at a time."""
     ids, copies, words, n = [], [], [], 0
@@ -189,7 +180,7 @@ def _sketch(texts: DataFrame, width: int, cell_bits: int) -> np.ndarray:
                 counts[repeated] = 2
         yield from finished()
 
-    merged = (texts.select("id", "copy", "text").mapInArrow(_releasing(count), "row int, block int, cells binary")
+    merged = (texts.select("id", "copy", "text").mapInArrow(releasing(count), "row int, block int, cells binary")
               .repartition("row", "block").sortWithinPartitions("row", "block")
               .mapInArrow(merge, "row int, block int, bits binary"))
     bits = np.zeros((2, 1 << (cell_bits - 3)), np.uint8)
@@ -375,7 +366,7 @@ def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int, bucke
         if kept:
             yield settled()
 
-    return texts.select("id", "copy", "text").mapInArrow(_releasing(candidates), _PACKED_DDL)
+    return texts.select("id", "copy", "text").mapInArrow(releasing(candidates), _PACKED_DDL)
 
 
 # ---------------------------------------------------------------- a sketch that stays in its blocks
@@ -601,7 +592,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW_WORDS, keep_layout: bool
                     yield pa.RecordBatch.from_arrays(result(b.column("row"), cuts), names)
 
         return (texts.join(runs, ["id", "copy"], "left").select("row", "text", "lows", "highs")
-                .mapInArrow(_releasing(cut), schema))
+                .mapInArrow(releasing(cut), schema))
 
     dealt = _dealt(texts, size or 0)
     runs = repeated_windows(_candidates_by_blocks(dealt, width, cell_bits, bucket_bits), bucket_bits)
