@@ -24,7 +24,6 @@ way: here all passes read one exchange of them.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
@@ -337,11 +336,11 @@ def _bucket_bits(words: int) -> int:
 
 def _candidates_by_broadcast(texts: DataFrame, width: int, cell_bits: int, bucket_bits: int) -> DataFrame:
     """Packed candidates."""
-    sketch = texts.sparkSession.sparkContext.broadcast(zlib.compress(_sketch(texts, width, cell_bits).tobytes(), 1))
+    # As it is: a compressed copy would stay in each worker beside the bits.
+    sketch = texts.sparkSession.sparkContext.broadcast(_sketch(texts, width, cell_bits))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # With its size told it isn't held twice meanwhile.
-        bits = np.frombuffer(zlib.decompress(sketch.value, bufsize=2 << (cell_bits - 3)), np.uint8).reshape(2, -1)
+        bits = sketch.value
         kept: list[tuple[np.ndarray, ...]] = []
 
         def settled() -> pa.RecordBatch:
