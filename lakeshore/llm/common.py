@@ -35,6 +35,23 @@ def releasing(f: Callable) -> Callable:
     return run
 
 
+# Of rows in one batch that goes to a Python function, about.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session's batches to Python hold about BATCH_BYTES.
+    Left alone Spark sends up to 10,000 whole documents at once: the executor's
+    JVM holds such a batch, the larger buffer it grows into and the answer
+    outside its heap, and keeps part of that memory in later stages. Frames are
+    read when they are written, so the setting isn't taken back; a smaller one
+    stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < before <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -96,11 +96,14 @@ class PieceMemo:
     """Encode texts to arrays of ids.
 
     ``encode_pieces`` gives the ids of each of a list of pieces;
-    ``encode_whole`` those of a whole text that holds one of ``specials``."""
+    ``encode_whole`` those of a whole text that holds one of ``specials``;
+    ``memo_bytes``: another bound than MEMO_BYTES."""
 
     def __init__(self, encode_pieces: Callable[[list[str]], Iterable[list[int]]],
-                 encode_whole: Callable[[str], list[int]] | None = None, specials: Iterable[str] = ()):
+                 encode_whole: Callable[[str], list[int]] | None = None, specials: Iterable[str] = (),
+                 memo_bytes: int | None = None):
         self.encode_pieces, self.encode_whole, self.specials = encode_pieces, encode_whole, list(specials)
+        self.memo_bytes = memo_bytes
         self._empty()
 
     def _empty(self) -> None:
@@ -136,14 +139,15 @@ class PieceMemo:
             return self.ids, self.starts[slots], self.lengths[slots]
         fresh = [pieces[i] for i in new]
         ids, lengths = self._encode_new(fresh)
-        if self.bytes > MEMO_BYTES and len(new) > STALE_SHARE * len(pieces):
+        most = MEMO_BYTES if self.memo_bytes is None else self.memo_bytes
+        if self.bytes > most and len(new) > STALE_SHARE * len(pieces):
             known = np.flatnonzero(slots >= 0)
             old = self.starts[slots[known]], self.lengths[slots[known]]
             kept = self.ids[ragged(*old)]
             self._empty()
             self._remember([pieces[i] for i in known], kept, old[1])
             slots[known] = np.arange(len(known))
-        if self.bytes <= MEMO_BYTES:
+        if self.bytes <= most:
             slots[new] = np.arange(len(self.slot_of), len(self.slot_of) + len(new))
             self._remember(fresh, ids, lengths)
             return self.ids, self.starts[slots], self.lengths[slots]
@@ -223,12 +227,12 @@ def byte_letters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-def json_tokenizer_memo(serialized: bytes) -> PieceMemo:
+def json_tokenizer_memo(serialized: bytes, memo_bytes: int | None = None) -> PieceMemo:
     """The worker's memo over a tokenizers-library file given as its bytes.
 
     A piece that is one pre-token goes straight to the library's model, which
     costs half of the whole way; all others go the whole way."""
-    key = hashlib.sha256(serialized).hexdigest()
+    key = f"{hashlib.sha256(serialized).hexdigest()} {memo_bytes}"
     if key not in _MEMOS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -259,7 +263,7 @@ def json_tokenizer_memo(serialized: bytes) -> PieceMemo:
             return tokenizer.encode(text, add_special_tokens=False).ids
 
         specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        _MEMOS[key] = PieceMemo(encode_pieces, encode_whole, specials)
+        _MEMOS[key] = PieceMemo(encode_pieces, encode_whole, specials, memo_bytes)
     return _MEMOS[key]
 
 

@@ -156,7 +156,7 @@ def pack_documents(encoded: Iterator[tuple[int | None, np.ndarray]], sizes: tupl
 
 
 def pack(docs: DataFrame, tokenizer: bytes, end_id: int, sizes: tuple[int, ...] = CONTEXT_SIZES,
-         step_tokens: int = STEP_TOKENS, with_ids: bool = False) -> DataFrame:
+         step_tokens: int = STEP_TOKENS, with_ids: bool = False, memo_bytes: int | None = None) -> DataFrame:
     """Pack every document into full windows; one row per piece.
 
     Columns: doc_id; start, length and ids_crc32 of the piece (little-endian
@@ -168,6 +168,7 @@ def pack(docs: DataFrame, tokenizer: bytes, end_id: int, sizes: tuple[int, ...]
     null. Repeated rows are packed once each. Ties in length go by doc_id
     (null last) and position. The text of a special token becomes its id, as the
     library does by default. An empty table gives no rows. ``sizes``: rising powers of two.
+    ``memo_bytes``: another bound of each worker's memo of encoded pieces.
     """
     if any(s & (s - 1) for s in sizes) or list(sizes) != sorted(set(sizes)):
         raise ValueError("context sizes must be rising powers of two")
@@ -178,7 +179,7 @@ def pack(docs: DataFrame, tokenizer: bytes, end_id: int, sizes: tuple[int, ...]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        memo = json_tokenizer_memo(tokenizer)
+        memo = json_tokenizer_memo(tokenizer, memo_bytes)
 
         def encoded() -> Iterator[tuple[int | None, np.ndarray]]:
             for b in batches:

@@ -49,6 +49,8 @@ TRAIN_DOCUMENTS = 4000
 TREES, DEPTH, SEED = 20, 8, 7
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
+# Up to this size the values to redact go to the texts; beyond, both are shuffled.
+REDACT_BYTES = 16 << 20
 
 KEY = ["doc_id", "text_hash", "at", "nth"]
 FEATURES = ["length", "digits", "upper", "lower", "other", "distinct", "switches", "hexadecimal", "surprise",
@@ -340,8 +342,10 @@ def redact(docs: DataFrame, secrets: DataFrame) -> DataFrame:
     """``docs``, all columns, each secret's value in its text replaced by
     REDACTED. ``secrets``: doc_id, text_hash and value. Other documents are
     returned unchanged."""
-    values = secrets.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False).alias("__secrets"))
+    values = saved(secrets.groupBy("doc_id", "text_hash").agg(
+        F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False).alias("__secrets")),
+        "redacted-values")
     text = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(F.aggregate(
         "__secrets", F.col("text"), lambda t, x: F.replace(t, x["value"], F.lit(REDACTED))))
+    values = sized_broadcast(values, max_bytes=REDACT_BYTES)
     return with_text(matched(docs, values, "left"), text).select(*docs.columns)
