@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.llm.common import doc_text, hex64, matched, releasing, saved, ship
 from lakeshore.llm.components import components
+from lakeshore.plans.joins import sized_broadcast
 
 MAX_BITS = 3
 # Larger buckets are split; any value gives the same links.
@@ -136,13 +137,15 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
         last = depth == len(levels) - 1
         small = sizes if last else sizes.where(F.col("__n") <= BUCKET_MEMBERS)
-        parts.append(_link_buckets(members.join(small.select(*keys), keys), keys, max_bits))
+        # Merged: Spark takes the rows of an explode for as many as before it, and would broadcast them.
+        parts.append(_link_buckets(members.hint("merge").join(small.select(*keys), keys), keys, max_bits))
         if last:
             break
         large = saved(sizes.where(F.col("__n") > BUCKET_MEMBERS).select(*keys), "large-buckets")
         if large.isEmpty():
             break
-        frame = members.join(large, keys)
+        # At most one key for each BUCKET_MEMBERS rows.
+        frame = members.join(sized_broadcast(large), keys)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
@@ -165,8 +168,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS)
              .select("fp", "first_id", F.coalesce("component", "fp").alias("component")))
     first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_fp = named.join(first, "component").select("fp", F.col("component").alias("group"), "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "text_hash", hex64(F.col("fp")).alias("fingerprint"), "group",
-                                         "component_id")
+    return rows.hint("merge").join(of_fp, "fp").select(
+        "doc_id", "text_hash", hex64(F.col("fp")).alias("fingerprint"), "group", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
